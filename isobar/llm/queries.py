@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import reachable
+from .classifier import quality_classifier
 from .minhash import near_duplicates
+from .rules import quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -17,8 +21,16 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")
+
+
+def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "classifier.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {"op1_minhash": op1_minhash, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
