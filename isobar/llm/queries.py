@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import reachable
+from .bpe import decode, encode
 from .classifier import quality_classifier
 from .minhash import near_duplicates
 from .rules import quality_rules
@@ -21,6 +24,13 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    back = decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")
 
@@ -30,7 +40,7 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
