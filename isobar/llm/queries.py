@@ -12,6 +12,7 @@ from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
 from .minhash import near_duplicates
+from .packing import pack_documents
 from .rules import quality_rules
 
 
@@ -24,6 +25,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     back = decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks)
@@ -40,7 +45,7 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
