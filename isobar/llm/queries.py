@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
+from . import rans
 from .minhash import near_duplicates
-from .packing import pack_documents
+from .packing import pack_documents, with_crc32
 from .rules import quality_rules
 
 
@@ -40,12 +41,17 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")
 
 
+def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = rans.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return with_crc32(back.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).select("doc_id", "start", "n_tokens", "ids"))
+
+
 def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "classifier.*")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
