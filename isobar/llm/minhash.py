@@ -150,6 +150,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame
     return texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])
 
 
+def _shortened(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [np.sort((np.frombuffer(b, np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], names=["rep", "short"])
+
+    return sets.mapInArrow(run, "rep long, short binary")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,15 +175,28 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, bands: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose registers allow a link; each comes from one bucket only."""
+def _overlaps(short: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members of each of ``others`` are in ``short``; all are sorted and not empty."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(short, flat), len(short) - 1)
+    sizes = np.array([len(o) for o in others])
+    return np.add.reduceat((short[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+
+
+def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, bands: int, percent: int) -> DataFrame:
+    """Pairs of different components in one bucket that seem linked; each comes from one bucket only.
+
+    Registers first, then 32 bits of each shingle's hash decide within the block: few pairs leave it that aren't links,
+    and no link stays (shorter hashes can only raise an intersection).
+    """
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
     rows = labelled.join(mixed, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("key", "band", "rep", "component", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    rows = rows.join(classes.select("rep", "n_shingles", "registers"), "rep")
+    short = _shortened(sets)
+    rows = rows.join(classes.select("rep", "n_shingles", "registers"), "rep").join(short, "rep")
 
     def work(t: pa.Table) -> pa.Table | None:
         component = t["component"].to_numpy()
@@ -184,6 +206,7 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, bands:
         across = t["i"][0].as_py() != t["j"][0].as_py()
         regs = _matrix(t["registers"])
         keys = band_keys(regs, bands)
+        shingles = [np.frombuffer(b, np.uint32) for b in t["short"].to_pylist()]
         found_a, found_b = [], []
         for x in range(len(rep) - 1):
             y = np.arange(x + 1, len(rep))
@@ -193,8 +216,11 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, bands:
             if not len(y):
                 continue
             y = y[_may_link((regs[y] == regs[x]).sum(1), regs.shape[1], np.broadcast_to(n[x], len(y)), n[y], percent)]
+            y = y[(keys[y] == keys[x]).argmax(1) == band[0]] if len(y) else y
+            if len(y):
+                common = _overlaps(shingles[x], [shingles[i] for i in y])
+                y = y[100 * common >= percent * (n[x] + n[y] - common)]
             if len(y):
-                y = y[(keys[y] == keys[x]).argmax(1) == band[0]]
                 found_a.append(np.minimum(rep[x], rep[y]))
                 found_b.append(np.maximum(rep[x], rep[y]))
         if not found_a:
@@ -232,7 +258,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     also = again.join(classes.select(F.col("rep").alias("b")), "b", "left_semi").select("a", "b")
     links = links.union(twice).union(also)
     labels = components(links)
-    more = written(_confirmed(_left_over(members, labels, classes, bands, percent), sets, percent), "more")
+    more = written(_confirmed(_left_over(members, labels, classes, sets, bands, percent), sets, percent), "more")
     if more.limit(1).count():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
