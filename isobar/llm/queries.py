@@ -12,6 +12,8 @@ from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
 from . import rans
+from .fingerprints import canonical, digest, fingerprints, with_next
+from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
 from .packing import pack_documents, with_crc32
 from .rules import quality_rules
@@ -37,10 +39,34 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")
 
 
+def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint's likeness is 1 for equal canonical texts and 0 otherwise; bytes are compared where digests agree."""
+    docs = with_next(_table(spark, sf_dir, "documents"))
+    n, cut = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
+    rows = fingerprints(docs.withColumn("edited", edited))
+    rows = rows.withColumn("_edited", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest(F.col("_edited"))).withColumn("_next", digest(canonical(F.col("next_text"))))
+    own, base = canonical(F.col("text")), F.substring_index("fingerprint", "-", 1)
+    alike = lambda mark, form: F.when(base == mark, (own == form).cast("double")).otherwise(F.lit(0.0))
+    return rows.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        alike(F.col("edited_fingerprint"), F.col("_edited")).alias("near_edited"),
+        alike(F.col("_next"), canonical(F.col("next_text"))).alias("near_next"),
+    )
+
+
 def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = rans.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return with_crc32(back.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).select("doc_id", "start", "n_tokens", "ids"))
@@ -51,8 +77,8 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op5_rules": op5_rules, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_licences": licence_sql()}
