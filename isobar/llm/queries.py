@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
-from . import rans
+from . import chat, rans
 from .fingerprints import canonical, digest, fingerprints, with_next
 from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
@@ -67,6 +67,23 @@ def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats all conversations and one with control strings, then reads turns and masked texts back from the strings."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat.example(spark, -7, "\\### Assistant: </turn> ok"))
+    back = chat.read_back(chat.conversations(chat.formatted_turns(chat.canonical_turns(rows))))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = rans.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return with_crc32(back.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).select("doc_id", "start", "n_tokens", "ids"))
@@ -77,7 +94,7 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op7_chat": op7_chat, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
