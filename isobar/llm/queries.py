@@ -13,6 +13,7 @@ from .bpe import decode, encode
 from .classifier import quality_classifier
 from . import chat, rans
 from .fingerprints import canonical, digest, fingerprints, with_next
+from .html import extract
 from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
 from .packing import pack_documents, with_crc32
@@ -89,12 +90,17 @@ def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(back.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).select("doc_id", "start", "n_tokens", "ids"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "classifier.*")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op7_chat": op7_chat, "op8_rans": op8_rans, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op7_chat": op7_chat, "op8_rans": op8_rans, "op9_html": op9_html, "op10_classifier": op10_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
