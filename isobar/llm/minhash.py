@@ -236,14 +236,15 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     Words are runs without ASCII white space, with A-Z lower-cased; a set holds the distinct runs of ``size`` words, or
     the whole sequence where a text is shorter. Two rows are linked where 100 * intersection >= percent * union.
     ``component_id`` is the smallest doc_id reachable over links, the row's own included; ``kept`` says it is the own.
-    Rows without words (null and empty texts too) have no set and are linked with nothing. Rows with one doc_id twice
+    Rows without words (null and empty texts too) have no set and are linked with nothing; rows without an id neither, and
+    their component is null. Rows with one doc_id twice
     are one class if their sets are equal, else their links count together. Extra columns are ignored; an empty table
     gives an empty result. A band is missed by a pair at the threshold with 1 - t^rows, so that all bands are missed
     with (1 - 0.85^7)^40 = 2e-7.
     """
     sigs = written(signatures(docs, text=text, size=size, bands=bands, rows=rows), "signatures")
     key = ["set_hi", "set_lo", "n_shingles"]
-    full = sigs.where("n_shingles > 0")
+    full = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers")).select("rep", *key, "registers"), "classes")
     banded = _bands(classes, bands)
     shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep"))["rep"].alias("hub2")).where("n > 1")
@@ -253,7 +254,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     sets = written(_sets(docs, members.select("rep").distinct(), text, size), "sets")
     links = written(_confirmed(_estimated(pairs, classes, percent), sets, percent), "links")
     # A row's class is linked with each doc_id of the class, so that one doc_id with two sets joins them.
-    again = sigs.where("n_shingles > 0").join(classes.select(*key, "rep"), key).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    again = full.join(classes.select(*key, "rep"), key).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     twice = again.join(again.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").select("b"), "b", "left_semi").select("a", "b")
     also = again.join(classes.select(F.col("rep").alias("b")), "b", "left_semi").select("a", "b")
     links = links.union(twice).union(also)
@@ -263,4 +264,4 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     out = sigs.select("doc_id", *key).join(of_class, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
