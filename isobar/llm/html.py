@@ -165,7 +165,7 @@ def costs(b: Block) -> tuple[float, float]:
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """For each node whether it stays on the source's side of a minimum cut; edges cost their weight in either direction.
 
-    Flow goes along shortest paths in levels until none is left (ties stay with the source where still reachable).
+    Flow goes along shortest paths in levels until none is left.
     """
     n = len(source)
     s, t = n, n + 1
@@ -198,7 +198,7 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
                     level[to[e]] = level[u] + 1
                     queue.append(to[e])
         if level[t] < 0:
-            return [level[i] >= 0 or source[i] == sink[i] for i in range(n)]
+            return [level[i] >= 0 for i in range(n)]
         at = [0] * (n + 2)
         path: list[int] = []
         u = s
