@@ -2,7 +2,7 @@
 
 ``spark.dataSource.register(Grib2Source)`` and ``spark.read.format("grib2").load(path)``. Each file is a partition; a
 message is a row with its field and grid; missing points are null. Data templates 5.0 (simple), 5.2 and 5.3 (complex,
-with spatial differences) and 5.41 (PNG) are read; other ones and other grids are refused by name.
+with spatial differences), 5.41 (PNG) and 5.42 (adaptive entropy coding) are read; other ones and other grids are refused by name.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from . import png
+from . import aec, png
 
 SCHEMA = (
     "file string, ordinal int, discipline int, ref_time timestamp_ntz, pdtn int, category int, number int, surface_type int, surface_value double, "
@@ -73,6 +73,9 @@ class Message:
         elif template == 41:
             v, _ = png.samples(data) if s[19] else (np.zeros(n, np.int64), {})
             found = self.scaled(v.reshape(-1)[:n] if v.ndim == 1 or v.shape[2] == 1 else v.reshape(n, -1) @ (256 ** np.arange(v.shape[2])[::-1]))
+        elif template == 42:
+            packed = aec.decode(data, n, s[19], s[22], _int(s, 23, 2), s[21]) if s[19] else np.zeros(n, np.int64)
+            found = self.scaled(packed)
         else:
             raise ValueError(f"data template 5.{template} isn't read")
         bitmap = self.sections.get(6, b"\x00" * 5 + b"\xff")
@@ -240,7 +243,7 @@ def fields(files):  # noqa: ANN001, ANN201
 
 
 def encode(values: np.ndarray, *, template: int = 0, bits: int = 12, decimal: int = 1, category: int = 2, number: int = 2, level: float = 25000.0, order: int = 2, group: int = 8) -> bytes:
-    """One message of a field (rows, columns) for tests and fixtures: template 0, 2, 3 or 41; NaN goes to a bitmap."""
+    """One message of a field (rows, columns) for tests and fixtures: template 0, 2, 3, 41 or 42; NaN goes to a bitmap."""
     flat = values.reshape(-1).astype(float)
     there = ~np.isnan(flat)
     integer = np.round(flat[there] * 10.0**decimal).astype(np.int64)
@@ -264,6 +267,9 @@ def encode(values: np.ndarray, *, template: int = 0, bits: int = 12, decimal: in
     elif template == 41:
         data = png.encode_grey(packed.reshape(-1, values.shape[1]) if there.all() else packed.reshape(1, -1), 16, 1)
         bits = 16
+    elif template == 42:
+        data = aec.encode(packed, bits, 16, 8, aec.DIFFERENCES)
+        tail = struct.pack(">BBBH", 0, aec.DIFFERENCES, 16, 8)
     else:
         numbers, reference = packed, least
         lead = b""
@@ -285,7 +291,7 @@ def encode(values: np.ndarray, *, template: int = 0, bits: int = 12, decimal: in
     s1 = section(1, struct.pack(">HHBBBHBBBBBBB", 7, 0, 2, 1, 1, 2026, 1, 2, 3, 0, 0, 0, 1))
     s3 = section(3, struct.pack(">BIBBH", 0, ni * nj, 0, 0, 0) + b"\x06" + b"\x00" * 15 + struct.pack(">IIII", ni, nj, 0, 0xFFFFFFFF) + sm(25_000_000, 4) + sm(-80_000_000, 4) + b"\x30" + sm(30_000_000, 4) + sm(-70_000_000, 4) + struct.pack(">IIB", 500_000, 500_000, 64))
     s4 = section(4, struct.pack(">HHBBBBBHBBI", 0, 0, category, number, 2, 0, 96, 0, 0, 1, 0) + b"\x64" + b"\x00" + sm(int(level), 4) + b"\xff" * 6)
-    s5 = section(5, struct.pack(">IHf", int(there.sum()), template, float(reference)) + sm(0, 2) + sm(decimal, 2) + bytes([bits, 0]) + tail)
+    s5 = section(5, struct.pack(">IHf", int(there.sum()), template, float(reference)) + sm(0, 2) + sm(decimal, 2) + bytes([bits]) + (tail if template == 42 else b"\x00" + tail))
     s6 = section(6, b"\xff") if there.all() else section(6, b"\x00" + np.packbits(there).tobytes())
     body = s1 + s3 + s4 + s5 + s6 + section(7, data) + b"7777"
     return b"GRIB" + b"\x00\x00\x00\x02" + struct.pack(">Q", len(body) + 16) + body

@@ -12,7 +12,7 @@ from isobar.functions import scalars as S
 from isobar.functions import text as X
 from isobar.operators import grids as G
 from isobar.operators import ordered as O
-from isobar.sources import grib2, png, sinks
+from isobar.sources import aec, grib2, png, sinks
 from isobar.sources import tables as T
 from isobar.streaming import state
 
@@ -113,7 +113,7 @@ def test_rings(spark):
     assert len(line.select(Geo.simplify(F.col("p"), 0.01).alias("s")).first()["s"]) == 3
 
 
-@pytest.mark.parametrize("template", [0, 2, 3, 41])
+@pytest.mark.parametrize("template", [0, 2, 3, 41, 42])
 def test_grib2_round_trip(spark, tmp_path, template):
     v = np.round(np.cumsum(np.random.default_rng(0).normal(size=(9, 14)), 1) * 3, 1)
     v[2, 3] = np.nan
@@ -188,3 +188,22 @@ def test_publish_all_or_nothing(spark, tmp_path):
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2]
     stamps = spark.range(1).select(sinks.stamp({"a": 1, "b": 2}).alias("p"), sinks.stamp({"b": 2, "a": 1}).alias("q"), sinks.stamp({"a": 1, "b": 3}).alias("r")).first()
     assert stamps.p == stamps.q != stamps.r
+
+
+@pytest.mark.parametrize("flags", [0, aec.DIFFERENCES, aec.DIFFERENCES | aec.SIGNED, aec.DIFFERENCES | aec.PADDED, aec.SIGNED])
+def test_entropy_code_round_trip(flags):
+    rng = np.random.default_rng(flags)
+    for bits in (3, 8, 12, 20):
+        low = -(1 << (bits - 1)) if flags & aec.SIGNED else 0
+        for spread in (0, 1, 1 << (bits - 1)):
+            v = np.clip(np.cumsum(rng.integers(-spread, spread + 1, 333)), low, low + (1 << bits) - 1)
+            data = aec.encode(v, bits, 16, 5, flags)
+            assert (aec.decode(data, len(v), bits, 16, 5, flags) == v).all()
+            with pytest.raises(ValueError):
+                aec.decode(data[: len(data) // 2], len(v), bits, 16, 5, flags)
+
+
+def test_runs_of_zero_blocks():
+    """Option 0 with a unary 4 stands for the rest of the segment; a 1 for two blocks."""
+    assert (aec.decode(bytes([0b00000001]), 16 * 3, 8, 16, 3, 0) == 0).all()
+    assert (aec.decode(bytes([0b00000101, 0b00000000][:1]) + b"", 16 * 2, 8, 16, 2, 0) == 0).all()
