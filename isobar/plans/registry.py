@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from . import frames, lookups, products, scalars, texts, tiles  # noqa: F401
+    from . import bulletins, frames, lookups, products, scalars, texts, tiles  # noqa: F401
 
 
 def queries() -> dict[str, Run]:
