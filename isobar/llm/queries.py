@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -16,7 +17,7 @@ from .fingerprints import canonical, digest, fingerprints, with_next
 from .html import extract
 from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
-from .packing import pack_documents, with_crc32
+from .packing import pack_documents
 from .rules import quality_rules
 
 
@@ -86,8 +87,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = rans.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return with_crc32(back.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).select("doc_id", "start", "n_tokens", "ids"))
+    path = rans.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rans.read(spark, path, of=("ids_crc32 long", zlib.crc32))
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,19 +6,21 @@ words) and one table of token frequencies that all blocks share. The tokens of a
 all of them write 32-bit words into one stream. Every CHECKPOINT steps the place in the stream and all states are kept, so
 that a reader can start there. Blocks don't depend on one another: any task decodes any block.
 
-States are 63 bits: 2**31 <= x < 2**63. A symbol of frequency f (of 2**bits) first sheds 32 bits if x >= f << (63 - bits).
-Frequency 2**bits leaves a state as it is, which pads blocks of different length to one shape.
+States are 53 bits: 2**21 <= x < 2**53, so that a division of doubles is exact for them. A symbol of frequency f (of
+2**bits) first sheds 32 bits if x >= f << (53 - bits). Frequency 2**bits leaves a state as it is, which pads blocks of
+different length to one shape.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,16 +33,17 @@ CHECKPOINT = 128
 BLOCK_TOKENS = 1 << 16
 #: Blocks that are coded side by side.
 TOGETHER = 32
-_LOW = np.uint64(1 << 31)
+#: Written parts up to which their starts are broadcast (12 bytes each); beyond, a shuffled join adds them.
+BROADCAST_PARTS = 200_000
+_LOW, _HIGH = 1 << 21, 53
 
 
 class Frequencies:
-    """Counts scaled to a power of two in which every counted token has one part at least."""
+    """Counts scaled to a power of two in which every counted token has one part at least (2**20 at most are told apart)."""
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
-        self.tokens = tokens.astype(np.int64)
-        self.bits = max(18, int(len(tokens)).bit_length() + 1)
-        whole, total = 1 << self.bits, max(int(counts.sum()), 1)
+        bits = max(18, int(len(tokens)).bit_length() + 1)
+        whole, total = 1 << bits, max(int(counts.sum()), 1)
         f = np.maximum(1, (counts.astype(np.float64) * whole / total).astype(np.int64))
         order = np.argsort(-f, kind="stable")
         extra = int(f.sum()) - whole
@@ -51,74 +54,99 @@ class Frequencies:
             give = min(extra, int(f[order[k % len(f)]]) // 2)
             f[order[k % len(f)]] -= give
             extra, k = extra - give, k + 1
-        self.f = f.astype(np.uint64)
-        self.cum = (np.cumsum(f) - f).astype(np.uint64)
-        self.slots = np.repeat(np.arange(len(f), dtype=np.int32), f)
+        self._set(tokens, f, bits)
+
+    def _set(self, tokens: np.ndarray, f: np.ndarray, bits: int) -> None:
+        if bits > 21:
+            raise ValueError("too many different tokens for these states")
+        self.tokens, self.bits = tokens.astype(np.int64), bits
+        # One entry more pads: it covers all parts and changes nothing.
+        self.f = np.append(f, 1 << bits).astype(np.int64)
+        self.cum = np.append(np.cumsum(f) - f, 0).astype(np.int64)
+        #: From this state on a symbol sheds a word; the padding never does.
+        self.top = self.f << (_HIGH - bits)
+        self.top[-1] = 1 << 62
         self.index = np.full(int(self.tokens.max()) + 1 if len(tokens) else 0, -1, np.int32)
         self.index[self.tokens] = np.arange(len(tokens))
+        self.slots = np.repeat(np.arange(len(f), dtype=np.int32), f)
+        self.slot_f = np.repeat(f, f)
+        self.slot_rest = np.arange(len(self.slots)) - np.repeat(self.cum[:-1], f)
 
-
-def _shape(sizes: list[int]) -> tuple[int, np.ndarray]:
-    steps = max(-(-n // LANES) for n in sizes)
-    place = np.arange(steps * LANES).reshape(steps, 1, LANES)
-    return steps, place < np.array(sizes).reshape(1, -1, 1)
+    @classmethod
+    def stored(cls, tokens: np.ndarray, f: np.ndarray, bits: int) -> Frequencies:
+        out = cls.__new__(cls)
+        out._set(tokens, f, bits)
+        return out
 
 
 def encode_blocks(blocks: list[np.ndarray], table: Frequencies) -> list[tuple[bytes, bytes, bytes]]:
     """(states, words, checkpoints) of each block of token ids; none may be empty."""
-    steps, active = _shape([len(b) for b in blocks])
-    symbol = np.zeros((steps, len(blocks), LANES), np.int32)
+    steps = max(-(-len(b) // LANES) for b in blocks)
+    symbol = np.full((len(blocks), steps * LANES), len(table.tokens), np.int32)
     for k, b in enumerate(blocks):
-        flat = np.zeros(steps * LANES, np.int32)
-        flat[: len(b)] = table.index[b]
-        symbol[:, k] = flat.reshape(steps, LANES)
-    whole, bits = np.uint64(1 << table.bits), np.uint64(table.bits)
-    x = np.full((len(blocks), LANES), _LOW)
+        symbol[k, : len(b)] = table.index[b]
+    symbol = np.ascontiguousarray(symbol.reshape(len(blocks), steps, LANES).transpose(1, 0, 2))
+    whole = 1 << table.bits
+    x = np.full(symbol.shape[1:], _LOW, np.int64)
     words = np.zeros(symbol.shape, np.uint32)
     sheds = np.zeros(symbol.shape, bool)
     kept: dict[int, np.ndarray] = {}
+    f, top = np.empty_like(x), np.empty_like(x)
     for s in range(steps - 1, -1, -1):
-        f = np.where(active[s], table.f[symbol[s]], whole)
-        c = np.where(active[s], table.cum[symbol[s]], np.uint64(0))
-        shed = x >= f << (np.uint64(63) - bits)
-        shed &= f != whole
-        words[s], sheds[s] = x, shed
-        x = np.where(shed, x >> np.uint64(32), x)
-        q = x // f
-        x = (q << bits) + (x - q * f) + c
+        np.take(table.f, symbol[s], out=f, mode="clip")
+        np.take(table.top, symbol[s], out=top, mode="clip")
+        np.greater_equal(x, top, out=sheds[s])
+        words[s] = x
+        x = np.where(sheds[s], x >> 32, x)
+        q = np.divide(x, f).astype(np.int64)
+        np.subtract(whole, f, out=f)
+        q *= f
+        x += q
+        np.take(table.cum, symbol[s], out=f, mode="clip")
+        x += f
         if s % CHECKPOINT == 0:
-            kept[s] = x
+            kept[s] = x.copy()
     out = []
     for k, b in enumerate(blocks):
         mine = -(-len(b) // LANES)
         mask = sheds[:mine, k]
         at = np.concatenate([[0], np.cumsum(mask.sum(1))])
-        points = b"".join(np.uint64(at[s]).tobytes() + kept[s][k].tobytes() for s in range(CHECKPOINT, mine, CHECKPOINT))
+        points = b"".join(np.uint64(at[s]).tobytes() + kept[s][k].astype("<u8").tobytes() for s in range(CHECKPOINT, mine, CHECKPOINT))
         out.append((x[k].astype("<u8").tobytes(), words[:mine, k][mask].astype("<u4").tobytes(), points))
     return out
 
 
 def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table: Frequencies) -> list[np.ndarray]:
     """Token ids of each block, given as (tokens, states, words)."""
-    sizes = [b[0] for b in blocks]
-    steps, active = _shape(sizes)
+    sizes = np.array([b[0] for b in blocks])
+    steps = int(-(-sizes.max() // LANES))
     streams = [np.frombuffer(b[2], "<u4") for b in blocks]
-    flat = np.concatenate([*streams, np.zeros(1, np.uint32)]).astype(np.uint64)
+    flat = np.concatenate([*streams, np.zeros(1, np.uint32)]).astype(np.int64)
     at = np.cumsum([0, *(len(s) for s in streams[:-1])]).reshape(-1, 1)
-    x = np.stack([np.frombuffer(b[1], "<u8") for b in blocks]).astype(np.uint64)
-    whole, bits = np.uint64(1 << table.bits), np.uint64(table.bits)
+    x = np.stack([np.frombuffer(b[1], "<u8") for b in blocks]).astype(np.int64)
+    mask, bits = (1 << table.bits) - 1, table.bits
     symbol = np.zeros((steps, len(blocks), LANES), np.int32)
+    full = int(sizes.min()) // LANES
+    lane = np.arange(LANES)
+    f = np.empty_like(x)
     for s in range(steps):
-        slot = x & (whole - np.uint64(1))
-        y = table.slots[slot]
-        symbol[s] = y
-        f = np.where(active[s], table.f[y], whole)
-        c = np.where(active[s], table.cum[y], np.uint64(0))
-        x = f * (x >> bits) + slot - c
-        need = x < _LOW
-        rank = np.cumsum(need, 1)
-        x = np.where(need, x << np.uint64(32) | flat[np.minimum(at + rank - 1, len(flat) - 1)], x)
-        at = at + rank[:, -1:]
+        slot = x & mask
+        np.take(table.slots, slot, out=symbol[s], mode="clip")
+        y = x >> bits
+        np.take(table.slot_f, slot, out=f, mode="clip")
+        y *= f
+        np.take(table.slot_rest, slot, out=f, mode="clip")
+        y += f
+        if s >= full:
+            y = np.where(s * LANES + lane < sizes[:, None], y, x)
+        # Words are read in order of lanes within each block's own stream.
+        need = y < _LOW
+        rank = np.cumsum(need, 1, dtype=np.int64)
+        rank += at
+        np.take(flat, rank - 1, out=f, mode="clip")
+        f |= y << 32
+        x = np.where(need, f, y)
+        at = rank[:, -1:]
     return [table.tokens[symbol[:, k].reshape(-1)[:n]] for k, n in enumerate(sizes)]
 
 
@@ -191,7 +219,7 @@ def blocks_of(coded: DataFrame, table: Frequencies) -> DataFrame:
 
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                docs.append(doc), held.append(np.frombuffer(raw, "<u4").astype(np.int64))
+                docs.append(doc), held.append(np.frombuffer(raw, "<u4"))
                 size += len(held[-1])
                 if size >= BLOCK_TOKENS:
                     ready.append((docs, held))
@@ -215,24 +243,21 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int = 2, i
     table = frequencies(coded)
     blocks_of(coded, table).write.option("compression", "none").parquet(f"{path}/blocks")
     spark = docs.sparkSession
-    made = [(table.bits, t, int(f)) for t, f in zip(table.tokens.tolist(), table.f.tolist(), strict=True)]
+    made = list(zip([table.bits] * len(table.tokens), table.tokens.tolist(), table.f.tolist(), strict=False))
     spark.createDataFrame(made, "bits int, token long, frequency long").coalesce(1).write.parquet(f"{path}/frequencies")
 
 
-def read(spark, path: str) -> DataFrame:  # noqa: ANN001
-    """(doc_id, start, ids binary) per document of the file; ``start`` counts the ids of all documents before it.
+def read(spark: SparkSession, path: str, of: tuple[str, Callable[[bytes], object]] | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids binary) per document of the file; ``start`` counts the ids of all documents before it.
 
-    Each block is checked and decoded by itself. A wrong checksum fails the read.
+    Each block is checked and decoded by itself. A wrong checksum fails the read. ``of``, a column definition and a
+    function of a document's packed ids, gives that column in place of ``ids``, so that ids needn't leave their task.
     """
     small_batches(spark, TOGETHER)
     rows = spark.read.parquet(f"{path}/frequencies").orderBy("token").collect()
-    table = Frequencies(np.array([r["token"] for r in rows], np.int64), np.zeros(len(rows), np.int64))
-    if rows:
-        table.bits = rows[0]["bits"]
-        table.f = np.array([r["frequency"] for r in rows], np.uint64)
-        table.cum = np.cumsum(table.f) - table.f
-        table.slots = np.repeat(np.arange(len(rows), dtype=np.int32), table.f.astype(np.int64))
+    table = Frequencies.stored(np.array([r["token"] for r in rows], np.int64), np.array([r["frequency"] for r in rows], np.int64), rows[0]["bits"] if rows else 18)
     shared = spark.sparkContext.broadcast(table)
+    column, work = of or ("ids binary", bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,24 +270,24 @@ def read(spark, path: str) -> DataFrame:  # noqa: ANN001
                     lengths = np.frombuffer(b["lengths"], np.int64)
                     ends = np.cumsum(lengths)
                     raw = ids.astype("<u4").tobytes()
-                    parts = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+                    parts = [work(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(ends), b["part"], np.int32)), pa.array(np.frombuffer(b["doc_ids"], np.int64)), pa.array(b["start"] + ends - lengths), pa.array(parts, pa.binary())],
-                        names=["part", "doc_id", "start", "ids"],
+                        [pa.array(np.full(len(ends), b["part"], np.int32)), pa.array(np.frombuffer(b["doc_ids"], np.int64)), pa.array(b["start"] + ends - lengths), pa.array(lengths), pa.array(parts)],
+                        names=["part", "doc_id", "start", "n_tokens", column.split()[0]],
                     )
 
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     # One row for each written part: far fewer than blocks, let alone documents.
     parts = blocks.groupBy("part").agg(F.min("first_id").alias("first_id"), F.sum("n_tokens").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("first_id", "part")) - F.col("n")).alias("before"))
-    docs = blocks.mapInArrow(run, "part int, doc_id long, start long, ids binary")
-    return docs.join(before, "part").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "ids")
-
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("first_id", "part")) - F.col("n")).alias("before")).persist()
+    few = before.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS
+    docs = blocks.select("part", "block", "start", "doc_ids", "lengths", "n_tokens", "states", "words", "crc32").mapInArrow(run, f"part int, doc_id long, start long, n_tokens long, {column}")
+    placed = docs.join(F.broadcast(before) if few else before, "part")
+    return placed.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", column.split()[0])
 
-def store(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
-    """Writes ``docs`` to a new file in the shared folder and gives what :func:`read` reads from it."""
-    import uuid
 
+def store(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str = "doc_id", text: str = "text") -> str:  # noqa: A002
+    """Writes ``docs`` to a new file in the shared folder and gives its path, for :func:`read`."""
     path = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     write(docs, path, tokenizer_path, end_id=end_id, id=id, text=text)
-    return read(docs.sparkSession, path)
+    return path
