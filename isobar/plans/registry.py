@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import reachable
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,11 +34,12 @@ def register(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _load() -> None:
-    from . import bulletins, frames, lookups, products, scalars, texts, tiles  # noqa: F401
+    from . import bulletins, frames, lookups, products, scalars, shapes, texts, tiles  # noqa: F401
 
 
 def queries() -> dict[str, Run]:
