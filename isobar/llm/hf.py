@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -28,19 +28,29 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
 
 
-def _plan(spec: dict) -> tuple[Callable | None, bool]:
-    """The splitter that the file's pre-tokenizer amounts to, and whether text is normalised and lower-cased first."""
+_SPLITS = {"spaced": split_spaced, "words": split_words}
+
+
+def prepared(spec: str) -> tuple[str, str, bool]:
+    """The file's text, the splitter that its pre-tokenizer amounts to, and whether text is normalised and lower-cased first.
+
+    The driver finds this out once; workers needn't read the whole vocabulary as JSON.
+    """
+    return spec, *_plan(json.loads(spec))
+
+
+def _plan(spec: dict) -> tuple[str, bool]:
     pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
     if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and norm is None:
-        return split_spaced, False
+        return "spaced", False
     steps = [p.get("type") for p in pre.get("pretokenizers", [])]
     if steps == ["Split", "ByteLevel"] and not pre["pretokenizers"][1].get("use_regex", True):
         split = pre["pretokenizers"][0]
         words = split["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         norms = [n["type"] for n in (norm or {}).get("normalizers", [])]
         if words and split["behavior"] == "Removed" and split["invert"] and norms == ["NFC", "Replace", "Lowercase"]:
-            return split_words, True
-    return None, False
+            return "words", True
+    return "", False
 
 
 class TextEncoder:
@@ -49,13 +59,14 @@ class TextEncoder:
     A file whose pre-tokenizer isn't one of the two known ones is left to the library text by text.
     """
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, prepared: tuple[str, str, bool]) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        spec, kind, self.lower = prepared
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
-        split, self.lower = _plan(json.loads(spec))
+        split = _SPLITS.get(kind)
         letters, model = byte_letters(), self.tokenizer.model
 
         def resolve(pieces: list[str]) -> list[list[int]]:

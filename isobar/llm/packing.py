@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .hf import TextEncoder, read_tokenizer
+from .hf import TextEncoder, prepared, read_tokenizer
 from .shared import small_batches, written
 
 #: Cells of the coarse grid, and the most documents in a pattern.
@@ -32,13 +32,15 @@ DEPTH = 4
 RANKED = 20_000
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id: int = 1, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
+def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id: int = 1, id: str = "doc_id", text: str = "text", of: tuple[str, Callable[[bytes], object]] | None = None) -> DataFrame:  # noqa: A002
     """(id, piece, start, length, ids) per piece: a document's tokens and its end token, cut every ``capacity`` tokens.
 
-    ``ids`` holds little-endian unsigned 32-bit numbers. A null or empty text is the end token alone.
+    ``ids`` holds little-endian unsigned 32-bit numbers. A null or empty text is the end token alone. ``of``, a column
+    definition and a function of a piece's packed ids, gives that column in place of ``ids``: they needn't leave their task.
     """
+    column, work = of or ("ids binary", bytes)
     small_batches(docs.sparkSession)
-    spec = docs.sparkSession.sparkContext.broadcast(read_tokenizer(docs.sparkSession, tokenizer_path))
+    spec = docs.sparkSession.sparkContext.broadcast(prepared(read_tokenizer(docs.sparkSession, tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(spec.value)
@@ -49,27 +51,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id
                     own = np.append(ids[offsets[k] : offsets[k + 1]], end_id).astype("<u4")
                     for p, s in enumerate(range(0, len(own), capacity)):
                         part = own[s : s + capacity]
-                        at.append(row + k), piece.append(p), start.append(s), length.append(len(part)), raw.append(part.tobytes())
+                        at.append(row + k), piece.append(p), start.append(s), length.append(len(part)), raw.append(work(part.tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(raw, pa.binary())],
-                    names=[id, "piece", "start", "length", "ids"],
+                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(raw)],
+                    names=[id, "piece", "start", "length", column.split()[0]],
                 )
 
     source = docs.select(F.col(id), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, f"`{id}` {source.schema[id].dataType.simpleString()}, piece int, start long, length long, ids binary")
-
-
-def with_crc32(table: DataFrame, ids: str = "ids") -> DataFrame:
-    """``ids`` replaced by their unsigned CRC-32, ``ids_crc32``."""
-    names = [c for c in table.columns if c != ids]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(b) for b in batch.column(len(names)).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], crc], names=[*names, "ids_crc32"])
-
-    source = table.select(*names, ids)
-    return source.mapInArrow(run, ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names) + ", ids_crc32 long")
+    return source.mapInArrow(run, f"`{id}` {source.schema[id].dataType.simpleString()}, piece int, start long, length long, {column}")
 
 
 def patterns(cells: int, depth: int) -> list[tuple[int, ...]]:
@@ -255,5 +244,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
 
     Null and empty texts are their end token. Rows with one id twice are two documents. Extra columns aren't read.
     """
-    cut = with_crc32(pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, id=id, text=text))
+    cut = pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, id=id, text=text, of=("ids_crc32 long", zlib.crc32))
     return pack(written(cut, "pieces"), capacity=capacity, order=(id, "piece"))

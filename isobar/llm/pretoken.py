@@ -16,7 +16,7 @@ from .vectext import span_hashes
 
 OTHER, LETTER, NUMBER, BLANK, SPACE = range(5)
 #: Code points that are worked on together.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 #: The Unicode property White_Space, but for U+0020.
 _WHITE = [*range(0x09, 0x0E), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 

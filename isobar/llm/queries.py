@@ -51,10 +51,11 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint's likeness is 1 for equal canonical texts and 0 otherwise; bytes are compared where digests agree."""
-    docs = with_next(_table(spark, sf_dir, "documents"))
+    documents = _table(spark, sf_dir, "documents")
+    docs = with_next(documents)
     n, cut = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
-    rows = fingerprints(docs.withColumn("edited", edited))
+    rows = fingerprints(docs.withColumn("edited", edited), among=documents)
     rows = rows.withColumn("_edited", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest(F.col("_edited"))).withColumn("_next", digest(canonical(F.col("next_text"))))
     own, base = canonical(F.col("text")), F.substring_index("fingerprint", "-", 1)
     alike = lambda mark, form: F.when(base == mark, (own == form).cast("double")).otherwise(F.lit(0.0))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .hf import TextEncoder, read_tokenizer
+from .hf import TextEncoder, prepared, read_tokenizer
 from .shared import shared_dir, small_batches, written
 
 LANES = 128
@@ -162,7 +162,7 @@ _BLOCK = "part int, block int, start long, first_id long, doc_ids binary, length
 def token_ids(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
     """(doc_id, ids binary of unsigned 32-bit numbers) in ascending id order over partitions and within each; equal ids follow their text."""
     small_batches(docs.sparkSession)
-    spec = docs.sparkSession.sparkContext.broadcast(read_tokenizer(docs.sparkSession, tokenizer_path))
+    spec = docs.sparkSession.sparkContext.broadcast(prepared(read_tokenizer(docs.sparkSession, tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(spec.value)

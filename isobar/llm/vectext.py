@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on together: it bounds the arrays' memory.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = []
 _SPACE = np.zeros(256, bool)
