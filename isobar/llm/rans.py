@@ -1,8 +1,8 @@
 """A file of token ids: blocks of whole documents, each coded by interleaved range asymmetric numeral systems.
 
-Format. A table of blocks in Parquet (``part``, ``block``, ``start`` of the block among its part's tokens, ``first_id``,
-``doc_ids`` and ``lengths`` as packed int64, ``n_tokens``, ``states``, ``words``, ``checkpoints``, ``crc32`` of states and
-words) and one table of token frequencies that all blocks share. The tokens of a block are dealt to LANES coders in turn;
+Format. A table of blocks in Parquet (``part``, a range of ids; ``start`` of the block among its part's tokens; ``doc_ids``;
+``lengths`` as packed int64, ``n_tokens``, ``states``, ``words``, ``checkpoints``, ``crc32`` of states and words) and one
+table of token frequencies that all blocks share. The tokens of a block are dealt to LANES coders in turn;
 all of them write 32-bit words into one stream. Every CHECKPOINT steps the place in the stream and all states are kept, so
 that a reader can start there. Blocks don't depend on one another: any task decodes any block.
 
@@ -156,23 +156,30 @@ def decode_from(states_at: bytes, words: bytes, n_left: int, table: Frequencies)
     return decode_blocks([(n_left, states_at[8:], words[4 * at :])], table)[0]
 
 
-_BLOCK = "part int, block int, start long, first_id long, doc_ids binary, lengths binary, n_tokens long, states binary, words binary, checkpoints binary, crc32 long"
+_BLOCK = "part int, start long, doc_ids array<bigint>, lengths binary, n_tokens long, states binary, words binary, checkpoints binary, crc32 long"
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
-    """(doc_id, ids binary of unsigned 32-bit numbers) in ascending id order over partitions and within each; equal ids follow their text."""
+    """(part, start, doc_id, ids binary of unsigned 32-bit numbers) per row.
+
+    Parts are ranges of ids in ascending order; ``start`` counts the part's tokens before the document. Equal ids follow a
+    hash of their text, and rows without an id come first.
+    """
     small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(prepared(read_tokenizer(docs.sparkSession, tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(spec.value)
+        encoder, part, before = TextEncoder(spec.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             for row, ids, offsets in encoder.batches(batch.column(1).to_pylist()):
                 raw = [np.append(ids[a:b], end_id).astype("<u4").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(raw)), pa.array(raw, pa.binary())], names=["doc_id", "ids"])
+                ends = before + np.cumsum(np.diff(offsets) + 1)
+                start = np.concatenate([[before], ends])[:-1].astype(np.int64)
+                before = int(ends[-1]) if len(ends) else before
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(raw), part, np.int32)), pa.array(start), batch.column(0).slice(row, len(raw)), pa.array(raw, pa.binary())], names=["part", "start", "doc_id", "ids"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
-    return rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    return rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text").mapInArrow(run, "part int, start long, doc_id long, ids binary")
 
 
 def frequencies(coded: DataFrame) -> Frequencies:
@@ -194,44 +201,44 @@ def frequencies(coded: DataFrame) -> Frequencies:
 
 
 def blocks_of(coded: DataFrame, table: Frequencies) -> DataFrame:
-    """The file's blocks, from ids in ascending id order within each partition."""
+    """The file's blocks. Whatever pieces of ``coded`` a task reads, a block holds documents that follow one another in one part."""
     shared = coded.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, part = shared.value, TaskContext.get().partitionId()
-        number, start = 0, 0
-        ready: list[tuple[list[int], list[np.ndarray]]] = []
-        docs: list[int] = []
+        ready: list[tuple[tuple[int, int], list[int | None], list[np.ndarray]]] = []
+        head = following = (-1, 0)
+        docs: list[int | None] = []
         held: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal number, start
             rows = []
-            whole = [np.concatenate(ids) for _, ids in ready]
-            for (names, ids), tokens, (states, words, points) in zip(ready, whole, encode_blocks(whole, freq), strict=True):
+            whole = [np.concatenate(ids) for _, _, ids in ready]
+            for ((part, start), names, ids), tokens, (states, words, points) in zip(ready, whole, encode_blocks(whole, shared.value), strict=True):
                 lengths = np.array([len(i) for i in ids], np.int64)
-                rows.append((part, number, start, names[0], np.array(names, np.int64).tobytes(), lengths.tobytes(), len(tokens), states, words, points, zlib.crc32(states + words)))
-                number, start = number + 1, start + len(tokens)
+                rows.append((part, start, names, lengths.tobytes(), len(tokens), states, words, points, zlib.crc32(states + words)))
             ready.clear()
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _BLOCK.split(", ")])
 
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                docs.append(doc), held.append(np.frombuffer(raw, "<u4"))
-                size += len(held[-1])
-                if size >= BLOCK_TOKENS:
-                    ready.append((docs, held))
+            for part, start, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if docs and (size >= BLOCK_TOKENS or (part, start) != following):
+                    ready.append((head, docs, held))
                     docs, held, size = [], [], 0
                     if len(ready) == TOGETHER:
                         yield flush()
+                if not docs:
+                    head = (part, start)
+                docs.append(doc), held.append(np.frombuffer(raw, "<u4"))
+                size += len(held[-1])
+                following = (part, start + len(held[-1]))
         if docs:
-            ready.append((docs, held))
+            ready.append((head, docs, held))
         if ready:
             yield flush()
 
-    return coded.select("doc_id", "ids").mapInArrow(run, _BLOCK)
+    return coded.select("part", "start", "doc_id", "ids").mapInArrow(run, _BLOCK)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int = 2, id: str = "doc_id", text: str = "text") -> None:  # noqa: A002
@@ -265,23 +272,23 @@ def read(spark: SparkSession, path: str, of: tuple[str, Callable[[bytes], object
                 some = batch.slice(at, TOGETHER).to_pylist()
                 for b in some:
                     if zlib.crc32(b["states"] + b["words"]) != b["crc32"]:
-                        raise ValueError(f"block {b['block']} of part {b['part']} is damaged")
+                        raise ValueError(f"the block at {b['start']} of part {b['part']} is damaged")
                 for b, ids in zip(some, decode_blocks([(b["n_tokens"], b["states"], b["words"]) for b in some], shared.value), strict=True):
                     lengths = np.frombuffer(b["lengths"], np.int64)
                     ends = np.cumsum(lengths)
                     raw = ids.astype("<u4").tobytes()
                     parts = [work(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(ends), b["part"], np.int32)), pa.array(np.frombuffer(b["doc_ids"], np.int64)), pa.array(b["start"] + ends - lengths), pa.array(lengths), pa.array(parts)],
+                        [pa.array(np.full(len(ends), b["part"], np.int32)), pa.array(b["doc_ids"], pa.int64()), pa.array(b["start"] + ends - lengths), pa.array(lengths), pa.array(parts)],
                         names=["part", "doc_id", "start", "n_tokens", column.split()[0]],
                     )
 
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     # One row for each written part: far fewer than blocks, let alone documents.
-    parts = blocks.groupBy("part").agg(F.min("first_id").alias("first_id"), F.sum("n_tokens").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("first_id", "part")) - F.col("n")).alias("before")).persist()
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")).persist()
     few = before.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS
-    docs = blocks.select("part", "block", "start", "doc_ids", "lengths", "n_tokens", "states", "words", "crc32").mapInArrow(run, f"part int, doc_id long, start long, n_tokens long, {column}")
+    docs = blocks.select("part", "start", "doc_ids", "lengths", "n_tokens", "states", "words", "crc32").mapInArrow(run, f"part int, doc_id long, start long, n_tokens long, {column}")
     placed = docs.join(F.broadcast(before) if few else before, "part")
     return placed.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", column.split()[0])
 

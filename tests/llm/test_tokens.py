@@ -128,6 +128,32 @@ def test_token_file_round_trip(spark, mixed, empty, tmp_path):
         rans.read(spark, str(tmp_path / "bad")).collect()
 
 
+def test_token_file_of_many_small_parts(spark, mixed, tmp_path, monkeypatch):
+    """Tasks then read several written files each, not in order of ids; rows without an id come first."""
+    df, rows = mixed
+    monkeypatch.setattr(rans, "BLOCK_TOKENS", 500)
+    df = df.union(spark.createDataFrame([(None, "no id"), (None, None)], "doc_id long, text string"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rans.write(df, str(tmp_path / "file"), P.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(str(tmp_path / "file" / "blocks")).select("part").distinct().count() > 15
+    got = rans.read(spark, str(tmp_path / "file")).collect()
+    assert len(got) == len(rows) + 2
+    ids = library_ids("byte_bpe_50k.json", 2)
+    at = sum(len(ids(t)) for t in ("no id", None))
+    assert {r.start for r in got if r.doc_id is None} <= set(range(at))
+    got = {r.doc_id: r for r in got}
+    for i in sorted(rows):
+        want = ids(rows[i])
+        assert (got[i].start, bytes(got[i].ids)) == (at, want.tobytes())
+        at += len(want)
+
+
 def test_blocks_and_checkpoints():
     rng = np.random.default_rng(0)
     blocks = [rng.choice(900, size=n, p=rng.dirichlet(np.ones(900) * 0.1)) for n in (1, 127, 128, 129, 40_000, 5)]
