@@ -31,10 +31,22 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays; rows of one id stay or go together."""
+    """Of each group of near-duplicates the document of the smallest id stays, and of its repeated rows (id and text) one.
+
+    Rows of one id with different texts stay or go together; empty texts and rows without an id are no copies of others.
+    """
     gone = written(near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct(), "gone")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    often = written(left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "often")
+    n = often.limit(BROADCAST_IDS + 1).count()
+    if not n:
+        return left
+    often = F.broadcast(often) if n <= BROADCAST_IDS else often
+    words = F.col("text").rlike(r"[^ \t-\r]")
+    some = left.join(often, "doc_id", "left_semi").select(*docs.columns)
+    one = some.where(words).dropDuplicates(["doc_id", "text"])
+    return left.join(often, "doc_id", "left_anti").select(*docs.columns).unionByName(one).unionByName(some.where(~F.coalesce(words, F.lit(False))))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from .vectext import chunks, mix, shingle_sets
 
 MANTISSA_BITS = 10
 #: Standard errors below the threshold at which an estimate still leads to an exact comparison.
-MARGIN = 4.0
+MARGIN = 6.0
 #: Classes of one bucket that are compared together in step 4.
 BLOCK = 512
 
@@ -53,6 +53,18 @@ def registers(text: np.ndarray, h: np.ndarray, n: int, k: int, picks: np.ndarray
     return out
 
 
+def _set_keys(of: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes and both halves of the 128-bit keys of n sets given as (text, hash)."""
+    counts = np.bincount(of, minlength=n)
+    hi, lo = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    some = np.flatnonzero(counts)
+    if len(some):
+        first = (np.cumsum(counts) - counts)[some]
+        hi[some] = np.add.reduceat(mix(h ^ np.uint64(0xA0761D6478BD642F)), first)
+        lo[some] = np.add.reduceat(mix(h + np.uint64(0xE7037ED1A0B428DB)), first)
+    return counts.astype(np.int64), hi.view(np.int64), lo.view(np.int64)
+
+
 def signatures(docs: DataFrame, *, text: str = "text", size: int = 3, bands: int = 40, rows: int = 7) -> DataFrame:
     """doc_id, n_shingles, set_hi, set_lo (128-bit key of the whole set), registers (binary) per row of ``docs``."""
     k = bands * rows
@@ -63,16 +75,10 @@ def signatures(docs: DataFrame, *, text: str = "text", size: int = 3, bands: int
             for part in chunks(batch.column(1)):
                 of, h = shingle_sets(part.lowered(), size)
                 n = len(part)
-                counts = np.bincount(of, minlength=n)
-                hi, lo = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                some = np.flatnonzero(counts)
-                if len(some):
-                    first = (np.cumsum(counts) - counts)[some]
-                    hi[some] = np.add.reduceat(mix(h ^ np.uint64(0xA0761D6478BD642F)), first)
-                    lo[some] = np.add.reduceat(mix(h + np.uint64(0xE7037ED1A0B428DB)), first)
+                counts, hi, lo = _set_keys(of, h, n)
                 regs = registers(of, h, n, k, picks)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first_row, n), pa.array(counts.astype(np.int64)), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), pa.array([r.tobytes() for r in regs], pa.binary())],
+                    [batch.column(0).slice(part.first_row, n), pa.array(counts), pa.array(hi), pa.array(lo), pa.array([r.tobytes() for r in regs], pa.binary())],
                     names=["doc_id", "n_shingles", "set_hi", "set_lo", "registers"],
                 )
 
@@ -136,18 +142,24 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
-    """(rep, shingles): the full sorted set of each wanted class, as packed 64-bit hashes."""
+    """(rep, shingles): the full sorted set of each wanted class (rep, first_id, key of its set), as packed 64-bit hashes.
+
+    One doc_id can stand for several texts: a class takes the set that has its key.
+    """
+    key = ["set_hi", "set_lo", "n_shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch.column(1)):
                 of, h = shingle_sets(part.lowered(), size)
+                counts, hi, lo = _set_keys(of, h, len(part))
                 cuts = np.searchsorted(of, np.arange(len(part) + 1))
                 packed = [h[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(part))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first_row, len(part)), pa.array(packed, pa.binary())], names=["rep", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(hi), pa.array(lo), pa.array(counts), pa.array(packed, pa.binary())], names=[*key, "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
-    return texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col(text).cast("string").alias("text"))
+    found = texts.join(wanted.select("first_id").distinct(), "first_id", "left_semi").mapInArrow(run, "set_hi long, set_lo long, n_shingles long, shingles binary")
+    return found.dropDuplicates(key).join(wanted.select("rep", *key), key).select("rep", "shingles")
 
 
 def _shortened(sets: DataFrame) -> DataFrame:
@@ -240,28 +252,33 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     their component is null. Rows with one doc_id twice
     are one class if their sets are equal, else their links count together. Extra columns are ignored; an empty table
     gives an empty result. A band is missed by a pair at the threshold with 1 - t^rows, so that all bands are missed
-    with (1 - 0.85^7)^40 = 2e-7.
+    with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8.
     """
     sigs = written(signatures(docs, text=text, size=size, bands=bands, rows=rows), "signatures")
     key = ["set_hi", "set_lo", "n_shingles"]
     full = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers")).select("rep", *key, "registers"), "classes")
+    # Numbers of classes hold once they are written; a doc_id may stand for several classes.
+    first = full.groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.first("registers").alias("registers"))
+    classes = written(first.select(F.monotonically_increasing_id().alias("rep"), "first_id", *key, "registers"), "classes")
     banded = _bands(classes, bands)
     shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub"), F.min(F.struct(F.xxhash64("rep", "key").alias("h"), "rep"))["rep"].alias("hub2")).where("n > 1")
     members = written(banded.join(shared, "key").select("key", "band", "rep", "hub", "hub2"), "members", 8192)
     to_hub = lambda c: members.where(F.col("rep") != F.col(c)).select(F.least("rep", c).alias("a"), F.greatest("rep", c).alias("b"))
     pairs = to_hub("hub").union(to_hub("hub2")).distinct()
-    sets = written(_sets(docs, members.select("rep").distinct(), text, size), "sets")
+    sets = written(_sets(docs, classes.drop("registers").join(members.select("rep").distinct(), "rep", "left_semi"), text, size), "sets")
     links = written(_confirmed(_estimated(pairs, classes, percent), sets, percent), "links")
-    # A row's class is linked with each doc_id of the class, so that one doc_id with two sets joins them.
-    again = full.join(classes.select(*key, "rep"), key).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    twice = again.join(again.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").select("b"), "b", "left_semi").select("a", "b")
-    also = again.join(classes.select(F.col("rep").alias("b")), "b", "left_semi").select("a", "b")
-    links = links.union(twice).union(also)
+    # The classes of one doc_id are linked with each other.
+    of_id = full.select("doc_id", *key).distinct().join(classes.select(*key, "rep"), key).select("doc_id", "rep")
+    several = of_id.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("doc_id", "a")
+    links = links.union(of_id.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")))
     labels = components(links)
     more = written(_confirmed(_left_over(members, labels, classes, sets, bands, percent), sets, percent), "more")
     if more.limit(1).count():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
+    of_class = classes.drop("registers").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of_class = written(of_class, "of-class")
+    # Written, so that Spark can split a large component in the join.
+    ids = written(of_class.groupBy("component").agg(F.min("first_id").alias("component_id")), "ids")
+    of_class = of_class.join(ids, "component").select(*key, "component_id")
     out = sigs.select("doc_id", *key).join(of_class, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

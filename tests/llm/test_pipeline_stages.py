@@ -45,3 +45,11 @@ def test_near_duplicates_stage_equals_brute_force(spark):
     assert 0 < len(texts) - len(want) < 24
     got = staged(spark, [row(i, t) for i, t in texts.items()])
     assert {r.doc_id for r in got.collect()} == want
+
+
+def test_one_of_repeated_rows_stays(spark):
+    text = " ".join(f"w{j}" for j in range(50))
+    other = " ".join(f"v{j}" for j in range(50))
+    rows = [row(5, text), row(5, text), row(6, text), row(7, other), row(7, other), row(7, other + " one more"), row(8, ""), row(None, text)]
+    got = sorted((r.doc_id or 0, r.text) for r in staged(spark, rows).collect())
+    assert got == sorted([(0, text), (5, text), (7, other), (7, other + " one more"), (8, "")])

@@ -78,6 +78,17 @@ def test_left_over_pairs_are_found_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_each_text_of_one_id_has_its_links(spark):
+    """Ids 1 and 50 stand for several texts each; every text has a near copy under an id of its own."""
+    base = {k: [f"t{k}x{j}" for j in range(60)] for k in range(8)}
+    rows = [(1 if k < 4 else 50, " ".join(w)) for k, w in base.items()] + [(10 + k, " ".join([*w, "end"])) for k, w in base.items()]
+    rows += [(90, " ".join(f"u{j}" for j in range(60)))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {1: 1, 90: 90, 50: 14} | {10 + k: 1 if k < 4 else 14 for k in range(8)}
+    assert {(r.doc_id, r.component_id) for r in got} == set(want.items())
+    assert len(got) == len(rows)
+
+
 def test_estimate_is_near_the_truth():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 4000).astype(np.uint64)
