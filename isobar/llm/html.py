@@ -39,6 +39,13 @@ _BAD_NAME = re.compile(
     re.I,
 )
 _GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main|body|text|articlebody)(?:$|[\s_-])", re.I)
+#: Names that say what a wrapper has or lacks, and headers of the content itself.
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[-_]\S*|(?:post|entry|article|story|content)[-_]+header(?=$|[\s_-])", re.I)
+_HEADER = re.compile(r"(?:^|(?<=[\s_-]))header(?=$|[\s_-])", re.I)
+_SUBJECT = re.compile(r"(?:^|(?<=\s))tag-\S*", re.I)
+#: Cost of calling text content inside a tag of boilerplate; inside a bad name; and what of a bad name is left where a good
+#: name or an element of content lies inside it.
+TAG, NAME, NAME_OVER_GOOD, NAME_OVER_CONTENT = 40.0, 18.0, 14.0, 12.0
 
 
 @dataclass
@@ -48,7 +55,7 @@ class Block:
     text: str
     tags: tuple[str, ...]
     container: int
-    bad: bool
+    bad: float
     good: bool
     linked: int
 
@@ -57,8 +64,9 @@ class Block:
 class _Open:
     tag: str
     number: int
-    bad: bool
+    bad: float
     good: bool
+    cancels: bool
 
 
 @dataclass
@@ -75,7 +83,11 @@ class _Page:
         text = " ".join("".join(self.parts).split())
         if text:
             holder = next((o.number for o in reversed(self.stack) if o.tag not in ("p", "li") and o.tag in _BLOCK), 0)
-            bad = any(o.bad for o in self.stack)
+            bad = 0.0
+            for o in self.stack:
+                if bad < TAG and o.cancels:
+                    bad = min(bad, NAME_OVER_CONTENT if o.tag in _CONTENT else NAME_OVER_GOOD)
+                bad = max(bad, o.bad)
             good = any(o.good for o in self.stack)
             self.blocks.append(Block(self.start, self.end, text, tuple(o.tag for o in self.stack), holder, bad, good, self.linked))
         self.parts, self.linked = [], 0
@@ -129,9 +141,20 @@ def blocks_of(html: str) -> list[Block]:
                 del page.stack[at:]
         names = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(token))
         inside = any(o.good for o in page.stack)
-        bad = tag in _BOILERPLATE or tag == "header" and not inside or bool(names and _BAD_NAME.search(names) and tag not in ("html", "body", "article", "main"))
+        own = _MODIFIER.sub(" ", names)
+        if any(o.tag in _CONTENT for o in page.stack):
+            own = _HEADER.sub(" ", own)
+        named = bool(own and _BAD_NAME.search(own))
+        bad = 0.0
+        if tag in _BOILERPLATE and tag != "form" or tag == "header" and not inside:
+            bad = TAG
+        elif tag == "form" or named and tag not in ("html", "body", "article", "main"):
+            bad = NAME
         page.opened += 1
-        page.stack.append(_Open(tag, page.opened, bad, tag in _CONTENT or bool(names and _GOOD_NAME.search(names) and not bad)))
+        good = tag in _CONTENT or bool(names and _GOOD_NAME.search(names) and not bad)
+        # A comment or a promoted page can be an article too; tag-x only says what an article is about.
+        cancels = good and not (tag == "article" and _BAD_NAME.search(_SUBJECT.sub(" ", own)))
+        page.stack.append(_Open(tag, page.opened, bad, good, cancels))
     page.close()
     return page.blocks
 
@@ -139,8 +162,7 @@ def blocks_of(html: str) -> list[Block]:
 def costs(b: Block) -> tuple[float, float]:
     """What it costs to call a block boilerplate, and to call it content: from its tags and names, links and length."""
     content, boilerplate = 0.5, 0.5
-    if b.bad:
-        boilerplate += 40
+    boilerplate += b.bad
     if b.good:
         content += 12
     share = b.linked / max(len(b.text), 1)
