@@ -34,6 +34,16 @@ def interval_join_counts(spark, d):
     return hits.where(F.datediff("l_shipdate", "a") < 3).groupBy("l_orderkey").agg(F.count("*").alias("n"))
 
 
+@register("interval_join_counts_all")
+def interval_join_counts_all(spark, d):
+    """Live intervals, of all, that are less than three days old at the time; equal moments and equal intervals are joined once."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_shipdate").agg(F.count("*").alias("lines"))
+    s = spans(spark, d).groupBy("a", "b").agg(F.count("*").alias("spans"))
+    hits = L.interval_join(lines.select("l_shipdate").distinct(), s, "l_shipdate", "a", "b", bucket_seconds=3 * 86_400)
+    live = hits.where(F.datediff("l_shipdate", "a") < 3).groupBy("l_shipdate").agg(F.sum("spans").alias("live"))
+    return lines.join(live, "l_shipdate").groupBy("l_orderkey").agg(F.sum(F.col("lines") * F.col("live")).alias("n"))
+
+
 @register(
     "union_of_intervals",
     f"""with s as ({_SPANS}), m as (select *, max(b) over (partition by o_custkey order by a, b rows between unbounded preceding and 1 preceding) as pb from s where b > a),
