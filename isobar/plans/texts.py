@@ -101,10 +101,20 @@ def title_case(spark, d):
 
 @register("unmentioned_suppliers", "select s_suppkey from supplier s where s_suppkey < 60 and not exists (select 1 from orders o where o.o_orderdate >= timestamp '1998-07-01' and contains('Supplier#' || lpad((o.o_custkey % 80)::varchar, 9, '0'), s.s_name))")
 def unmentioned_suppliers(spark, d):
+    return _unmentioned(spark, d, table(spark, d, "supplier").where("s_suppkey < 60"))
+
+
+def _unmentioned(spark, d, suppliers):
     """Names that no recent text holds: names are looked up by their tokens, not compared with every text."""
     texts = table(spark, d, "orders").where("o_orderdate >= timestamp_ntz '1998-07-01'").select(F.concat(F.lit("Supplier#"), F.lpad((F.col("o_custkey") % 80).cast("string"), 9, "0")).alias("t"))
     tokens = texts.select(F.explode(F.regexp_extract_all("t", F.lit(r"(\w+#\d+)"), F.lit(1))).alias("s_name")).distinct()
-    return table(spark, d, "supplier").where("s_suppkey < 60").join(tokens, "s_name", "left_anti").select("s_suppkey")
+    return suppliers.join(tokens, "s_name", "left_anti").select("s_suppkey")
+
+
+@register("unmentioned_suppliers_all")
+def unmentioned_suppliers_all(spark, d):
+    """Of all suppliers those whose name no recent text holds."""
+    return _unmentioned(spark, d, table(spark, d, "supplier"))
 
 
 @register("coded_words", r"""select doc_id, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^[A-Z]{2,}'))) as capitals, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^[+-]?(TS|RA|DE|LA)$'))) as codes from documents""")

@@ -21,3 +21,14 @@ def test_interval_join_counts_all(spark, tmp_path):
         if n:
             want[key] = want.get(key, 0) + n
     assert {r.l_orderkey: r.n for r in run(spark, tmp_path, "interval_join_counts_all")} == want
+
+
+def test_unmentioned_suppliers_all(spark, tmp_path):
+    suppliers = [(k, f"Supplier#{k:09d}") for k in range(0, 200, 3)]
+    orders = [(k, datetime(1998, 6 + k % 3, 15)) for k in range(300)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame(orders, "o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    texts = [f"Supplier#{k % 80:09d}" for k, t in orders if t >= datetime(1998, 7, 1)]
+    want = {k for k, name in suppliers if not any(name in t for t in texts)}
+    assert max(want) > 60
+    assert {r.s_suppkey for r in run(spark, tmp_path, "unmentioned_suppliers_all")} == want
