@@ -17,6 +17,12 @@ def title_cascade(spark, d):
     return table(spark, d, "documents").select("doc_id", X.first_kind(F.upper(F.substring("text", 1, 60)), _CASCADE, "other").alias("kind"))
 
 
+@register("title_cascade_whole")
+def title_cascade_whole(spark, d):
+    """The cascade over whole texts."""
+    return table(spark, d, "documents").select("doc_id", X.first_kind(F.upper("text"), _CASCADE, "other").alias("kind"))
+
+
 @register("clipped_text", r"""with t as (select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as t from documents) select doc_id, case when length(t) > 80 then regexp_replace(substr(t, 1, 79), '\s+\S*$', '') || '…' else t end as short from t""")
 def clipped_text(spark, d):
     return table(spark, d, "documents").select("doc_id", X.clipped(F.col("text"), 80).alias("short"))
@@ -94,6 +100,14 @@ def identity_lines(spark, d):
     return table(spark, d, "documents").select("doc_id", F.coalesce(F.get(lines, F.lit(0)), F.substring("text", 1, 20)).alias("line"))
 
 
+@register("identity_lines_whole")
+def identity_lines_whole(spark, d):
+    """The first licence line, else the whole text; white space is one blank and empty lines don't count."""
+    lines = F.filter(F.transform(F.split("text", "\n"), X.collapsed), lambda l: l != "")
+    found = F.get(F.filter(lines, lambda l: l.rlike("(?i)licen[sc]e")), F.lit(0))
+    return table(spark, d, "documents").select("doc_id", F.coalesce(found, F.array_join(lines, " ")).alias("line"))
+
+
 @register("title_case", """select p_partkey, array_to_string(list_transform(string_split(lower(p_name || '-' || p_brand || '/' || p_type), ''), lambda c, i: case when i = 1 or regexp_matches(string_split(lower(p_name || '-' || p_brand || '/' || p_type), '')[i - 1], '[\\s\\-(/"'']') then upper(c) else c end), '') as name from part""")
 def title_case(spark, d):
     return table(spark, d, "part").select("p_partkey", X.title_case(F.concat("p_name", F.lit("-"), "p_brand", F.lit("/"), "p_type")).alias("name"))

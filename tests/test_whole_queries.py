@@ -32,3 +32,13 @@ def test_unmentioned_suppliers_all(spark, tmp_path):
     want = {k for k, name in suppliers if not any(name in t for t in texts)}
     assert max(want) > 60
     assert {r.s_suppkey for r in run(spark, tmp_path, "unmentioned_suppliers_all")} == want
+
+
+def test_texts_are_read_whole(spark, tmp_path):
+    far = "x " * 50
+    texts = {1: far + "action of the day", 2: far + "beau", 3: far, 4: "the " + far, 5: far + "\n\n  MIT \t License  \nlicence", 6: f" a  b\n\n{far}c", 7: far + "vie de chat"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kinds = {r.doc_id: r.kind for r in run(spark, tmp_path, "title_cascade_whole")}
+    assert kinds == {1: "closure", 2: "route", 3: "other", 4: "program", 5: "other", 6: "other", 7: "delay"}
+    lines = {r.doc_id: r.line for r in run(spark, tmp_path, "identity_lines_whole")}
+    assert lines == {k: " ".join(t.split()) for k, t in texts.items()} | {5: "MIT License"}
