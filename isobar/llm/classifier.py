@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import small_batches
+from .shared import small_batches, written
 from .vectext import Texts, chunks, mix
-from .weak import RULES, Rule, appended, fit_votes, metrics, vote_counts, votes_of
+from .weak import RULES, Rule, appended, code_counts, fit_votes, metrics, vote_codes, votes_in
 
 #: Rows that the scorer is trained on at most: those with the least hash of their id. The label model sees all rows.
 TRAIN_ROWS = 3000
 HASH_BITS = 15
-_FIELDS = T.StructType([T.StructField("probability", T.DoubleType()), T.StructField("weak_probability", T.DoubleType()), T.StructField("kept", T.BooleanType())])
+#: Column of the votes between the two passes.
+_VOTED = "isobar_votes_of_the_labellers"
 
 
 def _grams(part: Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,31 +34,36 @@ def _grams(part: Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return h[same].astype(np.int64), owner[:-2][same]
 
 
-def _examples(docs: DataFrame, text: str, rules: tuple[Rule, ...], bits: int) -> DataFrame:
+def _examples(sample: DataFrame, bits: int) -> DataFrame:
+    """Votes and hashed runs of each text of (text, votes)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch.column(0)):
-                votes = votes_of(metrics(part), rules)
                 h, of = _grams(part, bits)
                 key, n = np.unique((of << bits) | h, return_counts=True)
                 cuts = np.searchsorted(key >> bits, np.arange(len(part) + 1))
-                slot = (key & ((1 << bits) - 1)).astype(np.uint16)
+                slot = (key & ((1 << bits) - 1)).astype(np.uint32)
                 parts = [(slot[a:b].tobytes(), n[a:b].astype(np.float32).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in votes], pa.binary()), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], names=["votes", "slots", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(part.first_row, len(part)), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], names=["votes", "slots", "n"])
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "votes binary, slots binary, n binary")
+    return sample.mapInArrow(run, "votes long, slots binary, n binary")
 
 
 def _train(slots: list[np.ndarray], n: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150) -> tuple[np.ndarray, float]:
-    """Logistic regression on relative frequencies, by full gradients with per-weight steps; both classes weigh the same."""
+    """Logistic regression on relative frequencies, by full gradients with per-weight steps.
+
+    A row counts by how sure its label is (0 at 0.5); classes keep their own shares, so that a table with hardly any bad
+    text isn't made to lose good ones.
+    """
     weights, bias = np.zeros(size), 0.0
     if not len(target):
         return weights, bias
+    bias = float(np.log((target.sum() + 1) / ((1 - target).sum() + 1)))
     row = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
     slot = np.concatenate(slots).astype(np.int64)
     value = np.concatenate([x / max(x.sum(), 1) for x in n]) * 100
-    share = np.clip(target.mean(), 0.01, 0.99)
-    importance = target / (2 * share) + (1 - target) / (2 * (1 - share))
+    importance = np.abs(2 * target - 1)
     squares, bias_squares = np.full(size, 1e-6), 1e-6
     for _ in range(rounds):
         score = np.bincount(row, value * weights[slot], len(slots)) + bias
@@ -70,28 +76,36 @@ def _train(slots: list[np.ndarray], n: list[np.ndarray], target: np.ndarray, siz
     return weights * 100, bias
 
 
-def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text", into: str = "classifier", rules: tuple[Rule, ...] = RULES, train_rows: int = TRAIN_ROWS, bits: int = HASH_BITS, least: float = 0.5) -> DataFrame:  # noqa: A002
+def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text", into: str = "classifier", rules: tuple[Rule, ...] = RULES, train_rows: int = TRAIN_ROWS, bits: int = HASH_BITS, least: float = 0.5, columns: list[str] | None = None) -> DataFrame:  # noqa: A002
     """``docs`` with a struct column: the scorer's ``probability`` of good text, the label model's own, and ``kept``.
 
-    All documents' votes fit the label model; the ``train_rows`` documents with the least hash of their id (a bound on
-    what the driver holds) train the scorer on posterior labels. Scores depend on the text alone: equal texts get equal
-    scores. ``kept``: probability of ``least`` or more. An empty or null text gives the scorer one blank run only; the
-    labellers have nothing against it. Other columns pass through; a column named ``into`` is replaced.
+    One pass votes and is written; the label model is fitted to all documents' votes. The ``train_rows`` documents with the
+    least hash of their id (ties by the hash of their text; a bound on what the driver holds) train the scorer on posterior
+    labels. Scores depend on the text alone: equal texts get equal scores. ``kept``: probability of ``least`` or more. An
+    empty or null text has one blank run only; the labellers have little against it. ``columns`` of ``docs`` are returned
+    (all, by default); a column named ``into`` is replaced. An empty table stays empty.
     """
     small_batches(docs.sparkSession)
-    model = fit_votes(*vote_counts(docs, rules, text))
-    chosen = docs.select(F.xxhash64(F.col(id).cast("string")).alias("h")).orderBy("h").limit(train_rows).agg(F.max("h").alias("top")).first()["top"]
-    sample = docs.where(F.xxhash64(F.col(id).cast("string")) <= F.lit(chosen)) if chosen is not None else docs.limit(0)
-    rows = _examples(sample.limit(2 * train_rows), text, rules, bits).collect()
-    votes = np.array([np.frombuffer(r["votes"], np.int8) for r in rows]).reshape(-1, len(rules))
-    weights, bias = _train([np.frombuffer(r["slots"], np.uint16) for r in rows], [np.frombuffer(r["n"], np.float32) for r in rows], model.posterior(votes), 1 << bits)
+    names = [c for c in (docs.columns if columns is None else columns) if c != into]
+    carried = list(dict.fromkeys([*names, id, text]))
+    voted = written(appended(docs, text, into, T.StructType([T.StructField("votes", T.LongType())]), lambda part: {"votes": vote_codes(metrics(part), rules)}, carried), "votes")
+    code = F.col(f"`{into}`")["votes"]
+    model = fit_votes(*code_counts(voted, code, len(rules)))
+    texts = F.col(f"`{text}`").cast("string")
+    sample = voted.select(texts.alias("text"), code.alias("votes"), F.xxhash64(F.col(f"`{id}`").cast("string")).alias("h"))
+    rows = _examples(sample.orderBy("h", F.xxhash64("text")).limit(train_rows).select("text", "votes"), bits).collect()
+    votes = votes_in(np.array([r["votes"] for r in rows], np.int64), len(rules))
+    weights, bias = _train([np.frombuffer(r["slots"], np.uint32) for r in rows], [np.frombuffer(r["n"], np.float32) for r in rows], model.posterior(votes), 1 << bits)
     weights = weights.astype(np.float32)
 
     def work(part: Texts) -> dict[str, np.ndarray]:
         h, of = _grams(part, bits)
         n = np.bincount(of, minlength=len(part))
         score = np.bincount(of, weights[h], len(part)) / np.maximum(n, 1) + bias
-        p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        return {"probability": p, "weak_probability": model.posterior(votes_of(metrics(part), rules)), "kept": p >= least}
+        return {"probability": 1 / (1 + np.exp(-np.clip(score, -30, 30)))}
 
-    return appended(docs, text, into, _FIELDS, work)
+    passed = voted.withColumn(_VOTED, code)
+    scored = appended(passed, text, into, T.StructType([T.StructField("probability", T.DoubleType())]), work, [*names, _VOTED])
+    p = F.col(f"`{into}`")["probability"]
+    made = F.struct(p.alias("probability"), model.posterior_of(F.col(_VOTED)).alias("weak_probability"), (p >= least).alias("kept"))
+    return scored.select(*(F.col(f"`{c}`") for c in names), made.alias(into))

@@ -46,7 +46,7 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")
+    return quality_rules(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select("doc_id", "rules.*")
 
 
 def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_classifier(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "classifier.*")
+    return quality_classifier(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select("doc_id", "classifier.*")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

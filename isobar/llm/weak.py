@@ -1,8 +1,9 @@
 """Votes of overlapping rules on text quality, and the latent class that explains them.
 
-Each rule votes 1 (good), -1 (bad) or 0 (abstains). A two-class model with its own vote probabilities for each rule and
-class is fitted by expectation-maximisation over how often each combination of votes occurs: the combinations are
-bounded by 3 ** rules whatever the number of documents, so only their counts go to the driver.
+Each rule votes 1 (good), -1 (bad) or 0 (abstains, which says nothing of either class). A two-class model with its own
+vote probabilities for each rule and class is fitted by expectation-maximisation over how often each combination of votes
+occurs: the combinations are bounded by 3 ** rules whatever the number of documents, so only their counts go to the
+driver. Rules that agree beyond what the classes explain then share their weight.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,7 +121,6 @@ RULES = (
     Rule("capitals", "n_upper", "n_letters", 0.20, 0.50),
     Rule("variety", "n_kinds", "n_words", 0.35, 0.12, 50),
     Rule("plain words", "n_plain_words", "n_words", 0.90, 0.60),
-    Rule("word length", "word_chars", "n_words", 9.0, 14.0),
 )
 
 
@@ -128,13 +128,26 @@ def votes_of(m: dict[str, np.ndarray], rules: tuple[Rule, ...]) -> np.ndarray:
     return np.stack([r.votes(m) for r in rules], 1).astype(np.int8)
 
 
+def vote_codes(m: dict[str, np.ndarray], rules: tuple[Rule, ...]) -> np.ndarray:
+    """The votes of a text as one number: base 3, the first rule's digit last, digits 0 (bad), 1 (abstains), 2 (good)."""
+    return (votes_of(m, rules).astype(np.int64) + 1) @ 3 ** np.arange(len(rules))
+
+
+def votes_in(codes: np.ndarray, n_rules: int) -> np.ndarray:
+    return (codes[:, None] // 3 ** np.arange(n_rules) % 3 - 1).astype(np.int8).reshape(-1, n_rules)
+
+
 @dataclass(frozen=True)
 class Model:
-    """The share of good documents, and log P(vote | good) - log P(vote | bad) by rule for votes -1, 0 and 1."""
+    """The share of good documents, and log P(vote | good) - log P(vote | bad) by rule for votes -1, 0 (always zero) and 1.
+
+    ``agreement`` is each rule's share of votes that agree with the posterior, ``share`` what correlation left of its weight.
+    """
 
     prior: float
     weights: np.ndarray
-    accuracies: np.ndarray
+    agreement: np.ndarray
+    share: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         x = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
@@ -142,64 +155,74 @@ class Model:
             x += self.weights[j, votes[:, j].astype(np.int64) + 1]
         return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
+    def posterior_of(self, code: Column) -> Column:
+        """The same from a column of vote codes."""
+        x = F.lit(float(np.log(self.prior / (1 - self.prior))))
+        for j, (bad, _, good) in enumerate(self.weights.tolist()):
+            digit = F.pmod(F.floor(code / F.lit(3**j)), F.lit(3))
+            x = x + F.when(digit == 0, F.lit(bad)).when(digit == 2, F.lit(good)).otherwise(F.lit(0.0))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(x, F.lit(40.0)), F.lit(-40.0))))
 
-def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> Model:
+
+def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Model:
     """Expectation-maximisation over the occurring combinations of votes.
 
-    It starts from "bad if any rule says so"; one pseudo-vote of each kind and class keeps probabilities off 0 and 1.
-    Without any document the model is even-handed.
+    It starts from "bad if any rule says so"; only documents on which a rule votes say anything about it. Pseudo-votes (two
+    right ones and half a wrong one for each rule and class) keep probabilities off 0 and 1. After the last round each
+    rule's weight is divided by one plus the sum of its positive within-class correlations with the other rules: rules
+    that repeat one another count about once. Without any document the model is even-handed.
     """
     m = votes.shape[1]
     if not len(votes):
-        return Model(0.5, np.zeros((m, 3)), np.full(m, 0.5))
+        return Model(0.5, np.zeros((m, 3)), np.full(m, 0.5), np.ones(m))
     counts = counts.astype(np.float64)
+    up, down = (votes == 1).astype(np.float64), (votes == -1).astype(np.float64)
+    cast = up + down
     good = np.where((votes == -1).any(1), 0.1, 0.9)
-    hit = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(np.float64)
     for _ in range(rounds):
         on_good, on_bad = counts * good, counts * (1 - good)
-        p = np.einsum("i,ijv->jv", on_good, hit) + np.array([0.5, 1, 2])
-        q = np.einsum("i,ijv->jv", on_bad, hit) + np.array([2, 1, 0.5])
-        p, q = p / p.sum(1, keepdims=True), q / q.sum(1, keepdims=True)
+        p, q = (on_good @ up + 2) / (on_good @ cast + 2.5), (on_bad @ up + 0.5) / (on_bad @ cast + 2.5)
         prior = float(np.clip((on_good.sum() + 1) / (counts.sum() + 2), 0.01, 0.99))
-        model = Model(prior, np.log(p / q), np.zeros(m))
-        new = model.posterior(votes)
+        weights = np.stack([np.log((1 - p) / (1 - q)), np.zeros(m), np.log(p / q)], 1)
+        new = Model(prior, weights, p, np.ones(m)).posterior(votes)
         done = np.abs(new - good).max() < 1e-9
         good = new
         if done:
             break
-    right = np.einsum("i,ij->j", counts * good, hit[:, :, 2]) + np.einsum("i,ij->j", counts * (1 - good), hit[:, :, 0])
-    voted = np.einsum("i,ij->j", counts, hit[:, :, 0] + hit[:, :, 2])
-    return Model(model.prior, model.weights, right / np.maximum(voted, 1))
+    covariance = np.zeros((m, m))
+    for weight, mean in ((counts * good, p), (counts * (1 - good), q)):
+        x = (up - mean) * cast
+        covariance += (x * weight[:, None]).T @ x
+    spread = np.sqrt(np.maximum(np.diag(covariance), 1e-12))
+    with_others = np.clip(covariance / np.outer(spread, spread), 0, 1)
+    np.fill_diagonal(with_others, 1)
+    share = 1 / with_others.sum(1)
+    agree = (counts * good) @ up + (counts * (1 - good)) @ down
+    return Model(prior, weights * share[:, None], agree / np.maximum(counts @ cast, 1), share)
 
 
-def vote_counts(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Every occurring combination of votes over all of ``docs``, and its count."""
-    base = 3 ** np.arange(len(rules))
+def code_counts(voted: DataFrame, code: Column, n_rules: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every occurring combination of votes over all rows of ``voted``, and its count."""
+    found = sorted((r["code"], r["n"]) for r in voted.groupBy(code.alias("code")).agg(F.count("*").alias("n")).collect())
+    return votes_in(np.array([c for c, _ in found], np.int64), n_rules), np.array([n for _, n in found], np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch.column(0)):
-                code, n = np.unique(((votes_of(metrics(part), rules) + 1) * base).sum(1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
 
-    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
-    codes = np.array(sorted(r["code"] for r in found), np.int64)
-    by = {r["code"]: r["n"] for r in found}
-    return (codes[:, None] // base % 3 - 1).astype(np.int8).reshape(-1, len(rules)), np.array([by[c] for c in codes], np.int64)
+def appended(docs: DataFrame, text: str, into: str, fields: T.StructType, work, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (all, by default) with the struct column ``into`` that ``work(Texts) -> {field: array}`` gives.
 
-
-def appended(docs: DataFrame, text: str, into: str, fields: T.StructType, work) -> DataFrame:
-    """``docs`` with the struct column ``into`` that ``work(Texts) -> {field: array}`` gives; a column of that name is replaced."""
-    source = docs.drop(into)
-    names = source.columns
-    at = names.index(text)
+    A column of that name is replaced.
+    """
+    names = [c for c in (docs.columns if columns is None else columns) if c != into]
+    # Python steps don't take names with dots, so that columns go by number inside.
+    source = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)), F.col(f"`{text}`").alias("text"))
+    back = [f"c{k}" for k in range(len(names))]
     kinds = pa.struct([(f.name, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[f.dataType.simpleString().replace("bigint", "long")]) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch.column(at)):
+            for part in chunks(batch.column(len(back))):
                 got = work(part)
                 made = pa.StructArray.from_arrays([pa.array(got[f.name]).cast(f.type) for f in kinds], fields=list(kinds))
-                yield pa.RecordBatch.from_arrays([*(c.slice(part.first_row, len(part)) for c in batch.columns), made], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([*(c.slice(part.first_row, len(part)) for c in batch.columns[:-1]), made], names=[*back, "made"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, fields)]))
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("made", fields)])).toDF(*names, into)

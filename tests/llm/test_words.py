@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from isobar.llm.fingerprints import canonical, collisions, digest, fingerprints,
 from isobar.llm.licences import licence_scan, licence_sql
 from isobar.llm.minhash import near_duplicates
 from isobar.llm.rules import quality_rules
+from isobar.llm.vectext import chunks
 from tests.oracle import rows
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -132,12 +134,90 @@ def test_rule_counts_equal_brute_force(docs, odd, empty):
 
 
 def test_rules_and_classifier_agree_with_labels(spark, docs, data):
+    """The posterior is no worse than "all rules must pass", and clean documents stay."""
     labels = spark.read.parquet(f"{data}/labels.parquet")
-    for df, field in ((quality_rules(docs), "rules"), (quality_classifier(docs), "classifier")):
-        r = df.join(labels, "doc_id").select("quality", F.col(field)).collect()
-        usable = [x for x in r if field == "classifier" or not x[field]["base_failed"]]
-        right = sum((x.quality == 1) == x[field]["kept"] for x in usable)
-        assert right >= 0.95 * len(usable)
+    got = quality_rules(docs).join(labels, "doc_id").select("text", "quality", "rules").collect()
+    votes = np.concatenate([weak.votes_of(weak.metrics(t), weak.RULES) for t in chunks(pa.array([r.text for r in got]))])
+    good = np.array([r.quality == 1 for r in got])
+    posterior = np.array([r.rules.quality for r in got])
+    assert ((posterior >= 0.5) == good).mean() >= ((votes != -1).all(1) == good).mean() - 1e-9
+    long = np.array([not r.rules.base_failed for r in got])
+    kept = np.array([r.rules.kept for r in got])
+    assert kept[good & long].mean() >= 0.99 and kept[~good].mean() <= 0.05
+    r = quality_classifier(docs).join(labels, "doc_id").select("quality", "classifier").collect()
+    assert np.mean([x.classifier.kept for x in r if x.quality == 1]) >= 0.99
+    assert np.mean([x.classifier.kept == (x.quality == 1) for x in r]) >= 0.95
+
+
+def plain_em(votes, rounds=200):
+    """One document at a time, probabilities in plain numbers: an independent form of the same model."""
+    n, m = votes.shape
+    good = [0.1 if -1 in row else 0.9 for row in votes.tolist()]
+    for _ in range(rounds):
+        chance = {}
+        for j in range(m):
+            for c in (True, False):
+                up = sum((g if c else 1 - g) for g, row in zip(good, votes, strict=True) if row[j] == 1)
+                down = sum((g if c else 1 - g) for g, row in zip(good, votes, strict=True) if row[j] == -1)
+                chance[j, c] = (up + (2 if c else 0.5)) / (up + down + 2.5)
+        prior = min(max((sum(good) + 1) / (n + 2), 0.01), 0.99)
+        new = []
+        for row in votes:
+            both = {True: prior, False: 1 - prior}
+            for j in range(m):
+                for c in both:
+                    both[c] *= 1 if row[j] == 0 else chance[j, c] if row[j] == 1 else 1 - chance[j, c]
+            new.append(both[True] / (both[True] + both[False]))
+        done = max(abs(a - b) for a, b in zip(good, new, strict=True)) < 1e-9
+        good = new
+        if done:
+            break
+    return np.array(good)
+
+
+def test_vote_model_equals_a_plain_one():
+    """Independent rules share nothing: with each weight undiscounted the posterior is that of the plain form."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(400) < 0.7
+    votes = np.stack([np.where(truth ^ (rng.random(400) < miss), 1, -1) * (rng.random(400) < 0.7) for miss in (0.05, 0.1, 0.2, 0.15)], 1)
+    combos, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak.fit_votes(combos, counts)
+    whole = weak.Model(model.prior, model.weights / model.share[:, None], model.agreement, model.share)
+    assert np.allclose(whole.posterior(votes), plain_em(votes), atol=1e-6)
+
+
+def test_abstention_says_nothing(spark):
+    """A rule that abstains leaves the posterior as it is, and a document on which only good votes fall is kept."""
+    rng = np.random.default_rng(6)
+    truth = rng.random(5000) < 0.85
+    votes = np.stack([np.where(truth ^ (rng.random(5000) < 0.03), 1, -1) * (rng.random(5000) < np.where(truth, 0.9, 0.5)) for _ in range(6)], 1)
+    combos, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak.fit_votes(combos, counts)
+    assert np.all(model.weights[:, 1] == 0)
+    only_good = combos[(combos >= 0).all(1)]
+    assert np.all(model.posterior(only_good) >= 0.5)
+    codes = (combos.astype(np.int64) + 1) @ 3 ** np.arange(6)
+    assert np.array_equal(weak.votes_in(codes, 6), combos)
+    got = spark.createDataFrame([(int(c),) for c in codes], "code long").select(model.posterior_of(F.col("code"))).collect()
+    assert np.allclose([r[0] for r in got], model.posterior(combos), atol=1e-12)
+
+
+def test_repeated_rules_count_about_once():
+    rng = np.random.default_rng(7)
+    truth = rng.random(8000) < 0.8
+    one = [np.where(truth ^ (rng.random(8000) < 0.1), 1, -1) for _ in range(3)]
+    votes = np.stack([*one, one[0], one[0]], 1)
+    combos, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak.fit_votes(combos, counts)
+    assert np.all(model.share[[0, 3, 4]] < 0.5) and np.all(model.share[[1, 2]] > 0.6)
+
+
+def test_columns_can_be_chosen(docs, empty):
+    assert quality_rules(docs.limit(20), columns=["doc_id"]).columns == ["doc_id", "rules"]
+    assert quality_classifier(docs.limit(20), columns=["doc_id"]).columns == ["doc_id", "classifier"]
+    odd_names = docs.limit(20).withColumn("votes", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("rules", F.lit(3))
+    assert quality_rules(odd_names).select("`a.b`", "votes", "rules.quality").count() == 20
+    assert quality_classifier(odd_names).select("`a.b`", "votes", "rules", "classifier.kept").count() == 20
 
 
 def test_classifier_of_odd_rows(odd, empty):
@@ -156,7 +236,7 @@ def test_vote_model_finds_the_accurate_rule():
         votes[:, j] = np.where(truth ^ wrong, 1, -1) * (rng.random(20_000) < 0.8)
     combos, counts = np.unique(votes, axis=0, return_counts=True)
     model = weak.fit_votes(combos, counts)
-    assert np.all(np.diff(model.accuracies) < 0) and abs(model.prior - 0.8) < 0.05
+    assert np.all(np.diff(model.agreement) < 0) and abs(model.prior - 0.8) < 0.05
     assert ((model.posterior(votes) >= 0.5) == truth).mean() > 0.93
 
 
