@@ -1,8 +1,9 @@
 """Main text of web pages: blocks are labelled content or boilerplate by a minimum cut.
 
-A page becomes blocks of text in page order. A classifier of each block's tags, names, links and length gives the cost of
-either label; neighbours in page order and in the same container pay for differing labels. The labelling of least total
-cost is the minimum cut between two terminals, found by maximum flow.
+A page becomes blocks of text in page order. A classifier scores each block by its tags, names, links, length and
+punctuation; a positive score is what calling it boilerplate costs, a negative one what calling it content costs. Every
+feature is bounded, and scores and edges are of one order. Neighbours in page order and in the same container pay for
+differing labels. The labelling of least total cost is the minimum cut between two terminals, found by maximum flow.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,17 +21,22 @@ from pyspark.sql import functions as F
 
 from .shared import small_batches
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>?|[^<]+|<", re.S)
+#: Text, a comment or declaration, or a tag. A tag starts with a letter and holds no "<" outside of quoted values; a "<" that
+#: starts none of these is text.
+_TOKEN = re.compile(r"[^<]++|<!--.*?(?:-->|\Z)|<![^>]*+>?|<\?[^>]*+>?|</?[a-zA-Z][^\s/><]*+(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+>|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose inside is no text of the page.
 _SILENT = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "button", "canvas", "audio", "video", "math"}
-_RAW = {"script", "style", "title", "textarea"}
+#: Elements whose inside is not read as markup: only their own end tag ends them.
+_RAW = {"script", "style", "title", "textarea", "noscript", "iframe"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that are lines of the block around them, which is their container.
+_LINES = set("p li h1 h2 h3 h4 h5 h6 pre dt dd tr td th caption figcaption hr center".split())
 _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 _CONTENT = {"article", "main"}
 _BAD_NAME = re.compile(
@@ -43,9 +50,9 @@ _GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|mai
 _MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[-_]\S*|(?:post|entry|article|story|content)[-_]+header(?=$|[\s_-])", re.I)
 _HEADER = re.compile(r"(?:^|(?<=[\s_-]))header(?=$|[\s_-])", re.I)
 _SUBJECT = re.compile(r"(?:^|(?<=\s))tag-\S*", re.I)
-#: Cost of calling text content inside a tag of boilerplate; inside a bad name; and what of a bad name is left where a good
-#: name or an element of content lies inside it.
-TAG, NAME, NAME_OVER_GOOD, NAME_OVER_CONTENT = 40.0, 18.0, 14.0, 12.0
+#: Scores of where a block stands: inside boilerplate's own tags, a bad name, an element of content, a good name; what is left
+#: of the latter two inside a bad name. The innermost of them counts, but nothing lifts text out of boilerplate's tags.
+TAG, NAME, CONTENT, GOOD, CONTENT_IN_BAD, GOOD_IN_BAD = -5.0, -3.5, 3.0, 1.5, 2.0, 1.0
 
 
 @dataclass
@@ -53,74 +60,130 @@ class Block:
     start: int
     end: int
     text: str
-    tags: tuple[str, ...]
+    depth: int
+    shared: int  # depth of the innermost element that also holds the block before
     container: int
-    bad: float
-    good: bool
+    place: float
+    heading: bool
     linked: int
 
 
 @dataclass
 class _Open:
+    """An open element, with what holds for all text inside it, so that no step looks through the whole stack."""
+
     tag: str
-    number: int
-    bad: float
+    block: int  # place in the stack of the innermost block, itself included
+    container: int  # number of the innermost block that is no line of another
+    place: float
+    fixed: bool  # inside boilerplate's own tags
     good: bool
-    cancels: bool
+    content: bool
+    heading: bool
+    anchors: int
+
+
+_ROOT = _Open("", -1, 0, 0.0, False, False, False, False, 0)
 
 
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
     stack: list[_Open] = field(default_factory=list)
+    at: dict[str, list[int]] = field(default_factory=dict)
     parts: list[str] = field(default_factory=list)
     start: int = 0
     end: int = 0
     linked: int = 0
     opened: int = 0
+    lowest: int = 0
+
+    @property
+    def top(self) -> _Open:
+        return self.stack[-1] if self.stack else _ROOT
 
     def close(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            holder = next((o.number for o in reversed(self.stack) if o.tag not in ("p", "li") and o.tag in _BLOCK), 0)
-            bad = 0.0
-            for o in self.stack:
-                if bad < TAG and o.cancels:
-                    bad = min(bad, NAME_OVER_CONTENT if o.tag in _CONTENT else NAME_OVER_GOOD)
-                bad = max(bad, o.bad)
-            good = any(o.good for o in self.stack)
-            self.blocks.append(Block(self.start, self.end, text, tuple(o.tag for o in self.stack), holder, bad, good, self.linked))
+            o, depth = self.top, len(self.stack)
+            self.blocks.append(Block(self.start, self.end, text, depth, min(self.lowest, depth), o.container, o.place, o.heading, self.linked))
+            self.lowest = depth
         self.parts, self.linked = [], 0
 
+    def cut(self, n: int) -> None:
+        """Closes all but the first ``n`` open elements."""
+        while len(self.stack) > n:
+            self.at[self.stack.pop().tag].pop()
+        self.lowest = min(self.lowest, n)
+
+    def open(self, tag: str, token: str) -> None:
+        o = self.top
+        names = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(token))
+        own = _MODIFIER.sub(" ", names)
+        if o.content:
+            own = _HEADER.sub(" ", own)
+        bad = bool(own and _BAD_NAME.search(own))
+        fixed = o.fixed or tag in _BOILERPLATE and tag != "form" or tag == "header" and not o.good
+        named_good = bool(names and _GOOD_NAME.search(names))
+        good = o.good or tag in _CONTENT or named_good and not bad
+        place = o.place
+        if fixed:
+            place = TAG
+        elif tag in _CONTENT:
+            # A comment or a promoted page can be an article too; tag-x only says what an article is about.
+            if tag == "article" and _BAD_NAME.search(_SUBJECT.sub(" ", own)):
+                place = min(place, GOOD if named_good else NAME)
+            else:
+                place = CONTENT_IN_BAD if place < 0 else CONTENT
+        elif tag == "form" or bad and tag not in ("html", "body"):
+            place = NAME
+        elif named_good:
+            place = GOOD_IN_BAD if place < 0 else max(place, GOOD)
+        self.opened += 1
+        n, is_block = len(self.stack), tag in _BLOCK
+        container = self.opened if is_block and tag not in _LINES else o.container
+        heading = o.heading or tag in ("h1", "h2", "h3", "blockquote", "pre")
+        self.stack.append(_Open(tag, n if is_block else o.block, container, place, fixed, good, o.content or tag in _CONTENT, heading, o.anchors + (tag == "a")))
+        self.at.setdefault(tag, []).append(n)
+
+
+def _silent_end(html: str, tag: str, at: int, never: set[str]) -> int:
+    """Where the element of no text that starts before ``at`` ends; ``at`` itself if nothing ends it (a raw one ends with the page)."""
+    if tag not in never:
+        deep, edge = 1, re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>?", re.I)
+        for m in edge.finditer(html, at):
+            deep += -1 if m.group(1) else 0 if tag in _RAW or m.group().endswith("/>") else 1
+            if not deep:
+                return m.end()
+        never.add(tag)
+    return len(html) if tag in ("script", "style") else at
+
 
 def blocks_of(html: str) -> list[Block]:
-    """The page's blocks of text in page order; scripts, styles and the like give none. Broken markup never fails."""
-    page = _Page()
-    silent: str | None = None
-    for m in _TOKEN.finditer(html):
-        token = m.group()
+    """The page's blocks of text in page order; scripts, styles and the like give none. Broken markup never fails.
+
+    An element of no text that is never closed is only its start tag, but for scripts and styles, which go on to the end.
+    """
+    page, never, pos = _Page(), set(), 0
+    while pos < len(html):
+        m = _TOKEN.match(html, pos)
+        token, begin, pos = m.group(), pos, m.end()
         if token[0] != "<" or token == "<":
-            if silent is None:
-                if not page.parts:
-                    page.start = m.start()
-                text = unescape(token)
-                page.parts.append(text)
-                page.end = m.end()
-                if any(o.tag == "a" for o in page.stack):
-                    page.linked += len(" ".join(text.split()))
+            if not page.parts:
+                page.start = begin
+            text = unescape(token)
+            page.parts.append(text)
+            page.end = pos
+            if page.top.anchors:
+                page.linked += len(" ".join(text.split()))
             continue
         name = _NAME.match(token)
         if not name:
             continue
         tag, closing = name.group(1).lower(), token[1] == "/"
-        if silent is not None:
-            if closing and tag == silent or silent == "head" and tag == "body":
-                silent = None
-            elif silent in _RAW or tag != "body":
-                continue
-        if tag in _SILENT and not closing:
-            if not token.endswith("/>"):
-                silent = tag
+        if tag in _SILENT:
+            if not closing and tag != "head" and not token.endswith("/>"):
+                pos = _silent_end(html, tag, pos, never)
             continue
         if tag == "br":
             page.parts.append(" ")
@@ -128,60 +191,33 @@ def blocks_of(html: str) -> list[Block]:
         if tag in _BLOCK:
             page.close()
         if closing:
-            at = next((k for k in range(len(page.stack) - 1, -1, -1) if page.stack[k].tag == tag), None)
-            if at is not None and (tag in _BLOCK or not any(o.tag in _BLOCK for o in page.stack[at:])):
-                del page.stack[at:]
+            at = page.at.get(tag)
+            if at and (tag in _BLOCK or at[-1] > page.top.block):
+                page.cut(at[-1])
             continue
         if tag in _VOID or token.endswith("/>"):
             continue
         if tag in _BLOCK:
             # An open paragraph ends where another block begins, with whatever inline marks were left open in it.
-            at = next((k for k in range(len(page.stack) - 1, -1, -1) if page.stack[k].tag in _BLOCK), None)
-            if at is not None and (page.stack[at].tag == "p" or page.stack[at].tag == tag == "li"):
-                del page.stack[at:]
-        names = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(token))
-        inside = any(o.good for o in page.stack)
-        own = _MODIFIER.sub(" ", names)
-        if any(o.tag in _CONTENT for o in page.stack):
-            own = _HEADER.sub(" ", own)
-        named = bool(own and _BAD_NAME.search(own))
-        bad = 0.0
-        if tag in _BOILERPLATE and tag != "form" or tag == "header" and not inside:
-            bad = TAG
-        elif tag == "form" or named and tag not in ("html", "body", "article", "main"):
-            bad = NAME
-        page.opened += 1
-        good = tag in _CONTENT or bool(names and _GOOD_NAME.search(names) and not bad)
-        # A comment or a promoted page can be an article too; tag-x only says what an article is about.
-        cancels = good and not (tag == "article" and _BAD_NAME.search(_SUBJECT.sub(" ", own)))
-        page.stack.append(_Open(tag, page.opened, bad, good, cancels))
+            at = page.top.block
+            if at >= 0 and (page.stack[at].tag == "p" or page.stack[at].tag == tag == "li"):
+                page.cut(at)
+        page.open(tag, token)
     page.close()
     return page.blocks
 
 
-def costs(b: Block) -> tuple[float, float]:
-    """What it costs to call a block boilerplate, and to call it content: from its tags and names, links and length."""
-    content, boilerplate = 0.5, 0.5
-    boilerplate += b.bad
-    if b.good:
-        content += 12
-    share = b.linked / max(len(b.text), 1)
-    if share > 0.5:
-        boilerplate += 4 * share
-    elif share < 0.2:
-        content += 0.5
-    words = b.text.count(" ") + 1
-    if words >= 12:
-        content += 2
-    elif words < 4 and not b.good:
-        boilerplate += 1
-    if b.text[-1] in ".!?…\"”»":
-        content += 0.5
-    if any(t in ("h1", "h2", "h3", "blockquote", "pre") for t in b.tags):
-        content += 0.5
+def score(b: Block) -> float:
+    """How much the block looks like content (positive) or boilerplate (negative): a sum of bounded features."""
+    words, share = b.text.count(" ") + 1, b.linked / max(len(b.text), 1)
+    x = b.place
+    x += min(max(0.7 * log2(words / 12), -1.2), 1.2)
+    x += 0.4 if b.text[-1] in ".!?…\"”»。！？" else -0.3
+    x += -(1.2 if b.place > 0 else 2.5) * share if share > 0.5 else 0.3 if share < 0.2 else 0.0
+    x += 0.6 if b.heading else 0.0
     if b.text.startswith("©") or "all rights reserved" in b.text.lower():
-        boilerplate += 6
-    return content, boilerplate
+        x -= 2.5
+    return x
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -250,20 +286,23 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
 
 
 def main_blocks(html: str, *, adjacent: float = 0.8, same_container: float = 1.2) -> list[Block]:
-    """The blocks that the minimum cut labels content, in page order."""
+    """The blocks that the minimum cut labels content, in page order.
+
+    Neighbours in page order pay ``adjacent`` for differing labels, less the less of their path from the root they share;
+    successive blocks of one container pay ``same_container``.
+    """
     blocks = blocks_of(html)
     if not blocks:
         return []
-    pairs = [costs(b) for b in blocks]
+    scores = [score(b) for b in blocks]
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            shared = sum(1 for x, y in zip(b.tags, blocks[i - 1].tags, strict=False) if x == y)
-            edges.append((i - 1, i, adjacent * (1 + shared) / (1 + max(len(b.tags), len(blocks[i - 1].tags)))))
+            edges.append((i - 1, i, adjacent * (1 + b.shared) / (1 + max(b.depth, blocks[i - 1].depth))))
         if b.container in last:
             edges.append((last[b.container], i, same_container))
         last[b.container] = i
-    side = minimum_cut([c for c, _ in pairs], [d for _, d in pairs], edges)
+    side = minimum_cut([max(x, 0.0) for x in scores], [max(-x, 0.0) for x in scores], edges)
     return [b for b, kept in zip(blocks, side, strict=True) if kept]
 
 
