@@ -214,15 +214,15 @@ def appended(docs: DataFrame, text: str, into: str, fields: T.StructType, work,
     """
     names = [c for c in (docs.columns if columns is None else columns) if c != into]
     # Python steps don't take names with dots, so that columns go by number inside.
-    source = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)), F.col(f"`{text}`").alias("text"))
-    back = [f"c{k}" for k in range(len(names))]
+    source = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)), *([] if text in names else [F.col(f"`{text}`").alias("text")]))
+    back, at = [f"c{k}" for k in range(len(names))], (names.index(text) if text in names else len(names))
     kinds = pa.struct([(f.name, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[f.dataType.simpleString().replace("bigint", "long")]) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch.column(len(back))):
+            for part in chunks(batch.column(at)):
                 got = work(part)
                 made = pa.StructArray.from_arrays([pa.array(got[f.name]).cast(f.type) for f in kinds], fields=list(kinds))
-                yield pa.RecordBatch.from_arrays([*(c.slice(part.first_row, len(part)) for c in batch.columns[:-1]), made], names=[*back, "made"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(part.first_row, len(part)) for c in batch.columns[: len(back)]), made], names=[*back, "made"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("made", fields)])).toDF(*names, into)
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[: len(back)], T.StructField("made", fields)])).toDF(*names, into)
