@@ -93,7 +93,10 @@ def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     model = fit_votes(*code_counts(voted, code, len(rules)))
     texts = F.col(f"`{text}`").cast("string")
     sample = voted.select(texts.alias("text"), code.alias("votes"), F.xxhash64(F.col(f"`{id}`").cast("string")).alias("h"))
-    rows = _examples(sample.orderBy("h", F.xxhash64("text")).limit(train_rows).select("text", "votes"), bits).collect()
+    # The hashes alone say which rows they are, so that no other texts move.
+    top = sample.select("h").orderBy("h").limit(train_rows).agg(F.max("h").alias("top")).first()["top"]
+    chosen = sample.where(F.col("h") <= F.lit(top)) if top is not None else sample.limit(0)
+    rows = _examples(chosen.orderBy("h", F.xxhash64("text")).limit(train_rows).select("text", "votes"), bits).collect()
     votes = votes_in(np.array([r["votes"] for r in rows], np.int64), len(rules))
     weights, bias = _train([np.frombuffer(r["slots"], np.uint32) for r in rows], [np.frombuffer(r["n"], np.float32) for r in rows], model.posterior(votes), 1 << bits)
     weights = weights.astype(np.float32)
