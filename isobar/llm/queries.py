@@ -13,7 +13,7 @@ from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
 from . import chat, rans
-from .fingerprints import canonical, digest, fingerprints, with_next
+from .fingerprints import likeness
 from .html import extract
 from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
@@ -51,23 +51,7 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint's likeness is 1 for equal canonical texts and 0 otherwise; bytes are compared where digests agree."""
-    documents = _table(spark, sf_dir, "documents")
-    docs = with_next(documents)
-    n, cut = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
-    rows = fingerprints(docs.withColumn("edited", edited), among=documents)
-    rows = rows.withColumn("_edited", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest(F.col("_edited"))).withColumn("_next", digest(canonical(F.col("next_text"))))
-    own, base = canonical(F.col("text")), F.substring_index("fingerprint", "-", 1)
-    alike = lambda mark, form: F.when(base == mark, (own == form).cast("double")).otherwise(F.lit(0.0))
-    return rows.select(
-        "doc_id",
-        n.cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        alike(F.col("edited_fingerprint"), F.col("_edited")).alias("near_edited"),
-        alike(F.col("_next"), canonical(F.col("next_text"))).alias("near_next"),
-    )
+    return likeness(_table(spark, sf_dir, "documents"))
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

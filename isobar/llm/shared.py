@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests on one machine) a new local one."""
-    given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``; where it is unset, a new local one if Spark runs in one process (tests), else an error."""
+    given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not given:
-        given = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="isobar-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        given = tempfile.mkdtemp(prefix="isobar-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(given)
     return given.rstrip("/")
@@ -34,6 +36,14 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
     """``work`` on each group's rows, one group in memory at a time; the caller bounds the groups' size.
 

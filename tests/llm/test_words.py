@@ -1,5 +1,6 @@
 """Operators on words: near-duplicates, rules, classifier, licences, fingerprints."""
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -10,9 +11,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from isobar.llm import fingerprints as fingerprints_module
 from isobar.llm import minhash, weak
 from isobar.llm.classifier import quality_classifier
-from isobar.llm.fingerprints import canonical, collisions, digest, fingerprints, with_next
+from isobar.llm.fingerprints import canonical, collisions, digest, fingerprints, likeness, with_next
 from isobar.llm.licences import licence_scan, licence_sql
 from isobar.llm.minhash import near_duplicates
 from isobar.llm.rules import quality_rules
@@ -252,14 +254,34 @@ def test_licences_equal_sql(docs, odd, empty):
 
 
 def form(t):
-    t = unicodedata.normalize("NFC", t).lower().replace("ß", "ss").replace("ς", "σ")
-    return re.sub(r"\s+", " ", t).strip(" ")
+    nfc = lambda x: unicodedata.normalize("NFC", x)
+    return re.sub(r"\s+", " ", nfc(nfc(t).casefold())).strip(" ")
+
+
+def forms_of(spark, texts):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string")
+    return [r.f for r in df.select("k", canonical(F.col("t")).alias("f")).orderBy("k").collect()]
 
 
 def test_canonical_form(spark):
-    texts = ["Ａ É é É", "ế ế é̂", "q̣̇ q̣̇", "Å Ω", "Straße  ΣΑΣ \t x ", "ẛ̣", "", " \n ", "привет Й й", "plain text"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert [r[0] for r in df.select(canonical(F.col("t"))).collect()] == [form(t) for t in texts]
+    texts = ["Ａ É é É", "ế ế é̂", "q̣̇ q̣̇", "Å Ω", "Straße  ΣΑΣ \t x ", "ẛ̣", "", " \n ", "привет Й й", "plain text", "ﬁ ſ ŉ ᾳ İ", "\u1100\u1161\u11a8 가", "a\u0327\u0301 \u00e1\u0327", "\u05e9\u05c1\u05bc", "\u0628\u0651\u064e \u0628\u064e\u0651"]
+    assert forms_of(spark, texts) == [form(t) for t in texts]
+
+
+def test_canonical_form_of_every_character(spark):
+    """All assigned characters, each between letters, and random runs of marks, against the standard library's tables."""
+    chars = [c for c in map(chr, range(1, 0x110000)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    texts = ["".join("a" + c for c in chars[k : k + 64]) for k in range(0, len(chars), 64)]
+    rng = np.random.default_rng(8)
+    marks = [c for c in chars if unicodedata.combining(c)]
+    letters = list("aeouşشش가각") + ["\u1100", "\u1161", "\u11a8", "ǖ", "Ω", "か"]
+    for _ in range(1500):
+        texts.append("".join(str(rng.choice(letters)) + "".join(rng.choice(marks, int(rng.integers(0, 4)))) for _ in range(4)))
+    got = forms_of(spark, texts)
+    wrong = [(t, g) for t, g in zip(texts, got, strict=True) if g != form(t)]
+    assert not wrong, wrong[:3]
+    some = texts[-300:]
+    assert forms_of(spark, [unicodedata.normalize("NFD", t) for t in some]) == got[-300:]
 
 
 def test_fingerprints(spark, odd, empty):
@@ -278,6 +300,56 @@ def test_colliding_digests_are_told_apart(spark):
     assert spark.range(1).select(digest(F.lit("x")).alias("d")).first().d == spark.range(1).select(digest(F.lit("x")).alias("d")).first().d
 
 
+def brute_likeness(rows_):
+    """(doc_id, text) in ascending order of ids, all different."""
+    rows_ = sorted((i, t or "") for i, t in rows_)
+    out = {}
+    for k, (i, t) in enumerate(rows_):
+        after = rows_[(k + 1) % len(rows_)][1]
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + after[:cut]
+        out[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), float(form(edited) == form(t)), float(form(after) == form(t)), form(t), form(edited))
+    return out
+
+
+def same_likeness(spark, rows_):
+    got = {r.doc_id: r for r in likeness(spark.createDataFrame(rows_, "doc_id long, text string").withColumn("form", F.lit(1)).withColumn("h", F.lit(2))).collect()}
+    want = brute_likeness(rows_)
+    assert {i: (r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for i, r in got.items()} == {i: w[:4] for i, w in want.items()}
+    mark = {}
+    for i, r in got.items():
+        assert mark.setdefault(want[i][4], r.fingerprint) == r.fingerprint
+    assert len(set(mark.values())) == len(mark)
+    assert all(r.edited_fingerprint == r.fingerprint for i, r in got.items() if want[i][4] == want[i][5])
+
+
+def test_likeness_equals_brute_force(spark, docs, empty, odd):
+    extremes = [(-9_000_000_000_000_000_000, "Café one"), (9_000_000_000_000_000_000, "x"), (9_000_000_000_000_000_001, None)]
+    rows_ = [(r.doc_id, r.text) for r in docs.limit(400).collect()] + [(10_000_000 + k, f"Ä  copy {k // 3}") for k in range(90)] + extremes + [(20_000_000, ""), (20_000_001, "abc"), (20_000_002, "ABC")]
+    same_likeness(spark, rows_)
+    assert likeness(empty).count() == 0 and likeness(odd).count() == odd.count()
+
+
+def test_likeness_with_colliding_digests(spark, monkeypatch):
+    """Every text gets one of two digests, so that bytes alone tell them apart."""
+    monkeypatch.setattr(fingerprints_module, "digest", lambda f: F.concat(F.lit("d"), F.pmod(F.length(f), F.lit(2)).cast("string")))
+    same_likeness(spark, [(k, f"text number {k % 7}" + "x" * (k % 3)) for k in range(40)])
+
+
+def test_likeness_of_repeated_rows(spark):
+    """Rows of one id with one text follow one another; only the last of them sees another text."""
+    rows_ = [(1, "aaaaaaaa")] * 5 + [(2, "bbbbbbbb"), (None, "cccccccc"), (None, "cccccccc")]
+    got = sorted((r.doc_id or 0, r.near_next, r.edited_sha256) for r in likeness(spark.createDataFrame(rows_, "doc_id long, text string")).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = [(0, 1.0, sha("cccccccc")), (0, 0.0, sha("ccccccaa")), (2, 0.0, sha("bbbbbbcc")), (1, 0.0, sha("aaaaaabb"))] + [(1, 1.0, sha("aaaaaaaa"))] * 4
+    assert got == sorted(want)
+
+
+def test_fingerprints_leave_other_columns(spark):
+    got = fingerprints(spark.createDataFrame([("keepme", "Hello", 1)], "form string, text string, `a.b` int").withColumn("mark", F.lit(5))).first()
+    assert got.form == "keepme" and got["a.b"] == 1 and got.mark == 5
+
+
 def test_next_text(spark, docs, empty):
     rows_ = [(k * k * 37 % 5003, f"t{k}") for k in range(3000)]
     rows_ = list({i: (i, t) for i, t in rows_}.values())
