@@ -5,7 +5,8 @@
 2. Patterns of up to four lengths that fill a sequence are enumerated on a coarse grid of lengths. Non-negative least
    squares give each a repeat count, which is rounded down.
 3. A pattern's repeats take exact lengths from its grid cells, the last one the longest that still fits.
-4. What is left goes, longest first, to the smallest gap that holds it; gaps of step 3 count as well.
+4. What is left goes, longest first, to the smallest gap that holds it; gaps of step 3 count as well. Patterns whose gap
+   is above a limit are taken back first; of several limits the one that needs the fewest sequences is taken.
 5. The plan says for each length which ranks go where. Pieces get their rank within their length in salted parts, so
    one very common length spreads over tasks, and look their place up.
 """
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .hf import TextEncoder, prepared, read_tokenizer
-from .shared import small_batches, written
+from .shared import free_name, small_batches, written
 
 #: Cells of the coarse grid, and the most documents in a pattern.
 CELLS = 64
 DEPTH = 4
+#: Gaps above which a pattern's sequences are taken back, as tried; -1 takes all of them back.
+TAKE_BACK = (float("inf"), 64, 16, 4, 1, 0, -1)
 #: Pieces of one length and salt that are ranked together, about.
 RANKED = 20_000
 
@@ -117,61 +120,63 @@ class _Open:
         return gap, count, held
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Groups of equal sequences for pieces of the given lengths: (how many sequences, [(length, pieces of it in each)])."""
-    left = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        left[length] = n
-    done: list[tuple[int, list[tuple[int, int]]]] = []
-    if left[capacity]:
-        done.append((int(left[capacity]), [(capacity, 1)]))
-        left[capacity] = 0
-    room = _Open()
+def _laid(left: np.ndarray, capacity: int) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Sequences by patterns, as (gap, how many, [(length, pieces of it in each)]); takes their pieces out of ``left``."""
+    laid: list[tuple[int, int, list[tuple[int, int]]]] = []
     width = max(1, capacity // CELLS)
     cells = capacity // width
     cell_of = -(-np.arange(capacity + 1) // width)
     counts = np.bincount(np.minimum(cell_of, cells), weights=left, minlength=cells + 1)[1:]
     found = [p for p in patterns(cells, DEPTH) if all(counts[x - 1] for x in p)]
-    if found:
-        a = np.zeros((cells, len(found)))
-        for j, p in enumerate(found):
-            for x in p:
-                a[x - 1, j] += 1
-        weight = np.arange(1, cells + 1)[:, None] / cells
-        repeats = np.floor(nonnegative_fit(a * weight, counts * weight[:, 0])).astype(np.int64)
-        for j in np.argsort(-repeats, kind="stable"):
-            times = int(repeats[j])
-            while times > 0:
-                took: list[int] = []
-                space = capacity
-                for k, x in enumerate(found[j]):
-                    top = min(space if k == len(found[j]) - 1 else x * width, x * width + (width if k == len(found[j]) - 1 else 0), capacity)
-                    held = left[: top + 1].copy()
-                    for t in took:
-                        if t <= top:
-                            held[t] -= 1
-                    have = np.flatnonzero(held[(x - 1) * width + 1 :] > 0)
-                    if not len(have):
-                        break
-                    took.append(int(have[-1]) + (x - 1) * width + 1)
-                    space -= took[-1]
-                if len(took) < len(found[j]):
+    if not found:
+        return laid
+    a = np.zeros((cells, len(found)))
+    for j, p in enumerate(found):
+        for x in p:
+            a[x - 1, j] += 1
+    weight = np.arange(1, cells + 1)[:, None] / cells
+    repeats = np.floor(nonnegative_fit(a * weight, counts * weight[:, 0])).astype(np.int64)
+    for j in np.argsort(-repeats, kind="stable"):
+        times = int(repeats[j])
+        while times > 0:
+            took: list[int] = []
+            space = capacity
+            for k, x in enumerate(found[j]):
+                last = k == len(found[j]) - 1
+                top = min(space if last else x * width, x * width + (width if last else 0), capacity)
+                held = left[: top + 1].copy()
+                for t in took:
+                    if t <= top:
+                        held[t] -= 1
+                have = np.flatnonzero(held[(x - 1) * width + 1 :] > 0)
+                if not len(have):
                     break
-                need = {t: took.count(t) for t in took}
-                run = min(times, *(int(left[t]) // n for t, n in need.items()))
-                for t, n in need.items():
-                    left[t] -= run * n
-                room.add(space, run, sorted(need.items(), reverse=True))
-                times -= run
+                took.append(int(have[-1]) + (x - 1) * width + 1)
+                space -= took[-1]
+            if len(took) < len(found[j]):
+                break
+            need = {t: took.count(t) for t in took}
+            run = min(times, *(int(left[t]) // n for t, n in need.items()))
+            for t, n in need.items():
+                left[t] -= run * n
+            laid.append((space, run, sorted(need.items(), reverse=True)))
+            times -= run
+    return laid
+
+
+def _filled(left: np.ndarray, capacity: int, room: _Open) -> int:
+    """Puts every piece of ``left``, longest first, into the smallest gap that holds it; says how many sequences it opened."""
+    opened = 0
     for length in np.flatnonzero(left)[::-1].tolist():
         n = int(left[length])
         while n:
             spot = room.smallest(length)
             if spot is None:
                 each = min(capacity // length, n)
-                opened = n // each
-                room.add(capacity - each * length, opened, [(length, each)])
-                n -= opened * each
+                new = n // each
+                room.add(capacity - each * length, new, [(length, each)])
+                n -= new * each
+                opened += new
                 continue
             gap, count, held = spot
             each = min(gap // length, n)
@@ -180,15 +185,45 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple
                 room.add(gap, count - used, held)
             room.add(gap - each * length, used, [*held, (length, each)])
             n -= used * each
-    for gap in room.gaps:
-        done += room.groups[gap]
+    return opened
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Groups of equal sequences for pieces of the given lengths: (how many sequences, [(length, pieces of it in each)]).
+
+    Never more sequences than best fit over all pieces would need: that is the plan in which every pattern is taken back.
+    Of plans with equally many sequences the one with the most patterns is taken.
+    """
+    left = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        left[length] = n
+    done: list[tuple[int, list[tuple[int, int]]]] = []
+    if left[capacity]:
+        done.append((int(left[capacity]), [(capacity, 1)]))
+        left[capacity] = 0
+    laid = _laid(left, capacity)
+    best, chosen = None, _Open()
+    for limit in TAKE_BACK:
+        room, rest, kept = _Open(), left.copy(), 0
+        for gap, count, held in laid:
+            if gap <= limit:
+                room.add(gap, count, held)
+                kept += count
+            else:
+                for length, n in held:
+                    rest[length] += count * n
+        needed = kept + _filled(rest, capacity, room)
+        if best is None or needed < best:
+            best, chosen = needed, room
+    for gap in chosen.gaps:
+        done += chosen.groups[gap]
     return done
 
 
 def pack(table: DataFrame, *, capacity: int = 4096, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
     """``table`` with sequence_id and offset; rows of ``length`` 1 to ``capacity`` share sequences of ``capacity``.
 
-    Offsets in a sequence run gapless from 0. Rows with equal ``order`` columns may swap places, nothing else. An empty
+    Offsets in a sequence run gapless from 0. Rows with equal ``order`` columns may swap places if a task is repeated, nothing else: give columns that tell rows apart. An empty
     table stays empty; a length outside 1 to ``capacity`` fails. Give a table that reads the same each time (a written
     one): it is read for the counts and again for the places.
     """
@@ -211,11 +246,12 @@ def pack(table: DataFrame, *, capacity: int = 4096, length: str = "length", orde
     slots = tuple(np.array(x, np.int64)[by_key] for x in (keys, base, each, offset))
     shared = table.sparkSession.sparkContext.broadcast(slots)
     salts = max(16, total // RANKED)
-    salted = table.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    groups = salted.groupBy(length, "_salt").agg(F.count("*").alias("_n"))
-    before = groups.withColumn("_before", F.sum("_n").over(Window.partitionBy(length).orderBy("_salt")) - F.col("_n")).drop("_n")
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(length, "_salt").orderBy(*order)) - 1).join(before, [length, "_salt"])
-    ranked = ranked.select(*table.columns, (F.col("_before") + F.col("_rank")).alias("_rank"))
+    salt, size_of, before_it, rank_of = (free_name(table, n) for n in ("salt", "n_of_salt", "before_salt", "rank"))
+    salted = table.withColumn(salt, F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    groups = salted.groupBy(length, salt).agg(F.count("*").alias(size_of))
+    before = groups.withColumn(before_it, F.sum(size_of).over(Window.partitionBy(length).orderBy(salt)) - F.col(size_of)).drop(size_of)
+    ranked = salted.withColumn(rank_of, F.row_number().over(Window.partitionBy(length, salt).orderBy(*order)) - 1).join(before, [length, salt])
+    ranked = ranked.select(*table.columns, (F.col(before_it) + F.col(rank_of)).alias(rank_of))
     names = table.columns
     at_length = names.index(length)
 
@@ -245,4 +281,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
     Null and empty texts are their end token. Rows with one id twice are two documents. Extra columns aren't read.
     """
     cut = pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, id=id, text=text, of=("ids_crc32 long", zlib.crc32))
-    return pack(written(cut, "pieces"), capacity=capacity, order=(id, "piece"))
+    return pack(written(cut, "pieces"), capacity=capacity, order=(id, "piece", "ids_crc32"))

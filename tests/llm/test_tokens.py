@@ -1,6 +1,7 @@
 """Operators on tokens, chats, pages and the pipeline, against the libraries and by round trips."""
 
 import base64
+import bisect
 import hashlib
 import json
 import zlib
@@ -81,11 +82,34 @@ def test_packing(mixed, empty, odd):
             assert offset == at
             at += length
         assert at <= 256
-    assert len(held) <= 1.02 * sum(r.length for r in got) / 256 + 2
+    assert len(held) <= best_fit([r.length for r in got], 256)
     assert packing.pack_documents(empty, P.path("word_bpe_49k.json")).count() == 0
     assert packing.pack_documents(odd, P.path("word_bpe_49k.json")).select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
 
 
+def best_fit(lengths, capacity):
+    """Plain best fit of one piece after the other, longest first."""
+    gaps = []
+    for x in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(gaps, x)
+        gap = gaps.pop(k) if k < len(gaps) else capacity
+        bisect.insort(gaps, gap - x)
+    return len(gaps)
+
+
+def test_plan_needs_no_more_than_best_fit():
+    for seed, (mean, spread, n, capacity) in enumerate([(6, 1.2, 20_000, 4096), (5, 1, 20_000, 4096), (7, 0.5, 8000, 4096), (4, 2, 5000, 1000), (3, 1, 3000, 97), (8, 1, 500, 4096), (5, 0.2, 9000, 512)]):
+        lengths = np.clip(np.random.default_rng(seed).lognormal(mean, spread, n).astype(int), 1, capacity)
+        h = {int(k): int(c) for k, c in zip(*np.unique(lengths, return_counts=True), strict=True)}
+        assert sum(c for c, _ in packing.plan(h, capacity)) <= best_fit(lengths.tolist(), capacity)
+
+
+def test_packing_with_clashing_columns(spark):
+    table = spark.createDataFrame([(k, 0, 1 + k % 50) for k in range(300)], "doc_id long, piece int, length long").withColumn("salt", F.lit("s")).withColumn("rank", F.lit(1)).withColumn("_salt", F.lit(2))
+    got = packing.pack(table, capacity=64).collect()
+    assert len(got) == 300 and all(r.salt == "s" and r["rank"] == 1 and r._salt == 2 for r in got)
+
+
 def test_packed_sequences_hold_the_tokens(spark, docs):
     some = docs.limit(20)
     cut = packing.pieces(some, P.path("word_bpe_49k.json"), capacity=512)
