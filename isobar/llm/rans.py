@@ -1,7 +1,7 @@
 """A file of token ids: blocks of whole documents, each coded by interleaved range asymmetric numeral systems.
 
 Format. A table of blocks in Parquet (``part``, a range of ids; ``start`` of the block among its part's tokens; ``doc_ids``;
-``lengths`` as packed int64, ``n_tokens``, ``states``, ``words``, ``checkpoints``, ``crc32`` of states and words) and one
+``lengths`` as packed int64, ``n_tokens``, ``states``, ``words``, ``checkpoints``, ``crc32`` of the latter three) and one
 table of token frequencies that all blocks share. The tokens of a block are dealt to LANES coders in turn;
 all of them write 32-bit words into one stream. Every CHECKPOINT steps the place in the stream and all states are kept, so
 that a reader can start there. Blocks don't depend on one another: any task decodes any block.
@@ -31,8 +31,10 @@ LANES = 128
 CHECKPOINT = 128
 #: Tokens of a block at least, unless it is a part's last; a longer document is a block of its own or ends one.
 BLOCK_TOKENS = 1 << 16
-#: Blocks that are coded side by side.
+#: Blocks that are coded side by side, if none is much longer than BLOCK_TOKENS (such a one is coded by itself).
 TOGETHER = 32
+#: Stretches between checkpoints that are decoded side by side.
+STRETCHES = 256
 #: Written parts up to which their starts are broadcast (12 bytes each); beyond, a shuffled join adds them.
 BROADCAST_PARTS = 200_000
 _LOW, _HIGH = 1 << 21, 53
@@ -156,6 +158,28 @@ def decode_from(states_at: bytes, words: bytes, n_left: int, table: Frequencies)
     return decode_blocks([(n_left, states_at[8:], words[4 * at :])], table)[0]
 
 
+def stretches(n_tokens: int, states: bytes, words: bytes, points: bytes) -> list[tuple[int, bytes, bytes]]:
+    """A block as (tokens, states, words) from its start and each checkpoint to the next one."""
+    width, size = 8 + 8 * LANES, CHECKPOINT * LANES
+    at = [0, *(int(np.frombuffer(points, np.uint64, 1, k)[0]) for k in range(0, len(points), width)), len(words) // 4]
+    begin = [states, *(points[k + 8 : k + width] for k in range(0, len(points), width))]
+    return [(min(size, n_tokens - k * size), x, words[4 * at[k] : 4 * at[k + 1]]) for k, x in enumerate(begin)]
+
+
+def decoded(blocks: list[tuple[int, bytes, bytes, bytes]], table: Frequencies) -> Iterator[np.ndarray]:
+    """Token ids of each block (tokens, states, words, checkpoints), from all its checkpoints at once."""
+    parts = [stretches(*b) for b in blocks]
+    flat = [x for p in parts for x in p]
+    made: list[np.ndarray] = []
+    done = 0
+    for p in parts:
+        while len(made) < len(p):
+            made += decode_blocks(flat[done : done + STRETCHES], table)
+            done += STRETCHES
+        yield np.concatenate(made[: len(p)])
+        del made[: len(p)]
+
+
 _BLOCK = "part int, start long, doc_ids array<bigint>, lengths binary, n_tokens long, states binary, words binary, checkpoints binary, crc32 long"
 
 
@@ -178,8 +202,8 @@ def token_ids(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str
                 before = int(ends[-1]) if len(ends) else before
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(raw), part, np.int32)), pa.array(start), batch.column(0).slice(row, len(raw)), pa.array(raw, pa.binary())], names=["part", "start", "doc_id", "ids"])
 
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
-    return rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text").mapInArrow(run, "part int, start long, doc_id long, ids binary")
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    return rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text").mapInArrow(run, "part int, start long, doc_id long, ids binary")
 
 
 def frequencies(coded: DataFrame) -> Frequencies:
@@ -209,14 +233,19 @@ def blocks_of(coded: DataFrame, table: Frequencies) -> DataFrame:
         head = following = (-1, 0)
         docs: list[int | None] = []
         held: list[np.ndarray] = []
-        size = 0
+        size = waiting = 0
 
         def flush() -> pa.RecordBatch:
             rows = []
             whole = [np.concatenate(ids) for _, _, ids in ready]
-            for ((part, start), names, ids), tokens, (states, words, points) in zip(ready, whole, encode_blocks(whole, shared.value), strict=True):
+            long = [len(b) > 2 * BLOCK_TOKENS for b in whole]
+            coded_as: list[tuple[bytes, bytes, bytes] | None] = [encode_blocks([b], shared.value)[0] if far else None for b, far in zip(whole, long, strict=True)]
+            short = [k for k, far in enumerate(long) if not far]
+            for k, made in zip(short, encode_blocks([whole[k] for k in short], shared.value) if short else [], strict=True):
+                coded_as[k] = made
+            for ((part, start), names, ids), tokens, (states, words, points) in zip(ready, whole, coded_as, strict=True):
                 lengths = np.array([len(i) for i in ids], np.int64)
-                rows.append((part, start, names, lengths.tobytes(), len(tokens), states, words, points, zlib.crc32(states + words)))
+                rows.append((part, start, names, lengths.tobytes(), len(tokens), states, words, points, zlib.crc32(states + words + points)))
             ready.clear()
             kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _BLOCK.split(", ")])
@@ -225,9 +254,11 @@ def blocks_of(coded: DataFrame, table: Frequencies) -> DataFrame:
             for part, start, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if docs and (size >= BLOCK_TOKENS or (part, start) != following):
                     ready.append((head, docs, held))
+                    waiting += size
                     docs, held, size = [], [], 0
-                    if len(ready) == TOGETHER:
+                    if len(ready) == TOGETHER or waiting > 2 * TOGETHER * BLOCK_TOKENS:
                         yield flush()
+                        waiting = 0
                 if not docs:
                     head = (part, start)
                 docs.append(doc), held.append(np.frombuffer(raw, "<u4"))
@@ -271,9 +302,9 @@ def read(spark: SparkSession, path: str, of: tuple[str, Callable[[bytes], object
             for at in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(at, TOGETHER).to_pylist()
                 for b in some:
-                    if zlib.crc32(b["states"] + b["words"]) != b["crc32"]:
+                    if zlib.crc32(b["states"] + b["words"] + b["checkpoints"]) != b["crc32"]:
                         raise ValueError(f"the block at {b['start']} of part {b['part']} is damaged")
-                for b, ids in zip(some, decode_blocks([(b["n_tokens"], b["states"], b["words"]) for b in some], shared.value), strict=True):
+                for b, ids in zip(some, decoded([(b["n_tokens"], b["states"], b["words"], b["checkpoints"]) for b in some], shared.value), strict=True):
                     lengths = np.frombuffer(b["lengths"], np.int64)
                     ends = np.cumsum(lengths)
                     raw = ids.astype("<u4").tobytes()
@@ -288,7 +319,7 @@ def read(spark: SparkSession, path: str, of: tuple[str, Callable[[bytes], object
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")).persist()
     few = before.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS
-    docs = blocks.select("part", "start", "doc_ids", "lengths", "n_tokens", "states", "words", "crc32").mapInArrow(run, f"part int, doc_id long, start long, n_tokens long, {column}")
+    docs = blocks.select("part", "start", "doc_ids", "lengths", "n_tokens", "states", "words", "checkpoints", "crc32").mapInArrow(run, f"part int, doc_id long, start long, n_tokens long, {column}")
     placed = docs.join(F.broadcast(before) if few else before, "part")
     return placed.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", column.split()[0])
 

@@ -192,6 +192,30 @@ def test_blocks_and_checkpoints():
         assert (rest == blocks[4][skip:]).all()
 
 
+def test_blocks_are_read_from_all_checkpoints(monkeypatch):
+    rng = np.random.default_rng(1)
+    size = rans.CHECKPOINT * rans.LANES
+    blocks = [rng.integers(0, 700, n) ** 2 // 700 for n in (5, 3 * size, size, 10 * size + 77, 1, size + 1, 2 * size - 1)]
+    table = rans.Frequencies(*np.unique(np.concatenate(blocks), return_counts=True))
+    coded = rans.encode_blocks(blocks, table)
+    assert [len(rans.stretches(len(b), *c)) for b, c in zip(blocks, coded, strict=True)] == [1, 3, 1, 11, 1, 2, 2]
+    for together in (1, 4, 256):
+        monkeypatch.setattr(rans, "STRETCHES", together)
+        back = rans.decoded([(len(b), *c) for b, c in zip(blocks, coded, strict=True)], table)
+        assert all(np.array_equal(a, b) for a, b in zip(blocks, back, strict=True))
+
+
+def test_a_long_document_among_short_ones(spark, tmp_path):
+    """A block far longer than others is coded by itself: arrays aren't padded to it."""
+    text = " ".join(f"w{k % 5003} x{k}" for k in range(150_000))
+    rows = [(k, f"short text {k}") for k in range(40)] + [(20_000, text), (20_001, "after it")]
+    rans.write(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), str(tmp_path / "file"), P.path("byte_bpe_50k.json"))
+    got = {r.doc_id: r for r in rans.read(spark, str(tmp_path / "file")).collect()}
+    ids = library_ids("byte_bpe_50k.json", 2)
+    assert len(ids(text)) > 4 * rans.BLOCK_TOKENS
+    assert all(bytes(got[i].ids) == ids(t).tobytes() for i, t in rows)
+
+
 @pytest.mark.parametrize(("split", "name"), [(split_spaced, "byte_bpe_50k.json"), (split_words, "word_bpe_49k.json")])
 def test_splits_in_small_chunks(split, name, monkeypatch):
     seen = []
