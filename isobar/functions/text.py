@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import bound
+
 
 def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
@@ -45,10 +47,17 @@ def title_case(text: Column) -> Column:
 
 
 def run_length(values: Column) -> Column:
-    """``v*n`` for runs and ``v`` for single values, joined by commas."""
-    ends = F.filter(F.transform(values, lambda v, i: F.when(F.coalesce(F.get(values, i + 1) != v, F.lit(True)), i)), lambda i: i.isNotNull())
-    runs = F.transform(ends, lambda e, k: F.struct(F.get(values, e).alias("v"), (e - F.coalesce(F.get(ends, k - 1), F.lit(-1))).alias("n")))
-    return F.array_join(F.transform(runs, lambda r: F.when(r["n"] > 1, F.concat(r["v"].cast("string"), F.lit("*"), r["n"].cast("string"))).otherwise(r["v"].cast("string"))), ",")
+    """``v*n`` for runs and ``v`` for single values, joined by commas. The time grows with the number of values."""
+
+    def runs(v: Column, ends: Column) -> Column:
+        one = lambda e, k: F.struct(F.get(v, e).alias("v"), (e - F.coalesce(F.get(ends, k - 1), F.lit(-1))).alias("n"))
+        return F.transform(F.transform(ends, one), lambda r: F.when(r["n"] > 1, F.concat(r["v"].cast("string"), F.lit("*"), r["n"].cast("string"))).otherwise(r["v"].cast("string")))
+
+    def code(v: Column) -> Column:
+        ends = F.filter(F.transform(v, lambda x, i: F.when(F.coalesce(F.get(v, i + 1) != x, F.lit(True)), i)), lambda i: i.isNotNull())
+        return F.array_join(bound(ends, lambda e: runs(v, e)), ",")
+
+    return bound(values, code)
 
 
 def run_length_count(text: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import bound
+
 
 def cells(tiles: DataFrame, values: str, keys: list[str], width: int) -> DataFrame:
     """(keys, p, j, i, v) per value of a tile."""
@@ -23,13 +25,16 @@ def at(values: Column, j: Column, i: Column, width: int, height: int) -> Column:
 
 
 def stencil(values: Column, width: int, height: int, work) -> Column:  # noqa: ANN001
-    """A tile of ``work(get, j, i)``, where get(dj, di) reads a neighbour."""
+    """A tile of ``work(get, j, i)``, where get(dj, di) reads a neighbour. The tile's own expression is made once."""
+
+    def over(v: Column) -> Column:
+        def one(_: Column, p: Column) -> Column:
+            j, i = F.floor(p / width), p % width
+            return work(lambda dj, di: at(v, j + dj, i + di, width, height), j, i)
 
-    def one(_: Column, p: Column) -> Column:
-        j, i = F.floor(p / width), p % width
-        return work(lambda dj, di: at(values, j + dj, i + di, width, height), j, i)
+        return F.transform(v, one)
 
-    return F.transform(values, one)
+    return bound(values, over)
 
 
 def smooth(values: Column, width: int, height: int) -> Column:
@@ -59,16 +64,18 @@ def gradient(values: Column, width: int, height: int, axis: str) -> Column:
 
 
 def window_sums(values: Column, width: int, height: int, half: int) -> Column:
-    """Sums over (2 half + 1) squares within the tile."""
+    """Sums over (2 half + 1) squares within the tile: along rows first, then the rows' sums along columns."""
 
-    def work(get, j: Column, i: Column) -> Column:  # noqa: ANN001
-        total = F.lit(0.0)
-        for dj in range(-half, half + 1):
-            for di in range(-half, half + 1):
-                total = total + F.coalesce(get(dj, di), F.lit(0.0))
-        return total
+    def along(axis: str):  # noqa: ANN202
+        def work(get, j: Column, i: Column) -> Column:  # noqa: ANN001
+            total = F.lit(0.0)
+            for k in range(-half, half + 1):
+                total = total + F.coalesce(get(0, k) if axis == "x" else get(k, 0), F.lit(0.0))
+            return total
 
-    return stencil(values, width, height, work)
+        return work
+
+    return stencil(stencil(values, width, height, along("x")), width, height, along("y"))
 
 
 def first_argmax(values: Column) -> Column:
@@ -84,9 +91,13 @@ def nearest_index(x: Column, x0: float, step: float, n: int) -> Column:
 
 def bilinear(values: Column, y: Column, x: Column, width: int, height: int) -> Column:
     """The value between four neighbours; null where one is missing."""
-    j, i = F.floor(y), F.floor(x)
-    fy, fx = y - j, x - i
-    a, b = at(values, j, i, width, height), at(values, j, F.least(i + 1, F.lit(width - 1)), width, height)
-    jn = F.least(j + 1, F.lit(height - 1))
-    c, d = at(values, jn, i, width, height), at(values, jn, F.least(i + 1, F.lit(width - 1)), width, height)
-    return a * (1 - fy) * (1 - fx) + b * (1 - fy) * fx + c * fy * (1 - fx) + d * fy * fx
+
+    def between(v: Column) -> Column:
+        j, i = F.floor(y), F.floor(x)
+        fy, fx = y - j, x - i
+        a, b = at(v, j, i, width, height), at(v, j, F.least(i + 1, F.lit(width - 1)), width, height)
+        jn = F.least(j + 1, F.lit(height - 1))
+        c, d = at(v, jn, i, width, height), at(v, jn, F.least(i + 1, F.lit(width - 1)), width, height)
+        return a * (1 - fy) * (1 - fx) + b * (1 - fy) * fx + c * fy * (1 - fx) + d * fy * fx
+
+    return bound(values, between)

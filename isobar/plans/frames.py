@@ -195,19 +195,21 @@ def grouping_sets(spark, d):
     (v[(n + 1) // 2] + v[(n + 2) // 2]) / 2 as middle, v[n - 3] as fourth_highest from s""",
 )
 def quantile_rules(spark, d):
-    s = table(spark, d, "events").groupBy("event_type").agg(F.sort_array(F.collect_list("value")).alias("v")).withColumn("n", F.size("v"))
-    at = lambda k: F.get("v", k.cast("int"))
-    return s.select(
-        "event_type", at(F.ceil(0.95 * F.col("n")) - 1).alias("nearest_rank"), at(F.floor(0.5 * (F.col("n") - 1) + 0.5)).alias("rounded_rank"),
-        at(F.least(F.col("n") - 1, F.floor(0.9 * F.col("n")).cast("int"))).alias("floored_rank"),
-        ((at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2).alias("middle"), at(F.col("n") - 4).alias("fourth_highest"),
-    )
+    at = {
+        "nearest_rank": lambda n: F.ceil(0.95 * n) - 1,
+        "rounded_rank": lambda n: F.floor(0.5 * (n - 1) + 0.5),
+        "floored_rank": lambda n: F.least(n - 1, F.floor(0.9 * n)),
+        "lower": lambda n: F.floor((n - 1) / 2),
+        "upper": lambda n: F.floor(n / 2),
+        "fourth_highest": lambda n: n - 4,
+    }
+    r = A.at_ranks(table(spark, d, "events"), ["event_type"], "value", at)
+    return r.select("event_type", "nearest_rank", "rounded_rank", "floored_rank", ((F.col("lower") + F.col("upper")) / 2).alias("middle"), "fourth_highest")
 
 
 @register("percentile_disc", "select event_type, quantile_disc(value, 0.95) as p95, quantile_disc(value, 0.5) as p50 from events group by event_type")
 def percentile_disc(spark, d):
-    t = table(spark, d, "events").groupBy("event_type")
-    return t.agg(F.expr("percentile_disc(0.95) within group (order by value)").alias("p95"), F.expr("percentile_disc(0.5) within group (order by value)").alias("p50"))
+    return A.at_ranks(table(spark, d, "events"), ["event_type"], "value", {"p95": lambda n: F.ceil(0.95 * n) - 1, "p50": lambda n: F.ceil(0.5 * n) - 1}).drop("n")
 
 
 @register(
@@ -476,8 +478,11 @@ def storm_cells_less_clutter(spark, d):
 
 @register("fourth_highest", "select cast(ts as date) as date, user_id % 5 as cell, list(value order by value desc)[4] as v, avg((value > 5)::integer) >= 0.5 as covered from events group by all")
 def fourth_highest(spark, d):
-    cell = (F.col("user_id") % 5).alias("cell")
-    return events(spark, d).groupBy("date", cell).agg(A.kth_highest(F.col("value"), 4).alias("v"), (F.avg((F.col("value") > 5).cast("int")) >= 0.5).alias("covered"))
+    e = events(spark, d).select("date", (F.col("user_id") % 5).alias("cell"), "value")
+    covered = e.groupBy("date", "cell").agg((F.avg((F.col("value") > 5).cast("int")) >= 0.5).alias("covered"))
+    ranked = e.withColumn("r", F.row_number().over(Window.partitionBy("date", "cell").orderBy(F.desc("value")))).where("r <= 4")
+    fourth = ranked.where("r = 4").select("date", "cell", F.col("value").alias("v"))
+    return covered.join(fourth, ["date", "cell"], "left").select("date", "cell", "v", "covered")
 
 
 @register("coverage_share", "select cast(ts as date) as date, floor(1000.0 * count(*) filter (value >= 40) / nullif(count(*) filter (value >= 5), 0) + 0.5)::bigint as permille from events group by 1")

@@ -236,10 +236,12 @@ def point_in_ring(spark, d):
     select c_nationkey, round(abs(sum(t)) / 2 * 111.32 * 111.32 * cos(radians(50)), 3) as km2, round(min(x), 6) as w, round(max(y), 6) as n, round(avg(x), 6) as mx from e group by c_nationkey""",
 )
 def ring_measures(spark, d):
-    point = F.struct("c_custkey", (F.col("c_custkey") % 100 / 10.0).alias("x"), (F.col("c_acctbal") / 1000).alias("y"))
-    g = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(point)).alias("r"))
-    r = F.col("r")
-    return g.select("c_nationkey", F.round(Geo.area_km2(r, F.lit(50.0)), 3).alias("km2"), F.round(Geo.box(r)["w"], 6).alias("w"), F.round(Geo.box(r)["n"], 6).alias("n"), F.round(Geo.vertex_mean(r)["x"], 6).alias("mx"))
+    """Each edge comes from a vertex and the next one (after the last the first), so that no ring is held in one array."""
+    w = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    p = table(spark, d, "customer").select("c_nationkey", "c_custkey", (F.col("c_custkey") % 100 / 10.0).alias("x"), (F.col("c_acctbal") / 1000).alias("y"))
+    e = p.withColumn("nx", F.coalesce(F.lead("x").over(w), F.first("x").over(w))).withColumn("ny", F.coalesce(F.lead("y").over(w), F.first("y").over(w)))
+    area = F.abs(F.sum(F.col("x") * F.col("ny") - F.col("nx") * F.col("y"))) / 2 * 111.32 * 111.32 * F.cos(F.radians(F.lit(50.0)))
+    return e.groupBy("c_nationkey").agg(F.round(area, 3).alias("km2"), F.round(F.min("x"), 6).alias("w"), F.round(F.max("y"), 6).alias("n"), F.round(F.avg("x"), 6).alias("mx"))
 
 
 @register("path_length", """with p as (select o_custkey, o_orderkey, (o_orderkey % 170) / 10.0 as x, (o_orderkey % 130) / 10.0 as y, lag((o_orderkey % 170) / 10.0) over w as px, lag((o_orderkey % 130) / 10.0) over w as py from orders window w as (partition by o_custkey order by o_orderkey))

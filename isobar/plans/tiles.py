@@ -39,9 +39,8 @@ def tile_smooth(spark, d):
 
 @register(
     "tile_gradients",
-    f"""with c as ({_P}) select c.vec_id, c.p::integer as p, round((e.v - w.v) / 2, 9) as dx, round((n.v - s.v) / 2, 9) as dy from c
-    join c e on e.vec_id = c.vec_id and e.p = c.p + 1 join c w on w.vec_id = c.vec_id and w.p = c.p - 1 join c n on n.vec_id = c.vec_id and n.p = c.p + 8 join c s on s.vec_id = c.vec_id and s.p = c.p - 8
-    where c.i between 1 and 6 and c.j between 1 and 6""",
+    """select vec_id, p::integer as p, round((e[p + 2]::double - e[p]::double) / 2, 9) as dx, round((e[p + 9]::double - e[p - 7]::double) / 2, 9) as dy
+    from (select vec_id, embedding as e, unnest(range(64)) as p from embeddings) where p % 8 between 1 and 6 and p // 8 between 1 and 6""",
 )
 def tile_gradients(spark, d):
     g = tiles(spark, d).select("vec_id", F.arrays_zip(G.gradient(F.col("v"), N, N, "x").alias("dx"), G.gradient(F.col("v"), N, N, "y").alias("dy")).alias("g"))
@@ -115,10 +114,10 @@ def tile_run_length(spark, d):
     return t.select("vec_id", "code", X.run_length_count(F.col("code")).alias("n"))
 
 
-@register("tile_run_length_round_trip", "select vec_id, true as same from embeddings")
+@register("tile_run_length_round_trip", f"select vec_id, list({_CLASS} order by p) as decoded from ({_P}) group by vec_id")
 def tile_run_length_round_trip(spark, d):
     k = F.transform("v", lambda x: F.greatest(F.floor(x * 10), F.lit(0)).cast("int"))
-    return tiles(spark, d).select("vec_id", k.alias("k")).select("vec_id", (X.run_length_decoded(X.run_length(F.col("k"))) == F.col("k")).alias("same"))
+    return tiles(spark, d).select("vec_id", X.run_length_decoded(X.run_length(k)).alias("decoded"))
 
 
 @register(
@@ -166,9 +165,9 @@ def tile_nearest(spark, d):
 
 @register(
     "tile_bilinear",
-    f"""with c as ({_P}), q as (select vec_id, (vec_id % 70) / 10.0 as y, (vec_id % 69) / 10.0 as x from embeddings), f as (select *, floor(y) as j, floor(x) as i, y - floor(y) as fy, x - floor(x) as fx from q)
-    select f.vec_id, round(a.v * (1 - fy) * (1 - fx) + b.v * (1 - fy) * fx + c1.v * fy * (1 - fx) + d.v * fy * fx, 9) as v from f join c a on a.vec_id = f.vec_id and a.j = f.j and a.i = f.i join c b on b.vec_id = f.vec_id and b.j = f.j and b.i = least(f.i + 1, 7)
-    join c c1 on c1.vec_id = f.vec_id and c1.j = least(f.j + 1, 7) and c1.i = f.i join c d on d.vec_id = f.vec_id and d.j = least(f.j + 1, 7) and d.i = least(f.i + 1, 7)""",
+    """with f as (select vec_id, embedding as e, floor((vec_id % 70) / 10.0)::integer as j, floor((vec_id % 69) / 10.0)::integer as i, (vec_id % 70) / 10.0 - floor((vec_id % 70) / 10.0) as fy, (vec_id % 69) / 10.0 - floor((vec_id % 69) / 10.0) as fx from embeddings),
+    g as (select *, least(j + 1, 7) as jn, least(i + 1, 7) as n from f)
+    select vec_id, round(e[j * 8 + i + 1]::double * (1 - fy) * (1 - fx) + e[j * 8 + n + 1]::double * (1 - fy) * fx + e[jn * 8 + i + 1]::double * fy * (1 - fx) + e[jn * 8 + n + 1]::double * fy * fx, 9) as v from g""",
 )
 def tile_bilinear(spark, d):
     y, x = (F.col("vec_id") % 70) / 10.0, (F.col("vec_id") % 69) / 10.0
@@ -230,8 +229,9 @@ def tile_field_catalogue(spark, d):
 
 @register("tile_percentile_calibration", f"""with c as ({_P}), t as (select i, quantile_disc(v, 0.95) as limit_ from c group by i) select c.i::integer as i, count(*) filter (c.v >= limit_) as above from c join t using (i) group by c.i""")
 def tile_percentile_calibration(spark, d):
+    """The limits are one row for each of the eight columns of a tile."""
     c = cells(spark, d)
-    t = c.groupBy("i").agg(F.expr("percentile_disc(0.95) within group (order by v)").alias("limit"))
+    t = A.at_ranks(c, ["i"], "v", {"limit": lambda n: F.ceil(0.95 * n) - 1}).drop("n")
     return c.join(F.broadcast(t), "i").groupBy("i").agg(F.count_if(F.col("v") >= F.col("limit")).alias("above"))
 
 
