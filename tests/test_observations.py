@@ -15,6 +15,9 @@ def test_observed(spark):
         "LFPG 121230Z 21005KT 0350 R27/0400 FG VV001 05/05 RESN": (["FG"], 350, None, 5.0),
         "OMDB 121200Z /////KT //// // 9999 35/12": ([], None, None, 35.0),
         "nothing coded": None,
+        "METAR ZZZZ 010000Z 00000KT 3000 VCSH RASN BLSNX 1/4SM 01/// TEMPO 0100 FG RMK T10151020": (["VCSH", "RASN"], 3000, None, -1.5),
+        "METAR ZZZZ 010000Z 24008G18KMH P6SM SHTSRA MIFG FZ RAFZ M00/": (["SHTSRA", "MIFG", "FZ"], 9650, 10, -0.0),
+        "": None,
     }
     df = spark.createDataFrame([(r,) for r in reports], "r string").select("r", Ob.observed(F.col("r")).alias("o"))
     for row in df.collect():
