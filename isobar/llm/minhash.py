@@ -7,9 +7,10 @@
 3. Bands of registers put classes in buckets. In a bucket each class is paired with two hubs, never with all others.
    Pairs pass the collision-corrected Jaccard estimate (with a margin of several standard errors), then an exact
    comparison of the full sets. Links form components.
-4. Buckets in which several components are left are compared in blocks of bounded size on the registers alone; only
-   pairs of different components whose estimate allows a link leave a block, and each is confirmed on full sets. So
-   links that both hubs miss are found as well.
+4. Buckets in which several components are left are compared within; pairs of different components whose estimate allows a
+   link leave the bucket, and each is confirmed on full sets. So links that both hubs miss are found as well. A bucket of
+   more than BLOCK classes is cut into smaller ones first, by further small groups of registers: texts that merely share
+   one band fall apart there. What is still large is compared in blocks, its largest component against the rest only.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MANTISSA_BITS = 10
 MARGIN = 6.0
 #: Classes of one bucket that are compared together in step 4.
 BLOCK = 512
+#: Groups of registers, and registers in each, by which larger buckets are cut.
+CUTS, CUT_REGISTERS = 56, 6
 
 
 def _picks(k: int) -> np.ndarray:
@@ -195,18 +198,61 @@ def _overlaps(short: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((short[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
 
 
+def _mixed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n): groups with several components."""
+    return rows.groupBy(*by).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(*by, "n")
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """(key, sub, band, rep, component): each row once for each of CUTS fixed groups of registers, ``sub`` being a hash of the group's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                regs = _matrix(batch.column(4))
+                rng = np.random.default_rng(20240301)
+                groups = np.stack([rng.choice(regs.shape[1], min(CUT_REGISTERS, regs.shape[1]), replace=False) for _ in range(CUTS)])
+                sub = band_keys(regs[:, groups.reshape(-1)], CUTS)
+                again = pa.array(np.repeat(np.arange(batch.num_rows), CUTS))
+                key, band, rep, component = (batch.column(k).take(again) for k in range(4))
+                yield pa.RecordBatch.from_arrays([key, pa.array(sub.reshape(-1).view(np.int64)), band, rep, component], names=["key", "sub", "band", "rep", "component"])
+
+    return rows.select("key", "band", "rep", "component", "registers").mapInArrow(run, "key long, sub long, band int, rep long, component long")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, sub, ..., rep, component) with mine, i, j: every pair of different components meets in a pair of blocks i <= j.
+
+    A group's largest component is set against the others only, so that the rows made grow with the others' number.
+    """
+    by = ["key", "sub"]
+    sizes = rows.groupBy(*by, "component").agg(F.count("*").alias("m")).groupBy(*by).agg(F.max(F.struct("m", "component")).alias("main"), F.sum("m").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = sizes.select(*by, F.col("main.component").alias("largest"), blocks(F.col("n") - F.col("main.m")).alias("rest"), blocks(F.col("main.m")).alias("most"))
+    r = rows.join(sizes, by).withColumn("largest", F.col("component") == F.col("largest"))
+    place = lambda n: F.pmod(F.xxhash64("rep"), n.cast("long")).cast("int")
+    r = r.withColumn("mine", F.when(F.col("largest"), F.col("rest") + place(F.col("most"))).otherwise(place(F.col("rest"))))
+    others = F.when(F.col("largest"), F.sequence(F.lit(0), F.col("rest") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") + F.col("most") - 1))
+    r = r.withColumn("other", F.explode(others))
+    return r.select(*rows.columns, "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+
 def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, bands: int, percent: int) -> DataFrame:
     """Pairs of different components in one bucket that seem linked; each comes from one bucket only.
 
     Registers first, then 32 bits of each shingle's hash decide within the block: few pairs leave it that aren't links,
     and no link stays (shorter hashes can only raise an intersection).
     """
-    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
-    rows = labelled.join(mixed, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("key", "band", "rep", "component", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = written(_mixed(labelled, ["key"]), "mixed", 8192)
+    whole = [F.lit(0).alias(c) for c in ("mine", "i", "j")]
+    rows = labelled.join(mixed.where(F.col("n") <= BLOCK).select("key"), "key").select("key", F.lit(0).cast("long").alias("sub"), "band", "rep", "component", *whole)
+    large = mixed.where(F.col("n") > BLOCK).select("key")
+    if large.limit(1).count():
+        cut = written(_cut(labelled.join(large, "key").join(classes.select("rep", "registers"), "rep")), "cut", 8192)
+        parts = written(_mixed(cut, ["key", "sub"]), "parts", 8192)
+        small = cut.join(parts.where(F.col("n") <= BLOCK).select("key", "sub"), ["key", "sub"])
+        rows = rows.unionByName(small.select(*cut.columns, *whole)).unionByName(_in_blocks(cut.join(parts.where(F.col("n") > BLOCK).select("key", "sub"), ["key", "sub"])))
     short = _shortened(sets)
     rows = rows.join(classes.select("rep", "n_shingles", "registers"), "rep").join(short, "rep")
 
@@ -239,7 +285,7 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets:
             return None
         return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
-    return by_group(rows, ["key", "i", "j"], work, "a long, b long")
+    return by_group(rows, ["key", "sub", "i", "j"], work, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, percent: int = 85, bands: int = 40, rows: int = 7) -> DataFrame:
@@ -252,7 +298,8 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     their component is null. Rows with one doc_id twice
     are one class if their sets are equal, else their links count together. Extra columns are ignored; an empty table
     gives an empty result. A band is missed by a pair at the threshold with 1 - t^rows, so that all bands are missed
-    with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8.
+    with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8, and
+    the cuts of a bucket of over BLOCK classes with (1 - 0.85^6)^56 = 3e-12 (4e-8 at 0.8).
     """
     sigs = written(signatures(docs, text=text, size=size, bands=bands, rows=rows), "signatures")
     key = ["set_hi", "set_lo", "n_shingles"]
