@@ -15,7 +15,7 @@ from isobar.llm import fingerprints as fingerprints_module
 from isobar.llm import minhash, weak
 from isobar.llm.classifier import quality_classifier
 from isobar.llm.fingerprints import canonical, collisions, digest, fingerprints, likeness, with_next
-from isobar.llm.licences import licence_scan, licence_sql
+from isobar.llm.licences import TEMPLATES, licence_scan, licence_sql
 from isobar.llm.minhash import near_duplicates
 from isobar.llm.rules import quality_rules
 from isobar.llm.vectext import chunks
@@ -300,6 +300,49 @@ def test_colliding_digests_are_told_apart(spark):
     assert spark.range(1).select(digest(F.lit("x")).alias("d")).first().d == spark.range(1).select(digest(F.lit("x")).alias("d")).first().d
 
 
+NOTICES = {
+    1: "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    2: "Permission is hereby granted, free of charge, to every reader obtaining a copy of this program and attached documentation files (the \"Program\"), to deal in the Program without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    3: "any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
+    4: "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    5: "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    6: "free charge person copy software rights license public domain warranty",
+    7: "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+}
+
+
+def test_licence_bodies(spark):
+    """Whole bodies, a body with other words in places, one without its key phrase, and loose words."""
+    frame = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in NOTICES.items()], "doc_id long, text string, _a int, _p int, words int")
+    got = {r.doc_id: r for r in licence_scan(frame).collect()}
+    assert {i: r.labels for i, r in got.items()} == {1: "mit", 2: "mit", 3: "", 4: "apache,apache-2.0", 5: "agpl", 6: "", 7: "bsd,bsd-3-clause"}
+    assert got[1].score == 1.0 and 0.8 < got[2].score < 1.0 and got[3].score == 0.0 and got[1]._a == 1 and got[1].words == 3
+    con = duckdb.connect()
+    con.register("documents", frame.select("doc_id", "text").toPandas())
+    assert rows(licence_scan(frame.select("doc_id", "text")).toPandas()) == rows(con.sql(licence_sql()).df())
+
+
+def test_licences_of_random_words_equal_sql(spark):
+    """Texts of template words only, in and out of order, so that alignments, gaps and repeats abound."""
+    rng = np.random.default_rng(9)
+    phrases = [t.phrase.replace(" .", "") for t in TEMPLATES]
+    texts = []
+    for k in range(250):
+        parts = []
+        for _ in range(int(rng.integers(1, 6))):
+            w = phrases[int(rng.integers(len(phrases)))].split()
+            for _ in range(int(rng.integers(0, max(len(w) // 3, 1)))):
+                w[int(rng.integers(len(w)))] = str(rng.choice(["copy", "the", "zz", "license"]))
+            if rng.random() < 0.3:
+                w.insert(int(rng.integers(len(w))), "inserted")
+            parts.append(" ".join(w))
+        texts.append((k, " ".join(parts)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    assert rows(licence_scan(frame).toPandas()) == rows(con.sql(licence_sql()).df())
+
+
 def brute_likeness(rows_):
     """(doc_id, text) in ascending order of ids, all different."""
     rows_ = sorted((i, t or "") for i, t in rows_)
