@@ -33,6 +33,31 @@ def first_kind(text: Column, cascade: list[tuple[str, str]], default: str) -> Co
     return F.lit(default) if out is None else out.otherwise(default)
 
 
+#: Kinds of titles in order, as (pattern, kind, [(pattern of a variant, the variant's kind)]).
+TITLE_KINDS = [
+    ("VOLCANIC ACTIVITY BULLETIN", "volcanic", []),
+    ("OPERATIONS PLAN", "opsPlan", []),
+    (r"GROUND STOP|\bGS CNX\b", "gs", [("CANCEL|CNX", "gsCancel")]),
+    (r"GROUND DELAY PROGRAM|\bGDP\b", "gdp", [("PROPOSED", "gdpProposed"), ("CNX|CANCEL", "gdpCancel")]),
+    (r"AIRSPACE FLOW PROGRAM|\bAFP\b", "afp", [("CNX|CANCEL", "afpCancel")]),
+    (r"\bCTOP\b", "ctop", []),
+    ("(OCEANIC|ATLANTIC) ROUTE CLOSURE", "oceanic", []),
+    ("NATOTS", "nat", []),
+    (r"\bSWAP", "swap", []),
+    (r"ROUTE|_RQD|_RMD|PLAYBOOK|\bFCA\b|CDRS|CAPPING|TUNNEL", "route", []),
+    ("ARRIVAL DELAYS|DEPARTURE DELAYS|SCHEDULING DELAYS|DIVERSION RECOVERY", "delayInfo", []),
+]
+
+
+def title_kind(title: Column) -> Column:
+    """The kind of a title, "other" where none fits or the title is null."""
+    upper = F.upper(F.coalesce(title, F.lit("")))
+    out = F.lit("other")
+    for pattern, kind, variants in reversed(TITLE_KINDS):
+        out = F.when(upper.rlike(pattern), first_kind(upper, variants, kind)).otherwise(out)
+    return out
+
+
 def field(text: Column, key: str) -> Column:
     """The rest of the first line that begins with ``key:``; null without one."""
     found = F.regexp_extract(text, rf"(?m)^{key}:[ \t]*(.*)$", 1)

@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from . import bulletins, frames, lookups, products, scalars, shapes, texts, tiles  # noqa: F401
+    from . import areas, bulletins, frames, lookups, products, scalars, shapes, texts, tiles  # noqa: F401
 
 
 def queries() -> dict[str, Run]:

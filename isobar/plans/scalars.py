@@ -88,23 +88,22 @@ def convective_class(spark, d):
 
 @register(
     "rounding_and_wrapping",
-    """select p_partkey, floor(p_retailprice - 1000 + 0.5)::bigint as whole, floor((p_retailprice - 1000) * 10 + 0.5) / 10 as tenth, (p_partkey * 37 % 720 + 180) % 360 - 180 as lon,
-    ['N','NNE','NE','ENE','E','ESE','SE','SSE','S','SSW','SW','WSW','W','WNW','NW','NNW'][(floor((p_partkey % 360) / 22.5 + 0.5) % 16)::integer + 1] as sector, floor((p_partkey * 13 % 997) / 50.0 + 0.5)::bigint * 50 as fifties from part where (p_partkey * 37 % 720) % 360 <> 180""",
+    """select p_partkey, floor(p_retailprice - 1000 + 0.5)::bigint as whole, floor((p_retailprice - 1000) * 10 + 0.5) / 10 as tenth, case when (p_partkey * 37 % 720 + 180) % 360 = 0 then 180 else (p_partkey * 37 % 720 + 180) % 360 - 180 end as lon,
+    ['N','NNE','NE','ENE','E','ESE','SE','SSE','S','SSW','SW','WSW','W','WNW','NW','NNW'][(floor((p_partkey % 360) / 22.5 + 0.5) % 16)::integer + 1] as sector, floor((p_partkey * 13 % 997) / 50.0 + 0.5)::bigint * 50 as fifties from part""",
 )
 def rounding_and_wrapping(spark, d):
     k = F.col("p_partkey")
     lon = S.wrap_180(k * 37 % 720 - 360)
-    rows = table(spark, d, "part").where("(p_partkey * 37 % 720) % 360 <> 180")
-    return rows.select("p_partkey", S.half_up(F.col("p_retailprice") - 1000).alias("whole"), S.half_up(F.col("p_retailprice") - 1000, 1).alias("tenth"), lon.alias("lon"), S.sector(k % 360).alias("sector"), (S.half_up(k * 13 % 997 / 50.0) * 50).alias("fifties"))
+    return table(spark, d, "part").select("p_partkey", S.half_up(F.col("p_retailprice") - 1000).alias("whole"), S.half_up(F.col("p_retailprice") - 1000, 1).alias("tenth"), lon.alias("lon"), S.sector(k % 360).alias("sector"), (S.half_up(k * 13 % 997 / 50.0) * 50).alias("fifties"))
 
 
 @register(
     "great_circle",
-    "select p_partkey, round(6371.0 * acos(least(1.0, sin(radians(p_partkey % 80)) * sin(radians(p_size)) + cos(radians(p_partkey % 80)) * cos(radians(p_size)) * cos(radians((p_partkey % 170) - p_size)))), 4) as km from part where p_partkey % 80 <> p_size",
+    "select p_partkey, round(6371.0 * acos(least(1.0, sin(radians(p_partkey % 80)) * sin(radians(p_size)) + cos(radians(p_partkey % 80)) * cos(radians(p_size)) * cos(radians((p_partkey % 170) - p_size)))), 3) as km from part",
 )
 def great_circle(spark, d):
     k = F.col("p_partkey")
-    return table(spark, d, "part").where("p_partkey % 80 <> p_size").select("p_partkey", F.round(S.great_circle_km(F.col("p_size"), F.col("p_size"), k % 80, k % 170), 4).alias("km"))
+    return table(spark, d, "part").select("p_partkey", F.round(S.great_circle_km(F.col("p_size"), F.col("p_size"), k % 80, k % 170), 3).alias("km"))
 
 
 @register(

@@ -9,20 +9,40 @@ from ..functions import text as X
 from .registry import register, table
 
 #: Ordered patterns; the first that is found names the kind.
-_CASCADE = [("ION.*THE", "closure"), ("^TH", "program"), ("^(ER|EN)", "stop"), ("EAU|OU", "route"), (r"\bDE\b", "delay")]
-
-
-@register("title_cascade", "with t as (select doc_id, upper(substr(text, 1, 60)) as t from documents) select doc_id, case " + " ".join(f"when regexp_matches(t, '{p}') then '{k}'" for p, k in _CASCADE) + " else 'other' end as kind from t")
-def title_cascade(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.first_kind(F.upper(F.substring("text", 1, 60)), _CASCADE, "other").alias("kind"))
+_CASCADE = [("ION.*THE", "closure"), ("^TH", "program"), ("^(ER|EN)", "stop"), ("EAU|OU", "route"), ("(^|[^A-Z])DE([^A-Z]|$)", "delay")]
 
 
+@register("title_cascade", "with t as (select doc_id, upper(text) as t from documents) select doc_id, case " + " ".join(f"when regexp_matches(t, '{p}') then '{k}'" for p, k in _CASCADE) + " else 'other' end as kind from t")
 @register("title_cascade_whole")
-def title_cascade_whole(spark, d):
+def title_cascade(spark, d):
     """The cascade over whole texts."""
     return table(spark, d, "documents").select("doc_id", X.first_kind(F.upper("text"), _CASCADE, "other").alias("kind"))
 
 
+_TITLES = [
+    "VOLCANIC ACTIVITY BULLETIN", "OPERATIONS PLAN", "CDM GROUND STOP", "GS", "GROUND DELAY PROGRAM", "CDM GDP", "AIRSPACE FLOW PROGRAM", "AFP", "CTOP", "OCEANIC ROUTE CLOSURE", "ATLANTIC ROUTE CLOSURE_RQD",
+    "NATOTS", "SWAP IMPLEMENTATION", "ROUTE_RMD", "FCA", "TUNNEL", "SCHEDULING DELAYS", "DIVERSION RECOVERY", "HOTLINE", "agdpx",
+]
+_ENDINGS = ["", " CNX", " cancelled", " PROPOSED", " - PLAYBOOK", " CNX PROPOSED"]
+
+
+def _title_sql() -> str:
+    # RE2's word boundary is the ASCII one, as all of these titles are.
+    whens = []
+    for pattern, kind, variants in X.TITLE_KINDS:
+        inner = "".join(f"when regexp_matches(t, '{p}') then '{k}' " for p, k in variants)
+        whens.append(f"when regexp_matches(t, '{pattern}') then " + (f"case {inner}else '{kind}' end" if inner else f"'{kind}'"))
+    titles, endings = ", ".join(f"'{x}'" for x in _TITLES), ", ".join(f"'{x}'" for x in _ENDINGS)
+    return f"with o as (select o_orderkey, upper([{titles}][o_custkey % {len(_TITLES)} + 1] || [{endings}][o_orderkey % {len(_ENDINGS)} + 1]) as t from orders) select o_orderkey, case {' '.join(whens)} else 'other' end as kind from o"
+
+
+@register("title_kinds", _title_sql())
+def title_kinds(spark, d):
+    """Titles made of a subject and an ending; cancelled and proposed ones are kinds of their own."""
+    pick = lambda values, k: F.get(F.array(*map(F.lit, values)), (F.col(k) % len(values)).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", X.title_kind(F.concat(pick(_TITLES, "o_custkey"), pick(_ENDINGS, "o_orderkey"))).alias("kind"))
+
+
 @register("clipped_text", r"""with t as (select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as t from documents) select doc_id, case when length(t) > 80 then regexp_replace(substr(t, 1, 79), '\s+\S*$', '') || '…' else t end as short from t""")
 def clipped_text(spark, d):
     return table(spark, d, "documents").select("doc_id", X.clipped(F.col("text"), 80).alias("short"))
@@ -94,14 +114,13 @@ def turns_within_budget(spark, d):
     return table(spark, d, "conversations").withColumn("s", F.sum(F.char_length("text")).over(w)).where("s <= 1500").select("conv_id", "turn")
 
 
-@register("identity_lines", r"""select doc_id, coalesce(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '(?i)licen[sc]e'))[1], substr(text, 1, 20)) as line from documents""")
-def identity_lines(spark, d):
-    lines = F.filter(F.split("text", "\n"), lambda l: l.rlike("(?i)licen[sc]e"))
-    return table(spark, d, "documents").select("doc_id", F.coalesce(F.get(lines, F.lit(0)), F.substring("text", 1, 20)).alias("line"))
-
-
+@register(
+    "identity_lines",
+    r"""with t as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(regexp_replace(l, '[ \t\n\x0B\f\r]+', ' ', 'g'))), lambda l: l <> '') as lines from documents)
+    select doc_id, coalesce(list_filter(lines, lambda l: regexp_matches(l, '(?i)licen[sc]e'))[1], array_to_string(lines, ' ')) as line from t""",
+)
 @register("identity_lines_whole")
-def identity_lines_whole(spark, d):
+def identity_lines(spark, d):
     """The first licence line, else the whole text; white space is one blank and empty lines don't count."""
     lines = F.filter(F.transform(F.split("text", "\n"), X.collapsed), lambda l: l != "")
     found = F.get(F.filter(lines, lambda l: l.rlike("(?i)licen[sc]e")), F.lit(0))
@@ -113,22 +132,13 @@ def title_case(spark, d):
     return table(spark, d, "part").select("p_partkey", X.title_case(F.concat("p_name", F.lit("-"), "p_brand", F.lit("/"), "p_type")).alias("name"))
 
 
-@register("unmentioned_suppliers", "select s_suppkey from supplier s where s_suppkey < 60 and not exists (select 1 from orders o where o.o_orderdate >= timestamp '1998-07-01' and contains('Supplier#' || lpad((o.o_custkey % 80)::varchar, 9, '0'), s.s_name))")
+@register("unmentioned_suppliers", "select s_suppkey from supplier s where not exists (select 1 from orders o where o.o_orderdate >= timestamp '1998-07-01' and contains('Supplier#' || lpad((o.o_custkey % 80)::varchar, 9, '0'), s.s_name))")
+@register("unmentioned_suppliers_all")
 def unmentioned_suppliers(spark, d):
-    return _unmentioned(spark, d, table(spark, d, "supplier").where("s_suppkey < 60"))
-
-
-def _unmentioned(spark, d, suppliers):
     """Names that no recent text holds: names are looked up by their tokens, not compared with every text."""
     texts = table(spark, d, "orders").where("o_orderdate >= timestamp_ntz '1998-07-01'").select(F.concat(F.lit("Supplier#"), F.lpad((F.col("o_custkey") % 80).cast("string"), 9, "0")).alias("t"))
     tokens = texts.select(F.explode(F.regexp_extract_all("t", F.lit(r"(\w+#\d+)"), F.lit(1))).alias("s_name")).distinct()
-    return suppliers.join(tokens, "s_name", "left_anti").select("s_suppkey")
-
-
-@register("unmentioned_suppliers_all")
-def unmentioned_suppliers_all(spark, d):
-    """Of all suppliers those whose name no recent text holds."""
-    return _unmentioned(spark, d, table(spark, d, "supplier"))
+    return table(spark, d, "supplier").join(tokens, "s_name", "left_anti").select("s_suppkey")
 
 
 @register("coded_words", r"""select doc_id, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^[A-Z]{2,}'))) as capitals, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^[+-]?(TS|RA|DE|LA)$'))) as codes from documents""")

@@ -1,4 +1,4 @@
-"""Queries over all rows or whole texts, which have no SQL, against brute force on small tables."""
+"""Queries over all rows or whole texts against brute force on small tables."""
 
 from datetime import datetime, timedelta
 
@@ -20,7 +20,7 @@ def test_interval_join_counts_all(spark, tmp_path):
         n = sum(a <= t < a + timedelta(days=k % 9) and (t.date() - a.date()).days < 3 for k, _, a in orders)
         if n:
             want[key] = want.get(key, 0) + n
-    assert {r.l_orderkey: r.n for r in run(spark, tmp_path, "interval_join_counts_all")} == want
+    assert {r.l_orderkey: r.n for r in run(spark, tmp_path, "interval_join_counts")} == want
 
 
 def test_unmentioned_suppliers_all(spark, tmp_path):
@@ -31,14 +31,14 @@ def test_unmentioned_suppliers_all(spark, tmp_path):
     texts = [f"Supplier#{k % 80:09d}" for k, t in orders if t >= datetime(1998, 7, 1)]
     want = {k for k, name in suppliers if not any(name in t for t in texts)}
     assert max(want) > 60
-    assert {r.s_suppkey for r in run(spark, tmp_path, "unmentioned_suppliers_all")} == want
+    assert {r.s_suppkey for r in run(spark, tmp_path, "unmentioned_suppliers")} == want
 
 
 def test_texts_are_read_whole(spark, tmp_path):
     far = "x " * 50
     texts = {1: far + "action of the day", 2: far + "beau", 3: far, 4: "the " + far, 5: far + "\n\n  MIT \t License  \nlicence", 6: f" a  b\n\n{far}c", 7: far + "vie de chat"}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    kinds = {r.doc_id: r.kind for r in run(spark, tmp_path, "title_cascade_whole")}
+    kinds = {r.doc_id: r.kind for r in run(spark, tmp_path, "title_cascade")}
     assert kinds == {1: "closure", 2: "route", 3: "other", 4: "program", 5: "other", 6: "other", 7: "delay"}
-    lines = {r.doc_id: r.line for r in run(spark, tmp_path, "identity_lines_whole")}
+    lines = {r.doc_id: r.line for r in run(spark, tmp_path, "identity_lines")}
     assert lines == {k: " ".join(t.split()) for k, t in texts.items()} | {5: "MIT License"}
