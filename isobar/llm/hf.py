@@ -6,6 +6,7 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -28,6 +29,7 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
 
 
+_APART = "\U0010ffff"
 _SPLITS = {"spaced": split_spaced, "words": split_words}
 
 
@@ -69,8 +71,15 @@ class TextEncoder:
         split = _SPLITS.get(kind)
         letters, model = byte_letters(), self.tokenizer.model
 
+        def spelt(text: str) -> str:
+            return text.encode().decode("latin-1").translate(letters)
+
         def resolve(pieces: list[str]) -> list[list[int]]:
-            return [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
+            # All pieces are spelt in one go, apart by a character that no text should have.
+            whole = _APART.join(pieces)
+            own = spelt(whole).split(spelt(_APART)) if whole.count(_APART) == len(pieces) - 1 else [spelt(p) for p in pieces]
+            tokenize = model.tokenize
+            return [[t.id for t in tokenize(p)] for p in own]
 
         self.pieces = PieceEncoder(split, resolve) if split else None
 
@@ -84,3 +93,9 @@ class TextEncoder:
             return
         for row, found in enumerate(self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             yield row, np.array(found.ids, np.int32), np.array([0, len(found.ids)])
+
+
+@lru_cache(maxsize=2)
+def text_encoder(prepared: tuple[str, str, bool]) -> TextEncoder:
+    """The encoder of a worker process: reading a vocabulary takes a good part of a second, so its later tasks use it again."""
+    return TextEncoder(prepared)

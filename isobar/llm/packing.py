@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .hf import TextEncoder, prepared, read_tokenizer
+from .hf import prepared, read_tokenizer, text_encoder
 from .shared import free_name, small_batches, written
 
 #: Cells of the coarse grid, and the most documents in a pattern.
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id
     spec = docs.sparkSession.sparkContext.broadcast(prepared(read_tokenizer(docs.sparkSession, tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(spec.value)
+        encoder = text_encoder(spec.value)
         for batch in batches:
             for row, ids, offsets in encoder.batches(batch.column(1).fill_null("").to_pylist()):
                 at, piece, start, length, raw = [], [], [], [], []

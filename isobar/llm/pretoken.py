@@ -1,6 +1,6 @@
 """Splitting text into the pieces that a BPE vocabulary merges within, as array operations on code points.
 
-Every piece that recurs in a batch is resolved once; a small dictionary keeps pieces between batches.
+Every piece that recurs in a batch is resolved once, and a table of hashes keeps pieces between batches.
 """
 
 from __future__ import annotations
@@ -94,12 +94,61 @@ def split_words(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 Split = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
+class _Store:
+    """Ids of pieces by the pieces' hashes, in sorted arrays: a large one, and a small one that joins it when it has grown."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.levels = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.ids, self.used = np.zeros(1 << 12, np.int32), 0
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids begin in ``ids`` (-1 where it isn't known), and how many they are."""
+        at, n = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        for known, begin, size in self.levels:
+            if len(known):
+                i = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[i] == hashes
+                at[hit], n[hit] = begin[i[hit]], size[i[hit]]
+        return at, n
+
+    def add(self, hashes: np.ndarray, found: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(size.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * total, np.int32)])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
+        begin = self.used + np.cumsum(size) - size
+        self.used += total
+        small = [np.concatenate(x) for x in zip(self.levels[1], (hashes, begin, size), strict=True)]
+        if len(small[0]) > 1 << 16:
+            small = [np.concatenate(x) for x in zip(self.levels[0], small, strict=True)]
+            self.levels = [self._sorted(small), tuple(x[:0] for x in small)]
+        else:
+            self.levels[1] = self._sorted(small)
+        return begin, size
+
+    @staticmethod
+    def _sorted(level: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        order = np.argsort(level[0])
+        return tuple(x[order] for x in level)
+
+    @property
+    def full(self) -> bool:
+        return len(self.levels[0][0]) + len(self.levels[1][0]) > self.limit
+
+
 class PieceEncoder:
-    """Token ids of whole texts: ``split`` gives pieces, ``resolve`` the ids of pieces that aren't known yet."""
+    """Token ids of whole texts: ``split`` gives pieces, ``resolve`` the ids of pieces that aren't known yet.
+
+    About ``known`` pieces are kept between batches, some 40 bytes each; pieces are told apart by 64-bit hashes.
+    """
 
-    def __init__(self, split: Split, resolve: Callable[[list[str]], Sequence[Sequence[int]]], known: int = 150_000) -> None:
-        self.split, self.resolve, self.limit = split, resolve, known
-        self.known: dict[str, Sequence[int]] = {}
+    def __init__(self, split: Split, resolve: Callable[[list[str]], Sequence[Sequence[int]]], known: int = 600_000) -> None:
+        self.split, self.resolve, self.store = split, resolve, _Store(known)
 
     def batches(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first text, ids, offsets): the texts in order, about CHUNK_CHARS code points at a time."""
@@ -120,19 +169,16 @@ class PieceEncoder:
         start, end = self.split(cp, offsets)
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        _, first, which = np.unique(span_hashes(cp, start, end), return_index=True, return_inverse=True)
-        pieces = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        missing = [p for p in pieces if p not in self.known]
-        if missing:
-            self.known.update(zip(missing, self.resolve(missing), strict=True))
-        found = [self.known[p] for p in pieces]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-        firsts = np.cumsum(sizes) - sizes
-        n = sizes[which]
+        kinds, first, which = np.unique(span_hashes(cp, start, end), return_index=True, return_inverse=True)
+        if self.store.full:
+            self.store.clear()
+        at, size = self.store.places(kinds)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            pieces = [whole[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+            at[new], size[new] = self.store.add(kinds[new], self.resolve(pieces))
+        n = size[which]
         ends = np.cumsum(n)
-        ids = flat[np.repeat(firsts[which] - (ends - n), n) + np.arange(ends[-1])]
+        ids = self.store.ids[np.repeat(at[which] - (ends - n), n) + np.arange(ends[-1])]
         cut = np.searchsorted(start, offsets)
         return ids, np.concatenate([[0], ends])[cut]

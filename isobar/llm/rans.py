@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .hf import TextEncoder, prepared, read_tokenizer
+from .hf import prepared, read_tokenizer, text_encoder
 from .shared import shared_dir, small_batches, written
 
 LANES = 128
@@ -193,7 +193,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, id: str
     spec = docs.sparkSession.sparkContext.broadcast(prepared(read_tokenizer(docs.sparkSession, tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = TextEncoder(spec.value), TaskContext.get().partitionId(), 0
+        encoder, part, before = text_encoder(spec.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             for row, ids, offsets in encoder.batches(batch.column(1).to_pylist()):
                 raw = [np.append(ids[a:b], end_id).astype("<u4").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
