@@ -98,32 +98,52 @@ def canonical_turns(df: DataFrame, *, id: str = "conv_id") -> DataFrame:  # noqa
     return df.select(F.col(id), F.posexplode(turns).alias("turn", "t")).select(id, F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
 
 
+def record_paths(fields: Column) -> Column:
+    """Sorted distinct field paths of a JSON object given as a map of its fields: the fields, and those of objects and arrays in them."""
+    inner = lambda v, kind: F.map_keys(F.from_json(v, kind))
+
+    def of_field(e: Column) -> Column:
+        k, v = e["key"], F.coalesce(e["value"], F.lit(""))
+        items = F.array_distinct(F.flatten(F.transform(F.from_json(v, "array<map<string,string>>"), F.map_keys)))
+        in_list = F.when(v.startswith("["), F.transform(items, lambda x: F.concat(k, F.lit("[]."), x)))
+        in_object = F.when(v.startswith("{"), F.transform(inner(v, "map<string,string>"), lambda x: F.concat(k, F.lit("."), x)))
+        return F.coalesce(in_list, in_object, F.array(k))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.map_entries(fields), of_field))))
+
+
 def turns_of_json(df: DataFrame, *, id: str = "conv_id", record: str = "record") -> DataFrame:  # noqa: A002
-    """Canonical turns of JSON records of mixed layouts: each layout that occurs is found by its fingerprint and mapped as a whole.
+    """(id, turn, role, text) of JSON records of mixed layouts, in one pass over them.
 
-    Layouts that occur are listed by their schema (as many rows as layouts). Records of no known layout, broken and null
-    ones have no turns.
+    Each record's field paths (two levels) are hashed to its fingerprint, which selects the mapping; with more fields than
+    a known layout's, the known one of the most paths among them. Known layouts are a fixed list, whatever else occurs:
+    records of no known layout, broken and null ones have no turns.
     """
-    parsed = df.withColumn("_layout", F.schema_of_variant(F.try_parse_json(record)))
-    found = [r["_layout"] for r in parsed.select("_layout").where("_layout is not null").distinct().collect()]
-    out = []
-    for layout in found:
-        # Variants write objects in their own way; a field without any value so far counts as text.
-        if not layout.startswith("OBJECT<"):
-            continue
-        kind = T.StructType.fromDDL(layout[7:-1].replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING"))
-        try:
-            mapping_for(field_paths(kind))
-        except ValueError:
-            continue
-        rows = parsed.where(F.col("_layout") == layout).select(F.col(id).alias("_id"), F.from_json(record, kind).alias("r")).select("_id", "r.*")
-        out.append(canonical_turns(rows, id="_id").withColumnRenamed("_id", id))
-    if not out:
-        return df.select(F.col(id), F.lit(0).cast("long").alias("turn"), F.lit("").alias("role"), F.lit("").alias("text")).limit(0)
-    whole = out[0]
-    for more in out[1:]:
-        whole = whole.unionByName(more)
-    return whole
+    fields = F.from_json(F.col(f"`{record}`").cast("string"), "map<string,string>")
+    mark = lambda paths: F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16)
+    rows = df.select(F.col(f"`{id}`").alias("id"), fields.alias("fields")).where("fields is not null").select("id", "fields", record_paths(F.col("fields")).alias("paths"))
+    number = F.lit(None).cast("int")
+    for k, m in sorted(enumerate(MAPPINGS), key=lambda x: len(x[1].paths)):
+        number = F.when(F.size(F.array_except(F.array(*map(F.lit, m.paths)), F.col("paths"))) == 0, F.lit(k)).otherwise(number)
+    known = F.create_map(*[x for f, m in REGISTRY.items() for x in (F.lit(f), F.lit(MAPPINGS.index(m)))])
+    rows = rows.select("id", "fields", F.coalesce(F.try_element_at(known, mark(F.col("paths"))), number).alias("layout")).where("layout is not null")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    value = lambda name: F.try_element_at(F.col("fields"), F.lit(name))
+    turn = lambda k, role, t: F.struct(k.cast("long").alias("turn"), role.alias("role"), t.alias("text"))
+
+    def turns(m: Mapping) -> Column:
+        if m.order:
+            return F.array(turn(value(m.order), _named(value(m.role), m.roles), text(value(m.text))))
+        if m.turns:
+            item = lambda t, name: F.try_element_at(t, F.lit(name))
+            return F.transform(F.from_json(value(m.turns), "array<map<string,string>>"), lambda t, k: turn(k, _named(item(t, m.role), m.roles), text(item(t, m.text))))
+        joined = lambda names: F.array_join(F.filter(F.array(*(text(value(n)) for n in names)), lambda x: x != ""), "\n\n")
+        return F.array(*(turn(F.lit(k), F.lit(role), joined(names)) for k, (role, names) in enumerate(m.parts)))
+
+    made = F.lit(None)
+    for k, m in enumerate(MAPPINGS):
+        made = F.when(F.col("layout") == k, turns(m)).otherwise(made)
+    return rows.select("id", F.explode(made).alias("t")).select(F.col("id").alias(id), "t.turn", "t.role", "t.text")
 
 
 def escaped(text: Column) -> Column:

@@ -238,10 +238,11 @@ def test_chat_round_trip(spark):
 
 
 def test_layouts(spark):
-    records = [{"prompt": "a", "completion": "b"}, {"instruction": "i", "input": "n", "output": "o"}, {"messages": [{"role": "human", "content": "h"}, {"role": "gpt", "content": "g"}]}, {"conversations": [{"from": "human", "value": "q"}], "extra": {"x": 1}}, {"x": 1}, {"prompt": None, "completion": "c"}]
-    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)] + [(9, "{bad"), (10, None)], "conv_id long, record string")
+    records = [{"prompt": "a", "completion": "b"}, {"instruction": "i", "input": "n", "output": "o"}, {"messages": [{"role": "human", "content": "h"}, {"role": "gpt", "content": "g"}]}, {"conversations": [{"from": "human", "value": "q"}], "extra": {"x": 1}}, {"x": 1}, {"prompt": None, "completion": "c"}, [1], {"turn": 3, "role": "user", "text": "t"}, {"question": "q", "answer": "a", "id": 7, "meta": {"k": [1]}}, {"messages": []}]
+    records += [{"messages": [{"role": "user", "content": "x"}], f"f{k}": k} for k in range(300)]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)] + [(1009, "{bad"), (1010, None)], "conv_id long, record string")
     got = sorted(map(tuple, chat.turns_of_json(df).collect()))
-    assert got == [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "user", "i\n\nn"), (1, 1, "assistant", "o"), (2, 0, "user", "h"), (2, 1, "assistant", "g"), (3, 0, "user", "q"), (5, 0, "user", ""), (5, 1, "assistant", "c")]
+    assert got == [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "user", "i\n\nn"), (1, 1, "assistant", "o"), (2, 0, "user", "h"), (2, 1, "assistant", "g"), (3, 0, "user", "q"), (5, 0, "user", ""), (5, 1, "assistant", "c"), (7, 3, "user", "t"), (8, 0, "user", "q"), (8, 1, "assistant", "a")] + [(k, 0, "user", "x") for k in range(10, 310)]
     assert chat.turns_of_json(df.limit(0)).count() == 0
     assert chat.schema_fingerprint(["b", "a"]) == chat.schema_fingerprint(["a", "b", "a"])
 
