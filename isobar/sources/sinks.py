@@ -1,10 +1,10 @@
-"""Publishing: contract checks first, then a staged write that replaces the old output as a whole."""
+"""Publishing: contract checks first, then one replaced pointer file makes the new output the current one."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,28 +14,56 @@ def violations(df: DataFrame, rules: dict[str, Column], key: Column) -> DataFram
     return df.select(F.explode(broken).alias("rule"), key.alias("key"))
 
 
+_POINTER = "current"
+
+
+def _files(spark: SparkSession, path: str):  # noqa: ANN202
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def publish(df: DataFrame, path: str, rules: dict[str, Column], key: Column) -> DataFrame:
-    """Writes ``df`` beside ``path``, checks what was written, and only then puts it in place; else the old output stays.
+    """Writes ``df`` as a new version under ``path``, checks what was written, then points ``path`` at it; else the old one stays.
 
-    A breach raises ValueError with the rules' names. Gives the published table.
+    The pointer is a small file that is replaced by one rename: readers by :func:`published` see the old version or the new
+    one, whenever a job stops. Older versions stay until :func:`drop_old`. A breach raises ValueError with the rules' names.
     """
     spark = df.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    staged, target = f"{path}.staged-{uuid.uuid4().hex}", fs_path(path)
-    df.write.parquet(staged)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    bad = [r["rule"] for r in violations(spark.read.parquet(staged), rules, key).select("rule").distinct().collect()]
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    bad = [r["rule"] for r in violations(spark.read.parquet(f"{path}/{version}"), rules, key).select("rule").distinct().collect()]
+    jvm, at, fs = _files(spark, path)
     if bad:
-        fs.delete(fs_path(staged), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(at, version), True)
         raise ValueError(f"not published: {', '.join(sorted(bad))}")
-    old = fs_path(f"{path}.old-{uuid.uuid4().hex}")
-    had = fs.exists(target)
-    if had:
-        fs.rename(target, old)
-    fs.rename(fs_path(staged), target)
-    if had:
-        fs.delete(old, True)
-    return spark.read.parquet(path)
+    staged = jvm.org.apache.hadoop.fs.Path(at, f"{_POINTER}-{version}")
+    out = fs.create(staged, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(staged, jvm.org.apache.hadoop.fs.Path(at, _POINTER), overwrite)
+    return published(spark, path)
+
+
+def _version(spark: SparkSession, path: str) -> str:
+    return spark.read.text(f"{path}/{_POINTER}", wholetext=True).first()[0]
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The version that ``path`` points at."""
+    return spark.read.parquet(f"{path}/{_version(spark, path)}")
+
+
+def drop_old(spark: SparkSession, path: str) -> int:
+    """Deletes every version but the current one; run it when no reader is left on them. Gives their number."""
+    jvm, at, fs = _files(spark, path)
+    now = _version(spark, path)
+    old = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("version-") and f.getPath().getName() != now]
+    for f in old:
+        fs.delete(f, True)
+    return len(old)
 
 
 def stamp(parameters: dict) -> Column:

@@ -185,7 +185,9 @@ def test_publish_all_or_nothing(spark, tmp_path):
     sinks.publish(spark.createDataFrame([(1,), (2,)], "x int"), path, rules, F.col("x"))
     with pytest.raises(ValueError, match="positive"):
         sinks.publish(spark.createDataFrame([(1,), (-2,), (None,)], "x int"), path, rules, F.col("x"))
-    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert sorted(r.x for r in sinks.published(spark, path).collect()) == [1, 2]
+    assert sorted(r.x for r in sinks.publish(spark.createDataFrame([(3,)], "x int"), path, rules, F.col("x")).collect()) == [3]
+    assert sinks.drop_old(spark, path) == 1 and [r.x for r in sinks.published(spark, path).collect()] == [3]
     stamps = spark.range(1).select(sinks.stamp({"a": 1, "b": 2}).alias("p"), sinks.stamp({"b": 2, "a": 1}).alias("q"), sinks.stamp({"a": 1, "b": 3}).alias("r")).first()
     assert stamps.p == stamps.q != stamps.r
 
@@ -207,3 +209,12 @@ def test_runs_of_zero_blocks():
     """Option 0 with a unary 4 stands for the rest of the segment; a 1 for two blocks."""
     assert (aec.decode(bytes([0b00000001]), 16 * 3, 8, 16, 3, 0) == 0).all()
     assert (aec.decode(bytes([0b00000101, 0b00000000][:1]) + b"", 16 * 2, 8, 16, 2, 0) == 0).all()
+
+
+def test_quoted_csv_and_placemarks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,place\n"x, ""y""","two\nlines"\nplain,1\n')
+    assert sorted(map(tuple, T.quoted_csv(spark, str(tmp_path / "a.csv"), "name string, place string").collect())) == [("plain", "1"), ('x, "y"', "two\nlines")]
+    ring = "<Polygon><outerBoundaryIs><LinearRing><coordinates>1.5,2,0 3,4,0\n 5,6.5,0</coordinates></LinearRing></outerBoundaryIs></Polygon>"
+    (tmp_path / "a.kml").write_text(f"<kml><Document><Placemark><name>one</name><description>d</description>{ring}</Placemark><Placemark><name>none</name></Placemark></Document></kml>")
+    got = {r.name: r for r in T.placemarks(spark, str(tmp_path / "a.kml")).collect()}
+    assert [(p.x, p.y) for p in got["one"].ring] == [(1.5, 2.0), (3.0, 4.0), (5.0, 6.5)] and got["none"].ring is None
