@@ -56,7 +56,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("quality rules", rules_stage), ("quality classifier", classifier_stage), ("near-duplicates", dedup_stage), ("packing", packing_stage)]
 
-#: Expectation-maximisation, training and packing have no SQL; tests hold near-duplicates against brute force over planted pairs; the other stages' operators have tests of their own.
+#: Expectation-maximisation, training and packing have no SQL; tests hold every stage and the whole run against plain versions.
 ORACLE_SQL = None
 
 
