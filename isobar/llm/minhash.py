@@ -9,8 +9,9 @@
    comparison of the full sets. Links form components.
 4. Buckets in which several components are left are compared within; pairs of different components whose estimate allows a
    link leave the bucket, and each is confirmed on full sets. So links that both hubs miss are found as well. A bucket of
-   more than BLOCK classes is cut into smaller ones first, by further small groups of registers: texts that merely share
-   one band fall apart there. What is still large is compared in blocks, its largest component against the rest only.
+   more than BLOCK classes is compared in blocks, its largest component against the rest only. Where that rest is large
+   too, the bucket is cut into smaller ones first, by further small groups of registers: texts that merely share one band
+   fall apart there.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ MANTISSA_BITS = 10
 MARGIN = 6.0
 #: Classes of one bucket that are compared together in step 4.
 BLOCK = 512
-#: Groups of registers, and registers in each, by which larger buckets are cut.
+#: Classes outside a bucket's largest component up to which it isn't cut; groups of registers, and registers in each, by which it is.
+REST = 4 * BLOCK
 CUTS, CUT_REGISTERS = 56, 6
 
 
@@ -199,8 +201,10 @@ def _overlaps(short: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 def _mixed(rows: DataFrame, by: list[str]) -> DataFrame:
-    """(by, n): groups with several components."""
-    return rows.groupBy(*by).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(*by, "n")
+    """(by, n, rest, largest): groups with several components, their rows, and those outside their largest component."""
+    counts = rows.groupBy(*by, "component").agg(F.count("*").alias("m"))
+    sizes = counts.groupBy(*by).agg(F.max(F.struct("m", "component")).alias("main"), F.sum("m").alias("n"))
+    return sizes.select(*by, "n", (F.col("n") - F.col("main.m")).alias("rest"), F.col("main.component").alias("largest")).where("rest > 0")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -220,15 +224,15 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.select("key", "band", "rep", "component", "registers").mapInArrow(run, "key long, sub long, band int, rep long, component long")
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` (key, sub, ..., rep, component) with mine, i, j: every pair of different components meets in a pair of blocks i <= j.
+def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` (key, sub, ..., rep, component) of the groups in ``sizes``, with mine, i, j.
 
-    A group's largest component is set against the others only, so that the rows made grow with the others' number.
+    Every pair of different components meets in a pair of blocks i <= j. A group's largest component is set against the
+    others only, so that the rows made grow with the others' number.
     """
-    by = ["key", "sub"]
-    sizes = rows.groupBy(*by, "component").agg(F.count("*").alias("m")).groupBy(*by).agg(F.max(F.struct("m", "component")).alias("main"), F.sum("m").alias("n"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = sizes.select(*by, F.col("main.component").alias("largest"), blocks(F.col("n") - F.col("main.m")).alias("rest"), blocks(F.col("main.m")).alias("most"))
+    by = [c for c in sizes.columns if c in ("key", "sub")]
+    sizes = sizes.select(*by, "largest", blocks(F.col("rest")).alias("rest"), blocks(F.col("n") - F.col("rest")).alias("most"))
     r = rows.join(sizes, by).withColumn("largest", F.col("component") == F.col("largest"))
     place = lambda n: F.pmod(F.xxhash64("rep"), n.cast("long")).cast("int")
     r = r.withColumn("mine", F.when(F.col("largest"), F.col("rest") + place(F.col("most"))).otherwise(place(F.col("rest"))))
@@ -246,13 +250,16 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets:
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = written(_mixed(labelled, ["key"]), "mixed", 8192)
     whole = [F.lit(0).alias(c) for c in ("mine", "i", "j")]
-    rows = labelled.join(mixed.where(F.col("n") <= BLOCK).select("key"), "key").select("key", F.lit(0).cast("long").alias("sub"), "band", "rep", "component", *whole)
-    large = mixed.where(F.col("n") > BLOCK).select("key")
-    if large.limit(1).count():
-        cut = written(_cut(labelled.join(large, "key").join(classes.select("rep", "registers"), "rep")), "cut", 8192)
+    uncut = ["key", F.lit(0).cast("long").alias("sub"), "band", "rep", "component"]
+    rows = labelled.join(mixed.where(F.col("n") <= BLOCK).select("key"), "key").select(*uncut, *whole)
+    large = mixed.where(F.col("n") > BLOCK)
+    rows = rows.unionByName(_in_blocks(labelled.select(*uncut), large.where(F.col("rest") <= REST)))
+    many = large.where(F.col("rest") > REST).select("key")
+    if many.limit(1).count():
+        cut = written(_cut(labelled.join(many, "key").join(classes.select("rep", "registers"), "rep")), "cut", 8192)
         parts = written(_mixed(cut, ["key", "sub"]), "parts", 8192)
         small = cut.join(parts.where(F.col("n") <= BLOCK).select("key", "sub"), ["key", "sub"])
-        rows = rows.unionByName(small.select(*cut.columns, *whole)).unionByName(_in_blocks(cut.join(parts.where(F.col("n") > BLOCK).select("key", "sub"), ["key", "sub"])))
+        rows = rows.unionByName(small.select(*cut.columns, *whole)).unionByName(_in_blocks(cut, parts.where(F.col("n") > BLOCK)))
     short = _shortened(sets)
     rows = rows.join(classes.select("rep", "n_shingles", "registers"), "rep").join(short, "rep")
 
@@ -299,7 +306,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     are one class if their sets are equal, else their links count together. Extra columns are ignored; an empty table
     gives an empty result. A band is missed by a pair at the threshold with 1 - t^rows, so that all bands are missed
     with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8, and
-    the cuts of a bucket of over BLOCK classes with (1 - 0.85^6)^56 = 3e-12 (4e-8 at 0.8).
+    the cuts of a bucket with over REST classes outside its largest component with (1 - 0.85^6)^56 = 3e-12 (4e-8 at 0.8).
     """
     sigs = written(signatures(docs, text=text, size=size, bands=bands, rows=rows), "signatures")
     key = ["set_hi", "set_lo", "n_shingles"]

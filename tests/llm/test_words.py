@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -66,9 +67,11 @@ def test_components_equal_brute_force(spark, docs):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_left_over_pairs_are_found_in_blocks(spark, monkeypatch):
-    """With a block of four rows most pairs of a bucket lie in different blocks."""
+@pytest.mark.parametrize("rest", [0, 10_000])
+def test_left_over_pairs_are_found_in_blocks(spark, monkeypatch, rest):
+    """With a block of four rows most pairs of a bucket lie in different blocks; with no rest allowed, buckets are cut first."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "REST", rest)
     rng = np.random.default_rng(3)
     base = [f"b{k}" for k in range(300)]
     texts = {}
