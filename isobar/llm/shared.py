@@ -27,7 +27,7 @@ def written(df: DataFrame, name: str, rows_per_batch: int = 512) -> DataFrame:
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
