@@ -13,12 +13,15 @@ from ..session import reachable
 from .bpe import decode, encode
 from .classifier import quality_classifier
 from . import chat, rans
+from .divergence import divergence_audit, divergence_sql
 from .fingerprints import likeness
 from .html import extract
 from .licences import licence_scan, licence_sql
 from .minhash import near_duplicates
 from .packing import pack_documents
+from .resampling import importance_resample, resample_sql
 from .rules import quality_rules
+from .secrets import secret_scan, secret_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,9 +88,22 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select("doc_id", "classifier.*")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source stands for an owner, and its documents of one language for a repository: the table has neither."""
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op7_chat": op7_chat, "op8_rans": op8_rans, "op9_html": op9_html, "op10_classifier": op10_classifier}
+    return {"op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_licences": op4_licences, "op5_rules": op5_rules, "op6_digest": op6_digest, "op7_chat": op7_chat, "op8_rans": op8_rans, "op9_html": op9_html, "op10_classifier": op10_classifier, "op11_resampling": op11_resampling, "op12_secrets": op12_secrets, "op13_divergence": op13_divergence}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licences": licence_sql()}
+    return {"op4_licences": licence_sql(), "op11_resampling": resample_sql(), "op12_secrets": secret_sql(), "op13_divergence": divergence_sql()}

@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,3 +79,40 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table
         yield from flush()
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+#: Rows up to which a counted table is broadcast, and the copies of a larger one, among which a hot key's rows are dealt.
+BROADCAST_ROWS, SALTS = 200_000, 16
+
+
+def beside(rows: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """``rows`` joined with ``small`` (one row for each key): broadcast if a count finds few rows, else in salted parts.
+
+    In the second case each row of ``small`` is there once for each salt, so that no key's rows all meet in one task.
+    """
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), on, how)
+    salt = free_name(rows, "salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(SALTS)))
+    copies = small.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return dealt.join(copies, [*on, salt], how).drop(salt)
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str, upto: int | None = None) -> DataFrame:
+    """``rows`` with ``name``: 1, 2, 3... in ``order`` over the whole table; beyond ``upto`` null.
+
+    Spark cuts the rows into ranges by sampling. Each range is numbered by itself, after as many as the ranges before it hold;
+    one task sees one row for each range, never all rows. Ranges that lie beyond ``upto`` aren't sorted.
+    """
+    part, before = free_name(rows, "part"), free_name(rows, "before")
+    ranged = written(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy(part).agg(F.count("*").alias(before))
+    earlier = F.sum(before).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(part, F.coalesce(earlier, F.lit(0)).alias(before))
+    placed = ranged.join(F.broadcast(sizes), part)  # one row for each range
+    number = F.row_number().over(Window.partitionBy(part).orderBy(*order)) + F.col(before)
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    if upto is None:
+        return placed.select(*kept, number.cast("long").alias(name))
+    near = placed.where(F.col(before) < upto).select(*kept, F.when(number <= upto, number).cast("long").alias(name))
+    return near.unionByName(placed.where(F.col(before) >= upto).select(*kept, F.lit(None).cast("long").alias(name)))
