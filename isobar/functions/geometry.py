@@ -1,10 +1,7 @@
-"""Rings and paths as arrays of (x, y): expressions where the built-in functions can say it, Arrow functions where they can't."""
+"""Rings and paths as arrays of (x, y), in expressions of built-in functions."""
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -125,39 +122,3 @@ def clip_line(path: Column, w: Column | float, s: Column | float, e: Column | fl
         return F.aggregate(segments, F.struct(F.array().cast(lines).alias("done"), none.alias("open")), step, closed)
 
     return bound(path, over)
-
-
-def _simplified(points: list[tuple[float, float]], tolerance: float, metric: str) -> list[tuple[float, float]]:
-    keep = {0, len(points) - 1}
-    stack = [(0, len(points) - 1)]
-    while stack:
-        lo, hi = stack.pop()
-        if hi - lo < 2:
-            continue
-        (ax, ay), (bx, by) = points[lo], points[hi]
-        scale = math.cos(math.radians((ay + by) / 2)) if metric == "cosine" else 1.0
-        dx, dy = (bx - ax) * scale, by - ay
-        length = dx * dx + dy * dy
-        far, where = -1.0, lo
-        for k in range(lo + 1, hi):
-            px, py = (points[k][0] - ax) * scale, points[k][1] - ay
-            t = (px * dx + py * dy) / length if length else 0.0
-            if metric != "line":
-                t = min(1.0, max(0.0, t))
-            d = math.hypot(px - t * dx, py - t * dy)
-            if d > far:
-                far, where = d, k
-        if far > tolerance:
-            keep.add(where)
-            stack += [(lo, where), (where, hi)]
-    return [points[k] for k in sorted(keep)]
-
-
-def simplify(path: Column, tolerance: float, metric: str = "segment") -> Column:
-    """Douglas-Peucker; ``metric`` is the distance to the "segment", to the endless "line", or "cosine" for degrees."""
-
-    @F.pandas_udf(POINTS)
-    def run(paths: pd.Series) -> pd.Series:
-        return paths.map(lambda p: [{"x": x, "y": y} for x, y in _simplified([(q["x"], q["y"]) for q in p], tolerance, metric)] if p is not None and len(p) else p)
-
-    return run(path)

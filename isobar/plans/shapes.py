@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as Geo
 from ..functions import observations as Ob
-from ..operators import tracing
+from ..functions import simplification as Si
+from ..operators import outlines, tracing
 from .registry import register, table
 
 
@@ -26,10 +27,17 @@ def clipped_rings(spark, d):
 @register("simplified_paths")
 def simplified_paths(spark, d):
     p = paths(spark, d)
-    sizes = [F.size(Geo.simplify(F.col("p"), 1.5, m)).alias(m) for m in ("segment", "line", "cosine")]
+    sizes = [F.size(Si.simplify(F.col("p"), 1.5, m)).alias(m) for m in ("segment", "line", "cosine")]
     return p.select("o_custkey", F.size("p").alias("points"), *sizes)
 
 
+@register("outlines_within_budget")
+def outlines_within_budget(spark, d):
+    """Orders of a customer as a ring, simplified so that a nation's rings keep 300 points in all."""
+    nation = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return outlines.within_budget(paths(spark, d).join(nation, "o_custkey"), ["c_nationkey"], "p", 300)
+
+
 @register("axes_of_flow")
 def axes_of_flow(spark, d):
     """Pairs of tiles as west-east and south-north wind on a coarse grid."""

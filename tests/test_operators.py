@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.functions import geometry as Geo
 from isobar.functions import scalars as S
+from isobar.functions import simplification as Si
 from isobar.functions import text as X
 from isobar.operators import grids as G
 from isobar.operators import ordered as O
@@ -110,7 +111,7 @@ def test_rings(spark):
     assert {(p["x"], p["y"]) for p in clipped} == {(5.0, 5.0), (10.0, 5.0), (10.0, 8.0), (5.0, 8.0)}
     path = [(k / 10, 0.001 * math.sin(k)) for k in range(50)] + [(5.0, 3.0)]
     line = spark.createDataFrame([([{"x": a, "y": b} for a, b in path],)], f"p {Geo.POINTS}")
-    assert len(line.select(Geo.simplify(F.col("p"), 0.01).alias("s")).first()["s"]) == 3
+    assert len(line.select(Si.simplify(F.col("p"), 0.01).alias("s")).first()["s"]) == 3
 
 
 @pytest.mark.parametrize("template", [0, 2, 3, 41, 42])
