@@ -8,15 +8,22 @@ of a sort key (the value's bits, then the term's UTF-8 bytes) narrow each group
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import beside, written
 
-#: Terms, of which A-Z are lower-cased then.
+#: Terms, of which A-Z are lower-cased then. In UTF-8 they are runs of letters and of bytes beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPLIT = bytes(b | 32 if chr(b) in UPPER else b if b > 127 or chr(b) in LOWER else 32 for b in range(256))
+#: Terms that a task holds before it hands on its sums.
+HELD = 300_000
 #: Documents of a language that a term needs, the unit of probabilities, and terms listed for a source.
 LEAST_DOCS, UNIT, TOP = 3, 1_000_000_000, 200
 #: Hex digits of a sort key that one histogram covers, and rows of a group that may be left to sort.
@@ -24,18 +31,40 @@ DIGITS, FEW = 4, 2_000
 _GROUP = ["lang", "source"]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over a task's texts, handed on whenever HELD terms have come together."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, df) in held.items():
+            terms = pa.array([None, *n], pa.binary()).cast(pa.string())
+            k = len(terms)
+            yield pa.record_batch([pa.array([lang] * k), pa.array([source] * k), terms, pa.array([0, *n.values()], pa.int64()), pa.array([0, *(df[t] for t in n)], pa.int64())], names=["lang", "source", "term", "n", "df"])
+
+    for batch in batches:
+        texts = batch["text"].cast(pa.binary()).to_pylist()
+        for text, lang, source in zip(texts, batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True):
+            n, df = held.setdefault((lang, source), (Counter(), Counter()))
+            size -= len(n)
+            terms = text.translate(_SPLIT).split()
+            n.update(terms)
+            df.update(set(terms))
+            size += len(n)
+            if size >= HELD:
+                yield from flush()
+                held, size = {}, 0
+    yield from flush()
+
+
 def term_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, term, n, df): occurrences and documents of each term; a null term for each group keeps those without terms.
 
-    Sums start where the texts are read, so that a group of a third of all rows sends each term once a task.
+    Sums start where the texts are read, so that a group of a third of all rows sends each term a few times a task.
     """
-    name = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    terms = F.transform(F.regexp_extract_all(name(text), F.lit(TERM), F.lit(0)), lambda t: F.translate(t, UPPER, LOWER))
-    found = docs.select(name(lang).alias("lang"), name(source).alias("source"), terms.alias("terms"))
-    occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("df")))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("df")))
-    group = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("n"), F.lit(0).alias("df")))
-    rows = found.select(*_GROUP, F.explode(F.concat(group, once, occurrences)).alias("t")).select(*_GROUP, "t.*")
+    name = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c)
+    given = docs.select(name(text), name(lang), name(source)).toDF("text", "lang", "source")
+    rows = given.mapInArrow(_counted, "lang string, source string, term string, n long, df long")
     return rows.groupBy(*_GROUP, "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
