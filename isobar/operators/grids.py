@@ -38,19 +38,25 @@ def stencil(values: Column, width: int, height: int, work) -> Column:  # noqa: A
 
 
 def smooth(values: Column, width: int, height: int) -> Column:
-    """The 1-2-1 filter in both directions; missing neighbours leave their weight to the others."""
+    """The 1-2-1 filter in both directions; missing neighbours leave their weight to the others.
 
-    def work(get, j: Column, i: Column) -> Column:  # noqa: ANN001
-        total, weight = F.lit(0.0), F.lit(0.0)
-        for dj in (-1, 0, 1):
-            for di in (-1, 0, 1):
-                w = (1 if dj else 2) * (1 if di else 2)
-                x = get(dj, di)
-                total = total + F.coalesce(x, F.lit(0.0)) * w
-                weight = weight + F.when(x.isNull(), 0.0).otherwise(float(w))
-        return F.when(weight > 0, total / weight)
+    The filter is one pass along the rows and one along the columns, over the values (0 where missing) and over their weights.
+    A tile without missing values, the usual one, has the weights of its shape, which are a constant.
+    """
 
-    return stencil(values, width, height, work)
+    def passes(a: Column) -> Column:
+        along = lambda r: F.transform(r, lambda x, p: 2 * x + F.when(p % width == 0, 0.0).otherwise(F.get(r, p - 1)) + F.when(p % width == width - 1, 0.0).otherwise(F.get(r, p + 1)))
+        across = lambda r: F.transform(r, lambda x, p: 2 * x + F.coalesce(F.get(r, p - width), F.lit(0.0)) + F.coalesce(F.get(r, p + width), F.lit(0.0)))
+        return bound(bound(a, along), across)
+
+    one = lambda k, n: 4.0 - (k == 0) - (k == n - 1)
+    shape = F.array(*(F.lit(one(j, height) * one(i, width)) for j in range(height) for i in range(width)))
+
+    def over(v: Column) -> Column:
+        weights = F.when(F.exists(v, lambda x: x.isNull()), passes(F.transform(v, lambda x: F.when(x.isNull(), 0.0).otherwise(1.0)))).otherwise(shape)
+        return F.zip_with(passes(F.transform(v, lambda x: F.coalesce(x, F.lit(0.0)))), weights, lambda t, w: F.when(w > 0, t / w))
+
+    return bound(values, over)
 
 
 def gradient(values: Column, width: int, height: int, axis: str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .running import running
+
 
 def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key. Give an order without ties; Spark cuts each task's rows to n before the shuffle."""
@@ -49,8 +51,11 @@ def program_windows(events: DataFrame, keys: list[str]) -> DataFrame:
 
     ``events``: t, cancel, p_start, p_end, day. An advisory that is sent before the open window's end, or whose period
     begins within 60 seconds of it, revises the window: the newest end wins, so a window can shrink. Without a period a
-    window goes on within its day only. A cancellation ends it at the minute it was sent. One fold in time order over a
-    key's own advisories.
+    window goes on within its day only. A cancellation ends it at the minute it was sent.
+
+    An advisory that no window before can reach starts an island: the one after a cancellation, and one of a later day that
+    neither is sent before the latest end so far nor begins within its minute. The window before is closed by then, whatever it
+    was, so that islands are folded by themselves, in time order, and no task holds a key's advisories.
     """
     minute = 60
     item = F.struct("t", F.col("cancel").cast("int").alias("cancel"), "p_start", "p_end", "day")
@@ -77,6 +82,12 @@ def program_windows(events: DataFrame, keys: list[str]) -> DataFrame:
         plain = F.struct(F.when(goes_on, s["done"]).otherwise(closed).alias("done"), F.when(goes_on, revised).otherwise(opened).alias("cur"))
         return F.when(e["cancel"] == 1, F.struct(on_cancel.alias("done"), none.alias("cur"))).otherwise(plain)
 
-    rows = events.where("t is not null").groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("e"))
+    sent = events.where("t is not null").withColumn("_item", item)
+    latest = F.when(F.col("p_start").isNotNull(), F.col("p_end"))
+    seen = running(sent, keys, [F.col("_item")], maxima={"_end": latest, "_day": F.col("day"), "_last": F.col("_item")}, current=False)
+    reached = (F.col("t") <= F.col("_end")) | (F.col("p_start") <= F.col("_end") + minute)
+    first = F.col("_last").isNull() | (F.col("_last.cancel") == 1) | ((F.col("day") > F.col("_day")) & ~F.coalesce(reached, F.lit(False)))
+    parts = running(seen, keys, [F.col("_item")], maxima={"_island": F.when(first & (F.col("_item.cancel") == 0), F.col("_item"))})
+    rows = parts.groupBy(*keys, "_island").agg(F.array_sort(F.collect_list("_item")).alias("e"))
     last = rows.select(*keys, F.aggregate("e", start, step, lambda s: F.when(s["cur"].isNotNull(), F.array_append(s["done"], s["cur"])).otherwise(s["done"])).alias("w"))
     return last.select(*keys, F.explode("w").alias("w")).select(*keys, "w.*")

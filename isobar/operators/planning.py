@@ -4,26 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..sources.steps import step
-
-
-def running_total(rows: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
-    """``rows`` with ``name``: the sum of ``value`` up to and with each row in ``order``, by ``keys`` (none: over all rows).
-
-    Spark cuts the rows into ranges by sampling, whatever the keys' sizes. A range is summed by itself, after what the ranges
-    before it hold of its key: one key may hold all rows, and no task sees more than a range and one row for each range.
-    """
-    ranged = step(rows.withColumn("_v", value).repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ranged")
-    sums = ranged.groupBy(*keys, "_part").agg(F.sum("_v").alias("_before"))
-    earlier = F.sum("_before").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    sums = sums.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_part").alias("_p"), F.coalesce(earlier, F.lit(0)).alias("_before"))
-    same = F.col("_part") == F.col("_p")
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-    inside = F.sum("_v").over(Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return ranged.withColumn("_in", inside).join(sums, same).withColumn(name, F.col("_in") + F.col("_before")).select(*rows.columns, name)
+from .running import running
 
 
 def spread_rank(slot: Column, bits: int) -> Column:
@@ -43,9 +25,9 @@ def budgeted(slots: DataFrame, host: str, order: list[Column], cost: str, per_ho
     no two slots share. Costs are of 0 or more; null costs nothing.
     """
     priced = slots.withColumn(cost, F.coalesce(F.col(cost), F.lit(0)))
-    due = running_total(priced.where("state is null"), [host], order, F.col(cost), "host_total")
+    due = running(priced.where("state is null"), [host], order, sums={"host_total": F.col(cost)})
     fits = due.where(F.col("host_total") <= per_host)
-    fits = running_total(fits, [], order, F.col(cost), "total")
+    fits = running(fits, [], order, sums={"total": F.col(cost)})
     said = F.when(F.col("total") <= in_all, F.lit("chosen")).otherwise(F.lit("limit in all"))
     columns = [*slots.columns]
     chosen = fits.select(*columns, "host_total", "total", said.alias("reason"))

@@ -69,18 +69,20 @@ def cell_percentages(polygons: DataFrame, samples: DataFrame, *, day: str, sampl
 
 
 def touched(ring: Column, areas: list[tuple[str, float, float, float, float]]) -> Column:
-    """The names of areas (name, west, south, east, north) that a ring reaches, copies one turn east and west included."""
+    """The names of areas (name, west, south, east, north) that a ring reaches, copies one turn east and west included.
 
-    def reaches(r: Column, w: float, s: float, e: float, n: float) -> Column:
-        frame = F.struct(F.lit(w).alias("w"), F.lit(s).alias("s"), F.lit(e).alias("e"), F.lit(n).alias("n"))
-        near = bound(Geo.box(r), lambda b: Geo.boxes_touch(b, frame))
-        return near & (F.size(Geo.clip_to_box(r, w, s, e, n)) >= 3)
+    The areas are a constant array that one expression goes through: what the driver builds doesn't grow with their number, and
+    a ring is clipped to the boxes that its own box touches only.
+    """
+    edge = lambda v: F.lit(float(v))
+    copies = [F.struct(F.lit(name).alias("name"), edge(w + t).alias("w"), edge(s).alias("s"), edge(e + t).alias("e"), edge(n).alias("n")) for name, w, s, e, n in areas for t in (0, -360, 360)]
 
-    def names(r: Column) -> Column:
-        each = [F.when(reaches(r, w, s, e, n) | reaches(r, w - 360, s, e - 360, n) | reaches(r, w + 360, s, e + 360, n), F.lit(name)) for name, w, s, e, n in areas]
-        return F.array_compact(F.array(*each))
+    def names(b: Column) -> Column:
+        r, own = b["ring"], b["box"]
+        reached = F.filter(b["areas"], lambda a: Geo.boxes_touch(own, a) & (F.size(Geo.clip_to_box(r, a["w"], a["s"], a["e"], a["n"])) >= 3))
+        return F.array_distinct(F.transform(reached, lambda a: a["name"]))
 
-    return bound(ring, names)
+    return bound(F.struct(ring.alias("ring"), Geo.box(ring).alias("box"), F.array(*copies).alias("areas")), names)
 
 
 def area_inside(ring: Column, w: float, s: float, e: float, n: float) -> Column:

@@ -6,7 +6,8 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from isobar.operators.planning import budgeted, running_total, spread_rank
+from isobar.operators.planning import budgeted, spread_rank
+from isobar.operators.running import running
 from isobar.plans.due import frames_of_events
 from isobar.streaming import counters
 from isobar.streaming.counters import closed_days, counts, empty_state, keep_counters, merged
@@ -89,12 +90,15 @@ def test_running_totals_with_one_key_of_most_rows(spark):
     rows = [(rng.choice(["hot", "hot", "hot", "cold", None]), k, rng.randrange(5)) for k in range(3_000)]
     df = spark.createDataFrame(rows, "g string, i long, v long").repartition(8)
     for keys in ([], ["g"]):
-        got = {r.i: r.t for r in running_total(df, keys, [F.col("i").desc()], F.col("v"), "t").collect()}
-        sums, want = defaultdict(int), {}
-        for g, i, v in sorted(rows, key=lambda r: -r[1]):
-            sums[g if keys else 0] += v
-            want[i] = sums[g if keys else 0]
-        assert got == want
+        for current in (True, False):
+            got = {r.i: (r.t, r.m) for r in running(df, keys, [F.col("i").desc()], {"t": F.col("v")}, {"m": F.struct("v", "i")}, current=current).collect()}
+            sums, most, want = defaultdict(int), {}, {}
+            for g, i, v in sorted(rows, key=lambda r: -r[1]):
+                k = g if keys else 0
+                before = sums[k], most.get(k)
+                sums[k], most[k] = sums[k] + v, max(most.get(k, (-1, -1)), (v, i))
+                want[i] = (sums[k], most[k]) if current else before
+            assert got == want
 
 
 def test_plan_stays_within_limits_and_says_why(spark):
