@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from . import areas, bulletins, due, frames, lookups, nested, products, scalars, shapes, texts, tiles, views  # noqa: F401
+    from . import areas, bulletins, contracts, due, frames, lookups, nested, notices, products, scalars, shapes, texts, tiles, views  # noqa: F401
 
 
 def queries() -> dict[str, Run]:
