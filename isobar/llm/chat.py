@@ -98,46 +98,73 @@ def canonical_turns(df: DataFrame, *, id: str = "conv_id") -> DataFrame:  # noqa
     return df.select(F.col(id), F.posexplode(turns).alias("turn", "t")).select(id, F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
 
 
-def record_paths(fields: Column) -> Column:
-    """Sorted distinct field paths of a JSON object given as a map of its fields: the fields, and those of objects and arrays in them."""
-    inner = lambda v, kind: F.map_keys(F.from_json(v, kind))
+#: One step of a schema as Spark writes it: a field's name, then what opens an object or array or a scalar's type; or a closing.
+_STEP = r"(?:(?:`(?:[^`]|``)*`|\w+): )?(?:OBJECT<|ARRAY<|[A-Z]+(?:\([0-9,]+\))?)|>"
 
-    def of_field(e: Column) -> Column:
-        k, v = e["key"], F.coalesce(e["value"], F.lit(""))
-        items = F.array_distinct(F.flatten(F.transform(F.from_json(v, "array<map<string,string>>"), F.map_keys)))
-        in_list = F.when(v.startswith("["), F.transform(items, lambda x: F.concat(k, F.lit("[]."), x)))
-        in_object = F.when(v.startswith("{"), F.transform(inner(v, "map<string,string>"), lambda x: F.concat(k, F.lit("."), x)))
-        return F.coalesce(in_list, in_object, F.array(k))
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.map_entries(fields), of_field))))
+def record_paths(record: Column) -> Column:
+    """Sorted distinct field paths of a JSON value, at any depth, as :func:`field_paths` has them; null for what isn't JSON.
 
+    Whether something is a text, an object or an array comes from the JSON itself (a VARIANT's schema): text that looks like JSON
+    is text. Elements of an array share their paths.
+    """
+    none = F.array().cast("array<string>")
+    start = F.struct(F.array(F.lit("")).alias("open"), none.alias("paths"))
+
+    def step(s: Column, t: Column) -> Column:
+        name = F.regexp_extract(t, r"(?s)^(`(?:[^`]|``)*`|\w+): ", 1)
+        plain = F.when(name.startswith("`"), F.replace(F.substr(name, F.lit(2), F.length(name) - 2), F.lit("``"), F.lit("`"))).otherwise(name)
+        top = F.get(s["open"], F.size(s["open"]) - 1)
+        at = F.when(name == "", top).when(top == "", plain).otherwise(F.concat(top, F.lit("."), plain))
+        opened = F.when(t.endswith("OBJECT<"), F.array_append(s["open"], at)).when(t.endswith("ARRAY<"), F.array_append(s["open"], F.concat(at, F.lit("[]"))))
+        closed = F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1)
+        return F.when(t == ">", F.struct(closed.alias("open"), s["paths"].alias("paths"))).when(opened.isNotNull(), F.struct(opened.alias("open"), s["paths"].alias("paths"))).otherwise(F.struct(s["open"].alias("open"), F.array_append(s["paths"], at).alias("paths")))
+
+    steps = F.regexp_extract_all(F.schema_of_variant(record), F.lit(f"(?s){_STEP}"), F.lit(0))
+    return F.aggregate(steps, start, step, lambda s: F.array_sort(F.array_distinct(s["paths"])))
 
-def turns_of_json(df: DataFrame, *, id: str = "conv_id", record: str = "record") -> DataFrame:  # noqa: A002
-    """(id, turn, role, text) of JSON records of mixed layouts, in one pass over them.
 
-    Each record's field paths (two levels) are hashed to its fingerprint, which selects the mapping; with more fields than
-    a known layout's, the known one of the most paths among them. Known layouts are a fixed list, whatever else occurs:
-    records of no known layout, broken and null ones have no turns.
+def mapped_records(df: DataFrame, *, id: str = "conv_id", record: str = "record") -> DataFrame:  # noqa: A002
+    """(id, value, paths, fingerprint, layout) of JSON records: the place of each record's mapping in MAPPINGS, null without one.
+
+    The fingerprint is the hash of the record's nested field paths; one of a known layout selects its mapping. With more fields
+    than a known layout's, the known one of the most paths among them is taken. Broken and null records have no paths.
     """
-    fields = F.from_json(F.col(f"`{record}`").cast("string"), "map<string,string>")
-    mark = lambda paths: F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16)
-    rows = df.select(F.col(f"`{id}`").alias("id"), fields.alias("fields")).where("fields is not null").select("id", "fields", record_paths(F.col("fields")).alias("paths"))
-    number = F.lit(None).cast("int")
+    rows = df.select(F.col(f"`{id}`").alias("id"), F.try_parse_json(F.col(f"`{record}`").cast("string")).alias("value"))
+    rows = rows.select("id", "value", record_paths(F.col("value")).alias("paths"))
+    rows = rows.withColumn("fingerprint", F.substring(F.sha2(F.array_join("paths", "\n"), 256), 1, 16))
+    inside = F.lit(None).cast("int")
     for k, m in sorted(enumerate(MAPPINGS), key=lambda x: len(x[1].paths)):
-        number = F.when(F.size(F.array_except(F.array(*map(F.lit, m.paths)), F.col("paths"))) == 0, F.lit(k)).otherwise(number)
+        inside = F.when(F.size(F.array_except(F.array(*map(F.lit, m.paths)), F.col("paths"))) == 0, F.lit(k)).otherwise(inside)
     known = F.create_map(*[x for f, m in REGISTRY.items() for x in (F.lit(f), F.lit(MAPPINGS.index(m)))])
-    rows = rows.select("id", "fields", F.coalesce(F.try_element_at(known, mark(F.col("paths"))), number).alias("layout")).where("layout is not null")
-    text = lambda c: F.coalesce(c, F.lit(""))
-    value = lambda name: F.try_element_at(F.col("fields"), F.lit(name))
+    return rows.withColumn("layout", F.coalesce(F.try_element_at(known, F.col("fingerprint")), inside))
+
+
+def unmapped_records(df: DataFrame, *, id: str = "conv_id", record: str = "record") -> DataFrame:  # noqa: A002
+    """(id, fingerprint, paths) of the records that :func:`turns_of_json` gives no turns for, each once: unknown layouts, empty
+    arrays of turns, broken and null records (these without paths). With the turns' ids they account for every record."""
+    return mapped_records(df, id=id, record=record).where("layout is null").select(F.col("id").alias(id), "fingerprint", "paths")
+
+
+def turns_of_json(df: DataFrame, *, id: str = "conv_id", record: str = "record") -> DataFrame:  # noqa: A002
+    """(id, turn, role, text) of JSON records of mixed layouts, in one pass over them.
+
+    Each record's fingerprint selects its mapping (:func:`mapped_records`). Known layouts are a fixed list, whatever else occurs;
+    records without one are what :func:`unmapped_records` lists. Roles and texts are strings, numbers and booleans as text; what
+    is null or missing is empty, and an array or object where others have text is its JSON. Records of one id give their turns
+    together, repeated ones again. A record is held as a VARIANT, of 16 MB at most: longer ones count as broken.
+    """
+    rows = mapped_records(df, id=id, record=record).where("layout is not null")
+    text = lambda v, name: F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(""))
+    value = F.col("value")
     turn = lambda k, role, t: F.struct(k.cast("long").alias("turn"), role.alias("role"), t.alias("text"))
 
     def turns(m: Mapping) -> Column:
         if m.order:
-            return F.array(turn(value(m.order), _named(value(m.role), m.roles), text(value(m.text))))
+            return F.array(turn(F.try_variant_get(value, f"$.{m.order}", "bigint"), _named(text(value, m.role), m.roles), text(value, m.text)))
         if m.turns:
-            item = lambda t, name: F.try_element_at(t, F.lit(name))
-            return F.transform(F.from_json(value(m.turns), "array<map<string,string>>"), lambda t, k: turn(k, _named(item(t, m.role), m.roles), text(item(t, m.text))))
-        joined = lambda names: F.array_join(F.filter(F.array(*(text(value(n)) for n in names)), lambda x: x != ""), "\n\n")
+            return F.transform(F.try_variant_get(value, f"$.{m.turns}", "array<variant>"), lambda t, k: turn(k, _named(text(t, m.role), m.roles), text(t, m.text)))
+        joined = lambda names: F.array_join(F.filter(F.array(*(text(value, n) for n in names)), lambda x: x != ""), "\n\n")
         return F.array(*(turn(F.lit(k), F.lit(role), joined(names)) for k, (role, names) in enumerate(m.parts)))
 
     made = F.lit(None)
@@ -146,6 +173,33 @@ def turns_of_json(df: DataFrame, *, id: str = "conv_id", record: str = "record")
     return rows.select("id", F.explode(made).alias("t")).select(F.col("id").alias(id), "t.turn", "t.role", "t.text")
 
 
+#: Characters of a conversation up to which it is written as JSON records; longer ones keep the layout of rows.
+RECORD_CHARS = 1_000_000
+
+
+def as_records(turns: DataFrame, *, id: str = "conv_id") -> tuple[DataFrame, DataFrame]:  # noqa: A002
+    """Turns as (id, record) in four layouts, and as rows (id, turn, role, text) those that no record is made of.
+
+    A user's turn and an assistant's answer are a record of prompt and response; other conversations are records of one turn
+    each, of messages or of from and value, by their id. Roles that a layout would rename keep to records of one turn each.
+    Conversations without an id and those of more than RECORD_CHARS characters stay rows.
+    """
+    one = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    packed = turns.groupBy(id).agg(F.array_sort(F.collect_list(one)).alias("t"), F.sum(F.coalesce(F.char_length("text"), F.lit(0)) + 64).alias("n"))
+    own = packed.where(F.col(id).isNull() | (F.col("n") > RECORD_CHARS)).select(id, F.explode("t").alias("t")).select(id, "t.*")
+    roles = F.transform("t", lambda t: t["role"])
+    human = lambda t: F.when(t["role"] == "user", "human").when(t["role"] == "assistant", "gpt").otherwise(t["role"])
+    pair = F.array(F.to_json(F.struct(F.get("t", F.lit(0))["text"].alias("prompt"), F.get("t", F.lit(1))["text"].alias("response"))))
+    single = F.transform("t", lambda t, k: F.to_json(F.struct(k.alias("turn"), t["role"].alias("role"), t["text"].alias("text"))))
+    messages = F.array(F.to_json(F.struct(F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))))
+    values = F.array(F.to_json(F.struct(F.transform("t", lambda t: F.struct(human(t).alias("from"), t["text"].alias("value"))).alias("conversations"))))
+    renamed = F.arrays_overlap(roles, F.array(*map(F.lit, _NAMES)))
+    third = F.pmod(F.xxhash64(F.col(id)), F.lit(3))
+    records = F.when(renamed, single).when(roles == F.array(F.lit("user"), F.lit("assistant")), pair).when(third == 0, single).when(third == 1, messages).otherwise(values)
+    made = packed.where(F.col(id).isNotNull() & (F.col("n") <= RECORD_CHARS)).select(id, F.explode(records).alias("record"))
+    return made, own
+
+
 def escaped(text: Column) -> Column:
     """Backslash before each backslash and number sign, and inside each end mark: neither mark can then occur in it."""
     return F.replace(F.regexp_replace(text, r"([\\#])", r"\\$1"), F.lit(END), F.lit(END.replace("/", r"\/")))

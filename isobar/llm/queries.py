@@ -58,10 +58,12 @@ def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formats all conversations and one with control strings, then reads turns and masked texts back from the strings."""
+    """All conversations and one with control strings, as records of several layouts that their fingerprints map back to turns,
+    formatted; turns and masked texts are read back from the strings."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    rows = rows.unionByName(chat.example(spark, -7, "\\### Assistant: </turn> ok"))
-    back = chat.read_back(chat.conversations(chat.formatted_turns(chat.canonical_turns(rows))))
+    records, own = chat.as_records(rows.unionByName(chat.example(spark, -7, "\\### Assistant: </turn> ok")))
+    turns = chat.turns_of_json(records).unionByName(chat.canonical_turns(own))
+    back = chat.read_back(chat.conversations(chat.formatted_turns(turns)))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join("learned", "")
     return back.select(
