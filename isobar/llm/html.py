@@ -35,6 +35,10 @@ _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: What a form is filled in by, and characters of text for each from which on a form is a wrapper of the page.
+_CONTROLS, _WRAPPING = {"input", "select", "textarea", "button", "label"}, 60
+#: A tag that the page's end cuts off: markup, as browsers have it.
+_UNFINISHED = re.compile(r"</?[a-zA-Z][^<>]*+\Z")
 #: Blocks that are lines of the block around them, which is their container.
 _LINES = set("p li h1 h2 h3 h4 h5 h6 pre dt dd tr td th caption figcaption hr center".split())
 _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
@@ -53,6 +57,9 @@ _SUBJECT = re.compile(r"(?:^|(?<=\s))tag-\S*", re.I)
 #: Scores of where a block stands: inside boilerplate's own tags, a bad name, an element of content, a good name; what is left
 #: of the latter two inside a bad name. The innermost of them counts, but nothing lifts text out of boilerplate's tags.
 TAG, NAME, CONTENT, GOOD, CONTENT_IN_BAD, GOOD_IN_BAD = -5.0, -3.5, 3.0, 1.5, 2.0, 1.0
+#: The score that a page's best open block is lifted to if no block's is positive, enough to hold against a neighbour's edges.
+LEAST = 2.5
+_WORD = re.compile(r"\w")
 
 
 @dataclass
@@ -66,6 +73,8 @@ class Block:
     place: float
     heading: bool
     linked: int
+    form: int  # number of the form around it, 0 for none
+    bare: float  # its place if forms were nothing
 
 
 @dataclass
@@ -81,9 +90,11 @@ class _Open:
     content: bool
     heading: bool
     anchors: int
+    form: int
+    bare: float
 
 
-_ROOT = _Open("", -1, 0, 0.0, False, False, False, False, 0)
+_ROOT = _Open("", -1, 0, 0.0, False, False, False, False, 0, 0, 0.0)
 
 
 @dataclass
@@ -97,6 +108,7 @@ class _Page:
     linked: int = 0
     opened: int = 0
     lowest: int = 0
+    controls: dict[int, int] = field(default_factory=dict)
 
     @property
     def top(self) -> _Open:
@@ -106,7 +118,7 @@ class _Page:
         text = " ".join("".join(self.parts).split())
         if text:
             o, depth = self.top, len(self.stack)
-            self.blocks.append(Block(self.start, self.end, text, depth, min(self.lowest, depth), o.container, o.place, o.heading, self.linked))
+            self.blocks.append(Block(self.start, self.end, text, depth, min(self.lowest, depth), o.container, o.place, o.heading, self.linked, o.form, o.bare))
             self.lowest = depth
         self.parts, self.linked = [], 0
 
@@ -126,24 +138,28 @@ class _Page:
         fixed = o.fixed or tag in _BOILERPLATE and tag != "form" or tag == "header" and not o.good
         named_good = bool(names and _GOOD_NAME.search(names))
         good = o.good or tag in _CONTENT or named_good and not bad
-        place = o.place
-        if fixed:
-            place = TAG
-        elif tag in _CONTENT:
-            # A comment or a promoted page can be an article too; tag-x only says what an article is about.
-            if tag == "article" and _BAD_NAME.search(_SUBJECT.sub(" ", own)):
-                place = min(place, GOOD if named_good else NAME)
-            else:
-                place = CONTENT_IN_BAD if place < 0 else CONTENT
-        elif tag == "form" or bad and tag not in ("html", "body"):
-            place = NAME
-        elif named_good:
-            place = GOOD_IN_BAD if place < 0 else max(place, GOOD)
+        # A comment or a promoted page can be an article too; tag-x only says what an article is about.
+        other = tag == "article" and bool(_BAD_NAME.search(_SUBJECT.sub(" ", own)))
+
+        def within(place: float, forms: bool) -> float:
+            if fixed:
+                return TAG
+            if tag in _CONTENT:
+                return min(place, GOOD if named_good else NAME) if other else CONTENT_IN_BAD if place < 0 else CONTENT
+            if forms and tag == "form" or bad and tag not in ("html", "body"):
+                return NAME
+            return (GOOD_IN_BAD if place < 0 else max(place, GOOD)) if named_good else place
+
+        place, bare = within(o.place, True), within(o.bare, False)
         self.opened += 1
+        form = o.form
+        if tag == "form" and not form:
+            form = self.opened
+            self.controls[form] = 0
         n, is_block = len(self.stack), tag in _BLOCK
         container = self.opened if is_block and tag not in _LINES else o.container
         heading = o.heading or tag in ("h1", "h2", "h3", "blockquote", "pre")
-        self.stack.append(_Open(tag, n if is_block else o.block, container, place, fixed, good, o.content or tag in _CONTENT, heading, o.anchors + (tag == "a")))
+        self.stack.append(_Open(tag, n if is_block else o.block, container, place, fixed, good, o.content or tag in _CONTENT, heading, o.anchors + (tag == "a"), form, bare))
         self.at.setdefault(tag, []).append(n)
 
 
@@ -168,6 +184,8 @@ def blocks_of(html: str) -> list[Block]:
     while pos < len(html):
         m = _TOKEN.match(html, pos)
         token, begin, pos = m.group(), pos, m.end()
+        if token == "<" and _UNFINISHED.match(html, begin):
+            break
         if token[0] != "<" or token == "<":
             if not page.parts:
                 page.start = begin
@@ -181,6 +199,8 @@ def blocks_of(html: str) -> list[Block]:
         if not name:
             continue
         tag, closing = name.group(1).lower(), token[1] == "/"
+        if tag in _CONTROLS and not closing and page.top.form:
+            page.controls[page.top.form] += 1
         if tag in _SILENT:
             if not closing and tag != "head" and not token.endswith("/>"):
                 pos = _silent_end(html, tag, pos, never)
@@ -204,9 +224,29 @@ def blocks_of(html: str) -> list[Block]:
                 page.cut(at)
         page.open(tag, token)
     page.close()
+    _unwrapped(page)
     return page.blocks
 
 
+def _unwrapped(page: _Page) -> None:
+    """A form that holds most of the page's text, and much of it for each control, says nothing about what it holds."""
+    inside = dict.fromkeys(page.controls, 0)
+    total = 0
+    for b in page.blocks:
+        if b.place > TAG:
+            total += len(b.text)
+            if b.form:
+                inside[b.form] += len(b.text)
+    wrappers = {f for f, n in inside.items() if 2 * n >= total and n >= _WRAPPING * page.controls[f]}
+    for b in page.blocks:
+        if b.form in wrappers:
+            b.place = b.bare
+
+
+def _owned(text: str) -> bool:
+    return text.startswith("©") or "all rights reserved" in text.lower()
+
+
 def score(b: Block) -> float:
     """How much the block looks like content (positive) or boilerplate (negative): a sum of bounded features."""
     words, share = b.text.count(" ") + 1, b.linked / max(len(b.text), 1)
@@ -215,11 +255,22 @@ def score(b: Block) -> float:
     x += 0.4 if b.text[-1] in ".!?…\"”»。！？" else -0.3
     x += -(1.2 if b.place > 0 else 2.5) * share if share > 0.5 else 0.3 if share < 0.2 else 0.0
     x += 0.6 if b.heading else 0.0
-    if b.text.startswith("©") or "all rights reserved" in b.text.lower():
+    if _owned(b.text):
         x -= 2.5
     return x
 
 
+def scores_of(blocks: list[Block]) -> list[float]:
+    """The blocks' scores, relative to their page: where nothing speaks for any block, the best of those that nothing but their
+    size speaks against is lifted to LEAST, and the others of that kind with it."""
+    scores = [score(b) for b in blocks]
+    if max(scores, default=0.0) > 0:
+        return scores
+    open_ = [b.place >= 0 and 2 * b.linked <= len(b.text) and bool(_WORD.search(b.text)) and not _owned(b.text) for b in blocks]
+    lift = LEAST - max((x for x, ok in zip(scores, open_, strict=True) if ok), default=0.0)
+    return [x + lift if ok else x for x, ok in zip(scores, open_, strict=True)]
+
+
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """For each node whether it stays on the source's side of a minimum cut; edges cost their weight in either direction.
 
@@ -294,7 +345,7 @@ def main_blocks(html: str, *, adjacent: float = 0.8, same_container: float = 1.2
     blocks = blocks_of(html)
     if not blocks:
         return []
-    scores = [score(b) for b in blocks]
+    scores = scores_of(blocks)
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
@@ -302,19 +353,24 @@ def main_blocks(html: str, *, adjacent: float = 0.8, same_container: float = 1.2
         if b.container in last:
             edges.append((last[b.container], i, same_container))
         last[b.container] = i
-    side = minimum_cut([max(x, 0.0) for x in scores], [max(-x, 0.0) for x in scores], edges)
-    return [b for b, kept in zip(blocks, side, strict=True) if kept]
+    return [b for b, kept in zip(blocks, _kept(scores, edges), strict=True) if kept]
+
+
+def _kept(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    return minimum_cut([max(x, 0.0) for x in scores], [max(-x, 0.0) for x in scores], edges)
 
 
 def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
     """``pages`` without its html, with ``text`` and ``spans`` (start, end of each kept block in the html).
 
     Character references are decoded, white space in a block becomes one blank, blocks are trimmed and joined in page order
-    by one blank. Null and empty pages and pages without content have an empty text and no spans. Each row is worked on by
+    by one blank. Null and empty pages and pages without content have an empty text and no spans; a page whose only text is short
+    keeps it, one of links, menus, forms and notices doesn't. Each row is worked on by
     itself; other columns pass through, but columns named text or spans are replaced.
     """
     small_batches(pages.sparkSession, 256)
     kept = [c for c in pages.columns if c not in (html, "text", "spans")]
+    inner = [f"_{k}" for k in range(len(kept))]  # names of columns can hold anything
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,8 +380,8 @@ def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
                 found = main_blocks(page or "")
                 texts.append(" ".join(b.text for b in found))
                 spans.append([{"start": b.start, "end": b.end} for b in found])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(spans, span)], names=[*kept, "text", "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(spans, span)], names=[*inner, "text", "spans"])
 
-    source = pages.select(*kept, F.col(html).cast("string").alias("_html"))
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept)
-    return source.mapInArrow(run, f"{schema}{', ' if kept else ''}text string, spans array<struct<start:int,end:int>>")
+    source = pages.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(kept, inner, strict=True)), F.col(f"`{html}`").cast("string").alias("_html"))
+    schema = "".join(f"{k} {source.schema[k].dataType.simpleString()}, " for k in inner)
+    return source.mapInArrow(run, f"{schema}text string, spans array<struct<start:int,end:int>>").toDF(*kept, "text", "spans")

@@ -40,7 +40,7 @@ def test_labelling_is_the_cheapest_of_all():
         parts = [rng.choice([f"<p>{LONG}</p>", f"<p>{SHORT}</p>", "<div><a href=x>A link of some words</a></div>", f"<div><p>{SHORT}</p><p>{OTHER}</p></div>", f'<div class="ad">{OTHER}</div>']) for _ in range(6)]
         page = "<body>" + "".join(parts) + "</body>"
         blocks = html.blocks_of(page)
-        scores, last, edges = [html.score(b) for b in blocks], {}, []
+        scores, last, edges = html.scores_of(blocks), {}, []
         for i, b in enumerate(blocks):
             if i:
                 edges.append((i - 1, i, 0.8 * (1 + b.shared) / (1 + max(b.depth, blocks[i - 1].depth))))
