@@ -2,11 +2,15 @@
 
 1. Documents become pieces of at most ``capacity`` tokens; how many there are of each length is all that the plan needs
    (at most ``capacity`` numbers, whatever the corpus).
-2. Patterns of up to four lengths that fill a sequence are enumerated on a coarse grid of lengths. Non-negative least
-   squares give each a repeat count, which is rounded down.
-3. A pattern's repeats take exact lengths from its grid cells, the last one the longest that still fits.
-4. What is left goes, longest first, to the smallest gap that holds it; gaps of step 3 count as well. Patterns whose gap
-   is above a limit are taken back first; of several limits the one that needs the fewest sequences is taken.
+2. Patterns of few kinds of documents are enumerated on a coarse grid of lengths: up to four documents that fill a sequence,
+   or up to two and as many repeats of one short length as the rest holds. Non-negative least squares give each a repeat
+   count, which is rounded down.
+3. A pattern's repeats take exact lengths from its grid cells so that nothing is left over; for short lengths one of the
+   repeats is a longer one that takes up the rest. Where no exact lengths are left, a pattern is laid no more.
+4. What is left goes, longest first, to the smallest gap that holds it. Patterns are fitted to several shares of the
+   histogram, as short documents that patterns use up are missing from the rest; and, for lengths that leave gaps in any
+   case, with the last document the longest that still fits, patterns whose gap is above a limit being taken back. Of all
+   these the plan of the fewest sequences is taken, and of equal ones that with the most patterns.
 5. The plan says for each length which ranks go where. Pieces get their rank within their length in salted parts, so
    one very common length spreads over tasks, and look their place up.
 """
@@ -31,6 +35,10 @@ CELLS = 64
 DEPTH = 4
 #: Gaps above which a pattern's sequences are taken back, as tried; -1 takes all of them back.
 TAKE_BACK = (float("inf"), 64, 16, 4, 1, 0, -1)
+#: Shares of the histogram that patterns without gaps are fitted to, and steps of the fit.
+SHARES, STEPS = (1.0, 0.95, 0.85, 0.7, 0.55), 600
+#: Upper ends of the cells that repeats come from: lengths are finer there than the coarse grid.
+SHORT = (2, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024)
 #: Pieces of one length and salt that are ranked together, about.
 RANKED = 20_000
 
@@ -96,6 +104,18 @@ def nonnegative_fit(a: np.ndarray, b: np.ndarray, sweeps: int = 60) -> np.ndarra
     return x
 
 
+def projected_fit(a: np.ndarray, b: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """x >= 0 of least squared a x - b, by accelerated projected gradients: for many more patterns than cells."""
+    x = y = np.zeros(a.shape[1])
+    rate, t = 1.0 / max(np.linalg.norm(a, 2) ** 2, 1e-12), 1.0
+    for _ in range(steps):
+        new = np.maximum(y - rate * (a.T @ (a @ y - b)), 0.0)
+        after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        y = new + (t - 1) / after * (new - x)
+        x, t = new, after
+    return x
+
+
 class _Open:
     """Sequences with room left: groups of equal ones by their gap."""
 
@@ -164,6 +184,138 @@ def _laid(left: np.ndarray, capacity: int) -> list[tuple[int, int, list[tuple[in
     return laid
 
 
+class _Grid:
+    """Cells of lengths: the coarse ones, then those that repeats come from, each with its lengths' range and mean."""
+
+    def __init__(self, counts: np.ndarray, capacity: int) -> None:
+        self.width = max(1, capacity // CELLS)
+        coarse = [(k * self.width + 1, min((k + 1) * self.width, capacity)) for k in range(-(-capacity // self.width))]
+        ends = [e for e in SHORT if e < capacity // 2]
+        fine = [(a + 1, e) for a, e in zip([0, *ends], ends, strict=False)]
+        self.coarse, self.ranges = len(coarse), coarse + fine
+        lengths = np.arange(len(counts))
+        self.total = np.array([counts[a : e + 1].sum() for a, e in self.ranges], float)
+        self.mean = np.array([(counts[a : e + 1] * lengths[a : e + 1]).sum() / max(n, 1) for (a, e), n in zip(self.ranges, self.total, strict=True)])
+
+    def patterns(self, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+        """(cells of single documents, cell of repeats or -1) of every pattern whose cells hold documents."""
+        held = [k for k in range(len(self.ranges)) if self.total[k]]
+        single = {k for k in held if k < self.coarse}
+        # A length lies half a cell under its cell's end on average, so that n documents that fill a sequence end n / 2 cells higher.
+        out = [(tuple(x - 1 for x in p), -1) for up in range(3) for p in patterns(self.coarse + up, DEPTH) if len(p) // 2 <= up <= (len(p) + 1) // 2 and all(x - 1 in single for x in p)]
+        some = [()] + [(k,) for k in sorted(single)] + [(j, k) for j in sorted(single) for k in sorted(single) if k <= j and not (j % 4 or k % 4)]
+        for r in held:
+            if r >= self.coarse:
+                out += [(s, r) for s in some if self.repeats(s, r, capacity) >= 2]
+        return out
+
+    def repeats(self, singles: tuple[int, ...], cell: int, capacity: int) -> int:
+        return int((capacity - sum(self.mean[k] for k in singles)) // self.mean[cell])
+
+    def matrix(self, found: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each cell in each pattern, and in all; repeats count in the coarse cell of their mean."""
+        a = np.zeros((self.coarse, len(found)))
+        for j, (singles, cell) in enumerate(found):
+            for k in singles:
+                a[k, j] += max(self.mean[k], 1.0)
+            if cell >= 0:
+                lo, hi = self.ranges[cell]
+                inside = range((lo - 1) // self.width, (hi - 1) // self.width + 1)
+                weight = np.array([self.total[k] * self.mean[k] for k in inside])
+                a[list(inside), j] += self.repeats(singles, cell, capacity) * self.mean[cell] * weight / max(weight.sum(), 1e-9)
+        return a, self.total[: self.coarse] * self.mean[: self.coarse]
+
+
+def _most(left: np.ndarray, lo: int, hi: int, took: list[int]) -> int:
+    """The commonest length of a range, less what is taken already; 0 if none is left."""
+    held = left[lo : hi + 1].copy()
+    for t in took:
+        if lo <= t <= hi:
+            held[t - lo] -= 1
+    k = int(np.argmax(held)) if len(held) else 0
+    return lo + k if len(held) and held[k] > 0 else 0
+
+
+def _last_two(left: np.ndarray, lo: int, hi: int, space: int, took: list[int], slack: int) -> tuple[int, int] | None:
+    """A length of a range and the one that fills ``space`` with it, the pair of which the most are left."""
+    hi = min(hi, space - 1)
+    if lo > hi:
+        return None
+    held = left
+    if took:
+        held = left.copy()
+        for t in took:
+            held[t] -= 1
+    u = np.arange(lo, hi + 1)
+    v = space - u
+    fits = np.minimum(held[u], held[v])
+    fits = np.where(u == v, held[u] // 2, fits)
+    fits = np.where((v <= u) | (v <= lo + slack), fits, 0)
+    k = int(np.argmax(fits))
+    return (int(u[k]), int(v[k])) if fits[k] > 0 else None
+
+
+def _repeated(left: np.ndarray, lo: int, hi: int, space: int, took: list[int]) -> dict[int, int] | None:
+    """Repeats of one length of a range that fill ``space``, one of them longer by what would be left over."""
+    best, chosen = 0, None
+    lengths = np.flatnonzero(left[lo : hi + 1]) + lo
+    for x in lengths[np.argsort(-left[lengths], kind="stable")][:12].tolist():
+        n, over = divmod(space, x)
+        need = {x: n} if not over else {x: n - 1, x + over: 1}
+        need = {t: k for t, k in need.items() if k}
+        if not n or x + over >= len(left):
+            continue
+        run = min((int(left[t]) - took.count(t)) // k for t, k in need.items())
+        if run > best:
+            best, chosen = run, need
+    return chosen
+
+
+def _exact(left: np.ndarray, capacity: int, share: float) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Sequences by patterns that leave no gap, as :func:`_laid` gives them; takes their pieces out of ``left``."""
+    laid: list[tuple[int, int, list[tuple[int, int]]]] = []
+    grid = _Grid(left, capacity)
+    found = grid.patterns(capacity)
+    if not found:
+        return laid
+    a, b = grid.matrix(found, capacity)
+    repeats = np.floor(projected_fit(a / capacity, share * b / capacity)).astype(np.int64)
+    for j in np.argsort(-repeats, kind="stable"):
+        times = int(repeats[j])
+        singles, cell = found[j]
+        while times > 0:
+            took: list[int] = []
+            first = singles if cell >= 0 else singles[:-2]
+            for k in first:
+                t = _most(left, *grid.ranges[k], took)
+                if not t or sum(took) + t > capacity:
+                    break
+                took.append(t)
+            space = capacity - sum(took)
+            if len(took) < len(first) or space <= 0:
+                break
+            if cell >= 0:
+                need = _repeated(left, *grid.ranges[cell], space, took)
+            elif len(singles) == 1:
+                need = None
+            else:
+                pair = _last_two(left, *grid.ranges[singles[-2]], space, took, 2 * grid.width)
+                need = None if pair is None else {t: pair.count(t) for t in pair}
+            if need is None:
+                break
+            need = dict(need)
+            for t in took:
+                need[t] = need.get(t, 0) + 1
+            run = min(times, *(int(left[t]) // n for t, n in need.items()))
+            if run <= 0:
+                break
+            for t, n in need.items():
+                left[t] -= run * n
+            laid.append((0, run, sorted(need.items(), reverse=True)))
+            times -= run
+    return laid
+
+
 def _filled(left: np.ndarray, capacity: int, room: _Open) -> int:
     """Puts every piece of ``left``, longest first, into the smallest gap that holds it; says how many sequences it opened."""
     opened = 0
@@ -192,8 +344,13 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple
     """Groups of equal sequences for pieces of the given lengths: (how many sequences, [(length, pieces of it in each)]).
 
     Never more sequences than best fit over all pieces would need: that is the plan in which every pattern is taken back.
-    Of plans with equally many sequences the one with the most patterns is taken.
+    Of plans with equally many sequences the one with the most by patterns is taken.
     """
+    return _planned(histogram, capacity)[0]
+
+
+def _planned(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
+    """The plan and how many of its sequences were begun by patterns."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
@@ -201,23 +358,29 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple
     if left[capacity]:
         done.append((int(left[capacity]), [(capacity, 1)]))
         left[capacity] = 0
-    laid = _laid(left, capacity)
+    tried = []
+    for share in SHARES:
+        rest = left.copy()
+        tried.append((_exact(rest, capacity, share), rest, (float("inf"),)))
+    rest = left.copy()
+    tried.append((_laid(rest, capacity), rest, TAKE_BACK))
     best, chosen = None, _Open()
-    for limit in TAKE_BACK:
-        room, rest, kept = _Open(), left.copy(), 0
-        for gap, count, held in laid:
-            if gap <= limit:
-                room.add(gap, count, held)
-                kept += count
-            else:
-                for length, n in held:
-                    rest[length] += count * n
-        needed = kept + _filled(rest, capacity, room)
-        if best is None or needed < best:
-            best, chosen = needed, room
+    for laid, after, limits in tried:
+        for limit in limits:
+            room, rest, kept = _Open(), after.copy(), 0
+            for gap, count, held in laid:
+                if gap <= limit:
+                    room.add(gap, count, held)
+                    kept += count
+                else:
+                    for length, n in held:
+                        rest[length] += count * n
+            needed = (kept + _filled(rest, capacity, room), -kept)
+            if best is None or needed < best:
+                best, chosen = needed, room
     for gap in chosen.gaps:
         done += chosen.groups[gap]
-    return done
+    return done, -best[1]
 
 
 def pack(table: DataFrame, *, capacity: int = 4096, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
