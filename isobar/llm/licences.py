@@ -219,27 +219,59 @@ def licence_scan(docs: DataFrame, *, text: str = "text", templates: tuple[Templa
     none = F.array().cast("array<struct<t:int,o:int,n:int>>")
     place = free_name(hits, "places")
     placed = hits.select(*kept, "n_words", F.coalesce(bound(F.array_sort(aligned), in_place), none).alias(place))
-    keys_of, lengths, names = F.array(*(_array(list(t.keys)).cast("array<int>") for t in sought)), _array([t.length for t in sought]), _array([t.label for t in sought])
-    near = lambda x, y: (y["o"] >= x["o"] - SLACK) & (y["o"] <= x["o"] + F.get(lengths, x["t"]) + SLACK)
-    verified = lambda a, x: F.forall(F.get(keys_of, x["t"]), lambda k: F.exists(a, lambda y: (y["t"] == k) & near(x, y)))
-    accepted = bound(F.col(place), lambda a: F.filter(a, lambda x: (F.get(names, x["t"]) != "") & verified(a, x)))
-    placed = placed.withColumn(place, accepted)
-    base = F.filter(place, lambda x: x["t"] < sum(t.base for t in sought))
-    label = lambda a: F.array_sort(F.array_distinct(F.transform(a, lambda x: F.get(names, x["t"]))))
-    starts = F.transform(base, lambda x: x["o"].cast("long"))
-    worth = F.transform(place, lambda x: F.when(F.size(F.get(keys_of, x["t"])) > 0, 0.5 + 0.5 * x["n"] / F.get(sizes, x["t"])).otherwise(F.lit(0.5)))
+    names, with_keys = [t.label for t in sought], [k for k, t in enumerate(sought) if t.keys]
+    phrases = sorted({k for t in sought for k in t.keys})
+    n_base = sum(t.base for t in sought)
+    least, bases, named, bodies = F.col(place), *(free_name(hits, n) for n in ("base", "own", "bodies"))
+    base = F.filter(least, lambda x: x["t"] < n_base)
+    own = F.array_distinct(F.transform(F.filter(least, lambda x: x["t"].isin([k for k, t in enumerate(sought) if t.label and not t.keys])), lambda x: x["t"]))
+    placed = placed.select(*kept, "n_words", base.alias(bases), own.alias(named), _verified(least, sought, with_keys, phrases).alias(bodies))
+    label = lambda a: F.array_sort(F.array_distinct(F.transform(a, lambda t: F.get(_array(names), t))))
+    found = F.filter(F.transform(bodies, lambda n, i: F.when(n > 0, F.get(_array(with_keys), i))), lambda t: t.isNotNull())
+    starts = F.transform(bases, lambda x: x["o"].cast("long"))
+    body_sizes = _array([len(sought[k].places) for k in with_keys])
+    worth = F.transform(bodies, lambda n, i: F.when(n > 0, 0.5 + 0.5 * n / F.get(body_sizes, i)))
     return placed.select(
         *kept,
         "n_words",
-        F.size(base).cast("long").alias("n_base"),
+        F.size(bases).cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"),
-        F.array_join(label(base), ",").alias("base_labels"),
-        F.array_join(label(F.col(place)), ",").alias("labels"),
-        F.coalesce(F.array_max(worth), F.lit(0.0)).alias("score"),
+        F.array_join(label(F.transform(bases, lambda x: x["t"])), ",").alias("base_labels"),
+        F.array_join(label(F.concat(named, found)), ",").alias("labels"),
+        F.greatest(F.when(F.size(named) > 0, 0.5).otherwise(0.0), F.coalesce(F.array_max(worth), F.lit(0.0))).alias("score"),
     )
 
 
+def _verified(placements: Column, sought: list[_Sought], bodies: list[int], phrases: list[int]) -> Column:
+    """For each body the most words in place of an alignment that has all its key phrases within its extent; 0 without one.
+
+    One pass over alignments from the last place to the first. It holds for each key phrase the place nearest behind, so that an
+    alignment looks at as many places as it has keys, however many notices a text has.
+    """
+    if not bodies:
+        return F.array().cast("array<int>")
+    behind = {t: i for i, t in enumerate(phrases)}
+    of_key, of_body = _array([behind.get(t, -1) for t in range(len(sought))]), _array([bodies.index(t) if t in bodies else -1 for t in range(len(sought))])
+    needed = F.array(*(_array([behind[k] for k in sought[t].keys]).cast("array<int>") for t in bodies))
+    reach = _array([sought[t].length + 2 * SLACK for t in bodies])
+    event = lambda x, at, key: F.struct(at.alias("at"), F.lit(key).alias("key"), x["t"].alias("t"), x["n"].alias("n"))
+    keys = F.transform(F.filter(placements, lambda x: x["t"].isin(phrases)), lambda x: event(x, x["o"], 1))
+    own = F.transform(F.filter(placements, lambda x: x["t"].isin(bodies)), lambda x: event(x, x["o"] - SLACK, 0))
+    start = F.struct(F.array_repeat(F.lit(None).cast("int"), len(phrases)).alias("last"), F.array_repeat(F.lit(0), len(bodies)).alias("best"))
+
+    def step(s: Column, e: Column) -> Column:
+        slot, body = F.get(of_key, e["t"]), F.get(of_body, e["t"])
+        there = F.forall(F.get(needed, body), lambda k: F.coalesce(F.get(s["last"], k) <= e["at"] + F.get(reach, body), F.lit(False)))
+        seen = F.struct(F.transform(s["last"], lambda v, i: F.when(i == slot, e["at"]).otherwise(v)).alias("last"), s["best"].alias("best"))
+        counted = F.struct(s["last"].alias("last"), F.transform(s["best"], lambda v, i: F.when(i == body, F.greatest(v, e["n"])).otherwise(v)).alias("best"))
+        return F.when(e["key"] == 1, seen).when(there, counted).otherwise(s)
+
+    # Without a body's alignment there is nothing to verify, which is the usual text.
+    events = F.when(F.size(own) > 0, F.sort_array(F.concat(keys, own), asc=False)).otherwise(F.slice(keys, 1, 0))
+    return F.aggregate(events, start, step, lambda s: s["best"])
+
+
 def licence_sql(templates: tuple[Template, ...] = TEMPLATES) -> str:
     """The scan of ``documents`` in DuckDB SQL: every alignment of every template, without a choice of candidates."""
     sought = _sought(templates)
