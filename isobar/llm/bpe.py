@@ -8,6 +8,7 @@ and compares the bytes in the one slot it can be in.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -124,6 +125,25 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _encoder(keys: list[bytes], perfect: PerfectHash) -> PieceEncoder:
+    ranks = {t: i for i, t in enumerate(keys)}
+
+    def resolve(pieces: list[str]) -> list[tuple[int, ...]]:
+        raw = [p.encode() for p in pieces]
+        return [(i,) if i >= 0 else tuple(merged(p, ranks)) for i, p in zip(perfect.find(raw), raw, strict=True)]
+
+    return PieceEncoder(split_spaced, resolve)
+
+
+def _decoded(tokens: list[bytes], sizes: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The bytes of each run of ``flat`` between two offsets."""
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens)):
+        raise ValueError("an id that the vocabulary doesn't have")
+    whole = b"".join(map(tokens.__getitem__, flat.tolist()))
+    ends = np.concatenate([[0], np.cumsum(sizes[flat])])[offsets]
+    return [whole[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 def encode(docs: DataFrame, ranks_path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
     """(id, ids array<int>) per row: the whole text's tokens, without special ones.
 
@@ -136,14 +156,7 @@ def encode(docs: DataFrame, ranks_path: str, *, id: str = "doc_id", text: str =
     table = docs.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, perfect = table.value
-        ranks = {t: i for i, t in enumerate(keys)}
-
-        def resolve(pieces: list[str]) -> list[tuple[int, ...]]:
-            raw = [p.encode() for p in pieces]
-            return [(i,) if i >= 0 else tuple(merged(p, ranks)) for i, p in zip(perfect.find(raw), raw, strict=True)]
-
-        encoder = PieceEncoder(split_spaced, resolve)
+        encoder = _encoder(*table.value)
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
             for row, ids, offsets in encoder.batches(texts):
@@ -164,13 +177,35 @@ def decode(coded: DataFrame, ranks_path: str, *, id: str = "doc_id", ids: str =
         for batch in batches:
             column = batch.column(1)
             flat = column.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens)):
-                raise ValueError("an id that the vocabulary doesn't have")
             lengths = np.array([0 if n is None else n for n in column.value_lengths().to_pylist()], np.int64)
-            whole = b"".join(map(tokens.__getitem__, flat.tolist()))
-            ends = np.concatenate([[0], np.cumsum(sizes[flat])])[np.concatenate([[0], np.cumsum(lengths)])]
-            parts = [whole[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            parts = _decoded(tokens, sizes, flat, np.concatenate([[0], np.cumsum(lengths)]))
             yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(parts, pa.binary())], names=[id, "ids", "decoded"])
 
     source = coded.select(F.col(id), F.col(ids).cast("array<int>").alias("ids"))
     return source.mapInArrow(run, f"`{id}` {source.schema[id].dataType.simpleString()}, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, ranks_path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: A002
+    """(id, n_tokens, ids_sha256, decoded_sha256) per row: the text encoded as by :func:`encode`, and its ids decoded again.
+
+    Both digests are lowercase hex: of the decimal ids joined by commas, and of the decoded bytes. They are made where the text
+    is read, so that neither ids nor bytes leave their task. Rows as in ``encode``.
+    """
+    small_batches(docs.sparkSession)
+    tokens = read_ranks(docs.sparkSession, ranks_path)
+    table = docs.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, perfect = table.value
+        encoder, sizes, names = _encoder(keys, perfect), np.array([len(t) for t in keys], np.int64), [str(i) for i in range(len(keys))]
+        sha = lambda raw: hashlib.sha256(raw).hexdigest()
+        for batch in batches:
+            for row, ids, offsets in encoder.batches(batch.column(1).fill_null("").to_pylist()):
+                cuts = offsets.tolist()
+                said = [names[i] for i in ids.tolist()]
+                written = [sha(",".join(said[a:b]).encode()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                back = [sha(raw) for raw in _decoded(keys, sizes, ids, offsets)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(back)), pa.array(np.diff(offsets).astype(np.int64)), pa.array(written), pa.array(back)], names=[id, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    source = docs.select(F.col(id), F.col(text).cast("string").alias("text"))
+    return source.mapInArrow(run, f"`{id}` {source.schema[id].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

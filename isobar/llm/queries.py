@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reachable
-from .bpe import decode, encode
+from .bpe import round_trip
 from .classifier import quality_classifier
 from . import chat, rans
 from .divergence import divergence_audit, divergence_sql
@@ -38,10 +38,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    back = decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks)
-    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
