@@ -51,6 +51,14 @@ def area_km2(ring: Column, lat: Column) -> Column:
     return F.abs(twice) / 2 * 111.32 * 111.32 * F.cos(F.radians(lat))
 
 
+def polygon_km2(rings: Column) -> Column:
+    """The area of an outline less its holes, each on a plane at the outline's middle latitude; 0 without an outline."""
+    outline = F.get(rings, F.lit(0))
+    lat = vertex_mean(outline)["y"]
+    holes = F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
+    return F.coalesce(area_km2(outline, lat) - F.aggregate(holes, F.lit(0.0), lambda s, r: s + area_km2(r, lat)), F.lit(0.0))
+
+
 def _between(a: Column, b: Column, t: Column) -> Column:
     return F.struct((a["x"] + t * (b["x"] - a["x"])).alias("x"), (a["y"] + t * (b["y"] - a["y"])).alias("y"))
 

@@ -69,6 +69,25 @@ def gradient(values: Column, width: int, height: int, axis: str) -> Column:
     return stencil(values, width, height, work)
 
 
+def metric_gradient(values: Column, width: int, height: int, axis: str, south: float, step: float) -> Column:
+    """:func:`gradient` per kilometre on a grid of degrees: along "x" a degree shrinks with the cosine of the row's latitude."""
+    km = 111.32 * step
+    lat = lambda p: south + F.floor(p / width) * step
+    return F.transform(gradient(values, width, height, axis), lambda g, p: g / (km * F.cos(F.radians(lat(p)))) if axis == "x" else g / km)
+
+
+def resampled(values: Column, width: int, y: tuple[float, float, int], x: tuple[float, float, int], height: int) -> Column:
+    """The nearest values at another frame's points, row by row: (first, step, count) along each axis in cells; null off the grid."""
+    (y0, dy, ny), (x0, dx, nx) = y, x
+    near = lambda first, step, k: F.floor(first + step * k + 0.5).cast("int")
+
+    def at(p: Column) -> Column:
+        j, i = near(y0, dy, F.floor(p / nx)), near(x0, dx, p % nx)
+        return F.when((j >= 0) & (j < height) & (i >= 0) & (i < width), F.get(values, j * width + i))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(ny * nx - 1)), at)
+
+
 def window_sums(values: Column, width: int, height: int, half: int) -> Column:
     """Sums over (2 half + 1) squares within the tile: along rows first, then the rows' sums along columns."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import geometry as Geo
 from ..operators import polygons as P
 from .registry import register, table
 
@@ -116,3 +117,39 @@ def worst_days(spark, d):
     scored = g.withColumn("index", F.floor((F.col("moderate") + 3 * F.col("severe")) / 1000 + 0.5).cast("long"))
     first = F.row_number().over(Window.partitionBy("area").orderBy(F.desc("index"), F.desc("severe"), "day"))
     return scored.withColumn("r", first).where("r = 1").select("area", "day", "index", F.floor(F.col("severe") / 1000 + 0.5).cast("long").alias("severe"))
+
+
+def _shoelace_sql(f: float) -> str:
+    return "abs(" + " + ".join(f"((cx + a * {ax * f}) * (cy + b * {by * f}) - (cx + a * {bx * f}) * (cy + b * {ay * f}))" for (ax, ay), (bx, by) in ((_CORNERS[k], _CORNERS[(k + 1) % 4]) for k in range(4))) + ") / 2"
+
+
+@register("polygon_areas", f"select s_suppkey, round((({_shoelace_sql(1.0)}) - ({_shoelace_sql(_HOLE)})) * 111.32 * 111.32 * cos(radians(cy + b * ({' + '.join(str(y) for _, y in _CORNERS)}) / 4)), 3) as km2 from ({_SHAPE})")
+def polygon_areas(spark, d):
+    """Square kilometres of polygons less their holes."""
+    return shapes(spark, d).select("s_suppkey", F.round(Geo.polygon_km2(F.col("rings")), 3).alias("km2"))
+
+
+_FEATURE = """select s_suppkey, case when s_suppkey % 3 = 0 then 'Polygon' when s_suppkey % 3 = 1 then 'MultiPolygon' else 'LineString' end as kind, s_suppkey * 37 % 400 - 190 as x, s_suppkey * 11 % 120 - 50 as y from supplier"""
+
+
+@register(
+    "geojson_features",
+    f"""select s_suppkey, kind, case kind when 'MultiPolygon' then 2 else 1 end as rings, case kind when 'LineString' then 2 when 'Polygon' then 4 else 8 end as points, 'area ' || s_suppkey as name, x::double as west from ({_FEATURE})""",
+)
+def geojson_features(spark, d):
+    """A GeoJSON document for each nation's suppliers, read as features: their kinds, rings and properties."""
+    from ..sources import tables as T
+
+    k = F.col("s_suppkey")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", (k * 37 % 400 - 190).alias("x"), (k * 11 % 120 - 50).alias("y"))
+    at = lambda dx, dy: F.concat(F.lit("["), F.col("x") + dx, F.lit(","), F.col("y") + dy, F.lit("]"))
+    listed = lambda *parts: F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    ring = listed(at(0, 0), at(2, 0), at(2, 2), at(0, 2))
+    shape = lambda kind, text: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), text, F.lit("}"))
+    geometry = F.when(k % 3 == 0, shape("Polygon", listed(ring))).when(k % 3 == 1, shape("MultiPolygon", listed(listed(ring), listed(listed(at(5, 0), at(6, 0), at(6, 1), at(5, 1)))))).otherwise(shape("LineString", listed(at(0, 0), at(1, 1))))
+    one = F.concat(F.lit('{"type":"Feature","properties":{"key":"'), k, F.lit('","name":"area '), k, F.lit('"},"geometry":'), geometry, F.lit("}"))
+    documents = s.groupBy("s_nationkey").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(one), ","), F.lit("]}")).alias("value"))
+    f = T.features(documents)
+    west = F.array_min(F.transform(F.flatten("rings"), lambda p: p["x"]))
+    p = lambda name: F.get_json_object("properties", f"$.{name}")
+    return f.select(p("key").cast("long").alias("s_suppkey"), "kind", F.size("rings").alias("rings"), F.size(F.flatten("rings")).alias("points"), p("name").alias("name"), west.alias("west"))

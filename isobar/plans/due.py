@@ -84,3 +84,27 @@ def counters_with_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k in (2, 0, 1):
         state = merged(state, frames.where(F.col("arrived") == k).drop("arrived"))
     return counts(state)
+
+
+def selected(name, wanted: str):  # noqa: ANN001, ANN201
+    """Whether a comma-separated selection takes a part: names listed, all if none is, less those with a minus before them; any case."""
+    parts = [p.strip().upper() for p in wanted.split(",") if p.strip()]
+    only, off = [p for p in parts if p[0] != "-"], [p[1:].strip() for p in parts if p[0] == "-"]
+    taken = F.upper(name).isin(*only) if only else name.isNotNull()
+    return taken & ~F.upper(name).isin(*off) if off else taken
+
+
+@register(
+    "paths_of_slots",
+    """select event_id, 'gfs.' || strftime(c, '%Y%m%d') || '/' || strftime(c, '%H') || '/f' || lpad((date_diff('minute', c, ts) // 180 * 3)::varchar, 3, '0') || '/' || event_type || '.grib2' as path
+    from (select *, time_bucket(interval '6 hours', ts - interval 5 hours, timestamp '2000-01-01') as c from events) where upper(event_type) in ('VIEW', 'ERROR', 'CLICK') and upper(event_type) <> 'CLICK'""",
+)
+def paths_of_slots(spark, d):
+    """For each event of the selected parts the newest cycle that is five hours old and the path of its file at the event's lead time."""
+    e = table(spark, d, "events").where(selected(F.col("event_type"), "view, Error,click,-CLICK"))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    cycle = F.floor((seconds - 5 * 3600) / 21600) * 21600
+    lead = F.floor((F.floor(seconds / 60) - cycle / 60) / 180) * 3
+    c = F.timestamp_seconds(cycle)
+    path = F.concat(F.lit("gfs."), F.date_format(c, "yyyyMMdd"), F.lit("/"), F.date_format(c, "HH"), F.lit("/f"), F.lpad(lead.cast("string"), 3, "0"), F.lit("/"), "event_type", F.lit(".grib2"))
+    return e.select("event_id", path.alias("path"))

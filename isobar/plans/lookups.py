@@ -118,10 +118,10 @@ def pivot_by_status(spark, d):
     return p.select("c_nationkey", zero("F"), zero("O"), zero("P"))
 
 
-@register("names_not_taken", "select p_partkey from part p where not exists (select 1 from supplier s where upper(s.s_name) = upper(p.p_name)) and p_size < 10")
+@register("names_not_taken", "select p_partkey from part p where not exists (select 1 from supplier s where upper(s.s_name) = upper(p.p_name))")
 def names_not_taken(spark, d):
     s = table(spark, d, "supplier").select(F.upper("s_name").alias("u"))
-    p = table(spark, d, "part").where("p_size < 10").withColumn("u", F.upper("p_name"))
+    p = table(spark, d, "part").withColumn("u", F.upper("p_name"))
     return p.join(s, "u", "left_anti").select("p_partkey")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import bytes as Layers
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import grids as G
@@ -240,3 +241,38 @@ def tile_lattice(spark, d):
     n = lambda size, res: int(size / res + 1e-9)
     rows = spark.range(n(5, 0.5)).select(F.col("id").cast("int").alias("j")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n(12, 0.5) - 1))))
     return rows.select("j", "i", (25.0 + F.col("j") * 0.5).alias("lat"), (-80.0 + F.col("i") * 0.5).alias("lon"))
+
+
+@register(
+    "tile_gradients_per_km",
+    """select vec_id, p::integer as p, round((e[p + 2]::double - e[p]::double) / 2 / (111.32 * 2.5 * cos(radians(40.0 + (p // 8) * 2.5))) * 1000, 9) as dx, round((e[p + 9]::double - e[p - 7]::double) / 2 / (111.32 * 2.5) * 1000, 9) as dy
+    from (select vec_id, embedding as e, unnest(range(64)) as p from embeddings) where p % 8 between 1 and 6 and p // 8 between 1 and 6""",
+)
+def tile_gradients_per_km(spark, d):
+    """Gradients per 1,000 km of tiles of 2.5 degrees from 40 north: a degree of longitude is shorter further north."""
+    g = tiles(spark, d).select("vec_id", F.arrays_zip(G.metric_gradient(F.col("v"), N, N, "x", 40.0, 2.5).alias("dx"), G.metric_gradient(F.col("v"), N, N, "y", 40.0, 2.5).alias("dy")).alias("g"))
+    rows = g.select("vec_id", F.posexplode("g").alias("p", "g")).where("g.dx is not null")
+    return rows.select("vec_id", "p", F.round(F.col("g.dx") * 1000, 9).alias("dx"), F.round(F.col("g.dy") * 1000, 9).alias("dy"))
+
+
+@register(
+    "tile_resampled",
+    """with q as (select vec_id, embedding as e, j, i, floor(0.25 + 1.6 * j + 0.5)::integer as y, floor(-0.75 + 1.9 * i + 0.5)::integer as x from embeddings, range(5) a(j), range(6) b(i))
+    select vec_id, (j * 6 + i)::integer as p, case when y between 0 and 7 and x between 0 and 7 then e[y * 8 + x + 1]::double end as v from q""",
+)
+def tile_resampled(spark, d):
+    """The nearest values at the points of a coarser frame of 5 by 6 that reaches beyond the tile."""
+    t = tiles(spark, d).select("vec_id", G.resampled(F.col("v"), N, (0.25, 1.6, 5), (-0.75, 1.9, 6), N).alias("r"))
+    return t.select("vec_id", F.posexplode("r").alias("p", "v"))
+
+
+@register(
+    "tile_byte_layers",
+    f"""with c as ({_P}), b as (select vec_id, p, case when v > 0 then least(greatest(floor(v * 1000 / 5 + 0.5), 1), 255)::integer else 0 end as b from c)
+    select vec_id, to_base64(unhex(string_agg(lpad(to_hex(b), 2, '0'), '' order by p))) as layer, sum(b * 5)::bigint as total, count(*) filter (b >= 20)::integer as strong from b group by vec_id""",
+)
+def tile_byte_layers(spark, d):
+    """Tiles as a byte a cell in steps of 5, base64, and what is read back from it; cells of 96 or more are counted on the bytes."""
+    t = tiles(spark, d).select("vec_id", Layers.packed(F.transform("v", lambda v: v * 1000), 5.0).alias("layer"))
+    back = Layers.unpacked(F.col("layer"), 5.0)
+    return t.select("vec_id", "layer", F.aggregate(back, F.lit(0.0), lambda s, v: s + v).cast("long").alias("total"), Layers.cells_at_least(F.col("layer"), 5.0, 96.0).alias("strong"))
