@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..sources import sinks
 from ..sources import tables as T
+from ..streaming import state
 from .registry import register, table
 
 _VARS = "['UGRD', 'VGRD', 'HGT', 'TMP']"
@@ -88,3 +89,63 @@ def layers_of_one_property(spark, d):
 def digest_lines(spark, d):
     g = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top"))
     return g.select(F.concat("event_type", F.lit(": "), F.col("n").cast("string"), F.lit(" reports, top "), F.col("top").cast("string")).alias("line"))
+
+
+_ENTRY = "select event_id, event_id * 100 as start, 50 + event_id % 40 as n, ['u', 'v', 'gh', 't'][event_id % 4 + 1] as param, ['250', '300', '850'][event_id % 3 + 1] as level, event_type from events"
+
+
+@register("index_picked", f"select event_id, start, start + n - 1 as \"end\", param, level from ({_ENTRY}) where param in ('u', 'v') and level in ('250', '300') and event_type <> 'signup' and event_type <> 'view'")
+def index_picked(spark, d):
+    """Index lines of JSON objects by their attributes: winds at two levels. Signups are broken lines, views have no level."""
+    k, kind = F.col("event_id"), F.col("event_type")
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (k % n).cast("int"))
+    entry = F.to_json(F.struct((k * 100).alias("_offset"), (50 + k % 40).alias("_length"), pick(["u", "v", "gh", "t"], 4).alias("param"), F.when(kind != "view", pick(["250", "300", "850"], 3)).alias("levelist")))
+    lines = table(spark, d, "events").select("event_id", F.when(kind == "signup", F.substring(entry, 1, 20)).otherwise(entry).alias("line"))
+    found = T.index_entries(lines, {"param": ("u", "v"), "levelist": ("250", "300")})
+    return found.select("event_id", "start", "end", F.col("attributes")["param"].alias("param"), F.col("attributes")["levelist"].alias("level"))
+
+
+@register("csv_lines", """select p_partkey as key, 'a "' || p_name || '", or ' || p_brand as text, p_size as size from part""")
+def csv_lines(spark, d):
+    """Quoted lines whose texts hold commas and quotes."""
+    text = F.concat(F.lit('"a ""'), "p_name", F.lit('"", or '), "p_brand", F.lit('"'))
+    lines = table(spark, d, "part").select(F.concat_ws(",", F.col("p_partkey").cast("string"), text, F.col("p_size").cast("string")).alias("line"))
+    return T.csv_fields(lines, "key long, text string, size int").drop("line")
+
+
+@register("kml_rings", "select 'area ' || s_suppkey as name, 'n ' || s_nationkey as description, 3 as points, s_suppkey * 37 % 400 - 190::double as west, s_suppkey * 11 % 120 - 50::double as south from supplier")
+def kml_rings(spark, d):
+    """A KML document for each nation's suppliers: their names, descriptions and rings."""
+    k = F.col("s_suppkey")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", (k * 37 % 400 - 190).alias("x"), (k * 11 % 120 - 50).alias("y"))
+    at = lambda dx, dy: F.concat_ws(",", (F.col("x") + dx).cast("string"), (F.col("y") + dy).cast("string"), F.lit("0"))
+    ring = F.concat_ws(" ", at(0, 0), at(2, 0), at(2, 3))
+    mark = F.concat(F.lit("<Placemark><name>area "), k, F.lit("</name><description>n "), "s_nationkey", F.lit("</description><Polygon><outerBoundaryIs><LinearRing><coordinates>"), ring, F.lit("</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark>"))
+    documents = s.groupBy("s_nationkey").agg(F.concat(F.lit("<kml><Document>"), F.array_join(F.collect_list(mark), ""), F.lit("</Document></kml>")).alias("value"))
+    low = lambda c: F.array_min(F.transform("ring", lambda p: p[c]))
+    return T.placemarks_of(documents).select("name", "description", F.size("ring").alias("points"), low("x").alias("west"), low("y").alias("south"))
+
+
+@register(
+    "producer_stamps",
+    """select p_brand, substr(sha256('[{"k":"size","v":"' || p_size || '"},{"k":"type","v":"' || p_type || '"}]'), 1, 12) as stamp, count(*) as parts, count(*) filter (p_retailprice < 950) as kept
+    from part group by p_brand, p_size, p_type""",
+)
+def producer_stamps(spark, d):
+    """Parts of equal parameters have one producer's stamp; a layer whose stamp is cut short isn't taken for it."""
+    p = table(spark, d, "part").withColumn("stamp", sinks.stamp_of(type=F.col("p_type"), size=F.col("p_size")))
+    carried = F.when(F.col("p_retailprice") < 950, F.col("stamp")).otherwise(F.substring("stamp", 1, 11))
+    return p.groupBy("p_brand", "stamp").agg(F.count("*").alias("parts"), F.count_if(sinks.is_stamp(carried)).alias("kept"))
+
+
+@register(
+    "frames_given_up",
+    """with a as (select user_id % 97 || '|' || ts::date as key, ts as t, event_type <> 'error' and event_type <> 'signup' as ok from events), l as (select key, max(t) filter (ok) as last_ok from a group by 1)
+    select key, count(*) filter (not ok and (last_ok is null or t > last_ok)) as misses,
+      case when any_value(last_ok) is not null then 'read' when count(*) filter (not ok and (last_ok is null or t > last_ok)) >= 3 then 'given up' else 'open' end as state from a join l using (key) group by key""",
+)
+def frames_given_up(spark, d):
+    """Attempts at frames: read once, open, or given up after three misses without a success."""
+    e = table(spark, d, "events")
+    ok = ~F.col("event_type").isin("error", "signup")
+    return state.given_up(e.select(F.concat_ws("|", (F.col("user_id") % 97).cast("string"), F.to_date("ts").cast("string")).alias("key"), F.col("ts").alias("at"), ok.alias("ok")))

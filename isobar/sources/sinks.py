@@ -70,3 +70,14 @@ def stamp(parameters: dict) -> Column:
     """Twelve hex digits of the parameters, whatever their order: two outputs of one stamp come from the same producer."""
     rows = sorted((k, str(v)) for k, v in parameters.items())
     return F.substring(F.sha2(F.to_json(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in rows])), 256), 1, 12)
+
+
+def is_stamp(text: Column) -> Column:
+    """Whether a text is a stamp: twelve lowercase hex digits and nothing else."""
+    return F.coalesce(text.rlike("^[0-9a-f]{12}$"), F.lit(False))
+
+
+def stamp_of(**parameters: Column) -> Column:
+    """:func:`stamp` of parameters that are columns: the same for the same values as text, null values as an empty text."""
+    rows = [F.struct(F.lit(k).alias("k"), F.coalesce(v.cast("string"), F.lit("")).alias("v")) for k, v in sorted(parameters.items())]
+    return F.substring(F.sha2(F.to_json(F.array(*rows)), 256), 1, 12)

@@ -88,3 +88,31 @@ def placemarks(spark: SparkSession, path: str) -> DataFrame:
     pairs = F.split(F.trim("Polygon.outerBoundaryIs.LinearRing.coordinates"), r"\s+")
     point = lambda p: F.struct(F.split(p, ",")[0].cast("double").alias("x"), F.split(p, ",")[1].cast("double").alias("y"))
     return rows.select("name", "description", F.transform(pairs, point).alias("ring"))
+
+
+def index_entries(lines: DataFrame, wanted: dict[str, tuple[str, ...]], column: str = "line") -> DataFrame:
+    """The columns of ``lines`` with start, end and ``attributes`` of index lines, a JSON object each with _offset, _length and attributes.
+
+    An entry is wanted if each attribute in ``wanted`` has one of its values; an entry without the attribute isn't. The end is the
+    last byte. Lines that are no JSON object, or without a place, are left out.
+    """
+    found = lines.withColumn("attributes", F.from_json(column, "map<string,string>")).where("attributes is not null")
+    of = lambda name: F.try_element_at(F.col("attributes"), F.lit(name))
+    for name, values in wanted.items():
+        found = found.where(F.coalesce(of(name).isin(*values), F.lit(False)))
+    start, length = of("_offset").try_cast("long"), of("_length").try_cast("long")
+    return found.select(*lines.columns, start.alias("start"), (start + length - 1).alias("end"), "attributes").where("start is not null and end is not null")
+
+
+def csv_fields(lines: DataFrame, schema: str, column: str = "line") -> DataFrame:
+    """The columns of ``lines`` with the fields of one comma-separated line; quoted fields may hold commas, line breaks and doubled quotes."""
+    return lines.select(*lines.columns, F.from_csv(column, schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}).alias("_f")).select(*lines.columns, "_f.*")
+
+
+def placemarks_of(documents: DataFrame, column: str = "value") -> DataFrame:
+    """(name, description, ring) of the placemarks in KML documents; documents without one, or broken ones, have none."""
+    row = "Document struct<Placemark: array<struct<name: string, description: string, Polygon: struct<outerBoundaryIs: struct<LinearRing: struct<coordinates: string>>>>>>"
+    marks = documents.select(F.explode(F.from_xml(column, row)["Document"]["Placemark"]).alias("p"))
+    pairs = F.filter(F.split(F.trim("p.Polygon.outerBoundaryIs.LinearRing.coordinates"), r"\s+"), lambda x: x != "")
+    point = lambda p: F.struct(F.get(F.split(p, ","), F.lit(0)).try_cast("double").alias("x"), F.get(F.split(p, ","), F.lit(1)).try_cast("double").alias("y"))
+    return marks.select("p.name", "p.description", F.transform(pairs, point).alias("ring"))
