@@ -76,7 +76,7 @@ def _train(slots: list[np.ndarray], n: list[np.ndarray], target: np.ndarray, siz
     return weights * 100, bias
 
 
-def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text", into: str = "classifier", rules: tuple[Rule, ...] = RULES, train_rows: int = TRAIN_ROWS, bits: int = HASH_BITS, least: float = 0.5, columns: list[str] | None = None) -> DataFrame:  # noqa: A002
+def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text", into: str = "classifier", rules: tuple[Rule, ...] = RULES, train_rows: int = TRAIN_ROWS, bits: int = HASH_BITS, least: float = 0.5, columns: list[str] | None = None, reread: bool = False) -> DataFrame:  # noqa: A002
     """``docs`` with a struct column: the scorer's ``probability`` of good text, the label model's own, and ``kept``.
 
     One pass votes and is written; the label model is fitted to all documents' votes. The ``train_rows`` documents with the
@@ -84,18 +84,23 @@ def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     labels. Scores depend on the text alone: equal texts get equal scores. ``kept``: probability of ``least`` or more. An
     empty or null text has one blank run only; the labellers have little against it. ``columns`` of ``docs`` are returned
     (all, by default); a column named ``into`` is replaced. An empty table stays empty.
+
+    With ``reread`` votes are written without the texts, which are read again, and ``weak_probability`` is left out: for a
+    ``docs`` that is a table and reads the same each time. Probabilities and verdicts are the same.
     """
     small_batches(docs.sparkSession)
     names = [c for c in (docs.columns if columns is None else columns) if c != into]
-    carried = list(dict.fromkeys([*names, id, text]))
-    voted = written(appended(docs, text, into, T.StructType([T.StructField("votes", T.LongType())]), lambda part: {"votes": vote_codes(metrics(part), rules)}, carried), "votes")
+    carried = [id] if reread else list(dict.fromkeys([*names, id, text]))
+    cast = lambda df, columns: appended(df, text, into, T.StructType([T.StructField("votes", T.LongType())]), lambda part: {"votes": vote_codes(metrics(part), rules)}, columns)
+    voted = written(cast(docs, carried), "votes")
     code = F.col(f"`{into}`")["votes"]
     model = fit_votes(*code_counts(voted, code, len(rules)))
-    texts = F.col(f"`{text}`").cast("string")
-    sample = voted.select(texts.alias("text"), code.alias("votes"), F.xxhash64(F.col(f"`{id}`").cast("string")).alias("h"))
     # The hashes alone say which rows they are, so that no other texts move.
-    top = sample.select("h").orderBy("h").limit(train_rows).agg(F.max("h").alias("top")).first()["top"]
-    chosen = sample.where(F.col("h") <= F.lit(top)) if top is not None else sample.limit(0)
+    number = F.xxhash64(F.col(f"`{id}`").cast("string"))
+    top = voted.select(number.alias("h")).orderBy("h").limit(train_rows).agg(F.max("h").alias("top")).first()["top"]
+    near = (number <= F.lit(top)) if top is not None else F.lit(False)
+    few = cast(docs.where(near), list(dict.fromkeys([id, text]))) if reread else voted.where(near)
+    chosen = few.select(F.col(f"`{text}`").cast("string").alias("text"), code.alias("votes"), number.alias("h"))
     rows = _examples(chosen.orderBy("h", F.xxhash64("text")).limit(train_rows).select("text", "votes"), bits).collect()
     votes = votes_in(np.array([r["votes"] for r in rows], np.int64), len(rules))
     weights, bias = _train([np.frombuffer(r["slots"], np.uint32) for r in rows], [np.frombuffer(r["n"], np.float32) for r in rows], model.posterior(votes), 1 << bits)
@@ -107,8 +112,10 @@ def quality_classifier(docs: DataFrame, *, id: str = "doc_id", text: str = "text
         score = np.bincount(of, weights[h], len(part)) / np.maximum(n, 1) + bias
         return {"probability": 1 / (1 + np.exp(-np.clip(score, -30, 30)))}
 
-    passed = voted.withColumn(_VOTED, code)
-    scored = appended(passed, text, into, T.StructType([T.StructField("probability", T.DoubleType())]), work, [*names, _VOTED])
-    p = F.col(f"`{into}`")["probability"]
+    p, fields = F.col(f"`{into}`")["probability"], T.StructType([T.StructField("probability", T.DoubleType())])
+    if reread:
+        scored = appended(docs, text, into, fields, work, names)
+        return scored.withColumn(into, F.struct(p.alias("probability"), (p >= least).alias("kept")))
+    scored = appended(voted.withColumn(_VOTED, code), text, into, fields, work, [*names, _VOTED])
     made = F.struct(p.alias("probability"), model.posterior_of(F.col(_VOTED)).alias("weak_probability"), (p >= least).alias("kept"))
     return scored.select(*(F.col(f"`{c}`") for c in names), made.alias(into))
