@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.classifier import quality_classifier
 from isobar.llm.minhash import near_duplicates
 from isobar.llm.packing import pack_documents
 from isobar.llm.rules import quality_rules
-from isobar.llm.shared import written
+from isobar.llm.shared import free_name, written
 from isobar.session import reachable
 
 #: Ids of removed documents up to which they are broadcast (8 bytes each); beyond, a shuffled join removes them.
@@ -20,14 +20,26 @@ TOKENIZER = "word_bpe_49k.json"
 NEAR = {"size": 5, "percent": 80, "bands": 51, "rows": 6}
 
 
+def columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base limits or that the rules' posterior rejects go."""
-    return quality_rules(docs, into="_rules").where("_rules.kept").select(*docs.columns)
+    """Documents that fail the base limits or that the rules' posterior rejects go.
+
+    Null and empty texts have no words and go; repeated rows stay or go together, whatever their ids. An empty table stays
+    empty; other columns pass through, whatever their names.
+    """
+    return quality_rules(docs, into=free_name(docs, "rules"), reread=True).where(f"`{free_name(docs, 'rules')}`.kept").select(*columns(docs))
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the scorer rejects go."""
-    return quality_classifier(docs, into="_classifier").where("_classifier.kept").select(*docs.columns)
+    """Documents that the scorer rejects go.
+
+    Equal texts stay or go together; a null or empty text, of which the rules leave none, is scored as a single blank. An empty
+    table stays empty; other columns pass through, whatever their names.
+    """
+    return quality_classifier(docs, into=free_name(docs, "classifier"), reread=True).where(f"`{free_name(docs, 'classifier')}`.kept").select(*columns(docs))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +62,11 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, with their place in sequences of 4096 tokens."""
+    """The pieces of what is left, with their place in sequences of 4096 tokens.
+
+    A null or empty text is its end token alone; rows of one id, or without an id, are documents of their own. An empty table gives
+    no pieces; columns other than doc_id and text are left out.
+    """
     return pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
