@@ -10,8 +10,9 @@
 4. Buckets in which several components are left are compared within; pairs of different components whose estimate allows a
    link leave the bucket, and each is confirmed on full sets. So links that both hubs miss are found as well. A bucket of
    more than BLOCK classes is compared in blocks, its largest component against the rest only. Where that rest is large
-   too, the bucket is cut into smaller ones first, by further small groups of registers: texts that merely share one band
-   fall apart there.
+   too, as in a family of texts just below the threshold, its classes meet by their rarest shingles instead: two sets with the
+   overlap that a link needs share one of the few that come first in the order of frequency (a prefix filter, which misses
+   nothing), and a family's texts have nothing but its common part in common.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .graph import components
 from .shared import by_group, written
@@ -30,11 +32,12 @@ from .vectext import chunks, mix, shingle_sets
 MANTISSA_BITS = 10
 #: Standard errors below the threshold at which an estimate still leads to an exact comparison.
 MARGIN = 6.0
+#: Stands for the component of those whom a shingle comes later for.
+_LATER = -1
 #: Classes of one bucket that are compared together in step 4.
 BLOCK = 512
-#: Classes outside a bucket's largest component up to which it isn't cut; groups of registers, and registers in each, by which it is.
+#: Classes outside a bucket's largest component up to which it is compared as it is.
 REST = 4 * BLOCK
-CUTS, CUT_REGISTERS = 56, 6
 
 
 def _picks(k: int) -> np.ndarray:
@@ -207,25 +210,44 @@ def _mixed(rows: DataFrame, by: list[str]) -> DataFrame:
     return sizes.select(*by, "n", (F.col("n") - F.col("main.m")).alias("rest"), F.col("main.component").alias("largest")).where("rest > 0")
 
 
-def _cut(rows: DataFrame) -> DataFrame:
-    """(key, sub, band, rep, component): each row once for each of CUTS fixed groups of registers, ``sub`` being a hash of the group's."""
+def _by_rare_shingles(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, sizes) as :func:`_in_blocks` takes them: the classes of ``rows`` (rep, component) by their rare shingles.
+
+    Shingles are ordered by the number of classes that have them, then by their hash. Of two sets of a <= b members whose overlap
+    is enough for a link, the first a - ceil(2 p a / (100 + p)) + 1 of the smaller and the first b - ceil(p b / 100) + 1 of the
+    larger have one in common. A shingle that is among the former for no class brings nobody together; else those of which it
+    is one meet all others, and classes of one component never meet. Rows grow with the sets and with pairs that share a shingle
+    that is rare for one of them, not with the pairs of a family.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                regs = _matrix(batch.column(4))
-                rng = np.random.default_rng(20240301)
-                groups = np.stack([rng.choice(regs.shape[1], min(CUT_REGISTERS, regs.shape[1]), replace=False) for _ in range(CUTS)])
-                sub = band_keys(regs[:, groups.reshape(-1)], CUTS)
-                again = pa.array(np.repeat(np.arange(batch.num_rows), CUTS))
-                key, band, rep, component = (batch.column(k).take(again) for k in range(4))
-                yield pa.RecordBatch.from_arrays([key, pa.array(sub.reshape(-1).view(np.int64)), band, rep, component], names=["key", "sub", "band", "rep", "component"])
-
-    return rows.select("key", "band", "rep", "component", "registers").mapInArrow(run, "key long, sub long, band int, rep long, component long")
-
-
-def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``rows`` (key, sub, ..., rep, component) of the groups in ``sizes``, with mine, i, j.
+            raw = batch.column(2).to_pylist()
+            again = np.array([len(b) // 8 for b in raw], np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(batch.column(c).to_numpy(), again)) for c in (0, 1)), pa.array(np.frombuffer(b"".join(raw), np.int64))], names=["rep", "component", "sub"])
+
+    several = rows.select("rep", "component").distinct().join(sets, "rep").select("rep", "component", "shingles")
+    held = written(several.mapInArrow(run, "rep long, component long, sub long"), "rare-shingles", 8192)
+    often = held.groupBy("sub").agg(F.count("*").alias("df"))
+    placed = held.join(often, "sub").join(classes.select("rep", "n_shingles"), "rep")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "sub"))
+    n = F.col("n_shingles")
+    up = lambda x, y: F.call_function("div", x + (y - 1), F.lit(y).cast("long"))
+    shorter, longer = n - up(2 * percent * n, 100 + percent) + 1, n - up(percent * n, 100) + 1
+    first = placed.withColumn("place", place).where((F.col("place") <= longer) & (F.col("df") > 1))
+    first = written(first.select(F.lit(0).cast("long").alias("key"), "sub", F.lit(-1).alias("band"), "rep", "component", (F.col("place") <= shorter).alias("near")), "prefixes", 8192)
+    counts = first.groupBy("sub", "component").agg(F.count("*").alias("m"), F.count_if("near").alias("k"))
+    sizes = counts.groupBy("sub").agg(F.max(F.struct("m", "component")).alias("main"), F.sum("m").alias("n"), F.sum("k").alias("k")).where("k > 0 and n > main.m")
+    # Those whom a shingle comes later for needn't meet each other: where they are more than the largest component, they take its place.
+    later = (F.col("n") - F.col("k")) > F.col("main.m")
+    sizes = sizes.select(F.lit(0).cast("long").alias("key"), "sub", "n", F.when(later, F.col("k")).otherwise(F.col("n") - F.col("main.m")).alias("rest"), F.when(later, F.lit(_LATER)).otherwise(F.col("main.component")).alias("largest"), later.alias("later"))
+    sizes = written(sizes, "rare-sizes", 8192)
+    split = first.join(sizes.select("sub", "later"), "sub").withColumn("group", F.when(F.col("later") & ~F.col("near"), F.lit(_LATER)).otherwise(F.col("component")))
+    return split.select("key", "sub", "band", "rep", "component", "group"), sizes.drop("later")
+
+
+def _in_blocks(rows: DataFrame, sizes: DataFrame, part: str = "component") -> DataFrame:
+    """``rows`` (key, sub, ..., rep, component) of the groups in ``sizes``, with mine, i, j; ``part`` has their largest part.
 
     Every pair of different components meets in a pair of blocks i <= j. A group's largest component is set against the
     others only, so that the rows made grow with the others' number.
@@ -233,7 +255,7 @@ def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     by = [c for c in sizes.columns if c in ("key", "sub")]
     sizes = sizes.select(*by, "largest", blocks(F.col("rest")).alias("rest"), blocks(F.col("n") - F.col("rest")).alias("most"))
-    r = rows.join(sizes, by).withColumn("largest", F.col("component") == F.col("largest"))
+    r = rows.join(sizes, by).withColumn("largest", F.col(part) == F.col("largest"))
     place = lambda n: F.pmod(F.xxhash64("rep"), n.cast("long")).cast("int")
     r = r.withColumn("mine", F.when(F.col("largest"), F.col("rest") + place(F.col("most"))).otherwise(place(F.col("rest"))))
     others = F.when(F.col("largest"), F.sequence(F.lit(0), F.col("rest") - 1)).otherwise(F.sequence(F.lit(0), F.col("rest") + F.col("most") - 1))
@@ -242,7 +264,7 @@ def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, bands: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that seem linked; each comes from one bucket only.
+    """Pairs of different components in one bucket, or with one rare shingle, that seem linked.
 
     Registers first, then 32 bits of each shingle's hash decide within the block: few pairs leave it that aren't links,
     and no link stays (shorter hashes can only raise an intersection).
@@ -256,10 +278,8 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets:
     rows = rows.unionByName(_in_blocks(labelled.select(*uncut), large.where(F.col("rest") <= REST)))
     many = large.where(F.col("rest") > REST).select("key")
     if many.limit(1).count():
-        cut = written(_cut(labelled.join(many, "key").join(classes.select("rep", "registers"), "rep")), "cut", 8192)
-        parts = written(_mixed(cut, ["key", "sub"]), "parts", 8192)
-        small = cut.join(parts.where(F.col("n") <= BLOCK).select("key", "sub"), ["key", "sub"])
-        rows = rows.unionByName(small.select(*cut.columns, *whole)).unionByName(_in_blocks(cut, parts.where(F.col("n") > BLOCK)))
+        rare, parts = _by_rare_shingles(labelled.join(many, "key"), classes, sets, percent)
+        rows = rows.unionByName(_in_blocks(rare, parts, "group").drop("group"))
     short = _shortened(sets)
     rows = rows.join(classes.select("rep", "n_shingles", "registers"), "rep").join(short, "rep")
 
@@ -281,7 +301,7 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, sets:
             if not len(y):
                 continue
             y = y[_may_link((regs[y] == regs[x]).sum(1), regs.shape[1], np.broadcast_to(n[x], len(y)), n[y], percent)]
-            y = y[(keys[y] == keys[x]).argmax(1) == band[0]] if len(y) else y
+            y = y[(keys[y] == keys[x]).argmax(1) == band[0]] if len(y) and band[0] >= 0 else y
             if len(y):
                 common = _overlaps(shingles[x], [shingles[i] for i in y])
                 y = y[100 * common >= percent * (n[x] + n[y] - common)]
@@ -305,8 +325,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 3, perce
     their component is null. Rows with one doc_id twice
     are one class if their sets are equal, else their links count together. Extra columns are ignored; an empty table
     gives an empty result. A band is missed by a pair at the threshold with 1 - t^rows, so that all bands are missed
-    with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8, and
-    the cuts of a bucket with over REST classes outside its largest component with (1 - 0.85^6)^56 = 3e-12 (4e-8 at 0.8).
+    with (1 - 0.85^7)^40 = 2e-7. The estimate then misses a pair at the threshold with P(Binomial(280, 0.85) <= 202) = 2.5e-8.
     """
     sigs = written(signatures(docs, text=text, size=size, bands=bands, rows=rows), "signatures")
     key = ["set_hi", "set_lo", "n_shingles"]
