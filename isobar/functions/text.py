@@ -95,3 +95,15 @@ def run_length_decoded(text: Column) -> Column:
     parts = F.split(text, ",")
     one = lambda p: F.array_repeat(F.substring_index(p, "*", 1).cast("int"), F.when(p.contains("*"), F.substring_index(p, "*", -1).cast("int")).otherwise(1))
     return F.flatten(F.transform(parts, one))
+
+
+#: Words of five letters in such sentences that are no points.
+_NO_POINTS = ("NOTAM", "TRACK", "ROUTE", "FLOWS", "POINT", "AREAS", "LEVEL")
+
+
+def unavailable_points(text: Column) -> Column:
+    """Five-letter points that a sentence calls unavailable or closed, alone or in a list, each once and in order; null as none."""
+    said = r"\b((?:[A-Z]{5}\s*(?:&|AND|,)\s*)*[A-Z]{5})(?:\s+INTERSECTION)?\s+(?:IS|ARE)\s+(?:UNAVAILABLE|NOT AVAILABLE|CLOSED)"
+    lists = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(said), F.lit(1))
+    points = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(r"\b([A-Z]{5})\b"), F.lit(1))))
+    return F.array_distinct(F.filter(points, lambda w: ~w.isin(*_NO_POINTS)))

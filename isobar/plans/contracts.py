@@ -129,3 +129,30 @@ k as (select user_id, h, case when h = 0 then 'made of events' when user_id % 5
 @register("contract_breaches", _sql())
 def contract_breaches(spark, d):
     return breaches(snapshots(spark, d), ["user_id"], RULES).drop("value")
+
+
+@register(
+    "assembled_documents",
+    """
+with o as (select c_nationkey as k, count(*) as n, count(*) filter (o_orderstatus = 'F') as f from orders join customer on o_custkey = c_custkey group by 1),
+s as (select s_nationkey as k, count(*) as n from supplier group by 1), c as (select c_nationkey as k, count(*) as n from customer group by 1),
+p as (select n_nationkey, n_name, case when o.f > 230 then null else o.n end as orders, case when s.n >= 3 then s.n end as suppliers, c.n as customers from nation left join o on o.k = n_nationkey left join s on s.k = n_nationkey left join c on c.k = n_nationkey)
+select n_nationkey, '{"schema":"isobar-1","nation":"' || n_name || '","parts":{"orders":' || coalesce('{"n":' || orders || '}', 'null') || ',"suppliers":' || coalesce('{"n":' || suppliers || '}', 'null') || ',"customers":' || coalesce('{"n":' || customers || '}', 'null')
+  || '},"status":[' || concat_ws(',', case when orders is null then '{"part":"orders","ok":false,"error":"no part"}' else '{"part":"orders","ok":true,"error":null}' end, case when suppliers is null then '{"part":"suppliers","ok":false,"error":"no part"}' else '{"part":"suppliers","ok":true,"error":null}' end,
+  case when customers is null then '{"part":"customers","ok":false,"error":"no part"}' else '{"part":"customers","ok":true,"error":null}' end) || '],"attribution":[' || concat_ws(',', '"public tables"', case when orders is not null then '"orders of this nation"' end, case when suppliers is not null then '"suppliers of this nation"' end) || ']}' as document
+from p""",
+)
+def assembled_documents(spark, d):
+    """One JSON document for each nation: its parts or null, a status for each, and credit for the parts that are there."""
+    t = lambda name: table(spark, d, name)
+    o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("f"))
+    s = t("supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("suppliers"))
+    c = t("customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("customers"))
+    p = t("nation").withColumn("k", F.col("n_nationkey")).join(o, "k", "left").join(s, "k", "left").join(c, "k", "left")
+    held = {"orders": ~(F.col("f") > 230), "suppliers": F.col("suppliers") >= 3, "customers": F.lit(True)}
+    n = {k: F.when(ok, F.col(k)) for k, ok in held.items()}
+    parts = F.struct(*(F.when(v.isNotNull(), F.struct(v.alias("n"))).alias(k) for k, v in n.items()))
+    status = F.array(*(F.struct(F.lit(k).alias("part"), v.isNotNull().alias("ok"), F.when(v.isNull(), "no part").alias("error")) for k, v in n.items()))
+    credit = F.array_compact(F.array(F.lit("public tables"), *(F.when(n[k].isNotNull(), f"{k} of this nation") for k in ("orders", "suppliers"))))
+    document = F.struct(F.lit("isobar-1").alias("schema"), F.col("n_name").alias("nation"), parts.alias("parts"), status.alias("status"), credit.alias("attribution"))
+    return p.select("n_nationkey", F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions import text as X
 from ..operators import bulletins as B
 from ..operators import names as Names
 from .registry import register, table
@@ -116,3 +118,47 @@ def names_in_notices(spark, d):
     texts = said.select("l_orderkey", F.array_join(F.transform("s", lambda x: x["s"]), " obs at ").alias("text"))
     names = p.select(F.upper("p_name").alias("name")).union(p.where("p_size > 25").select(F.upper(F.concat("p_name", F.lit(" "), "p_type")))).union(p.select(F.upper("p_type"))).union(p.select(F.explode(F.array(F.lit("RING"), F.lit("NEAR RING")))))
     return Names.mentions(texts, ["l_orderkey"], "text", names.distinct(), "name", GENERIC)
+
+
+#: The grammar of an advisory of tracks and what its lines say; a letter's last point before the ocean, or a domestic one.
+TRACKS = (B.Section("tracks", "^TODAYS TRACKS:", "tracks", begins=r"^TRACK\s+[A-Z]\s+\S+\s*$"),)
+TRACK_FIELDS = (B.Field("tracks", "tracks", "letter", "head", r"^TRACK\s+([A-Z])\s"), B.Field("tracks", "tracks", "entry", "head", r"([A-Z]{5})(?:\.NAT[A-Z])?$"))
+_CODE = "translate(lpad((l_partkey % 100000)::varchar, 5, '0'), '0123456789', 'ABCDEFGHIJ')"
+
+
+def advisories(spark, d):
+    """(o_orderkey, kind, text): a track for each line of an order; lines of 40 pieces or more are unavailable points."""
+    line = table(spark, d, "lineitem").withColumn("code", F.translate(F.lpad((F.col("l_partkey") % 100_000).cast("string"), 5, "0"), "0123456789", "ABCDEFGHIJ"))
+    letter = F.char(65 + F.col("l_linenumber") % 5)
+    track = F.concat(F.lit("TRACK  "), letter, F.lit("  AAA.LBSTA8.."), "code", F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit(".NAT"), letter)).otherwise(""))
+    gone = F.when(F.col("l_quantity") >= 40, F.col("code"))
+    one = F.struct("l_linenumber", "l_partkey", "l_suppkey", track.alias("track"), gone.alias("gone"))
+    g = line.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(one)).alias("l"))
+    points = F.array_compact(F.transform("l", lambda x: x["gone"]))
+    said = F.when(F.size(points) > 1, F.concat(F.array_join(points, " & "), F.lit(" ARE UNAVAILABLE"))).when(F.size(points) == 1, F.concat(F.array_join(points, ""), F.lit(" INTERSECTION IS NOT AVAILABLE"))).otherwise("ALL ROUTE FLOWS ARE OPEN")
+    text = F.concat(F.lit("AS PER NOTAM, "), said, F.lit(".\n\nTRACK X BEFORE\nTODAYS TRACKS:\n"), F.array_join(F.transform("l", lambda x: x["track"]), "\n"), F.lit("\n"))
+    return g.select("o_orderkey", F.lit("tracks").alias("kind"), text.alias("text"))
+
+
+@register(
+    "track_entries",
+    f"""with t as (select l_orderkey as o_orderkey, chr(65 + l_linenumber % 5) as letter, {_CODE} as entry, row_number() over (partition by l_orderkey, l_linenumber % 5 order by l_linenumber, l_partkey, l_suppkey) as r from lineitem)
+    select o_orderkey, letter, entry, row_number() over (partition by o_orderkey order by letter)::integer as place from t where r = 1""",
+)
+def track_entries(spark, d):
+    """The entry point of each lettered track, the first of a letter, in the letters' order from the north."""
+    f = B.fields(B.items(advisories(spark, d), ["o_orderkey"], TRACKS), ["o_orderkey"], TRACK_FIELDS)
+    value = lambda name: F.max(F.when(F.col("field") == name, F.col("value")))
+    tracks = f.groupBy("o_orderkey", "item").agg(value("letter").alias("letter"), value("entry").alias("entry"))
+    first = tracks.groupBy("o_orderkey", "letter").agg(F.min(F.struct("item", "entry")).alias("f"))
+    place = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("letter"))
+    return first.select("o_orderkey", "letter", F.col("f.entry").alias("entry"), place.alias("place"))
+
+
+@register(
+    "unavailable_points",
+    f"""with g as (select l_orderkey as o_orderkey, {_CODE} as code, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as r from lineitem where l_quantity >= 40),
+    f as (select o_orderkey, code, min(r) as r from g group by all) select o_orderkey, string_agg(code, ',' order by r) as points from f group by 1""",
+)
+def unavailable_points(spark, d):
+    return advisories(spark, d).select("o_orderkey", F.array_join(X.unavailable_points(F.col("text")), ",").alias("points")).where("points <> ''")

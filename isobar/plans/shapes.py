@@ -58,3 +58,19 @@ def decoded_reports(spark, d):
     report = F.concat_ws(" ", F.lit("METAR XXXX"), F.concat(two(k % 28 + 1), two(F.hour("ts")), F.lit("50Z")), F.concat(F.lit("270"), two(k % 60), F.when(k % 3 == 0, F.concat(F.lit("G"), two(k % 60 + 10))).otherwise(""), F.lit("KT")), seen, weather, F.concat(F.when(k % 2 == 0, "M").otherwise(""), two(k % 30), F.lit("/10")))
     r = table(spark, d, "events").select("event_id", Ob.observed(F.regexp_replace(report, " +", " ")).alias("o"))
     return r.select("event_id", F.concat_ws(" ", "o.weather").alias("weather"), "o.visibility_m", "o.gust_kt", "o.temperature_c", Ob.phenomena(F.col("o.weather"), F.col("o.visibility_m"))["fog"].alias("fog"))
+
+
+@register(
+    "rings_out",
+    """with p as (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as n, floor(o_orderkey % 170 / 40.0 * 10 + 0.5) / 10 as x, floor(o_orderkey % 130 / 40.0 * 10 + 0.5) / 10 as y from orders),
+    d as (select *, lag(x) over w as px, lag(y) over w as py from p window w as (partition by o_custkey order by n)),
+    k as (select o_custkey, x, y, row_number() over (partition by o_custkey order by n) as i, count(*) over (partition by o_custkey) as m, first_value(x) over (partition by o_custkey order by n) as fx, first_value(y) over (partition by o_custkey order by n) as fy from d where px is null or px <> x or py <> y),
+    r as (select * from k where not (i = m and m > 1 and x = fx and y = fy))
+    select o_custkey, count(*)::integer as points, round(sum(x * i), 6) as xs, round(sum(y * i), 6) as ys from r group by o_custkey having count(*) >= 3""",
+)
+def rings_out(spark, d):
+    """Rings as they are published: rounded to one decimal, without neighbours' repeats, open, of three points or more."""
+    scaled = paths(spark, d).select("o_custkey", F.transform("p", lambda q: F.struct((q["x"] / 4).alias("x"), (q["y"] / 4).alias("y"))).alias("p"))
+    r = scaled.select("o_custkey", Si.rounded_ring(F.col("p")).alias("r")).where(F.size("r") > 0)
+    total = lambda c: F.round(F.aggregate(F.transform("r", lambda q, i: q[c] * (i + 1)), F.lit(0.0), lambda s, v: s + v), 6)
+    return r.select("o_custkey", F.size("r").alias("points"), total("x").alias("xs"), total("y").alias("ys"))

@@ -276,3 +276,18 @@ def tile_byte_layers(spark, d):
     t = tiles(spark, d).select("vec_id", Layers.packed(F.transform("v", lambda v: v * 1000), 5.0).alias("layer"))
     back = Layers.unpacked(F.col("layer"), 5.0)
     return t.select("vec_id", "layer", F.aggregate(back, F.lit(0.0), lambda s, v: s + v).cast("long").alias("total"), Layers.cells_at_least(F.col("layer"), 5.0, 96.0).alias("strong"))
+
+
+@register(
+    "tile_class_layers",
+    f"""with m as (select vec_id, max(v) as top, min(v) as low from ({_P}) group by vec_id),
+    c as (select c.vec_id, p, least(greatest(floor(v / case when top > 0.3 then 0.1 else 0.05 end), 0), 3)::integer as k, case when top > 0.3 then 'wide' else 'narrow' end as convention from ({_P}) c join m using (vec_id) where low > -0.35),
+    g as (select *, p - row_number() over (partition by vec_id, k order by p) as r from c), runs as (select vec_id, convention, min(p) as p, any_value(k) as k, count(*) as n from g group by vec_id, convention, k, r)
+    select vec_id, convention, string_agg(case when n > 1 then k || '*' || n else k::varchar end, ',' order by p) as layer, coalesce(sum(n) filter (k = 3), 0)::integer as severe from runs group by vec_id, convention""",
+)
+def tile_class_layers(spark, d):
+    """A published layer of each tile: its convention found, odd tiles left out, classes of its values, run lengths, severe cells."""
+    t = tiles(spark, d).withColumn("top", F.array_max("v")).where(F.array_min("v") > -0.35)
+    t = t.withColumn("convention", F.when(F.col("top") > 0.3, "wide").otherwise("narrow")).withColumn("step", F.when(F.col("top") > 0.3, 0.1).otherwise(0.05))
+    t = t.withColumn("k", F.transform("v", lambda x: F.least(F.greatest(F.floor(x / F.col("step")), F.lit(0)), F.lit(3)).cast("int")))
+    return t.select("vec_id", "convention", X.run_length(F.col("k")).alias("layer"), F.size(F.filter("k", lambda x: x == 3)).alias("severe"))
