@@ -107,3 +107,14 @@ def unavailable_points(text: Column) -> Column:
     lists = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(said), F.lit(1))
     points = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(r"\b([A-Z]{5})\b"), F.lit(1))))
     return F.array_distinct(F.filter(points, lambda w: ~w.isin(*_NO_POINTS)))
+
+
+def centre_of(element: Column) -> Column:
+    """The centre that a control element names behind its last slash (three letters with a Z first, or CZ and one more); else null."""
+    return F.nullif(F.regexp_extract(F.coalesce(element, F.lit("")), "/(Z[A-Z]{2}|CZ[A-Z])$", 1), F.lit(""))
+
+
+def places_of(element: Column) -> Column:
+    """The codes of three or four characters before the slash, without the words between them."""
+    before = F.regexp_extract(F.coalesce(element, F.lit("")), "^(.+)/(?:Z[A-Z]{2}|CZ[A-Z])$", 1)
+    return F.filter(F.regexp_extract_all(before, F.lit(r"\b([A-Z0-9]{3,4})\b"), F.lit(1)), lambda w: ~w.isin("DCC", "AND", "SATS", "ALL"))

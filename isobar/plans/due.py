@@ -108,3 +108,54 @@ def paths_of_slots(spark, d):
     c = F.timestamp_seconds(cycle)
     path = F.concat(F.lit("gfs."), F.date_format(c, "yyyyMMdd"), F.lit("/"), F.date_format(c, "HH"), F.lit("/f"), F.lpad(lead.cast("string"), 3, "0"), F.lit("/"), "event_type", F.lit(".grib2"))
     return e.select("event_id", path.alias("path"))
+
+
+#: Days that a window of observations has at least.
+MIN_DAYS = 4
+
+
+@register(
+    "observed_windows",
+    f"""select o_orderkey, o_orderdate::date as upto, least(date_trunc('week', o_orderdate)::date, o_orderdate::date - {MIN_DAYS - 1})::date as first, date_trunc('week', o_orderdate)::date as monday,
+      greatest(0, date_diff('day', o_orderdate::date - {MIN_DAYS - 1}, date_trunc('week', o_orderdate)::date))::integer as days_before, (o_orderdate::date + 6)::date as ahead, (o_orderdate::date - 1)::date as prev from orders""",
+)
+def observed_windows(spark, d):
+    """From a run's day the window of its week, never of fewer than the last days, the days before its Monday, and the week ahead."""
+    day = F.to_date("o_orderdate")
+    monday, earliest = F.trunc(day, "week"), F.date_sub(day, MIN_DAYS - 1)
+    before = F.greatest(F.datediff(monday, earliest), F.lit(0))
+    return table(spark, d, "orders").select("o_orderkey", day.alias("upto"), F.least(monday, earliest).alias("first"), monday.alias("monday"), before.alias("days_before"), F.date_add(day, 6).alias("ahead"), F.date_sub(day, 1).alias("prev"))
+
+
+@register(
+    "reports_in_window",
+    """with r as (select event_id, ts, value, (props ->> '$.k')::integer as k from events),
+    h as (select event_id, ts, 'turbulence' as hazard, case when k % 3 = 0 then 'SEV' when k % 3 = 1 then 'MOD' end as severity from r union all select event_id, ts, 'icing', case when k > 60 then 'MOD' when k > 30 then 'LGT' end from r)
+    select event_id, hazard, severity from h where severity is not null and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-12'""",
+)
+def reports_in_window(spark, d):
+    """Reports as JSON objects with a list of hazards, parsed, kept if they were sent in a window, a row for each hazard that has a severity."""
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    hazard = lambda name, severity: F.struct(F.lit(name).alias("hazard"), severity.alias("severity"))
+    listed = F.array(hazard("turbulence", F.when(F.col("k") % 3 == 0, "SEV").when(F.col("k") % 3 == 1, "MOD")), hazard("icing", F.when(F.col("k") > 60, "MOD").when(F.col("k") > 30, "LGT")))
+    report = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("sent"), listed.alias("hazards")))
+    parsed = e.select(F.from_json(report, "event_id long, sent timestamp_ntz, hazards array<struct<hazard string, severity string>>").alias("r")).select("r.*")
+    inside = parsed.where((F.col("sent") >= F.lit("2024-01-05").cast("timestamp_ntz")) & (F.col("sent") < F.lit("2024-01-12").cast("timestamp_ntz")))
+    return inside.select("event_id", F.explode("hazards").alias("h")).select("event_id", "h.*").where("severity is not null")
+
+
+@register(
+    "archive_days",
+    """select ts::date::varchar as day, count(*) filter (event_type <> 'signup') as reports, count(distinct user_id) filter (event_type <> 'signup') as stations, max(value) filter (event_type <> 'signup') as top from events group by 1""",
+)
+def archive_days(spark, d):
+    """Events written as compressed JSON lines by day and read back as day files; the lines of signups are broken and left out."""
+    from ..sources.steps import place
+    from ..sources.tables import day_files
+
+    e = table(spark, d, "events")
+    line = F.to_json(F.struct("event_id", "user_id", "value"))
+    path = place(spark, "archive")
+    e.select(F.to_date("ts").cast("string").alias("day"), F.when(F.col("event_type") == "signup", F.substring(line, 1, 12)).otherwise(line).alias("value")).write.partitionBy("day").option("compression", "gzip").text(path)
+    rows = day_files(spark, path, "event_id long, user_id long, value double, day string")
+    return rows.groupBy("day").agg(F.count("*").alias("reports"), F.count_distinct("user_id").alias("stations"), F.max("value").alias("top"))

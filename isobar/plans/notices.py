@@ -162,3 +162,23 @@ def track_entries(spark, d):
 )
 def unavailable_points(spark, d):
     return advisories(spark, d).select("o_orderkey", F.array_join(X.unavailable_points(F.col("text")), ",").alias("points")).where("points <> ''")
+
+
+_ELEMENT = "case when o_orderkey % 7 = 0 then 'NO CENTRE' else chr((65 + o_custkey % 20)::integer) || 'AB AND ' || chr((65 + o_orderkey % 20)::integer) || 'CD/Z' || chr((65 + o_custkey % 11)::integer) || 'Y' end"
+
+
+@register(
+    "centres_of_places",
+    f"""with e as (select o_orderkey, o_custkey, {_ELEMENT} as element from orders), p as (
+      select chr((65 + o_custkey % 20)::integer) || 'AB' as place, 'Z' || chr((65 + o_custkey % 11)::integer) || 'Y' as centre, o_orderkey, 0 as i from e where element <> 'NO CENTRE'
+      union all select chr((65 + o_orderkey % 20)::integer) || 'CD', 'Z' || chr((65 + o_custkey % 11)::integer) || 'Y', o_orderkey, 1 from e where element <> 'NO CENTRE')
+    select place, arg_min(centre, (o_orderkey, i)) as centre, count(*) as n from p group by place""",
+)
+def centres_of_places(spark, d):
+    """The centre that the first control element names for each place, from elements such as ``AAB AND BCD/ZAY``."""
+    o = table(spark, d, "orders")
+    letter = lambda n: F.char((65 + n).cast("int"))
+    element = F.when(F.col("o_orderkey") % 7 == 0, "NO CENTRE").otherwise(F.concat(letter(F.col("o_custkey") % 20), F.lit("AB AND "), letter(F.col("o_orderkey") % 20), F.lit("CD/Z"), letter(F.col("o_custkey") % 11), F.lit("Y")))
+    e = o.select("o_orderkey", X.centre_of(element).alias("centre"), F.posexplode(X.places_of(element)).alias("i", "place"))
+    first = F.min(F.struct("o_orderkey", "i", "centre"))
+    return e.groupBy("place").agg(first.alias("f"), F.count("*").alias("n")).select("place", F.col("f.centre").alias("centre"), "n")

@@ -291,3 +291,23 @@ def tile_class_layers(spark, d):
     t = t.withColumn("convention", F.when(F.col("top") > 0.3, "wide").otherwise("narrow")).withColumn("step", F.when(F.col("top") > 0.3, 0.1).otherwise(0.05))
     t = t.withColumn("k", F.transform("v", lambda x: F.least(F.greatest(F.floor(x / F.col("step")), F.lit(0)), F.lit(3)).cast("int")))
     return t.select("vec_id", "convention", X.run_length(F.col("k")).alias("layer"), F.size(F.filter("k", lambda x: x == 3)).alias("severe"))
+
+
+@register(
+    "tile_parallel_means",
+    f"""with c as ({_P}), m as (select vec_id, label, j, avg(v) * 1.943844 as knots, sum(v * cos(radians(30.0 + j * 5))) as weighted, sum(cos(radians(30.0 + j * 5))) as weight from c group by all),
+    d as (select vec_id, label, max(knots) as top, arg_max(j, (knots, -j)) as row_, sum(weighted) / sum(weight) as mean from m group by all)
+    select label, count(*) as tiles, round(avg(top), 9) as top, round(avg(mean) filter (mean > 0), 9) as westerly, count(*) filter (mean > 0) as westerlies, mode(row_ order by row_)::integer as usual_row from d group by label""",
+)
+def tile_parallel_means(spark, d):
+    """Winds along parallels five degrees apart: each tile's strongest parallel in knots and its mean by area; by label the usual
+    parallel, the mean of strongest ones, and of tiles whose mean is westerly."""
+    c = cells(spark, d)
+    w = F.cos(F.radians(30.0 + F.col("j") * 5))
+    rows = c.groupBy("vec_id", "label", "j").agg((F.avg("v") * 1.943844).alias("knots"), F.sum(F.col("v") * w).alias("weighted"), F.sum(w).alias("weight"))
+    best = F.max(F.struct("knots", (-F.col("j")).alias("k")))
+    t = rows.groupBy("vec_id", "label").agg(best.alias("b"), (F.sum("weighted") / F.sum("weight")).alias("mean"))
+    west = F.when(F.col("mean") > 0, F.col("mean"))
+    by_row = t.groupBy("label", (-F.col("b.k")).cast("int").alias("row_")).agg(F.count("*").alias("n")).groupBy("label").agg((-F.max(F.struct("n", (-F.col("row_")).alias("r")))["r"]).cast("int").alias("usual_row"))
+    g = t.groupBy("label").agg(F.count("*").alias("tiles"), F.round(F.avg("b.knots"), 9).alias("top"), F.round(F.avg(west), 9).alias("westerly"), F.count(west).alias("westerlies"))
+    return g.join(by_row, "label")
