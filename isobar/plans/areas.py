@@ -137,7 +137,7 @@ _FEATURE = """select s_suppkey, case when s_suppkey % 3 = 0 then 'Polygon' when
     f"""select s_suppkey, kind, case kind when 'MultiPolygon' then 2 else 1 end as rings, case kind when 'LineString' then 2 when 'Polygon' then 4 else 8 end as points, 'area ' || s_suppkey as name, x::double as west from ({_FEATURE})""",
 )
 def geojson_features(spark, d):
-    """A GeoJSON document for each nation's suppliers, read as features: their kinds, rings and properties."""
+    """GeoJSON documents of forty suppliers each, read as features: their kinds, rings and properties."""
     from ..sources import tables as T
 
     k = F.col("s_suppkey")
@@ -148,8 +148,46 @@ def geojson_features(spark, d):
     shape = lambda kind, text: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), text, F.lit("}"))
     geometry = F.when(k % 3 == 0, shape("Polygon", listed(ring))).when(k % 3 == 1, shape("MultiPolygon", listed(listed(ring), listed(listed(at(5, 0), at(6, 0), at(6, 1), at(5, 1)))))).otherwise(shape("LineString", listed(at(0, 0), at(1, 1))))
     one = F.concat(F.lit('{"type":"Feature","properties":{"key":"'), k, F.lit('","name":"area '), k, F.lit('"},"geometry":'), geometry, F.lit("}"))
-    documents = s.groupBy("s_nationkey").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(one), ","), F.lit("]}")).alias("value"))
+    documents = s.groupBy(F.floor(k / 40)).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(one), ","), F.lit("]}")).alias("value"))
     f = T.features(documents)
     west = F.array_min(F.transform(F.flatten("rings"), lambda p: p["x"]))
     p = lambda name: F.get_json_object("properties", f"$.{name}")
     return f.select(p("key").cast("long").alias("s_suppkey"), "kind", F.size("rings").alias("rings"), F.size(F.flatten("rings")).alias("points"), p("name").alias("name"), west.alias("west"))
+
+
+#: Categories of an outlook by their number.
+LEVELS = {2: "TSTM", 3: "MRGL", 4: "SLGT", 5: "ENH", 6: "MDT", 8: "HIGH"}
+_OUTLOOK = f"select *, (case s_suppkey * 5 % 7 when 5 then 8 when 6 then 0 else s_suppkey * 5 % 7 + 2 end)::integer as dn, s_suppkey % 3 as period from ({_SHAPE})"
+_DN_NAME = "case dn " + " ".join(f"when {k} then '{v}'" for k, v in LEVELS.items()) + " else dn::varchar end"
+
+
+@register(
+    "outlook_levels",
+    f"""with l as ({_OUTLOOK}), drawn as (select * from l where dn >= 2), top as (select period, max(dn) as dn from drawn group by period), t as (select d.* from drawn d join top using (period, dn)),
+    area as (select period, dn, floor(sum((({_shoelace_sql(1.0)}) - ({_shoelace_sql(_HOLE)})) * 111.32 * 111.32 * cos(radians(cy + b * ({" + ".join(str(y) for _, y in _CORNERS)}) / 4))) / 1000 + 0.5)::bigint * 1000 as km2,
+      floor(min(cy - b) * 10 + 0.5) / 10 as south, floor(min(cx - a) * 10 + 0.5) / 10 as west, floor(max(cy + b) * 10 + 0.5) / 10 as north, floor(max(cx + a) * 10 + 0.5) / 10 as east, count(*) as areas from t group by period, dn),
+    p as ({_POINT}), held as (select period, count(distinct c_custkey) as hubs from t join p on abs(x - cx) <= a and abs(y - cy) <= b and {_inside_sql("x", "y")} group by period),
+    lower as (select period, string_agg(name, ',' order by dn) as lower from (select distinct d.period, d.dn, {_DN_NAME.replace("dn", "d.dn")} as name from drawn d join top t on t.period = d.period and t.dn > d.dn) group by period)
+    select period::integer as period, {_DN_NAME} as level, km2, south, west, north, east, areas, coalesce(hubs, 0) as hubs, coalesce(lower, '') as lower from area left join held using (period) left join lower using (period)""",
+)
+def outlook_levels(spark, d):
+    """Each period's highest category: its name, area to 1,000 square kilometres, box, number of areas, customers inside, and the lower ones drawn."""
+    k = F.col("s_suppkey")
+    number = F.when(k * 5 % 7 == 5, 8).when(k * 5 % 7 == 6, 0).otherwise(k * 5 % 7 + 2).cast("int")
+    drawn = shapes(spark, d).select("s_suppkey", "rings", number.alias("dn"), (k % 3).cast("int").alias("period")).where("dn >= 2")
+    name = F.create_map(*[F.lit(x) for pair in LEVELS.items() for x in pair])
+    named = lambda c: F.coalesce(F.try_element_at(name, F.col(c)), F.col(c).cast("string"))
+    top = drawn.groupBy("period").agg(F.max("dn").alias("top"))
+    t = drawn.join(F.broadcast(top), "period")  # one row for each period
+    best = t.where("dn = top").withColumn("o", Geo.box(F.get("rings", F.lit(0))))
+    one = lambda c: F.floor(c * 10 + 0.5) / 10
+    area = best.groupBy("period", "dn").agg(
+        (F.floor(F.sum(Geo.polygon_km2(F.col("rings"))) / 1000 + 0.5) * 1000).cast("long").alias("km2"), one(F.min("o.s")).alias("south"), one(F.min("o.w")).alias("west"), one(F.max("o.n")).alias("north"), one(F.max("o.e")).alias("east"),
+        F.count("*").alias("areas"),
+    )
+    points = table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") * 97 % 3600 / 10.0 - 180).alias("x"), ((F.col("c_acctbal") + 1000) / 80 - 60).alias("y"))
+    held = P.points_in(points, best.select("period", "rings"), cell=10.0).groupBy("period").agg(F.count_distinct("c_custkey").alias("hubs"))
+    lower = t.where("dn < top").groupBy("period").agg(F.array_sort(F.collect_set(F.struct("dn", named("dn").alias("n")))).alias("l"))
+    out = area.join(held, "period", "left").join(lower, "period", "left")
+    below = F.coalesce(F.array_join(F.transform("l", lambda x: x["n"]), ","), F.lit(""))
+    return out.select("period", named("dn").alias("level"), "km2", "south", "west", "north", "east", "areas", F.coalesce("hubs", F.lit(0)).cast("long").alias("hubs"), below.alias("lower"))

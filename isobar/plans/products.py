@@ -115,13 +115,13 @@ def csv_lines(spark, d):
 
 @register("kml_rings", "select 'area ' || s_suppkey as name, 'n ' || s_nationkey as description, 3 as points, s_suppkey * 37 % 400 - 190::double as west, s_suppkey * 11 % 120 - 50::double as south from supplier")
 def kml_rings(spark, d):
-    """A KML document for each nation's suppliers: their names, descriptions and rings."""
+    """KML documents of forty suppliers each: their names, descriptions and rings."""
     k = F.col("s_suppkey")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", (k * 37 % 400 - 190).alias("x"), (k * 11 % 120 - 50).alias("y"))
     at = lambda dx, dy: F.concat_ws(",", (F.col("x") + dx).cast("string"), (F.col("y") + dy).cast("string"), F.lit("0"))
     ring = F.concat_ws(" ", at(0, 0), at(2, 0), at(2, 3))
     mark = F.concat(F.lit("<Placemark><name>area "), k, F.lit("</name><description>n "), "s_nationkey", F.lit("</description><Polygon><outerBoundaryIs><LinearRing><coordinates>"), ring, F.lit("</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark>"))
-    documents = s.groupBy("s_nationkey").agg(F.concat(F.lit("<kml><Document>"), F.array_join(F.collect_list(mark), ""), F.lit("</Document></kml>")).alias("value"))
+    documents = s.groupBy(F.floor(k / 40)).agg(F.concat(F.lit("<kml><Document>"), F.array_join(F.collect_list(mark), ""), F.lit("</Document></kml>")).alias("value"))
     low = lambda c: F.array_min(F.transform("ring", lambda p: p[c]))
     return T.placemarks_of(documents).select("name", "description", F.size("ring").alias("points"), low("x").alias("west"), low("y").alias("south"))
 
@@ -149,3 +149,35 @@ def frames_given_up(spark, d):
     e = table(spark, d, "events")
     ok = ~F.col("event_type").isin("error", "signup")
     return state.given_up(e.select(F.concat_ws("|", (F.col("user_id") % 97).cast("string"), F.to_date("ts").cast("string")).alias("key"), F.col("ts").alias("at"), ok.alias("ok")))
+
+
+@register(
+    "feed_items",
+    """select event_id, event_type || ' no. ' || event_id as title, 'Value ' || (value * 100)::bigint || chr(10) || 'user ' || user_id as text, 'https://example.org/' || event_id as link, case when event_type <> 'click' then date_trunc('second', ts) end as published from events""",
+)
+def feed_items(spark, d):
+    """RSS feeds of fifty events each, read item by item; clicks have no date."""
+    e = table(spark, d, "events")
+    text = F.concat(F.lit("<![CDATA[<p>Value <b>"), F.round(F.col("value") * 100).cast("long"), F.lit("</b><br/>user "), F.col("user_id"), F.lit("</p>]]>"))
+    date = F.when(F.col("event_type") == "click", "soon").otherwise(F.concat(F.lit("Mon, "), F.date_format("ts", "dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
+    item = F.concat(F.lit("<item><title>"), "event_type", F.lit(" no. "), F.col("event_id"), F.lit("</title><description>"), text, F.lit("</description><link>https://example.org/"), F.col("event_id"), F.lit("</link><pubDate>"), date, F.lit("</pubDate></item>"))
+    feeds = e.groupBy(F.floor(F.col("event_id") / 50).alias("feed")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("value"))
+    found = T.feed_items(feeds)
+    return found.select(F.regexp_extract("title", r"(\d+)$", 1).cast("long").alias("event_id"), "title", "text", "link", "published")
+
+
+@register(
+    "lattices",
+    """with p as (select c_nationkey, floor((c_acctbal + 1000) / 80) - 60 as lat, c_custkey * 97 % 360 - 180 as lon from customer), b as (select c_nationkey, min(lat) as s, max(lat) as n, min(lon) as w, max(lon) as e from p group by 1),
+    g as (select *, floor((n - s) / 2.5 + 1e-9)::integer + 1 as nlat, floor((e - w) / 2.5 + 1e-9)::integer + 1 as nlon from b)
+    select g.c_nationkey, s::double as lat0, w::double as lon0, nlat, nlon, count(distinct (floor((lat - s) / 2.5 + 0.5), floor((lon - w) / 2.5 + 0.5))) as used from g join p using (c_nationkey) group by all""",
+)
+def lattices(spark, d):
+    """The lattice of 2.5 degrees over each nation's customers, and how many of its points are the nearest of one."""
+    p = table(spark, d, "customer").select("c_nationkey", (F.floor((F.col("c_acctbal") + 1000) / 80) - 60).alias("lat"), (F.col("c_custkey") * 97 % 360 - 180).alias("lon"))
+    box = p.groupBy("c_nationkey").agg(F.min("lat").alias("s"), F.max("lat").alias("n"), F.min("lon").alias("w"), F.max("lon").alias("e"))
+    size = lambda lo, hi: (F.floor((F.col(hi) - F.col(lo)) / 2.5 + 1e-9) + 1).cast("int")
+    grid = box.select("c_nationkey", "s", "w", size("s", "n").alias("nlat"), size("w", "e").alias("nlon"))
+    near = lambda c, o: F.floor((F.col(c) - F.col(o)) / 2.5 + 0.5)
+    used = p.join(grid, "c_nationkey").groupBy("c_nationkey", "s", "w", "nlat", "nlon").agg(F.count_distinct(near("lat", "s"), near("lon", "w")).alias("used"))
+    return used.select("c_nationkey", F.col("s").cast("double").alias("lat0"), F.col("w").cast("double").alias("lon0"), "nlat", "nlon", "used")

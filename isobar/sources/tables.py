@@ -116,3 +116,17 @@ def placemarks_of(documents: DataFrame, column: str = "value") -> DataFrame:
     pairs = F.filter(F.split(F.trim("p.Polygon.outerBoundaryIs.LinearRing.coordinates"), r"\s+"), lambda x: x != "")
     point = lambda p: F.struct(F.get(F.split(p, ","), F.lit(0)).try_cast("double").alias("x"), F.get(F.split(p, ","), F.lit(1)).try_cast("double").alias("y"))
     return marks.select("p.name", "p.description", F.transform(pairs, point).alias("ring"))
+
+
+def feed_items(documents: DataFrame, column: str = "value") -> DataFrame:
+    """The columns of ``documents`` with title, text, link and ``published`` (null where it is no date) of every item of an RSS feed.
+
+    A description's markup is taken out, its line breaks stay; broken feeds have no items.
+    """
+    row = "channel struct<item: array<struct<title: string, description: string, link: string, pubDate: string>>>"
+    kept = [c for c in documents.columns if c != column]
+    items = documents.select(*kept, F.explode(F.from_xml(column, row)["channel"]["item"]).alias("i")).select(*kept, "i.*")
+    broken = F.regexp_replace(F.coalesce("description", F.lit("")), r"(?i)<br\s*/?>", "\n")
+    day = F.regexp_extract("pubDate", r"(\d{1,2} [A-Z][a-z]{2} \d{4} \d\d:\d\d:\d\d)", 1)
+    published = F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("d MMM yyyy HH:mm:ss"))
+    return items.select(*kept, F.trim("title").alias("title"), F.trim(F.regexp_replace(broken, "<[^>]+>", "")).alias("text"), F.trim("link").alias("link"), published.cast("timestamp_ntz").alias("published"))
