@@ -378,9 +378,12 @@ def _planned(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int,
             needed = (kept + _filled(rest, capacity, room), -kept)
             if best is None or needed < best:
                 best, chosen = needed, room
+    # Equal sequences come from several steps; they are one group of the plan.
+    alike: dict[tuple[tuple[int, int], ...], int] = {}
     for gap in chosen.gaps:
-        done += chosen.groups[gap]
-    return done, -best[1]
+        for count, held in chosen.groups[gap]:
+            alike[tuple(held)] = alike.get(tuple(held), 0) + count
+    return [*done, *((count, list(held)) for held, count in alike.items())], -best[1]
 
 
 def pack(table: DataFrame, *, capacity: int = 4096, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
