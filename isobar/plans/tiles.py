@@ -236,11 +236,11 @@ def tile_percentile_calibration(spark, d):
     return c.join(F.broadcast(t), "i").groupBy("i").agg(F.count_if(F.col("v") >= F.col("limit")).alias("above"))
 
 
-@register("tile_lattice", "select j.j::integer as j, i.i::integer as i, 25.0 + j.j * 0.5 as lat, -80.0 + i.i * 0.5 as lon from (select unnest(range(10)) as j) j, (select unnest(range(24)) as i) i")
+@register("tile_lattice", f"with c as ({_P}) select label, j::integer as j, i::integer as i, 25.0 + j * 0.5 as lat, -80.0 + i * 0.5 as lon, count(*) as tiles, round(avg(v), 6) as mean from c group by label, j, i")
 def tile_lattice(spark, d):
-    n = lambda size, res: int(size / res + 1e-9)
-    rows = spark.range(n(5, 0.5)).select(F.col("id").cast("int").alias("j")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n(12, 0.5) - 1))))
-    return rows.select("j", "i", (25.0 + F.col("j") * 0.5).alias("lat"), (-80.0 + F.col("i") * 0.5).alias("lon"))
+    """The lattice that each label's tiles are published on, with the mean of what lies at its points."""
+    c = cells(spark, d).groupBy("label", "j", "i").agg(F.count("*").alias("tiles"), F.round(F.avg("v"), 6).alias("mean"))
+    return c.select("label", "j", "i", (25.0 + F.col("j") * 0.5).alias("lat"), (-80.0 + F.col("i") * 0.5).alias("lon"), "tiles", "mean")
 
 
 @register(
