@@ -21,14 +21,13 @@ def slots_of_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     one and the number of its clicks.
     """
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("slot", F.floor(F.hour("ts") / _SLOT).cast("int"))
-    ends = e.agg(F.min("day").alias("a"), F.max("day").alias("b"), F.max("ts").alias("now"))
-    days = ends.select(F.explode(F.sequence("a", "b")).alias("day"), F.col("now"))
-    lattice = days.select("day", "now", F.explode(F.sequence(F.lit(0), F.lit(24 // _SLOT - 1))).alias("slot"))
-    # The lattice has a row for each slot of time, not for each event: the hosts take it as a small table.
+    # The table's first and last day and its newest moment: three values that every host's lattice is made from.
+    ends = e.agg(F.min("day").alias("a"), F.max("day").alias("b"), F.max("ts").alias("now")).first()
     hosts = e.select(F.col("user_id").alias("host")).distinct()
+    days = F.sequence(F.lit(ends.a), F.lit(ends.b)) if ends.a else F.array().cast("array<date>")
+    every = hosts.select("host", F.explode(days).alias("day")).select("host", "day", F.explode(F.sequence(F.lit(0), F.lit(24 // _SLOT - 1))).alias("slot"))
     seen = e.groupBy(F.col("user_id").alias("host"), "day", "slot").agg(*(F.count_if(F.col("event_type") == k).alias(k) for k in ("view", "error", "click")))
-    every = hosts.select("host", F.explode(F.expr("sequence(0, 7)")).alias("slot")).join(F.broadcast(lattice), "slot")
-    late = F.timestamp_diff("HOUR", F.make_timestamp_ntz(F.year("day"), F.month("day"), F.day("day"), F.col("slot") * _SLOT, F.lit(0), F.lit(0)), F.col("now"))
+    late = F.timestamp_diff("HOUR", F.make_timestamp_ntz(F.year("day"), F.month("day"), F.day("day"), F.col("slot") * _SLOT, F.lit(0), F.lit(0)), F.lit(ends.now).cast("timestamp_ntz"))
     rows = every.withColumn("late", late).join(seen, ["host", "day", "slot"], "left")
     state = F.when(F.col("view") > 0, "held").when(F.col("error") >= MISSES, "given up").when(F.col("late") < LAG_HOURS, "not yet there")
     return rows.select("host", "day", "slot", state.alias("state"), (1 + F.coalesce("click", F.lit(0))).cast("long").alias("cost"))
