@@ -46,9 +46,9 @@ slots as (
 ),
 due as (select *, sum(cost) over (partition by host order by spread, day desc, slot rows unbounded preceding) as host_total from slots where state is null),
 fits as (select *, sum(cost) over (order by spread, day desc, host, slot rows unbounded preceding) as total from due where host_total <= {PER_HOST})
-select host, day, slot, cost, host_total::bigint as host_total, total::bigint as total, case when total <= {IN_ALL} then 'chosen' else 'limit in all' end as reason, total <= {IN_ALL} as chosen from fits
-union all select host, day, slot, cost, host_total::bigint, null, 'limit of its host', false from due where host_total > {PER_HOST}
-union all select host, day, slot, cost, null, null, state, false from slots where state is not null""",
+select host, day, slot::integer as slot, cost, host_total::bigint as host_total, total::bigint as total, case when total <= {IN_ALL} then 'chosen' else 'limit in all' end as reason, total <= {IN_ALL} as chosen from fits
+union all select host, day, slot::integer, cost, host_total::bigint, null, 'limit of its host', false from due where host_total > {PER_HOST}
+union all select host, day, slot::integer, cost, null, null, state, false from slots where state is not null""",
 )
 def planned_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slots to read now and the reasons why others wait: spread over the hours of the day first, then the newest days."""

@@ -32,7 +32,7 @@ FIELDS = (
 
 _LINES = r"""select doc_id, list_filter(list_transform(string_split(replace(coalesce(text, ''), chr(13), ' '), chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: regexp_matches(x, '[A-Za-z]')) as l,
   ['outlook', 'hazards', 'discussion'][doc_id % 3 + 1] as kind from documents"""
-_ROWS = f"with d as ({_LINES}), r as (select doc_id, kind, unnest(l) as line, unnest(range(1, len(l) + 1)) as k, len(l) as n from d)"
+_ROWS = f"with d as ({_LINES}), r as (select doc_id, kind, unnest(l) as line, unnest(range(1, len(l) + 1))::integer as k, len(l) as n from d)"
 
 
 def notices(spark, d):

@@ -236,7 +236,7 @@ def tile_percentile_calibration(spark, d):
     return c.join(F.broadcast(t), "i").groupBy("i").agg(F.count_if(F.col("v") >= F.col("limit")).alias("above"))
 
 
-@register("tile_lattice", f"with c as ({_P}) select label, j::integer as j, i::integer as i, 25.0 + j * 0.5 as lat, -80.0 + i * 0.5 as lon, count(*) as tiles, round(avg(v), 6) as mean from c group by label, j, i")
+@register("tile_lattice", f"with c as ({_P}) select label, j::integer as j, i::integer as i, (25.0 + j * 0.5)::double as lat, (-80.0 + i * 0.5)::double as lon, count(*) as tiles, round(avg(v), 6) as mean from c group by label, j, i")
 def tile_lattice(spark, d):
     """The lattice that each label's tiles are published on, with the mean of what lies at its points."""
     c = cells(spark, d).groupBy("label", "j", "i").agg(F.count("*").alias("tiles"), F.round(F.avg("v"), 6).alias("mean"))
