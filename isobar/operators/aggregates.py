@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.steps import step
 from .ordered import first_per
+from .running import running
 
 
 def hours_per_cell(frames: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,26 +43,25 @@ def kth_highest(values: Column, k: int) -> Column:
     return F.get(F.sort_array(F.collect_list(values), asc=False), F.lit(k - 1))
 
 
-def at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Callable[[Column], Column]], buckets: int = 64) -> DataFrame:
+def at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """(keys, n, one column per rank): the exact values at places of each key's sorted values, nulls left out.
 
     ``ranks`` gives each place (from 0) as a function of the key's number of values. Equal values count once with their
-    number. Approximate quantiles cut each key's values into ``buckets``; counts say which bucket holds a place, and only
-    the rows of such buckets are sorted, so that no task holds all values of a key.
+    number; running counts over sampled ranges of the values say which value holds a place, so that no task holds or sorts all
+    values of a key. A null key is a key; one without values isn't there. A place beyond the values is null.
     """
     some = df.where(F.col(value).isNotNull())
     counted = some.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    cuts = [k / buckets for k in range(1, buckets)]
-    bounds = some.groupBy(*keys).agg(F.percentile_approx(value, cuts, 1000).alias("_b"), F.count("*").alias("n"))
-    placed = counted.join(bounds, keys).select(*keys, "_v", "_c", "n", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_k"))
-    sums = placed.groupBy(*keys, "_k").agg(F.sum("_c").alias("_m"), F.first("n").alias("n"))
-    sums = sums.withColumn("_from", F.sum("_m").over(Window.partitionBy(*keys).orderBy("_k")) - F.col("_m"))
+    run = step(running(counted, keys, [F.col("_v")], sums={"_to": F.col("_c")}), "running-counts")
+    sizes = run.groupBy(*keys).agg(F.max("_to").alias("n"))
     places = F.array(*(F.struct(F.lit(name).alias("name"), at(F.col("n")).cast("long").alias("at")) for name, at in ranks.items()))
-    wanted = sums.withColumn("_w", F.explode(places)).where((F.col("_w.at") >= F.col("_from")) & (F.col("_w.at") < F.col("_from") + F.col("_m")))
-    near = placed.drop("n").join(wanted.select(*keys, "_k", "_from", "_w.name", "_w.at"), [*keys, "_k"])
-    run = near.withColumn("_to", F.col("_from") + F.sum("_c").over(Window.partitionBy(*keys, "_k", "name").orderBy("_v")))
-    found = run.where(F.col("_to") > F.col("at")).groupBy(*keys).agg(*(F.min(F.when(F.col("name") == name, F.col("_v"))).alias(name) for name in ranks))
-    return bounds.select(*keys, "n").join(found, keys)
+    asked = sizes.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.explode(places).alias("_w"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    held = run.join(asked, same & (F.col("_w.at") >= F.col("_to") - F.col("_c")) & (F.col("_w.at") < F.col("_to")))
+    found = held.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(*(F.max(F.when(F.col("_w.name") == name, F.col("_v"))).alias(name) for name in ranks))
+    return sizes.join(found, same, "left").select(*keys, "n", *ranks)
 
 
 def ranked_value(values: Column, position: Column) -> Column:
