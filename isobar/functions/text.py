@@ -118,3 +118,8 @@ def places_of(element: Column) -> Column:
     """The codes of three or four characters before the slash, without the words between them."""
     before = F.regexp_extract(F.coalesce(element, F.lit("")), "^(.+)/(?:Z[A-Z]{2}|CZ[A-Z])$", 1)
     return F.filter(F.regexp_extract_all(before, F.lit(r"\b([A-Z0-9]{3,4})\b"), F.lit(1)), lambda w: ~w.isin("DCC", "AND", "SATS", "ALL"))
+
+
+def counted(n: Column, one: str, many: str) -> Column:
+    """``1 day``, ``2 days``, ``no days``."""
+    return F.when(n == 1, f"1 {one}").when(n == 0, f"no {many}").otherwise(F.concat(n.cast("string"), F.lit(f" {many}")))

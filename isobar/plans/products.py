@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+from ..operators import ordered as O
 from ..sources import sinks
 from ..sources import tables as T
 from ..streaming import state
@@ -181,3 +183,42 @@ def lattices(spark, d):
     near = lambda c, o: F.floor((F.col(c) - F.col(o)) / 2.5 + 0.5)
     used = p.join(grid, "c_nationkey").groupBy("c_nationkey", "s", "w", "nlat", "nlon").agg(F.count_distinct(near("lat", "s"), near("lon", "w")).alias("used"))
     return used.select("c_nationkey", F.col("s").cast("double").alias("lat0"), F.col("w").cast("double").alias("lon0"), "nlat", "nlon", "used")
+
+
+_TEN = "case when n = 1 then '1 report' else n || ' reports' end"
+
+
+@register(
+    "report_texts",
+    f"""
+with e as (select *, ts::date as day from events), d as (select event_type, day, count(*) as n from e group by all),
+u as (select event_type, user_id, count(*) as n, row_number() over (partition by event_type order by count(*) desc, user_id) as r, count(*) over (partition by event_type) as m from e group by event_type, user_id),
+names as (select event_type, string_agg('user ' || user_id, ', ' order by r) filter (r <= 3) as named, any_value(m) as m from u group by event_type),
+t as (select event_type, sum(n)::bigint as n, count(*) as days, arg_max(day, (n, -(day - date '2000-01-01'))) as top, max(n) as most, min(day) as first, max(day) as last from d group by event_type),
+h as (select event_type, count(*) filter (value >= 200) as strong from e group by event_type)
+select event_type, upper(event_type[1]) || event_type[2:] || ': ' || ({_TEN}) || ' on ' || case when days = 1 then '1 day' else days || ' days' end || ', most on ' || strftime(top, '%a %-d %b') || ' (' || most || ').' || chr(10)
+  || 'From ' || strftime(first, '%-d %b') || ' to ' || strftime(last, '%-d %b') || ': ' || case when m > 3 then named || ' and ' || (m - 3) || ' more' else named end || '.' || chr(10)
+  || case when strong = 0 then 'No strong ones.' when strong = 1 then '1 strong one.' else strong || ' strong ones.' end as text
+from t join names using (event_type) join h using (event_type)""",
+)
+def report_texts(spark, d):
+    """A report of three lines for each type: how many on how many days and the day of most, from when to when and whose, how many strong ones."""
+    e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    by_day = e.groupBy("event_type", "day").agg(F.count("*").alias("n"))
+    top = F.max(F.struct("n", (-F.unix_date("day")).alias("k")))
+    t = by_day.groupBy("event_type").agg(F.sum("n").alias("n"), F.count("*").alias("days"), top.alias("top"), F.min("day").alias("first"), F.max("day").alias("last"))
+    users = e.groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
+    # The first three and the number of all are enough for the list: no group's users come together.
+    leaders = O.first_per(users, ["event_type"], [F.desc("n"), F.col("user_id")], 3)
+    named = leaders.groupBy("event_type").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "user_id"))).alias("l"))
+    m = users.groupBy("event_type").agg(F.count("*").alias("m"))
+    strong = e.groupBy("event_type").agg(F.count_if(F.col("value") >= 200).alias("strong"))
+    r = t.join(named, "event_type").join(m, "event_type").join(strong, "event_type")
+    names = F.transform("l", lambda x: F.concat(F.lit("user "), x["user_id"].cast("string")))
+    whose = F.when(F.col("m") > 3, F.concat(F.array_join(names, ", "), F.lit(" and "), (F.col("m") - 3).cast("string"), F.lit(" more"))).otherwise(F.array_join(names, ", "))
+    day = lambda c, form: F.date_format(c, form)
+    best = F.date_from_unix_date((-F.col("top.k")).cast("int"))
+    first = F.concat(F.initcap("event_type"), F.lit(": "), X.counted(F.col("n"), "report", "reports"), F.lit(" on "), X.counted(F.col("days"), "day", "days"), F.lit(", most on "), day(best, "EEE d MMM"), F.lit(" ("), F.col("top.n").cast("string"), F.lit(")."))
+    second = F.concat(F.lit("From "), day("first", "d MMM"), F.lit(" to "), day("last", "d MMM"), F.lit(": "), whose, F.lit("."))
+    third = F.when(F.col("strong") == 0, "No strong ones.").when(F.col("strong") == 1, "1 strong one.").otherwise(F.concat(F.col("strong").cast("string"), F.lit(" strong ones.")))
+    return r.select("event_type", F.concat_ws("\n", first, second, third).alias("text"))
