@@ -48,11 +48,16 @@ def points_near(points: DataFrame, polygons: DataFrame, km: float, *, x: str = "
     boxed = polygons.where(F.size(rings) > 0).withColumn("_o", Geo.box(F.get(rings, F.lit(0))))
     highest = F.least(F.greatest(F.abs(F.col("_o.s")), F.abs(F.col("_o.n"))) + up, F.lit(89.0))
     out = F.lit(up) / F.cos(F.radians(highest))
-    listed = boxed.withColumn("_i", F.explode(F.sequence(square(F.col("_o.w") - out), square(F.col("_o.e") + out)))).withColumn("_j", F.explode(F.sequence(square(F.col("_o.s") - up), square(F.col("_o.n") + up)))).drop("_o")
+    boxed = boxed.withColumn("_out", out)
+    out = F.col("_out")
+    listed = boxed.withColumn("_i", F.explode(F.sequence(square(F.col("_o.w") - out), square(F.col("_o.e") + out)))).withColumn("_j", F.explode(F.sequence(square(F.col("_o.s") - up), square(F.col("_o.n") + up))))
     placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_i", square(F.col(x))).withColumn("_j", square(F.col(y)))
     near = F.array_min(F.transform(F.flatten(F.transform(rings, Geo.edges)), lambda e: _km_to_edge(F.col(x), F.col(y), e)))
     distance = F.when(P.inside(F.col(x), F.col(y), F.col(rings)), 0.0).otherwise(near)
-    return placed.join(listed, ["_i", "_j"]).withColumn("distance", distance).where(F.col("distance") <= km).drop("_i", "_j")
+    around = F.col(x).between(F.col("_o.w") - out, F.col("_o.e") + out) & F.col(y).between(F.col("_o.s") - up, F.col("_o.n") + up)
+    # Exploded, so that a pair's distance is made once and not again by the filter.
+    met = placed.join(listed, ["_i", "_j"]).where(around).withColumn("distance", F.explode(F.filter(F.array(distance), lambda d: d <= km)))
+    return met.drop("_i", "_j", "_o", "_out")
 
 
 def best_area(pairs: DataFrame, keys: list[str], strength: str, label: str) -> DataFrame:

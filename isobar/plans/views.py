@@ -104,15 +104,15 @@ _NEAR = f"least({', '.join(_edge_sql(f, k) for f in (1.0, areas._HOLE) for k in
     "places_near_areas",
     f"""with p as (select c_custkey, lon as x, lat as y from ({_PLACES})), l as ({_LAYERS}),
     n as (select c_custkey, label, strength, s_suppkey, case when {areas._inside_sql("x", "y")} then 0.0 else {_NEAR} end as distance from p join l on abs(y - cy) <= b + 2.5 and abs(x - cx) * cos(radians(y)) <= a + 2.5),
-    h as (select *, count(*) over (partition by c_custkey) as n, row_number() over (partition by c_custkey order by strength desc, distance, s_suppkey) as r from n where distance <= 250)
+    h as (select *, count(*) over (partition by c_custkey) as n, row_number() over (partition by c_custkey order by strength desc, round(distance, 3), s_suppkey) as r from n where distance <= 250)
     select c_custkey, n, label, strength, round(distance, 3) as distance from h where r = 1""",
 )
 def places_near_areas(spark, d):
-    """Customers within 250 km of an area: how many areas, and the strongest of them."""
+    """Customers within 250 km of an area: how many areas, and the strongest of them; distances tell areas apart to a metre."""
     points = places(spark, d).select("c_custkey", F.col("lon").alias("x"), F.col("lat").alias("y"))
     pairs = layers.points_near(points, layered(spark, d).select("s_suppkey", "rings", "label", "strength"), 250.0, cell=10.0)
-    best = layers.best_area(pairs.withColumn("name", F.col("s_suppkey")), ["c_custkey"], "strength", "name")
-    return best.join(layered(spark, d).select(F.col("s_suppkey").alias("name"), "label"), "name").select("c_custkey", "n", "label", "strength", F.round("distance", 3).alias("distance"))
+    best = layers.best_area(pairs.withColumn("name", F.col("s_suppkey")).withColumn("distance", F.round("distance", 3)), ["c_custkey"], "strength", "name")
+    return best.join(layered(spark, d).select(F.col("s_suppkey").alias("name"), "label"), "name").select("c_custkey", "n", "label", "strength", "distance")
 
 
 #: The part of the map that lines are clipped to.
