@@ -17,11 +17,14 @@ def edges(ring: Column) -> Column:
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd test: whether a ray from the point crosses the ring an odd number of times."""
+    """Even-odd test: whether a ray from the point crosses the ring an odd number of times.
+
+    A ring of decimals keeps its differences and their product exact up to the division, as SQL does with decimal places.
+    """
 
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
-        return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
+        return ((a["y"] > y) != (b["y"] > y)) & (x < ((b["x"] - a["x"]) * (y - a["y"])).cast("double") / F.nullif((b["y"] - a["y"]).cast("double"), F.lit(0.0)) + a["x"].cast("double"))
 
     return F.aggregate(edges(ring), F.lit(False), lambda s, e: s != F.coalesce(crosses(e), F.lit(False)))
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions import geometry as Geo
 from ..functions.binding import bound
@@ -33,7 +34,7 @@ def points_in(points: DataFrame, polygons: DataFrame, *, x: str = "x", y: str =
     return placed.join(listed, ["_i", "_j"]).where(inside(F.col(x), F.col(y), F.col(rings))).drop("_i", "_j")
 
 
-def shifted(rings: Column, by: float) -> Column:
+def shifted(rings: Column, by: int) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct((p["x"] + by).alias("x"), p["y"].alias("y"))))
 
 
@@ -41,10 +42,12 @@ def covered_cells(polygons: DataFrame, keys: list[str], *, rings: str = "rings",
     """(keys, j, i) for each cell of a grid whose centre a polygon holds, once however many polygons of one key do.
 
     Only the cells within a polygon's box are made and tested: no cell meets a polygon elsewhere. A polygon that reaches
-    beyond 180 degrees also counts one turn further west.
+    beyond 180 degrees also counts one turn further west. Rings of decimals meet centres of decimals (six places).
     """
+    places = polygons.schema[rings].dataType
+    exact = isinstance(places.elementType.elementType["x"].dataType, DecimalType)
     east = F.exists(F.get(rings, F.lit(0)), lambda p: p["x"] > 180)
-    turned = F.when(east, F.array(F.col(rings), shifted(F.col(rings), -360.0))).otherwise(F.array(F.col(rings)))
+    turned = F.when(east, F.array(F.col(rings), shifted(F.col(rings), -360).cast(places))).otherwise(F.array(F.col(rings)))
     copies = polygons.where(F.size(rings) > 0).select(*keys, F.explode(turned).alias("_r")).withColumn("_o", Geo.box(F.get("_r", F.lit(0))))
     place = lambda v, o, n: F.least(F.greatest(F.floor((F.col(v) - o) / step), F.lit(-1)), F.lit(n)).cast("int")
     lists = copies.select(
@@ -53,7 +56,7 @@ def covered_cells(polygons: DataFrame, keys: list[str], *, rings: str = "rings",
         F.greatest(place("_o.w", x0, nx), F.lit(0)).alias("_i0"), F.least(place("_o.e", x0, nx), F.lit(nx - 1)).alias("_i1"),
     ).where("_j0 <= _j1 and _i0 <= _i1")
     cells = lists.withColumn("j", F.explode(F.sequence("_j0", "_j1"))).withColumn("i", F.explode(F.sequence("_i0", "_i1")))
-    centre = lambda c, o: o + (F.col(c) + 0.5) * step
+    centre = lambda c, o: (o + (F.col(c) + 0.5) * step).cast("decimal(18,6)" if exact else "double")
     return cells.where(inside(centre("i", x0), centre("j", y0), F.col("_r"))).select(*keys, "j", "i").distinct()
 
 

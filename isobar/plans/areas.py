@@ -19,13 +19,19 @@ _GRID = {"x0": -180.0, "y0": -60.0, "step": 5.0, "nx": 72, "ny": 28}
 
 
 def shapes(spark, d):
+    """Suppliers as polygons: ``rings`` in doubles, ``exact`` in decimals as the SQL has them, for tests of what lies inside."""
     k = F.col("s_suppkey")
     s = table(spark, d, "supplier").select(
         "s_suppkey", F.floor(k % 24 / 8).cast("int").alias("day"), (k % 8).cast("int").alias("sample"), (F.col("s_nationkey") % 2).cast("int").alias("kind"),
         (k * 37 % 400 - 190.3).alias("cx"), (k * 11 % 120 - 50.7).alias("cy"), (4.0 + k % 13).alias("a"), (3.0 + k % 7).alias("b"),
     )
     corner = lambda x, y, f: F.struct((F.col("cx") + F.col("a") * (x * f)).alias("x"), (F.col("cy") + F.col("b") * (y * f)).alias("y"))
-    return s.withColumn("rings", F.array(*(F.array(*(corner(x, y, f) for x, y in _CORNERS)) for f in (1.0, _HOLE))))
+    dec = lambda v: F.lit(f"{v:.1f}").cast("decimal(2,1)")
+    digits = lambda v: v.cast("decimal(18,0)")
+    cx, cy, a, b = digits(k * 37 % 400) - F.lit("190.3").cast("decimal(4,1)"), digits(k * 11 % 120) - F.lit("50.7").cast("decimal(3,1)"), digits(4 + k % 13), digits(3 + k % 7)
+    placed = lambda x, y, f: F.struct((cx + a * dec(x * f)).cast("decimal(9,2)").alias("x"), (cy + b * dec(y * f)).cast("decimal(9,2)").alias("y"))
+    rings = lambda at: F.array(*(F.array(*(at(x, y, f) for x, y in _CORNERS)) for f in (1.0, _HOLE)))
+    return s.withColumn("rings", rings(corner)).withColumn("exact", rings(placed))
 
 
 def _ring_sql(x: str, y: str, f: float, turn: str = "0") -> str:
@@ -48,7 +54,7 @@ _POINT = "select c_custkey, (c_custkey * 97 % 3600) / 10.0 - 180 as x, (c_acctba
 @register("points_in_polygons", f"with s as ({_SHAPE}), p as ({_POINT}) select c_custkey, s_suppkey from p join s on abs(x - cx) <= a and abs(y - cy) <= b and {_inside_sql('x', 'y')}")
 def points_in_polygons(spark, d):
     p = table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") * 97 % 3600 / 10.0 - 180).alias("x"), ((F.col("c_acctbal") + 1000) / 80 - 60).alias("y"))
-    return P.points_in(p, shapes(spark, d).select("s_suppkey", "rings"), cell=10.0).select("c_custkey", "s_suppkey")
+    return P.points_in(p, shapes(spark, d).select("s_suppkey", "exact"), rings="exact", cell=10.0).select("c_custkey", "s_suppkey")
 
 
 def _turned(inner: str) -> str:
@@ -63,7 +69,7 @@ def _turned(inner: str) -> str:
 )
 def polygon_cell_percentages(spark, d):
     s = shapes(spark, d)
-    return P.cell_percentages(s, s, day="day", sample="sample", kind="kind", **_GRID)
+    return P.cell_percentages(s, s, day="day", sample="sample", kind="kind", rings="exact", **_GRID)
 
 
 def _apart_sql(w: str, s: float, e: str, n: float) -> str:

@@ -72,7 +72,7 @@ _LAYERS = f"select *, (s_suppkey * 7 % 3)::integer as rank, 'source ' || s_suppk
 def layered(spark, d):
     k = F.col("s_suppkey")
     rank = (k * 7 % 3).cast("int")
-    return areas.shapes(spark, d).select("s_suppkey", "day", "rings", rank.alias("rank"), F.concat(F.lit("source "), rank).alias("source"), (1 + k % 4).cast("int").alias("strength"), F.concat(F.lit("kind "), F.col("kind")).alias("label"))
+    return areas.shapes(spark, d).select("s_suppkey", "day", "rings", "exact", rank.alias("rank"), F.concat(F.lit("source "), rank).alias("source"), (1 + k % 4).cast("int").alias("strength"), F.concat(F.lit("kind "), F.col("kind")).alias("label"))
 
 
 @register(
@@ -86,7 +86,7 @@ def layered(spark, d):
 def strongest_layer_cells(spark, d):
     rows = layered(spark, d)
     best = layers.days_by_source(rows, rows.select("day", "source", "rank").distinct(), "day", "source", "rank")
-    return layers.strongest_cells(best, "day", "strength", "label", **areas._GRID)
+    return layers.strongest_cells(best, "day", "strength", "label", rings="exact", **areas._GRID)
 
 
 def _edge_sql(f: float, k: int) -> str:

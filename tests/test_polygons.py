@@ -129,3 +129,36 @@ def test_worst_days(spark, data):
         want[name] = min(want.get(name, key), key)
     got = {r.area: (-r["index"], r.day) for r in registry.queries()["worst_days"](spark, data).collect()}
     assert got == {name: (k[0], k[2]) for name, k in want.items()}
+
+
+def _more_suppliers(spark, folder, keys, customers=None):
+    """The tables with suppliers of these keys, and customers (key, balance) where given."""
+    spark.createDataFrame([(k, f"s{k}", k % 25, 0.0) for k in keys], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    if customers:
+        spark.createDataFrame([(k, f"c{k}", k % 25, v, "") for k, v in customers], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(f"{folder}/customer.parquet")
+
+
+def _sql_rows(folder, name):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for f in os.listdir(folder):
+        con.execute(f"create view {f.split('.')[0]} as select * from '{folder}/{f}/*.parquet'")
+    return sorted(con.execute(registry.oracle_sql()[name]).fetchall())
+
+
+def test_cells_on_an_edge_are_as_in_the_sql(spark, tmp_path):
+    """Centres that lie on an edge: differences of rounded doubles put some of them on the other side."""
+    _more_suppliers(spark, tmp_path, range(6000))
+    for name in ("polygon_cell_percentages", "strongest_layer_cells"):
+        assert sorted(tuple(r) for r in registry.queries()[name](spark, str(tmp_path)).collect()) == _sql_rows(tmp_path, name)
+
+
+def test_points_on_an_edge_are_as_in_the_sql(spark, tmp_path):
+    """Each of these customers lies on an edge of one of these suppliers."""
+    customers = [(10265, 2627.2), (16986, 6074.0), (25265, 2627.2), (27188, 460.0), (28959, 16.0), (59767, 1842.0), (69998, 183.0)]
+    _more_suppliers(spark, tmp_path, [1312, 1484, 1683, 3644, 3898, 4157, 4796], customers)
+    got = sorted(tuple(r) for r in registry.queries()["points_in_polygons"](spark, str(tmp_path)).collect())
+    assert got == _sql_rows(tmp_path, "points_in_polygons")
