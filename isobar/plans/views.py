@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import profiles, view
 from ..operators import features, layers
+from ..operators import places as near
 from . import areas
 from .registry import register, table
 
@@ -110,9 +111,8 @@ _NEAR = f"least({', '.join(_edge_sql(f, k) for f in (1.0, areas._HOLE) for k in
 def places_near_areas(spark, d):
     """Customers within 250 km of an area: how many areas, and the strongest of them; distances tell areas apart to a metre."""
     points = places(spark, d).select("c_custkey", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    pairs = layers.points_near(points, layered(spark, d).select("s_suppkey", "rings", "label", "strength"), 250.0, cell=10.0)
-    best = layers.best_area(pairs.withColumn("name", F.col("s_suppkey")).withColumn("distance", F.round("distance", 3)), ["c_custkey"], "strength", "name")
-    return best.join(layered(spark, d).select(F.col("s_suppkey").alias("name"), "label"), "name").select("c_custkey", "n", "label", "strength", "distance")
+    best = near.strongest_near(points, layered(spark, d), 250.0, "c_custkey", "s_suppkey", "strength", rings="exact")
+    return best.join(layered(spark, d).select("s_suppkey", "label"), "s_suppkey").select("c_custkey", "n", "label", "strength", "distance")
 
 
 #: The part of the map that lines are clipped to.
