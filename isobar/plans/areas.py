@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as Geo
+from ..operators import places as N
 from ..operators import polygons as P
 from .registry import register, table
 
@@ -180,7 +181,7 @@ def outlook_levels(spark, d):
     """Each period's highest category: its name, area to 1,000 square kilometres, box, number of areas, customers inside, and the lower ones drawn."""
     k = F.col("s_suppkey")
     number = F.when(k * 5 % 7 == 5, 8).when(k * 5 % 7 == 6, 0).otherwise(k * 5 % 7 + 2).cast("int")
-    drawn = shapes(spark, d).select("s_suppkey", "rings", number.alias("dn"), (k % 3).cast("int").alias("period")).where("dn >= 2")
+    drawn = shapes(spark, d).select("s_suppkey", "rings", "exact", number.alias("dn"), (k % 3).cast("int").alias("period")).where("dn >= 2")
     name = F.create_map(*[F.lit(x) for pair in LEVELS.items() for x in pair])
     named = lambda c: F.coalesce(F.try_element_at(name, F.col(c)), F.col(c).cast("string"))
     top = drawn.groupBy("period").agg(F.max("dn").alias("top"))
@@ -192,7 +193,7 @@ def outlook_levels(spark, d):
         F.count("*").alias("areas"),
     )
     points = table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") * 97 % 3600 / 10.0 - 180).alias("x"), ((F.col("c_acctbal") + 1000) / 80 - 60).alias("y"))
-    held = P.points_in(points, best.select("period", "rings"), cell=10.0).groupBy("period").agg(F.count_distinct("c_custkey").alias("hubs"))
+    held = N.held_by_any(points, best.select("period", "exact"), "c_custkey", "period", rings="exact").groupBy("period").agg(F.count_distinct("c_custkey").alias("hubs"))
     lower = t.where("dn < top").groupBy("period").agg(F.array_sort(F.collect_set(F.struct("dn", named("dn").alias("n")))).alias("l"))
     out = area.join(held, "period", "left").join(lower, "period", "left")
     below = F.coalesce(F.array_join(F.transform("l", lambda x: x["n"]), ","), F.lit(""))
