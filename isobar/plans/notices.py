@@ -126,9 +126,14 @@ TRACK_FIELDS = (B.Field("tracks", "tracks", "letter", "head", r"^TRACK\s+([A-Z])
 _CODE = "translate(lpad((l_partkey % 100000)::varchar, 5, '0'), '0123456789', 'ABCDEFGHIJ')"
 
 
+#: Lines of orders that a task makes advisories of: what it holds doesn't grow with the table.
+LINES_PER_TASK = 100_000
+
+
 def advisories(spark, d):
     """(o_orderkey, kind, text): a track for each line of an order; lines of 40 pieces or more are unavailable points."""
-    line = table(spark, d, "lineitem").withColumn("code", F.translate(F.lpad((F.col("l_partkey") % 100_000).cast("string"), 5, "0"), "0123456789", "ABCDEFGHIJ"))
+    lines = table(spark, d, "lineitem")
+    line = lines.repartition(lines.count() // LINES_PER_TASK + 1, "l_orderkey").withColumn("code", F.translate(F.lpad((F.col("l_partkey") % 100_000).cast("string"), 5, "0"), "0123456789", "ABCDEFGHIJ"))
     letter = F.char(65 + F.col("l_linenumber") % 5)
     track = F.concat(F.lit("TRACK  "), letter, F.lit("  AAA.LBSTA8.."), "code", F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit(".NAT"), letter)).otherwise(""))
     gone = F.when(F.col("l_quantity") >= 40, F.col("code"))
