@@ -16,6 +16,8 @@ from .weak import RULES, Rule, appended, code_counts, fit_votes, metrics, vote_c
 
 #: Rows that the scorer is trained on at most: those with the least hash of their id. The label model sees all rows.
 TRAIN_ROWS = 3000
+#: Values that a step of the training takes at a time.
+TRAIN_VALUES = 200_000
 HASH_BITS = 15
 #: Column of the votes between the two passes.
 _VOTED = "isobar_votes_of_the_labellers"
@@ -53,6 +55,7 @@ def _examples(sample: DataFrame, bits: int) -> DataFrame:
 def _train(slots: list[np.ndarray], n: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Logistic regression on relative frequencies, by full gradients with per-weight steps.
 
+    Rows are taken in parts of about TRAIN_VALUES values, so that the driver holds the values once and little beside them.
     A row counts by how sure its label is (0 at 0.5); classes keep their own shares, so that a table with hardly any bad
     text isn't made to lose good ones.
     """
@@ -60,19 +63,25 @@ def _train(slots: list[np.ndarray], n: list[np.ndarray], target: np.ndarray, siz
     if not len(target):
         return weights, bias
     bias = float(np.log((target.sum() + 1) / ((1 - target).sum() + 1)))
-    row = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
-    slot = np.concatenate(slots).astype(np.int64)
-    value = np.concatenate([x / max(x.sum(), 1) for x in n]) * 100
+    begins = np.concatenate([[0], np.cumsum([len(s) for s in slots])])
+    cuts = np.unique(np.searchsorted(begins, np.arange(0, begins[-1] + TRAIN_VALUES, TRAIN_VALUES)).clip(0, len(slots)))
+    cuts = np.unique(np.concatenate([[0], cuts, [len(slots)]]))
+    slot, value = np.concatenate(slots), np.concatenate([x / max(x.sum(), 1) for x in n]) * 100
     importance = np.abs(2 * target - 1)
     squares, bias_squares = np.full(size, 1e-6), 1e-6
     for _ in range(rounds):
-        score = np.bincount(row, value * weights[slot], len(slots)) + bias
-        miss = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - target) * importance / len(target)
-        g = np.bincount(slot, value * miss[row], size) + 1e-5 * weights
+        g, bias_g = 1e-5 * weights, 0.0
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            at = slice(begins[a], begins[b])
+            row = np.repeat(np.arange(b - a), np.diff(begins[a : b + 1]))
+            score = np.bincount(row, value[at] * weights[slot[at]], b - a) + bias
+            miss = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - target[a:b]) * importance[a:b] / len(target)
+            g += np.bincount(slot[at].astype(np.int64), value[at] * miss[row], size)
+            bias_g += miss.sum()
         squares += g * g
-        bias_squares += miss.sum() ** 2
+        bias_squares += bias_g**2
         weights -= 0.1 * g / np.sqrt(squares)
-        bias -= 0.1 * miss.sum() / np.sqrt(bias_squares)
+        bias -= 0.1 * bias_g / np.sqrt(bias_squares)
     return weights * 100, bias
 
 
