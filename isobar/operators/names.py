@@ -38,13 +38,20 @@ def mentions(texts: DataFrame, keys: list[str], text: str, names: DataFrame, nam
     lengths = sorted(r.n for r in known.select(F.size("words").alias("n")).distinct().collect())
     if not lengths:
         lengths = [1]
+    places = range(lengths[-1])
     split = texts.select(*keys, words(F.col(text)).alias("_w"))
-    at = split.select(*keys, F.posexplode(F.transform("_w", lambda w, i: F.slice("_w", i + 1, lengths[-1]))).alias("start", "_run"))
-    first = known.select(F.get("words", F.lit(0)).alias("_first")).distinct()
-    begun = at.withColumn("_first", F.get("_run", F.lit(0))).join(small(first), "_first", "left_semi")
-    runs = begun.withColumn("length", F.explode(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.size("_run")))).withColumn("_run", F.slice("_run", F.lit(1), F.col("length")))
-    hashed = known.select(F.xxhash64("words").alias("_h"), F.col("words").alias("_words"), "name")
-    found = runs.withColumn("_h", F.xxhash64("_run")).join(small(hashed), "_h").where(F.col("_run") == F.col("_words")).select(*keys, "start", "length", "name")
+    # The words beside one another at each place are the text's words shifted by 0, 1, 2...: null beyond its end.
+    beside = F.arrays_zip(*(F.slice("_w", i + 1, F.greatest(F.size("_w") - i, F.lit(0))).alias(f"_{i}") for i in places))
+    at = split.select(*keys, F.posexplode(beside).alias("start", "_run")).select(*keys, "start", *(F.col("_run")[f"_{i}"].alias(f"_{i}") for i in places))
+    first = known.select(F.get("words", F.lit(0)).alias("_0")).distinct()
+    begun = at.join(small(first), "_0", "left_semi").withColumn("length", F.explode(F.array(*map(F.lit, lengths))))
+    run = [F.when(F.col("length") > i, F.col(f"_{i}")) for i in places]
+    within = F.coalesce(*(F.when(F.col("length") == n, F.col(f"_{n - 1}").isNotNull()) for n in lengths))
+    hashed = known.select(F.xxhash64(*(F.get("words", F.lit(i)) for i in places)).alias("_h"), F.col("words").alias("_words"), "name")
+    same = F.lit(True)
+    for i, w in enumerate(run):
+        same &= w.eqNullSafe(F.get("_words", F.lit(i)))
+    found = begun.where(within).withColumn("_h", F.xxhash64(*run)).join(small(hashed), "_h").where(same).select(*keys, "start", "length", "name")
     # Of equal starts the longest comes first, so that whatever ends no later than one before lies within it.
     before = F.max(F.col("start") + F.col("length")).over(Window.partitionBy(*keys).orderBy("start", F.desc("length")).rowsBetween(Window.unboundedPreceding, -1))
     return found.withColumn("_end", before).where(F.col("_end").isNull() | (F.col("start") + F.col("length") > F.col("_end"))).drop("_end")

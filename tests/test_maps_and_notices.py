@@ -91,6 +91,16 @@ def test_names_equal_brute_force(spark):
     assert names.mentions(spark.createDataFrame([], "k int, t string"), ["k"], "t", spark.createDataFrame([], "n string"), "n").collect() == []
 
 
+def test_runs_of_words_are_compiled_and_end_with_the_text(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "red ring red"), (2, "ring"), (3, None), (4, "ring red ring red ring")], "k int, t string")
+    listed = spark.createDataFrame([("RED RING",), ("RING RED RING",), ("RING",), ("RED",)], "n string")
+    for few in (names.BROADCAST_NAMES, 0):
+        monkeypatch.setattr(names, "BROADCAST_NAMES", few)
+        got = names.mentions(texts, ["k"], "t", listed, "n")
+        assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, got.collect())) == [(1, 0, 2, "RED RING"), (1, 2, 1, "RED"), (2, 0, 1, "RING"), (4, 0, 3, "RING RED RING"), (4, 2, 3, "RING RED RING")]
+
+
 def test_contract_tells_path_and_value(spark):
     df = spark.sql("select 1 as k, named_struct('a', array(named_struct('n', 1, 'm', 2), named_struct('n', 3, 'm', 2))) as o, array(1, 3, 2) as r union all select 2, null, null union all select 3, named_struct('a', array(named_struct('n', null, 'm', 5))), array()")
     rules = (Rule("less", "o.a[].n", "at most", peer="m"), Rule("there", "o.a", "there"), Rule("small", "r[]", "between", high=2), Rule("some", "r", "count", low=1), Rule("maybe", "o.a[].n", "between", high=0, optional=True))
