@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import geometry as Geo
 from ..sources.steps import step
@@ -15,6 +16,8 @@ from ..sources.steps import step
 KM_PER_DEGREE = 111.32
 #: Points and polygons of a block; pairs of a point and an edge that are worked on at a time.
 POINTS, POLYGONS, PAIRS = 4096, 2048, 400_000
+#: Polygons of a block where all pairs that hold are given.
+HELD = 512
 #: Blocks of a task, as work grows with them and not with bytes, and tasks at most.
 BLOCKS, TASKS = 12, 2000
 
@@ -26,7 +29,7 @@ def edge_list(rings: Column) -> Column:
     return F.flatten(F.transform(rings, lambda r, k: F.transform(Geo.edges(r), lambda e: one(e, k))))
 
 
-def meet(points: DataFrame, polygons: DataFrame, cell: float, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+def meet(points: DataFrame, polygons: DataFrame, cell: float, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str | StructType, *, polygons_at_once: int | None = None) -> DataFrame:
     """``work`` on each block of points (x, y, others) and block of polygons (edges, _o, others) that meet in a square of ``cell`` degrees.
 
     A polygon is listed for the squares that its box ``_o`` (w, s, e, n) touches and that hold points. Squares with many rows are dealt in
@@ -38,7 +41,7 @@ def meet(points: DataFrame, polygons: DataFrame, cell: float, work: Callable[[pa
     listed = polygons.withColumn("_i", spans("w", "e")).withColumn("_j", spans("s", "n")).drop("_o")
     blocks = lambda rows, size, name: rows.groupBy("_i", "_j").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
     # One row for each square of a map of degrees, whatever the tables hold.
-    sizes = step(blocks(placed, POINTS, "_np").join(blocks(listed.select("_i", "_j"), POLYGONS, "_nq"), ["_i", "_j"]).coalesce(1), "squares")
+    sizes = step(blocks(placed, POINTS, "_np").join(blocks(listed.select("_i", "_j"), polygons_at_once or POLYGONS, "_nq"), ["_i", "_j"]).coalesce(1), "squares")
     n = min(max(sizes.agg(F.coalesce(F.sum(F.col("_np") * F.col("_nq")), F.lit(0))).first()[0] // BLOCKS, 1), TASKS)
     sizes = F.broadcast(sizes)
     deal = lambda rows, n: F.pmod(F.xxhash64(*rows.columns), F.col(n)).cast("int")
@@ -71,7 +74,7 @@ class Edges:
         """Whether each polygon (columns) holds each point (rows): within its outline, in none of its holes."""
         x, y = x[:, None], y[:, None]
         crosses = ((self.ay > y) != (self.by > y)) & (x < self.dx * (y - self.ay) / self.steep + self.ax)
-        held = np.add.reduceat(crosses, self.rings, axis=1, dtype=np.int32) % 2 == 1
+        held = np.bitwise_xor.reduceat(crosses.view(np.int8), self.rings, axis=1).view(bool)
         return np.logical_and.reduceat(held != self.hole, self.first_ring, axis=1)
 
     def km(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -90,7 +93,20 @@ def _some(n: int, edges: int) -> int:
     return max(1, min(n, PAIRS // max(1, edges)))
 
 
-def _usable(polygons: DataFrame, rings: str) -> DataFrame:
+def held_pairs(points: pa.Table, polygons: pa.Table) -> tuple[pa.Array, pa.Array]:
+    """The rows of a block's points (x, y) and polygons (edges) that belong together, side by side."""
+    at, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if points.num_rows and polygons.num_rows:
+        edges, x, y = Edges(polygons), np.asarray(points["x"]), np.asarray(points["y"])
+        some = _some(len(x), len(edges.ax))
+        for k in range(0, len(x), some):
+            p, q = np.divmod(np.flatnonzero(edges.inside(x[k : k + some], y[k : k + some])), polygons.num_rows)
+            at.append(p + k)
+            of.append(q)
+    return pa.array(np.concatenate(at)), pa.array(np.concatenate(of))
+
+
+def usable(polygons: DataFrame, rings: str) -> DataFrame:
     return polygons.where((F.size(rings) > 0) & (F.size(F.get(rings, F.lit(0))) > 0))
 
 
@@ -101,7 +117,7 @@ def strongest_near(points: DataFrame, polygons: DataFrame, km: float, key: str,
     ``digits``) that of the smallest name. Polygons of equal rings and strength are tested once. Null strengths come last.
     """
     up = km / KM_PER_DEGREE
-    one = _usable(polygons, rings).groupBy(rings, strength).agg(F.count("*").alias("_n"), F.min(name).alias("_name"))
+    one = usable(polygons, rings).groupBy(rings, strength).agg(F.count("*").alias("_n"), F.min(name).alias("_name"))
     o = Geo.box(F.get(rings, F.lit(0)))
     out = F.lit(up) / F.cos(F.radians(F.least(F.greatest(F.abs(o["s"]), F.abs(o["n"])) + up, F.lit(89.0))))
     wide = F.struct((o["w"] - out).alias("w"), (o["s"] - up).alias("s"), (o["e"] + out).alias("e"), (o["n"] + up).alias("n"))
@@ -147,7 +163,7 @@ def held_by_any(points: DataFrame, polygons: DataFrame, key: str, group: str, *,
 
     Equal rings of a group are tested once, and a point that is held is tested no further.
     """
-    one = _usable(polygons, rings).select(F.col(group).alias("group"), F.col(rings).alias("_r")).distinct()
+    one = usable(polygons, rings).select(F.col(group).alias("group"), F.col(rings).alias("_r")).distinct()
     shapes = one.select("group", edge_list(F.col("_r")).alias("edges"), Geo.box(F.get("_r", F.lit(0))).alias("_o"))
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -5,12 +5,14 @@ A polygon is an array of rings, the first its outline and the others holes; a ri
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from ..functions import geometry as Geo
 from ..functions.binding import bound
+from .places import HELD, edge_list, held_pairs, meet, usable
 
 
 def inside(x: Column, y: Column, rings: Column) -> Column:
@@ -20,18 +22,23 @@ def inside(x: Column, y: Column, rings: Column) -> Column:
 
 
 def points_in(points: DataFrame, polygons: DataFrame, *, x: str = "x", y: str = "y", rings: str = "rings", cell: float = 1.0) -> DataFrame:
-    """Every pair of a point and a polygon that holds it, with the columns of both.
+    """Every pair of a point and a polygon that holds it, with the columns of both except the place and the rings.
 
-    Each polygon is listed once for every square of ``cell`` that its box touches and meets the points of that square in an
-    equi-join; the exact test follows. Squares about as large as a usual polygon keep the lists short. Points without a
-    place and polygons without an outline are in no pair.
+    Each polygon is listed once for every square of ``cell`` that its box touches and meets the points of that square, in blocks
+    of bounded size that NumPy tests: only pairs that hold are rows. Squares about as large as a usual polygon keep the lists
+    short. Points without a place and polygons without an outline are in no pair.
     """
-    square = lambda v: F.floor(v / cell).cast("long")
-    boxed = polygons.where(F.size(rings) > 0).withColumn("_o", Geo.box(F.get(rings, F.lit(0))))
-    spans = lambda lo, hi: F.explode(F.sequence(square(F.col(f"_o.{lo}")), square(F.col(f"_o.{hi}"))))
-    listed = boxed.withColumn("_i", spans("w", "e")).withColumn("_j", spans("s", "n")).drop("_o")
-    placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_i", square(F.col(x))).withColumn("_j", square(F.col(y)))
-    return placed.join(listed, ["_i", "_j"]).where(inside(F.col(x), F.col(y), F.col(rings))).drop("_i", "_j")
+    own, names = points.drop(x, y).columns, polygons.drop(rings).columns
+    placed = points.select(*own, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    edges = edge_list(F.filter(rings, lambda r: r.isNotNull()))
+    shapes = usable(polygons, rings).select(*names, edges.alias("edges"), Geo.box(F.get(rings, F.lit(0))).alias("_o"))
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        p, q = held_pairs(left, right)
+        return pa.table({c: t[c].take(k) for t, columns, k in ((left, own, p), (right, names, q)) for c in columns})
+
+    schema = StructType([*points.select(*own).schema, *polygons.select(*names).schema])
+    return meet(placed, shapes, cell, work, schema, polygons_at_once=HELD)
 
 
 def shifted(rings: Column, by: int) -> Column:

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from isobar.operators import places as N
+from isobar.operators import polygons as P
 from tests.test_polygons import RINGS, inside, some_rings
 
 
@@ -57,6 +58,18 @@ def test_held_by_any(tables):
     assert len(got) == len(want) > 30 and set(got) == want
 
 
+def test_points_in_meets_blocks(tables, monkeypatch):
+    """Every pair that holds, whatever the blocks; pairs that are only tested are no rows."""
+    monkeypatch.setattr(P, "HELD", 5, raising=False)
+    points, polygons, p, q = tables
+    found = P.points_in(p, q, cell=5.0)
+    got = [tuple(r) for r in found.collect()]
+    want = {(key, name, s, g) for key, x, y in points if x is not None for name, rings, s, g in polygons if rings and inside(x, y, rings)}
+    assert found.columns == ["p", "q", "strength", "g"] and len(got) == len(want) > 30 and set(got) == want
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()
+    assert P.points_in(p, q.where("q > 1000")).count() == 0 == P.points_in(p.where("p > 1000"), q).count()
+
+
 def test_nothing_near(tables):
     _, _, p, q = tables
     assert N.strongest_near(p.where("p > 1000"), q, 250.0, "p", "q", "strength").count() == 0
