@@ -1,7 +1,11 @@
 """Queries over all rows or whole texts against brute force on small tables."""
 
+import math
+import random
 from datetime import datetime, timedelta
 
+import duckdb
+
 from isobar.plans import registry
 
 
@@ -42,3 +46,23 @@ def test_texts_are_read_whole(spark, tmp_path):
     assert kinds == {1: "closure", 2: "route", 3: "other", 4: "program", 5: "other", 6: "other", 7: "delay"}
     lines = {r.doc_id: r.line for r in run(spark, tmp_path, "identity_lines")}
     assert lines == {k: " ".join(t.split()) for k, t in texts.items()} | {5: "MIT License"}
+
+
+def test_compare_models_adds_doubles_in_row_order(spark, tmp_path):
+    """Ten times 0.1 is less than 1 in doubles, added one after the other, and the SQL rounds down; over several files too."""
+    rng, day = random.Random(5), datetime(1998, 1, 1)
+    rows = [(0, "F", 0.1, day)] * 10 + [(0, "O", 1.0, day)]
+    rows += [(k, "FOP"[k % 3], rng.randrange(100, 40_000_000) / 100, day + timedelta(days=1 + k % 40)) for k in range(6000)]
+    rows += [(7, "F", None, day), (8, "O", 1.0, None), (9, "F", 1.0, None), (10, "F", None, day + timedelta(days=90)), (11, "O", 5.0, day + timedelta(days=90))]
+    spark.sparkContext.parallelize(rows, 5).toDF("o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute("set threads = 1")
+    con.execute(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+    got = sorted((tuple(r) for r in run(spark, tmp_path, "compare_models")), key=lambda r: r[0])
+    assert got == sorted(con.execute(registry.oracle_sql()["compare_models"]).fetchall())
+    sums = {}
+    for _, status, price, t in rows:
+        if t and price is not None:
+            sums[t.date(), status] = sums.get((t.date(), status), 0.0) + price
+    want = {d: math.floor(sums[d, "F"]) - math.floor(sums[d, "O"]) for d, status in sums if status == "F" and (d, "O") in sums}
+    assert want[day.date()] == -1 and {r[0]: r[1] for r in got if r[1] is not None} == want
