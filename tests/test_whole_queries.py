@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import duckdb
 
+from isobar.operators import lookup as L
 from isobar.plans import registry
 
 
@@ -27,6 +28,25 @@ def test_interval_join_counts_all(spark, tmp_path):
     assert {r.l_orderkey: r.n for r in run(spark, tmp_path, "interval_join_counts")} == want
 
 
+def test_interval_pairs_from_lists_of_bounded_size(spark):
+    """Times of day, equal points and spans, one moment with many of both; a moment meets the spans once."""
+    t0 = datetime(1998, 1, 1)
+    rng = random.Random(6)
+    points = [(k, k % 3, t0 + timedelta(hours=rng.randrange(120))) for k in range(60)] + [(k, 1, t0 + timedelta(hours=50)) for k in range(60, 90)] + [(5, 1, t0), (5, 1, t0), (90, 1, None), (91, None, t0)]
+    spans = [(k, k % 3, a := t0 + timedelta(hours=rng.randrange(100)), a + timedelta(hours=rng.randrange(-3, 40))) for k in range(80)]
+    spans += [(1000 + k, 1, t0 + timedelta(hours=48), t0 + timedelta(hours=51)) for k in range(40)] + [(1001, 1, t0 + timedelta(hours=48), t0 + timedelta(hours=51)), (2000, 1, None, t0), (2001, 1, t0, None)]
+    p, s = spark.createDataFrame(points, "p long, k int, t timestamp_ntz"), spark.createDataFrame(spans, "v long, k int, a timestamp_ntz, b timestamp_ntz")
+    want = sorted((i, v) for i, k, t in points for v, m, a, b in spans if None not in (k, t, a, b) and k == m and a <= t < b)
+    found = L.interval_pairs(p, s, "t", "a", "b", "v", keys=["k"], at_once=7)
+    assert sorted((r.p, r.v) for r in found.collect()) == want and len(want) > 1500
+    assert sorted((r.p, r.v) for r in L.interval_join(p, s, "t", "a", "b", keys=["k"]).collect()) == want
+
+
+def test_interval_join_by_key_meets_each_moment_once(spark, data):
+    plan = registry.queries()["interval_join_by_key"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(_live" in plan
+
+
 def test_unmentioned_suppliers_all(spark, tmp_path):
     suppliers = [(k, f"Supplier#{k:09d}") for k in range(0, 200, 3)]
     orders = [(k, datetime(1998, 6 + k % 3, 15)) for k in range(300)]
