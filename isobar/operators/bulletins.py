@@ -73,24 +73,29 @@ def items(bulletins: DataFrame, keys: list[str], grammar: tuple[Section, ...], *
             begins |= here & (F.col("line").rlike(s.begins) if s.begins else ~blank & (before | F.col("opened").isNotNull()))
             notes |= here & F.col("line").rlike(s.notes) if s.notes else F.lit(False)
     told = marked.withColumn("begins", begins).withColumn("note", notes).where(named)
-    own = Window.partitionBy(*keys, "section").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = told.withColumn("item", F.sum(F.col("begins").cast("int")).over(own)).where(F.col("item") > 0).where(F.col("line").rlike(r"\S"))
-    ordered = lambda cond: _tidy(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct("n", "line")))), lambda x: x["line"]), " "))
-    return numbered.groupBy(*keys, "kind", "section", F.col("item").cast("int").alias("item")).agg(
-        _tidy(F.max(F.when(F.col("begins"), F.col("line")))).alias("head"),
-        ordered(~F.col("begins") & ~F.col("note")).alias("text"),
-        ordered(F.col("note")).alias("notes"),
-    )
+    # A section's begun items are counted in the order that the lines already have; an item's row is its first line that isn't blank.
+    count = lambda name: F.sum((F.col("begins") & (F.col("section") == name)).cast("int")).over(upto)
+    item = F.coalesce(F.lit(None).cast("long"), *(F.when(F.col("section") == name, count(name)) for name in dict.fromkeys(s.name for s in grammar if s.name)))
+    numbered = told.withColumn("item", item).where(F.col("item") > 0).where(F.col("line").rlike(r"\S"))
+    earlier = F.lag("item").over(Window.partitionBy(*keys, "kind", "section").orderBy("n"))
+    whole = Window.partitionBy(*keys, "kind", "section", "item").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Lists that no later step reads are dropped by the optimizer, and their sort with them.
+    those = lambda cond: F.collect_list(F.when(cond, F.struct("n", "line"))).over(whole)
+    listed = numbered.withColumn("earlier", earlier).withColumn("text", those(~F.col("begins") & ~F.col("note"))).withColumn("notes", those(F.col("note")))
+    joined = lambda c: _tidy(F.array_join(F.transform(F.sort_array(c), lambda x: x["line"]), " ")).alias(c)
+    head = _tidy(F.when(F.col("begins"), F.col("line"))).alias("head")
+    first = listed.where(F.col("earlier").isNull() | (F.col("earlier") < F.col("item")))
+    return first.select(*keys, "kind", "section", F.col("item").cast("int").alias("item"), head, joined("text"), joined("notes"))
 
 
 def fields(read: DataFrame, keys: list[str], patterns: tuple[Field, ...]) -> DataFrame:
     """(keys, kind, section, item, field, value) of every field that a pattern finds in the items of :func:`items`."""
-    found = []
-    for f in patterns:
-        here = (F.col("kind") == f.kind) & (F.col("section") == f.section) & F.col(f.part).rlike(f.pattern)
-        found.append(F.when(here, F.struct(F.lit(f.name).alias("field"), F.trim(F.regexp_extract(f.part, f.pattern, f.group)).alias("value"))))
-    some = F.filter(F.array(*found), lambda x: x.isNotNull())
-    return read.select(*keys, "kind", "section", "item", F.explode(some).alias("f")).select(*keys, "kind", "section", "item", "f.*")
+    # A pattern's first match says both whether there is a field and what it holds: null where there is none.
+    match = lambda f: F.get(F.regexp_extract_all(f.part, F.lit(f.pattern), F.lit(f.group)), F.lit(0))
+    value = lambda f: F.when((F.col("kind") == f.kind) & (F.col("section") == f.section), F.trim(match(f)))
+    found = read.select(*keys, "kind", "section", "item", *(value(f).alias(f"_{i}") for i, f in enumerate(patterns)))
+    every = F.array(*(F.struct(F.lit(f.name).alias("field"), F.col(f"_{i}").alias("value")) for i, f in enumerate(patterns)))
+    return found.select(*keys, "kind", "section", "item", F.explode(every).alias("f")).select(*keys, "kind", "section", "item", "f.*").where("value is not null")
 
 
 def within_budget(read: DataFrame, keys: list[str], text: Column, budget: int, joiner: int = 3) -> DataFrame:

@@ -155,9 +155,11 @@ def track_entries(spark, d):
     f = B.fields(B.items(advisories(spark, d), ["o_orderkey"], TRACKS), ["o_orderkey"], TRACK_FIELDS)
     value = lambda name: F.max(F.when(F.col("field") == name, F.col("value")))
     tracks = f.groupBy("o_orderkey", "item").agg(value("letter").alias("letter"), value("entry").alias("entry"))
-    first = tracks.groupBy("o_orderkey", "letter").agg(F.min(F.struct("item", "entry")).alias("f"))
+    # The letters' own order serves both windows, so that the first of a letter and its place take one sort.
+    earlier = F.lag("item").over(Window.partitionBy("o_orderkey", "letter").orderBy("item"))
+    first = tracks.withColumn("earlier", earlier).where("earlier is null")
     place = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("letter"))
-    return first.select("o_orderkey", "letter", F.col("f.entry").alias("entry"), place.alias("place"))
+    return first.select("o_orderkey", "letter", "entry", place.alias("place"))
 
 
 @register(

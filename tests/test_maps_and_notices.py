@@ -76,6 +76,25 @@ def test_bulletins_that_are_odd(spark):
     assert B.fields(none, ["i"], FIELDS).collect() == []
 
 
+def test_items_are_rows_of_their_lines_and_take_no_groups(spark):
+    grammar = (B.Section("a", "^ONE", "one", begins=r"^\d"), B.Section("a", "^TWO:?", "two", notes=r"^\*"), B.Section("b", "^ONE", "one", begins=r"^\s*$"))
+    texts = [
+        (1, "a", "ONE\n1 x\nw\nTWO: t\n* n\nONE\nback\n2\n"), (None, "a", "ONE\n1\n\n  more  words"), (2, "b", "ONE\n\nafter a blank\n\n"),
+        (3, "a", "ONE\n1 y"), (3, "a", "ONE\n1 y"), (4, "a", "ONE\nnothing begins"), (5, None, "ONE\n1"), (6, "a", None),
+    ]
+    read = B.items(spark.createDataFrame(texts, "i int, kind string, text string"), ["i"], grammar)
+    assert sorted(map(tuple, read.collect()), key=str) == sorted([
+        (1, "a", "one", 1, "1 x", "w back", ""), (1, "a", "one", 2, "2", "", ""), (1, "a", "two", 1, "t", "", "* n"), (None, "a", "one", 1, "1", "more words", ""),
+        (2, "b", "one", 2, None, "after a blank", ""), (3, "a", "one", 1, "1 y", "", ""), (3, "a", "one", 2, "1 y", "", ""),
+    ], key=str)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    heads = plan(read.select("i", "section", "item", "head"))
+    assert "Aggregate" not in plan(read) and "collect_list" in plan(read) and "collect_list" not in heads
+    found = B.fields(read, ["i"], (B.Field("a", "one", "number", "head", r"^(\d)"), B.Field("a", "one", "letter", "head", r"\d( [xz])?"), B.Field("b", "one", "number", "head", r"(\d)")))
+    assert "RLIKE(head" not in plan(found)
+    assert sorted((r.i, r.item, r.field, r.value) for r in found.where("i < 3").collect()) == [(1, 1, "letter", "x"), (1, 1, "number", "1"), (1, 2, "letter", ""), (1, 2, "number", "2")]
+
+
 def test_names_equal_brute_force(spark):
     rng = random.Random(5)
     known = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 5))) for _ in range(30)] + ["near at", "near", None, "", "choi-wan", "choi", "a b c d a b c d a"]
