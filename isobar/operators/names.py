@@ -1,4 +1,4 @@
-"""Names of a long list found in texts, the longest at each place, by hashes of runs of words."""
+"""Names of a long list found in texts, the longest at each place, by runs of words."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from ..sources.steps import step
 
 #: A word of a name or text, in upper case.
 WORD = "[A-Z0-9]+(?:['-][A-Z0-9]+)*"
-#: Names of a list up to which their hashes are broadcast, and words of the longest name.
+#: Names of a list up to which they are broadcast, and words of the longest name.
 BROADCAST_NAMES, LONGEST = 100_000, 8
 
 
@@ -28,30 +28,25 @@ def name_list(names: DataFrame, name: str, generic: tuple[str, ...] = ()) -> Dat
 def mentions(texts: DataFrame, keys: list[str], text: str, names: DataFrame, name: str, generic: tuple[str, ...] = ()) -> DataFrame:
     """(keys, start, length, name) of every name in a text, places and lengths in words; none that lies within a longer one.
 
-    A text's words meet the list twice, each time as an equi-join: words that begin no name go first, then each run of as many
-    words as some name has looks its hash up, and equal words confirm it. The work grows with the words that begin
-    names, not with the number of names. Names of generic words only are no names; null texts and names give nothing.
+    A text's words meet the list twice, each time as an equi-join on one column: by its hash a word finds the lengths of the
+    names that it begins, then each run of so many words is looked up. The work grows with the words that begin names, not with
+    the number of names. Names of generic words only are no names; null texts and names give nothing.
     """
     known = step(name_list(names, name, generic), "names")
-    few = known.limit(BROADCAST_NAMES + 1).count() <= BROADCAST_NAMES
-    small = F.broadcast if few else (lambda df: df)
-    lengths = sorted(r.n for r in known.select(F.size("words").alias("n")).distinct().collect())
-    if not lengths:
-        lengths = [1]
-    places = range(lengths[-1])
+    listed = known.agg(F.count("*").alias("n"), F.max(F.size("words")).alias("longest")).first()
+    small = F.broadcast if listed.n <= BROADCAST_NAMES else (lambda df: df)
+    places = range(listed.longest or 1)
     split = texts.select(*keys, words(F.col(text)).alias("_w"))
-    # The words beside one another at each place are the text's words shifted by 0, 1, 2...: null beyond its end.
-    beside = F.arrays_zip(*(F.slice("_w", i + 1, F.greatest(F.size("_w") - i, F.lit(0))).alias(f"_{i}") for i in places))
-    at = split.select(*keys, F.posexplode(beside).alias("start", "_run")).select(*keys, "start", *(F.col("_run")[f"_{i}"].alias(f"_{i}") for i in places))
-    first = known.select(F.get("words", F.lit(0)).alias("_0")).distinct()
-    begun = at.join(small(first), "_0", "left_semi").withColumn("length", F.explode(F.array(*map(F.lit, lengths))))
-    run = [F.when(F.col("length") > i, F.col(f"_{i}")) for i in places]
-    within = F.coalesce(*(F.when(F.col("length") == n, F.col(f"_{n - 1}").isNotNull()) for n in lengths))
-    hashed = known.select(F.xxhash64(*(F.get("words", F.lit(i)) for i in places)).alias("_h"), F.col("words").alias("_words"), "name")
-    same = F.lit(True)
-    for i, w in enumerate(run):
-        same &= w.eqNullSafe(F.get("_words", F.lit(i)))
-    found = begun.where(within).withColumn("_h", F.xxhash64(*run)).join(small(hashed), "_h").where(same).select(*keys, "start", "length", "name")
+    # A plain explode has Spark first filter texts by their number of words, which finds all words twice; the join drops empty texts.
+    at = split.select(*keys, "_w", F.posexplode_outer("_w").alias("start", "_0"))
+    at = at.select(*keys, "start", "_0", *(F.get("_w", F.col("start") + i).alias(f"_{i}") for i in places[1:]))
+    begin = known.select(F.xxhash64(F.get("words", F.lit(0))).alias("_h"), F.size("words").alias("length")).distinct()
+    begun = at.withColumn("_h", F.xxhash64("_0")).join(small(begin), "_h")
+    # Words hold no blanks, so that equal runs are equal strings; beyond a text's end there are none.
+    within = F.coalesce(*(F.when(F.col("length") == i + 1, F.col(f"_{i}").isNotNull()) for i in places))
+    run = F.concat_ws(" ", *(F.when(F.col("length") > i, F.col(f"_{i}")) for i in places))
+    said = known.select(F.array_join("words", " ").alias("_run"), "name")
+    found = begun.where(within).withColumn("_run", run).join(small(said), "_run").select(*keys, "start", "length", "name")
     # Of equal starts the longest comes first, so that whatever ends no later than one before lies within it.
     before = F.max(F.col("start") + F.col("length")).over(Window.partitionBy(*keys).orderBy("start", F.desc("length")).rowsBetween(Window.unboundedPreceding, -1))
     return found.withColumn("_end", before).where(F.col("_end").isNull() | (F.col("start") + F.col("length") > F.col("_end"))).drop("_end")

@@ -120,6 +120,19 @@ def test_runs_of_words_are_compiled_and_end_with_the_text(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == [(1, 0, 2, "RED RING"), (1, 2, 1, "RED"), (2, 0, 1, "RING"), (4, 0, 3, "RING RED RING"), (4, 2, 3, "RING RED RING")]
 
 
+def test_words_are_found_once_and_joins_have_one_key(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "red ring red"), (1, "red ring"), (None, "o'neil-red ring red ring"), (3, "?"), (4, ""), (5, None), (6, "ring red")], "k int, t string")
+    listed = spark.createDataFrame([("red  ring",), ("RED RING",), ("ring red ring red",), ("O'NEIL-RED RING",), ("blue",), (None,), ("ring",)], "n string")
+    for few in (names.BROADCAST_NAMES, 0):
+        monkeypatch.setattr(names, "BROADCAST_NAMES", few)
+        got = names.mentions(texts, ["k"], "t", listed, "n")
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1 and plan.count("Join Inner") == 2 and "<=>" not in plan
+        assert sorted(map(tuple, got.where("k > 1 or k is null").collect()), key=str) == [(6, 0, 1, "ring"), (None, 0, 2, "O'NEIL-RED RING"), (None, 2, 2, "RED RING")]
+    again = names.mentions(texts, ["k"], "t", listed.where("false"), "n")
+    assert again.collect() == []
+
+
 def test_contract_tells_path_and_value(spark):
     df = spark.sql("select 1 as k, named_struct('a', array(named_struct('n', 1, 'm', 2), named_struct('n', 3, 'm', 2))) as o, array(1, 3, 2) as r union all select 2, null, null union all select 3, named_struct('a', array(named_struct('n', null, 'm', 5))), array()")
     rules = (Rule("less", "o.a[].n", "at most", peer="m"), Rule("there", "o.a", "there"), Rule("small", "r[]", "between", high=2), Rule("some", "r", "count", low=1), Rule("maybe", "o.a[].n", "between", high=0, optional=True))
