@@ -120,6 +120,45 @@ def test_plan_stays_within_limits_and_says_why(spark):
     assert all(r.chosen == (r.reason == "chosen") for r in got.values())
 
 
+def test_small_keys_take_one_shuffle_and_large_ones_ranges(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot", "hot", "hot", None, None, *"abcde"]), "ab"[k % 2], k, rng.choice([None, 0, 1, 7])) for k in range(2_000)]
+    df = spark.createDataFrame(rows, "g string, h string, i long, v long").repartition(8)
+    found = {}
+    for many in (100_000, 150, 0):  # none, the hot and the null key, every key is large
+        monkeypatch.setattr(f"{running.__module__}.MANY", many)
+        for keys in (["g"], ["g", "h"]):
+            for current in (True, False):
+                got = running(df, keys, [F.col("i").desc()], {"t": F.col("v")}, {"m": F.col("v")}, current=current)
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                if many == 100_000:
+                    assert plan.count("Exchange") == 1 and "_part" not in plan
+                else:
+                    assert "_part" in plan
+                sums, most, want = defaultdict(int), {}, {}
+                for g, h, i, v in sorted(rows, key=lambda r: -r[2]):
+                    k = (g, h)[: len(keys)]
+                    before = sums[k], most.get(k)
+                    sums[k], most[k] = sums[k] + (v or 0), max((x for x in (most.get(k), v) if x is not None), default=None)
+                    want[i] = (sums[k], most[k]) if current else before
+                assert {r.i: (r.t, r.m) for r in got.collect()} == want
+                assert found.setdefault((*keys, current), got.schema.simpleString()) == got.schema.simpleString()
+
+
+def test_plan_computes_its_slots_once(spark):
+    rows = [("a", [None, None, "held"], 2), (None, [None, "held", None], 30), ("a", [None, None], None), ("a", [None, None], None)]
+    slots = spark.createDataFrame(rows, "host string, s array<string>, cost long").select("host", F.posexplode("s").alias("i", "state"), "cost")
+    got = budgeted(slots, "host", [F.col("i"), F.col("cost")], "cost", 31, 33)
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == ["host", "i", "cost", "host_total", "total", "reason", "chosen"]
+    said = Counter((r.host, r.i, r.cost, r.host_total, r.total, r.reason, r.chosen) for r in got.collect())
+    assert said == Counter([
+        ("a", 0, 0, 0, 0, "chosen", True), ("a", 0, 0, 0, 0, "chosen", True), ("a", 0, 2, 2, 2, "chosen", True), (None, 0, 30, 30, 32, "chosen", True),
+        ("a", 1, 0, 2, 32, "chosen", True), ("a", 1, 0, 2, 32, "chosen", True), ("a", 1, 2, 4, 34, "limit in all", False), (None, 2, 30, 60, None, "limit of its host", False),
+        ("a", 2, 2, None, None, "held", False), (None, 1, 30, None, None, "held", False),
+    ])
+
+
 def test_slots_are_spread(spark):
     got = spark.range(8).select("id", spread_rank(F.col("id").cast("int"), 3).alias("r")).orderBy("r").collect()
     assert [r.id for r in got] == [0, 4, 2, 6, 1, 5, 3, 7]
