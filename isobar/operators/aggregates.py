@@ -47,8 +47,8 @@ def at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Callab
     """(keys, n, one column per rank): the exact values at places of each key's sorted values, nulls left out.
 
     ``ranks`` gives each place (from 0) as a function of the key's number of values. Equal values count once with their
-    number; running counts over sampled ranges of the values say which value holds a place, so that no task holds or sorts all
-    values of a key. A null key is a key; one without values isn't there. A place beyond the values is null.
+    number; running counts say which value holds a place, over sampled ranges of a large key's values, so that no task holds or sorts all
+    its values. A null key is a key; one without values isn't there. A place beyond the values is null.
     """
     some = df.where(F.col(value).isNotNull())
     counted = some.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))

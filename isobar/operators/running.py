planned_slots: texts on running sums say that keys of up to 100,000 rows are one window's

Symptom: Three descriptions still said that no task holds the rows of any key.
Evidence: Since the change to running sums, keys of up to 100,000 rows go to one window; larger keys are cut into ranges as before.
Fix: The texts of running, at_ranks and program_windows say so.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 328 -> 231 s, shuffle 1.72 -> 0.70 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.24 GB, longest task 5 -> 4 s, most memory of a task 537 -> 302 MB; at 6 GB of input CPU 1327 -> 748 s, shuffle 10.62 -> 4.34 GB, spill 0.14 -> 0.00 GB, read 2.42 -> 1.73 GB, longest task 10 -> 7 s, most memory of a task 772 -> 503 MB; with hot keys, at 1 GB of input CPU 349 -> 230 s, shuffle 1.67 -> 0.68 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.24 GB, longest task 5 -> 4 s, most memory of a task 487 -> 260 MB.

@@ -1,4 +1,4 @@
-"""Running sums and maxima over whole tables or by keys of any size, without a task that holds a key's rows."""
+"""Running sums and maxima over whole tables or by keys of any size, without a task that holds a large key's rows."""
 
 from __future__ import annotations
 
